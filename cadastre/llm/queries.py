@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .id_files import op10_id_files
 from .packing import op3_packing
+from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
 from .token_counts import op1_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_packing": op3_packing,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
