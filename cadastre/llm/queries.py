@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .id_files import op10_id_files
+from .jaccard import op4_jaccard_join
 from .packing import op3_packing
 from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
 }
