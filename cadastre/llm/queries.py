@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import OP7_SQL, op7_decontamination
 from .id_files import op10_id_files
 from .jaccard import op4_jaccard_join
 from .packing import op3_packing
@@ -18,8 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_decontamination": op7_decontamination,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
