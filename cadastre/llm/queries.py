@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP7_SQL, op7_decontamination
+from .fingerprints import op8_fingerprints
 from .id_files import op10_id_files
 from .jaccard import op4_jaccard_join
 from .packing import op3_packing
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_decontamination": op7_decontamination,
+    "op8_fingerprints": op8_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
 }
