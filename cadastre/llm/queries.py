@@ -14,12 +14,14 @@ from .packing import op3_packing
 from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
 from .token_counts import op1_token_counts
+from .toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_toxicity": op5_toxicity,
     "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
     "op9_sharding": op9_sharding,
