@@ -13,19 +13,29 @@ from .jaccard import op4_jaccard_join
 from .packing import op3_packing
 from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
+from .secrets import op6_secret_scan
 from .token_counts import op1_token_counts
 from .toxicity import op5_toxicity
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_toxicity": op5_toxicity,
+    "op6_secret_scan": op6_secret_scan,
     "op7_decontamination": op7_decontamination,
     "op8_fingerprints": op8_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
