@@ -231,6 +231,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, most_word
     hit words longer than ``most_words`` are cut out of the text, up to the next word; None cuts none.
     """
     found = with_digest(find(docs, benchmark, window=window), coverage).where(~F.col("contaminated"))
+    kept = docs.columns
     if most_words is None:
         return found.select(*docs.columns)
 
@@ -242,14 +243,14 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, most_word
                 if long:
                     raw = text.encode()
                     starts = [m.start() for m in WORD.finditer(raw.lower())] + [len(raw)]
-                    kept, low = [], 0
+                    parts, low = [], 0
                     for s in long:
-                        kept.append(raw[low : starts[s["low"]]])
+                        parts.append(raw[low : starts[s["low"]]])
                         low = starts[s["high"]]
-                    text = b"".join([*kept, raw[low:]]).decode()
+                    text = b"".join([*parts, raw[low:]]).decode()
                 texts.append(text)
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in kept]
+            yield pa.RecordBatch.from_arrays(columns, names=kept)
 
     return found.select(*docs.columns, "spans").mapInArrow(run, docs.schema)
 

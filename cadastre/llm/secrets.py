@@ -261,6 +261,7 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, *, mark: str = "[secret]", **how) -> DataFrame:
     """``docs``, columns as given, with every found span of ``text`` replaced by ``mark``; overlapping spans by one."""
+    kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -272,7 +273,7 @@ def redact(docs: DataFrame, *, mark: str = "[secret]", **how) -> DataFrame:
                         parts += [text[low:a], mark]
                     low = max(low, b)
                 texts.append("".join([*parts, text[low:]]) if parts else text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(names.index(n)) for n in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(names.index(n)) for n in kept], names=kept)
 
     return find(docs, **how).mapInArrow(run, docs.schema)
 
