@@ -28,27 +28,24 @@ from .word_ids import encoder
 MAGIC = b"CVB1"
 HEAD = struct.Struct("<4sIQI")
 #: Bytes of each of the four ranks that a control byte describes.
-LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.int64)
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.int32)
 
 
 def write_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit ranks."""
-    n = len(ranks)
-    lengths = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    n, most = len(ranks), int(ranks.max(initial=0))
+    width = 1 + (most > 0xFF) + (most > 0xFFFF) + (most > 0xFFFFFF)
     padded = np.zeros(-(-n // 4) * 4, np.uint8)
-    padded[:n] = lengths - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    ends = np.cumsum(lengths)
-    starts, data = ends - lengths, np.empty(int(ends[-1]) if n else 0, np.uint8)
-    for k in range(int(lengths.max(initial=0))):
-        longer = lengths > k
-        data[starts[longer] + k] = (ranks[longer] >> np.uint32(8 * k)) & np.uint32(0xFF)
-    return control.tobytes(), data.tobytes()
+    for k in range(1, width):
+        padded[:n] += ranks >= np.uint32(1 << 8 * k)
+    control = padded[::4] | padded[1::4] << 2 | padded[2::4] << 4 | padded[3::4] << 6
+    taken = np.arange(width, dtype=np.uint8) <= padded[:n, None]
+    return control.tobytes(), ranks.astype("<u4").view(np.uint8).reshape(n, 4)[:, :width][taken].tobytes()
 
 
 def read_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     lengths = LENGTHS[control].reshape(-1)[:n]
-    starts = np.cumsum(lengths) - lengths
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
     ranks = data[starts].astype(np.uint32)
     for k in range(1, int(lengths.max(initial=0))):
         longer = np.flatnonzero(lengths > k)
