@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers
+from .blocks import Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers, release_memory
 from .common import materialise, table, text_bytes
 from .components import components
 from .signature_tree import link, needed
@@ -62,21 +62,23 @@ def shingle_sets(docs: DataFrame, length: int, percent: int, name: str) -> DataF
             for k in range(batch.num_rows):
                 rows = from_payload(batch.column(0)[k].as_py())
                 sets = [shingles(t.as_py(), length) for t in rows["text"]]
-                keys = np.unique(np.concatenate(sets))
+                _, number = np.unique(np.concatenate(sets), return_inverse=True)
                 (frequency,) = read_answers(batch.column(1)[k].as_py(), 1)
-                made = []
+                frequency, low, made = frequency[number], 0, []
                 for doc, own in zip(rows["doc_id"].to_pylist(), sets, strict=True):
                     n, kept, digest, raw = len(own), None, None, None
-                    if n:
-                        df = frequency[np.searchsorted(keys, own)]
-                        prefix = np.lexsort((own, df))[: n - needed(n, percent) + 1]
+                    df, low = frequency[low : low + n], low + n
+                    length_of_prefix = n - needed(n, percent) + 1
+                    # Shingles of no other document come first: often they are the whole prefix.
+                    if n and int((df == 1).sum()) < length_of_prefix:
+                        prefix = np.lexsort((own, df))[:length_of_prefix]
                         shared = own[prefix[df[prefix] > 1]]
-                        if len(shared):
-                            raw = own.tobytes()
-                            kept, digest = shared.view(np.int64).tolist(), xxhash.xxh3_128_hexdigest(raw)
+                        raw = own.tobytes()
+                        kept, digest = shared.view(np.int64).tolist(), xxhash.xxh3_128_hexdigest(raw)
                     made.append(((part << 36) + serial, doc, n, digest, kept, raw))
                     serial += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)], names=names)
+                release_memory()
 
     return materialise(found.select("payload", "answers").mapInArrow(run, SETS), f"{name}-sets")
 
