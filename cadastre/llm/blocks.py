@@ -10,6 +10,8 @@ collected or broadcast.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import struct
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -82,6 +84,13 @@ class WordHashes:
 hashes = WordHashes()
 
 
+def release_memory() -> None:
+    """Give back what the allocators of this Python process keep after a block."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def mixed(*parts: np.ndarray) -> np.ndarray:
     """One well-spread 64-bit key of several, their order included."""
     key = np.zeros_like(parts[0])
@@ -161,7 +170,9 @@ def exchange(blocks: DataFrame, ask: Callable[[pa.Table], list[Counted]], famili
                         own = keys[at[k] : at[k + 1]]
                         rows[k] += [to_planes(np.diff(own, prepend=np.uint64(0))), to_planes(counts[at[k] : at[k + 1]])]
                 columns = [pa.array([block] * buckets, pa.int64()), pa.array(range(buckets), pa.int32()), pa.array(map(join_blobs, rows), pa.binary())]
+                del rows
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "blob"])
+                release_memory()
 
     def answering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["block", "bucket", "blob"], [pa.int64(), pa.int32(), pa.binary()]
@@ -189,6 +200,7 @@ def exchange(blocks: DataFrame, ask: Callable[[pa.Table], list[Counted]], famili
         rows.append((-1, bucket, struct.pack(f"<{2 * families}q", *sums)))
         for low in range(0, len(rows), 64):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[low : low + 64], strict=True), kinds, strict=True)], names=names)
+        release_memory()
 
     schema = "block long, bucket int, blob binary"
     dealt = blocks.mapInArrow(asking, schema).repartitionById(buckets, F.col("bucket"))

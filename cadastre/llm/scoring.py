@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Asked, Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers
+from .blocks import Asked, Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers, release_memory
 from .common import id_crc, table, text_bytes
 
 #: Keys of the start of a text and of the end token; no word hashes to them but by chance.
@@ -131,6 +131,7 @@ def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, name: str =
                 n = rows.num_rows
                 columns = [rows["doc_id"].combine_chunks(), rows["learn"].combine_chunks(), np.diff(t.ends, prepend=0), known, np.full(n, sums[0].total), base, scores, failures]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[f.split()[0] for f in SCORED.split(", ")])
+                release_memory()
 
     return found.select("payload", "answers").mapInArrow(run, SCORED)
 
