@@ -7,11 +7,13 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 MOST_CHARACTERS = 20_000
+#: Plan nodes that do more than read, wherever they stand in the parsed tree.
+CHANGES = re.compile(r"(Insert|Create|Drop|Delete|Update|Merge|Alter|Truncate|Replace|Add|Cache|Uncache|Load|Refresh|Repair|Execute|SetCommand|SetCatalog)|\w+(Command|Statement)$")
 
 
 def read_only(statement: str) -> str:
     """The statement without its last semicolon, or an error saying what is wrong with it."""
-    plain = re.sub(r";\s*\Z", "", statement.strip())
+    plain = re.sub(r"\s*;\s*\Z", "", statement.strip())
     if not plain:
         raise ValueError("empty statement")
     if len(plain) > MOST_CHARACTERS:
@@ -27,8 +29,8 @@ def run_select(spark: SparkSession, statement: str, tables: dict[str, DataFrame]
     """Run a guarded statement over the given tables as views. The parsed plan must not be a command."""
     plain = read_only(statement)
     parsed = spark._jsparkSession.sessionState().sqlParser().parsePlan(plain)
-    names = " ".join(re.findall(r"\w+", parsed.toString()[:200]))
-    if re.match(r"(Insert|Create|Drop|Delete|Update|Merge|Set|Add|Cache|Truncate|Alter|With\w*Command)", names):
+    nodes = re.findall(r"(?m)^[\s:+\-!']*([A-Za-z]+)", parsed.toString())
+    if any(CHANGES.match(n) for n in nodes):
         raise ValueError("only a query is allowed")
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

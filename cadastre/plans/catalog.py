@@ -442,7 +442,7 @@ fn(
     license=(lambda: c.license_number(F.concat(F.lit("Lic. No: CCC-"), F.col("c_custkey").cast("string"), F.lit("/7"))), "'CCC' || c_custkey || '7'"),
     licenses=(lambda: F.array_join(c.license_numbers(F.concat(F.lit("has cbc 12"), F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit(", CCC-99"), F.lpad(F.col("c_custkey").cast("string"), 5, "0"))), ","), "'CBC12' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') || ',CCC99' || lpad(CAST(c_custkey AS VARCHAR), 5, '0')"),
     grade=(lambda: c.rating(F.element_at(F.array(*map(F.lit, ["a +", "B", "NR", "f"])), (F.col("c_custkey") % 4 + 1).cast("int"))), "CASE c_custkey % 4 WHEN 0 THEN 'A+' WHEN 1 THEN 'B' WHEN 3 THEN 'F' END"),
-    profile=(lambda: c.profile_id(F.concat(F.lit("https://x.org/us/profile/roofing/abc-0733-900"), F.col("c_custkey").cast("string"), F.lit("?a=1"))), "CASE WHEN c_custkey >= 1 THEN '0733-900' || c_custkey END"),
+    profile=(lambda: c.profile_id(F.concat(F.lit("https://x.org/us/profile/roofing/abc-0733-900"), F.col("c_custkey").cast("string"), F.lit("?a=1"))), "'0733-900' || c_custkey"),
     url=(lambda: c.canonical_url(F.concat(F.lit("https://x.org/p/"), F.col("c_custkey").cast("string"), F.lit("/?q=1#top"))), "'https://x.org/p/' || c_custkey"),
     urls=(lambda: F.array_join(c.split_urls(F.concat(F.lit(" a | b|a || "), F.col("c_name"))), ";"), "'a;b;' || c_name"),
     merged=(lambda: F.array_join(c.merged_unique(F.array(F.lit("x"), F.col("c_name")), F.array(F.lit(None).cast("string"), F.lit("x"), F.lit("y"))), ";"), "'x;' || c_name || ';y'"),

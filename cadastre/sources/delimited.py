@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zipfile
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -10,9 +11,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-CORRUPT = "_corrupt"
 
 # The files of the roll's archive and the tables they become.
 ROLL_FILES = {
@@ -28,22 +26,27 @@ class Scan:
     quarantined: DataFrame
 
 
+def lines_of(spark: SparkSession, path: str, encoding: str, *, header: bool) -> DataFrame:
+    """Whole lines as ``line``, without the header; a separator that no line has keeps them whole."""
+    read = spark.read.schema("line string").option("maxCharsPerColumn", 4 << 20)
+    return read.csv(path, sep="\x01", header=header, quote="", escape="", encoding=encoding, enforceSchema=True)
+
+
 def header_of(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    first = spark.read.option("encoding", encoding).option("header", False).option("sep", "\x01").option("quote", "").csv(path).limit(1).collect()
-    return [] if not first else [n.strip() for n in first[0][0].split(sep)]
+    first = lines_of(spark, path, encoding, header=False).first()
+    return [] if first is None else [n.strip() for n in first["line"].split(sep)]
 
 
 def scan(spark: SparkSession, path: str, *, columns: list[str] | None = None, sep: str = "|", encoding: str = "ISO-8859-1") -> Scan:
-    """A header-led file without quoting. A row with too few fields is kept, one with too many is quarantined."""
+    """A header-led file without quoting. A row with too few fields is kept, one with too many is quarantined.
+
+    Empty fields are null. Lines are split here and not by the reader, which counts short rows as
+    broken and cuts long ones without saying what it cut.
+    """
     names = columns or header_of(spark, path, sep, encoding)
-    schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
-    read = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("mode", "PERMISSIVE").option("maxCharsPerColumn", 4 << 20)
-    rows = read.csv(path, sep=sep, header=True, quote="", escape="", encoding=encoding, enforceSchema=True)
-    fields = F.size(F.split(F.col(CORRUPT), f"\\{sep}"))
-    long = F.coalesce(F.col(CORRUPT).isNotNull() & (fields > len(names)), F.lit(False))
-    # A predicate on the corrupt column alone would let the parser skip the others.
-    marked = rows.withColumn("__long", long)
-    return Scan(marked.where("NOT __long").select(*names), marked.where("__long").select(F.col(CORRUPT).alias("line"), F.input_file_name().alias("source_file")))
+    split = lines_of(spark, path, encoding, header=True).withColumn("fields", F.split("line", re.escape(sep), -1))
+    rows = split.where(F.size("fields") <= len(names)).select(*[F.nullif(F.get("fields", F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
+    return Scan(rows, split.where(F.size("fields") > len(names)).select("line", F.input_file_name().alias("source_file")))
 
 
 def with_provenance(rows: DataFrame, *, tax_year: int, source_file: str, run_id: str) -> DataFrame:
