@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,18 @@ def id_crc(column: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def raw_texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a string or binary column, one copy a text; a null is empty."""
+    return [b"" if (raw := x.as_buffer()) is None else raw.to_pybytes() for x in column]
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Short batches without copies, so that what is made of one stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text; a null is an empty text."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

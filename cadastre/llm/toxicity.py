@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc, materialise, table, text_bytes
+from .common import id_crc, materialise, raw_texts, sliced, table, text_bytes
 
 find_words = re.compile(rb"[a-z\x80-\xff]+").findall
 #: Common English insults: a starting point that needs no labels.
@@ -81,39 +81,47 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def mine(rows: list[tuple[int, list[bytes]]], most: int, least: int) -> dict[bytes, float]:
+Row = tuple[int, bytes, list[float]]
+
+
+def mine(rows: list[Row], most: int, least: int) -> dict[bytes, float]:
     """Terms of toxic rows by log odds of standing in one, taken low: less 1.64 standard errors.
 
     The ``most`` strongest, each in ``least`` toxic rows, so that chance in rare terms counts little.
-    Copies and near copies of a toxic row count once: those with the same smallest hash of a longer term.
+    Copies and near copies of a toxic row count once: those with the same smallest and largest hash
+    of longer terms, or the same terms where longer ones are few.
     """
-    toxic, clean, n = Counter(), Counter(), Counter()
-    seen: set[int] = set()
-    for y, terms in rows:
+    toxic, seen, n = Counter(), set(), Counter()
+    for y, terms, _ in rows:
         if y:
-            kind = min((zlib.crc32(t) for t in terms if len(t) > 6), default=0)
+            own = terms.split()
+            long = [zlib.crc32(t) for t in own if len(t) > 6]
+            kind = (min(long), max(long)) if len(long) >= 20 else zlib.crc32(b" ".join(sorted(own)))
             if kind in seen:
                 continue
             seen.add(kind)
-        (toxic if y else clean).update(terms)
+            toxic.update(own)
         n[y] += 1
+    toxic = {t: c for t, c in toxic.items() if c >= least}
+    clean = Counter(t for y, terms, _ in rows if not y for t in terms.split() if t in toxic)
 
     def low(a: float, b: float) -> float:
         return math.log(a / (n[1] + 1) * (n[0] + 1) / b) - 1.64 * math.sqrt(1 / a + 1 / b)
 
-    odds = {t: low(c + 0.5, clean[t] + 0.5) for t, c in toxic.items() if c >= least}
+    odds = {t: low(c + 0.5, clean[t] + 0.5) for t, c in toxic.items()}
     best = sorted((t for t, o in odds.items() if o > 1.0), key=lambda t: (-odds[t] * math.log1p(toxic[t]), t))
     return {t: odds[t] for t in best[:most]}
 
 
-def votes_of(rows: list[tuple[int, list[bytes]]], mined: dict[bytes, float]) -> tuple[np.ndarray, list[str]]:
+def votes_of(rows: list[Row], mined: dict[bytes, float]) -> tuple[np.ndarray, list[str]]:
     """Votes (rows by voters: 1 toxic, -1 clean, 0 none). Mined terms are dealt to four voters each for words and stems."""
     seed = {w.encode() for w in SEED_WORDS}
     strong = {t for t, o in mined.items() if o > STRONG}
     voters = ["seed lexicon", *[f"words {k}" for k in range(4)], *[f"stems {k}" for k in range(4)], "two strong terms", "no term at all", "label"]
     votes = np.zeros((len(rows), len(voters)), np.int8)
     ranked = {t: k for k, t in enumerate(mined)}
-    for r, (y, terms) in enumerate(rows):
+    for r, (y, blob, _) in enumerate(rows):
+        terms = blob.split()
         hit = [t for t in terms if t in mined]
         votes[r, 0] = TOXIC if seed.intersection(terms) else 0
         for t in hit:
@@ -154,20 +162,22 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
     return q, weights
 
 
-def fit(rows: list[tuple[int, list[bytes], list[float]]], *, most: int = TERMS, least: int = LEAST) -> Model:
-    """A linear classifier trained on posterior labels; the seed model if either class is missing."""
-    rows = sorted(rows, key=lambda r: (r[0], r[2], len(r[1])))
+def fit(rows: list[Row], *, most: int = TERMS, least: int = LEAST) -> Model:
+    """A linear classifier trained on posterior labels; the seed model if either class is missing.
+
+    A row's terms stay one byte string and are split as they are needed: as objects they would fill the driver.
+    """
+    rows = sorted(rows, key=lambda r: (r[0], r[2], r[1]))
     share = sum(y for y, _, _ in rows) / max(1, len(rows))
     if not 0 < share < 1:
         return Model()
-    pairs = [(y, t) for y, t, _ in rows]
-    mined = mine(pairs, most, least)
-    posterior, _ = label_model(votes_of(pairs, mined)[0], share)
+    mined = mine(rows, most, least)
+    posterior, _ = label_model(votes_of(rows, mined)[0], share)
     number = {t: k for k, t in enumerate(mined)}
     strong = frozenset(t for t, o in mined.items() if o > STRONG)
     x = np.zeros((len(rows), len(mined) + 5), np.float32)
     for r, (_, terms, shape) in enumerate(rows):
-        found = [t for t in terms if t in number]
+        found = [t for t in terms.split() if t in number]
         x[r, [number[t] for t in strongest(found, mined)]] = 1
         x[r, -5] = min(3, len({t.rstrip(b"*")[:4] for t in found if t in strong}))
         x[r, -4:-1], x[r, -1] = shape, 1
@@ -208,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, train_rows: int
 
     given = docs.select("doc_id", text_bytes().alias("text")).join(chosen, "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
     found = given.mapInArrow(run, "toxic int, terms binary, shape array<double>").limit(2 * train_rows)
-    return fit([(int(r["toxic"] > 0), bytes(r["terms"]).split(), list(r["shape"])) for r in found.toLocalIterator()])
+    return fit([(int(r["toxic"] > 0), bytes(r["terms"]), list(r["shape"])) for r in found.toLocalIterator()])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -221,12 +231,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     order = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [model.score(x.as_py()) for x in batch.column(batch.num_columns - 1)]
+        for batch in sliced(batches):
+            scores = [model.score(x) for x in raw_texts(batch.column(names.index("text")))]
             made = {"score": pa.array(scores, pa.float64()), "predicted": pa.array([int(s >= 0.5) for s in scores], pa.int32())}
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(names.index(n)) for n in order], names=order)
 
-    return docs.withColumn("__text", text_bytes()).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
