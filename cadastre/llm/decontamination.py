@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes
+from .common import raw_texts, sliced, table, text_bytes
 
 #: Fixed value of the contract, over UTF-8 bytes with A-Z lowered.
 find_words = re.compile(rb"[0-9a-z\x80-\xff]+").findall
@@ -190,12 +190,12 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, block_words
     def scanner(packed) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher: Matcher = pickle.loads(packed.value)
-            at = {n: k for k, n in enumerate([*names, "n_words", "spans", "items", "__text"])}
-            for batch in batches:
+            at = {n: k for k, n in enumerate([*names, "n_words", "spans", "items"])}
+            for batch in sliced(batches):
                 n_words, spans, items = [], [], []
                 old_spans, old_items = batch.column(at["spans"]).to_pylist(), batch.column(at["items"]).to_pylist()
-                for raw, before, had in zip(batch.column(at["__text"]), old_spans, old_items, strict=True):
-                    words = find_words(raw.as_py().lower())
+                for raw, before, had in zip(raw_texts(batch.column(at["text"])), old_spans, old_items, strict=True):
+                    words = find_words(raw.lower())
                     runs, found = matcher.scan(words)
                     n_words.append(len(words))
                     spans.append([{"low": a, "high": b} for a, b in united(runs + [(s["low"], s["high"]) for s in before or ()])])
@@ -211,7 +211,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, block_words
     while True:
         # Bounded by ``block_words``, whatever the size of the benchmark.
         packed = spark.sparkContext.broadcast(pickle.dumps(Matcher(window).build(first)))
-        out = out.withColumn("__text", text_bytes()).mapInArrow(scanner(packed), schema)
+        out = out.mapInArrow(scanner(packed), schema)
         first = next(blocks, None)
         if first is None:
             return out

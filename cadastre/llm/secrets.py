@@ -15,14 +15,14 @@ import math
 import random
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 #: Fixed values of the contract: the base patterns and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -223,6 +223,19 @@ def span_text(spans: list[Span]) -> str:
 FOUND = {"base": "array<struct<start:long,kind:int,stop:long>>", "added": "array<struct<start:long,kind:int,stop:long>>"}
 
 
+Scanner = Callable[[str], tuple[list[Span], list[Span]]]
+
+
+def scanner(labelled: list[tuple[str, str]] | None, bits: float) -> Scanner:
+    formats = default_formats() if labelled is None else Formats(labelled)
+
+    def scan(text: str) -> tuple[list[Span], list[Span]]:
+        base = base_spans(text)
+        return base, formats.spans(text, base, bits)
+
+    return scan
+
+
 def find(docs: DataFrame, *, labelled: list[tuple[str, str]] | None = None, bits: float = BITS) -> DataFrame:
     """``docs`` with ``base`` and ``added``: spans (start, kind number, stop) in code points of the whole text.
 
@@ -235,18 +248,14 @@ def find(docs: DataFrame, *, labelled: list[tuple[str, str]] | None = None, bits
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        formats = default_formats() if labelled is None else Formats(labelled)
+        scan = scanner(labelled, bits)
         as_rows = lambda spans: [{"start": a, "kind": k, "stop": b} for a, k, b in spans]
-        for batch in batches:
-            base, added = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                own = base_spans(text)
-                base.append(as_rows(own))
-                added.append(as_rows(formats.spans(text, own, bits)))
-            made = {"base": pa.array(base, kind), "added": pa.array(added, kind)}
+        for batch in sliced(batches):
+            found = [scan(text or "") for text in batch.column(names.index("text")).to_pylist()]
+            made = {"base": pa.array([as_rows(b) for b, _ in found], kind), "added": pa.array([as_rows(a) for _, a in found], kind)}
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(names.index(n)) for n in order], names=order)
 
-    return docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def joined(spans: Column) -> Column:
@@ -259,23 +268,29 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"))
 
 
-def redact(docs: DataFrame, *, mark: str = "[secret]", **how) -> DataFrame:
+def redacted(text: str, spans: list[Span], mark: str) -> str:
+    parts, low = [], 0
+    for a, _, b in sorted(spans):
+        if a >= low:
+            parts += [text[low:a], mark]
+        low = max(low, b)
+    return "".join([*parts, text[low:]])
+
+
+def redact(docs: DataFrame, *, mark: str = "[secret]", labelled: list[tuple[str, str]] | None = None, bits: float = BITS) -> DataFrame:
     """``docs``, columns as given, with every found span of ``text`` replaced by ``mark``; overlapping spans by one."""
     kept = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, texts = batch.schema.names, []
-            for text, *spans in zip(*[batch.column(names.index(n)).to_pylist() for n in ("text", "base", "added")], strict=True):
-                parts, low = [], 0
-                for a, b in sorted((s["start"], s["stop"]) for own in spans for s in own):
-                    if a >= low:
-                        parts += [text[low:a], mark]
-                    low = max(low, b)
-                texts.append("".join([*parts, text[low:]]) if parts else text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(names.index(n)) for n in kept], names=kept)
-
-    return find(docs, **how).mapInArrow(run, docs.schema)
+        scan = scanner(labelled, bits)
+        for batch in sliced(batches):
+            at, texts = kept.index("text"), []
+            for text in batch.column(at).to_pylist():
+                base, added = scan(text or "")
+                texts.append(redacted(text, base + added, mark) if base or added else text)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == at else c for k, c in enumerate(batch.columns)], names=kept)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
