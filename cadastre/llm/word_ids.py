@@ -106,6 +106,10 @@ class WordIds:
             done += [b"".join(map(get, w)) if w else self.whole(t.decode()) if b"<|" in t else b"" for t, w in zip(some, words, strict=True)]
         return done
 
+    def forget(self) -> None:
+        """Empty the caches, for a process that goes on to other work."""
+        self.chunks, self.runs = {}, {}
+
 
 _encoders: dict[str, WordIds] = {}
 

@@ -41,7 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all remaining documents in sequences of 4096 tokens, sources in proportion."""
     import public_tokenizers
 
-    return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.digest(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_words=False))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
