@@ -84,8 +84,10 @@ class WordHashes:
 hashes = WordHashes()
 
 
-def release_memory() -> None:
-    """Give back what the allocators of this Python process keep after a block."""
+def release_memory(*, words: bool = False) -> None:
+    """Give back what the allocators of this Python process keep after a block; ``words``: the cached hashes too."""
+    if words:
+        hashes.known.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -173,6 +175,7 @@ def exchange(blocks: DataFrame, ask: Callable[[pa.Table], list[Counted]], famili
                 del rows
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "blob"])
                 release_memory()
+        release_memory(words=True)
 
     def answering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = ["block", "bucket", "blob"], [pa.int64(), pa.int32(), pa.binary()]

@@ -79,6 +79,7 @@ def shingle_sets(docs: DataFrame, length: int, percent: int, name: str) -> DataF
                     serial += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)], names=names)
                 release_memory()
+        release_memory(words=True)
 
     return materialise(found.select("payload", "answers").mapInArrow(run, SETS), f"{name}-sets")
 

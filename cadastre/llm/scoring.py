@@ -132,6 +132,7 @@ def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, name: str =
                 columns = [rows["doc_id"].combine_chunks(), rows["learn"].combine_chunks(), np.diff(t.ends, prepend=0), known, np.full(n, sums[0].total), base, scores, failures]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[f.split()[0] for f in SCORED.split(", ")])
                 release_memory()
+        release_memory(words=True)
 
     return found.select("payload", "answers").mapInArrow(run, SCORED)
 
