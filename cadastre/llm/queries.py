@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import OP7_SQL, op7_decontamination
 from .fingerprints import op8_fingerprints
 from .id_files import op10_id_files
-from .jaccard import op4_jaccard_join
+from .jaccard import OP4_SQL, op4_jaccard_join
 from .packing import op3_packing
 from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
@@ -38,4 +38,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_jaccard_join": OP4_SQL, "op7_decontamination": OP7_SQL}
