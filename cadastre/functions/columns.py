@@ -306,4 +306,4 @@ def media_type(name: Col) -> Column:
 
 def is_cid(c: Col) -> Column:
     """Whether a text has the form of a base32 version-1 content id."""
-    return F.coalesce(col(c).rlike("^b[a-z2-7]{58,}$"), F.lit(False))
+    return F.coalesce(col(c).rlike("^baf[a-z2-7]{50,}$"), F.lit(False))

@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 from cadastre.sources import artifacts, delimited, harvests, html, paged
+from tests_data import DETAIL, GRID
 
 
 def test_raw_scan_keeps_short_rows_and_quarantines_long_ones(spark, tmp_path):
@@ -101,13 +102,6 @@ def test_windows():
     assert paged.refresh_window(date(2026, 3, 30), date(2026, 4, 1))[0] == date(2026, 3, 16)
 
 
-GRID = """<div><table id="ctl00_gdvPermitList" pagecount="3"><tr><td class="aca_gridview_caption">Showing 1-2 of 100+</td></tr>
-<tr class="ACA_TabRow_Odd"><td><input id="RecordId" value="R1"><a href="/CapDetail.aspx?capID1=A&capID2=B&capID3=C"><span id="x_lblPermitNumber1">B26-1</span></a>
-<span id="x_lblUpdatedTime">09/04/2026</span><span id="x_lblType">Roof&nbsp;&amp; gutter</span><span id="x_lblStatus">In Review</span></td></tr>
-<tr class="ACA_TabRow_Even"><td><span id="y_lblPermitNumber">B26-2</span></td></tr><tr class="ACA_TabRow_Odd"><td></td></tr>
-<tr><td class="aca_pagination_td"><span class="SelectedPageButton">1</span><a href="javascript:__doPostBack(&#39;ctl$2&#39;,&#39;&#39;)">2</a><a href="javascript:__doPostBack('n','')">Next &gt;</a></td></tr></table></div>"""
-
-
 def test_search_page():
     page = html.parse_results(GRID)
     assert [(r["permitNumber"], r["date"], r["recordType"]) for r in page["rows"]] == [("B26-1", "2026-09-04", "Roof & gutter"), ("B26-2", None, None)]
@@ -120,14 +114,6 @@ def test_search_page():
     assert html.hidden_fields('<input type="hidden" name="a" value="1"><input type=hidden name=b>') == {"a": "1", "b": ""}
 
 
-DETAIL = """<span id="ctl00_PlaceHolderMain_lblPermitNumber">B26-1</span><span id="ctl00_PlaceHolderMain_lblPermitType">Roof</span><span id="ctl00_PlaceHolderMain_lblRecordStatus">Issued</span>
-<table><tr><td class="td_parent_left"><h1><span>Licensed Professional:</span></h1><table class="table_child"><tr><td>x</td><td>JANE DOE jane@x.com<br>ABC ROOFING LLC<br>12 MAIN ST<br>SUITE 5<br>KISSIMMEE, FL, 34741
-<table><tr><td>Home Phone:</td><td><div>4075550100</div></td></tr></table><br>ROOFING CCC1330001</td></tr></table></td></tr>
-<tr><td class="td_parent_left"><h1><span>Project Description:</span></h1><table class="table_child"><tr><td>re-roof<br>shingle</td></tr></table></td></tr></table>
-<div><div class="MoreDetail_ItemCol1"><span>Job Value:</span></div><div class="MoreDetail_ItemCol2">$22,599.00</div><div class="MoreDetail_ItemCol1"><span>Parcel Number:</span><div>252628610005220080</div></div>
-<div class="MoreDetail_ItemCol1"><h2>Application Date</h2></div><div class="MoreDetail_ItemCol2">9/4/2026</div></div>"""
-
-
 def test_detail_page():
     record, extra = html.parse_detail(DETAIL, "https://p/CapDetail.aspx?capID1=A&capID2=B&capID3=C")
     assert record["jobValue"] == 22599.0 and record["parcelNumber"] == "252628610005220080" and record["openedDate"] == "2026-09-04"
