@@ -142,7 +142,7 @@ def test_sequences(spark):
 @settings(max_examples=80, deadline=None)
 @given(st.dictionaries(st.sampled_from("abcdef"), st.integers(0, 200), min_size=1), st.sampled_from([None, {"a": 1.0, "b": 2.5, "c": 0.5}]), st.sampled_from([4, 16]))
 def test_plan_places_every_token_once(tokens, weights, window):
-    phases, total, seen = packing.plan(tokens, weights), sum(tokens.values()), set()
+    phases, total, seen = packing.plan(tokens, weights, window), sum(tokens.values()), set()
     for queue, n in tokens.items():
         if n:
             found = [p for at in range(0, n, 7) for p in packing.pieces(phases, queue, at, min(7, n - at), window, total)]
