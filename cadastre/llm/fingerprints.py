@@ -49,7 +49,7 @@ def shingle_hashes(text: Column, length: int = SHINGLE) -> Column:
 
 
 def bin_minima(hashes: Column, bins: int = BINS) -> Column:
-    """Array of ``bins`` values, null where a bin has no hash. Each hash is looked at once."""
+    """Array of ``bins`` smallest values, each below its bin's number in the top bits; null where a bin has no hash."""
     width = bins.bit_length() - 1
     # Bin in the top bits, value below: sorted, the first of each bin is its smallest.
     keyed = F.array_sort(F.transform(hashes, lambda h: F.shiftright(h, width).bitwiseAND((1 << (63 - width)) - 1).bitwiseOR(F.shiftleft(h.bitwiseAND(bins - 1).cast("long"), 63 - width))))
