@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import raw_texts, sliced, table, text_bytes
+from .common import materialise, raw_texts, sliced, table, text_bytes
 
 #: Fixed value of the contract, over UTF-8 bytes with A-Z lowered.
 find_words = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: Words of benchmark items in one automaton.
-BLOCK_WORDS = 1_000_000
+#: Words of benchmark items in one automaton (about 100 MB), and automata that a stage runs texts through.
+BLOCK_WORDS, STAGE_BLOCKS = 200_000, 2
 
 
 class SuffixAutomaton:
@@ -207,14 +207,16 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, block_words
 
     spark = docs.sparkSession
     blocks = item_blocks(benchmark, block_words)
-    first = next(blocks, [])
-    while True:
+    items, number = next(blocks, []), 0
+    while items is not None:
+        if number and number % STAGE_BLOCKS == 0:
+            # Every step of a stage is a Python process of each task: begin a new stage.
+            out = materialise(out, "decontamination")
         # Bounded by ``block_words``, whatever the size of the benchmark.
-        packed = spark.sparkContext.broadcast(pickle.dumps(Matcher(window).build(first)))
+        packed = spark.sparkContext.broadcast(pickle.dumps(Matcher(window).build(items)))
         out = out.mapInArrow(scanner(packed), schema)
-        first = next(blocks, None)
-        if first is None:
-            return out
+        items, number = next(blocks, None), number + 1
+    return out
 
 
 def with_digest(found: DataFrame, coverage: int = 20) -> DataFrame:
