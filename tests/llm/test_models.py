@@ -200,19 +200,42 @@ def test_queries_are_registered():
     assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
 
 
-def test_pipeline_keeps_clean_documents(spark):
+def test_pipeline_against_brute_force(spark):
+    """Every stage on its own input: what it keeps, and what it makes of it, by plain Python."""
     import corpus_pipeline
+    from test_similarity import brute
+    from test_tokens import check_packing
+
+    from cadastre.llm import packing
 
-    names = spark.read.parquet(f"{SF}/documents.parquet").columns
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    counts = [docs.count()]
+    names, before = docs.columns, {r["doc_id"]: r for r in docs.collect()}
+    kept = []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = corpus_pipeline.materialise(stage(spark, docs, SF), f"test-{name}")
         assert docs.columns == names
-        counts.append(docs.count())
-    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.5 * counts[0] and counts[3] == counts[4]
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert pieces.select("doc_id").distinct().count() == counts[-1]
+        kept.append({r["doc_id"]: r for r in docs.collect()})
+        assert docs.count() == len(kept[-1])
+    toxic, single, clean, redacted = kept
+
+    model = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"), id_crc("doc_id", 5) != 0)
+    assert set(toxic) == {k for k, r in before.items() if model.score(r["text"].encode()) < 0.5}
+    groups = brute([(k, r["text"]) for k, r in toxic.items()], 5, 80)
+    assert set(single) == {k for k, (_, lead) in groups.items() if k == lead}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    found = decontamination.op7_brute_force([(k, r["text"]) for k, r in single.items()], items)
+    assert set(clean) == {k for k, row in found.items() if not row[4]} and all(clean[k] == single[k] for k in clean)
+    assert set(redacted) == set(clean)
+    for k, r in redacted.items():
+        has = secrets.op6_brute_force(clean[k]["text"])[:3]
+        assert r["n_chars"] == len(r["text"]) and (r["text"] == clean[k]["text"] or any(has) or "[secret]" in r["text"]) and not any(secrets.op6_brute_force(r["text"])[:3])
+
+    import public_tokenizers
+
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    check_packing(pieces, 4096, [(k, r["text"], r["source"]) for k, r in redacted.items()])
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert sorted(map(tuple, out.select("doc_id", "start", "length", "sequence_id", "offset").collect())) == sorted((p["doc_id"], p["start"], p["length"], p["sequence_id"], p["offset"]) for p in pieces)
 
 
 def test_decontamination_sql_gives_the_same_rows(spark):
