@@ -16,10 +16,13 @@ from .upsert import latest
 
 def from_roll(raw: DataFrame, region: Region, fetched_at: str | None = None) -> DataFrame:
     """Permits of the appraiser's roll; of one number and parcel the latest issued."""
-    final, co, sign, cancel = (c.source_date(f"{n}_dt") for n in ("final", "co", "sign_off", "cancel"))
-    issue, submit = c.source_date("issue_dt"), c.source_date("submit_dt")
+    # Dates are parsed once, in a projection of their own, and used many times after it.
+    days = ("final", "co", "sign_off", "cancel", "issue", "submit", "key")
+    kept = raw.where(c.txt("permit_num").isNotNull() & c.txt("strap").isNotNull())
+    raw = kept.withColumns({f"__{n}": c.source_date(f"{n}_dt") for n in days})
+    final, co, sign, cancel, issue, submit, keyed = (F.col(f"__{n}") for n in days)
     street = F.nullif(F.concat_ws(" ", *[c.txt(f"site_{n}") for n in ("num", "pfx", "str", "tp", "sfx")]), F.lit(""))
-    out = raw.where(c.txt("permit_num").isNotNull() & c.txt("strap").isNotNull()).select(
+    out = raw.select(
         F.trim("permit_num").alias("permit_number"),
         c.parcel_key("strap").alias("parcel_identifier"),
         c.roll_status("status", F.coalesce(final, co, sign), cancel).alias("improvement_status"),
@@ -30,7 +33,7 @@ def from_roll(raw: DataFrame, region: Region, fetched_at: str | None = None) ->
         F.coalesce(final, co, sign, cancel).alias("permit_close_date"),
         F.coalesce(co, sign).alias("completion_date"),
         F.lit(None).cast("date").alias("expiration_date"),
-        F.coalesce(submit, c.source_date("key_dt"), issue).alias("opened_date"),
+        F.coalesce(submit, keyed, issue).alias("opened_date"),
         F.lit(region.appraiser).alias("source_system"),
         c.txt("dscr").alias("description"),
         F.coalesce(c.num("est_val"), c.num("calc_val")).alias("estimated_job_value"),
@@ -93,7 +96,8 @@ def stage(feeds: list[DataFrame], run_date: date, region: Region = COUNTY) -> Da
     run = F.lit(run_date)
     roofing = c.is_roofing("improvement_action", "description")
     is_open = open_flag(F.col("improvement_status"), F.col("permit_close_date"))
-    typed = rows.withColumns({"is_roofing": roofing, "improvement_type": c.improvement_type(roofing, "improvement_action"), "is_open": is_open})
+    flagged = rows.withColumns({"is_roofing": roofing, "is_open": is_open})
+    typed = flagged.withColumn("improvement_type", c.improvement_type(F.col("is_roofing"), "improvement_action"))
     until = F.when(F.col("is_open"), run).otherwise(F.coalesce("permit_close_date", run))
     return typed.withColumns(
         {

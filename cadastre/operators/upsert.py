@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 
 def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """One row a key, the first in ``order``. Whole rows break ties, so that reruns agree."""
-    comparable = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    tie = F.sha2(F.to_json(F.struct(*comparable)), 256)
+    """One row a key, the first in ``order``. A hash of whole rows breaks ties, so that reruns agree."""
+    tie = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order, tie))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 

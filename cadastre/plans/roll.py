@@ -142,7 +142,8 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    rows = staged(spark, sf)
+    # Five steps read the staged permits; the build caches them too.
+    rows = staged(spark, sf).cache()
     return contractors.roll_up(rows, contractors.links(rows))
 
 
