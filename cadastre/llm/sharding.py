@@ -51,7 +51,8 @@ def shard(docs: DataFrame, shards: int = 16, *, seed: int = 42) -> DataFrame:
         return frame.withColumn("within", within).join(lead, [*strata, "bucket"]).withColumn(name, F.col("lead") + F.col("within")).drop("bucket", "lead", "within")
 
     sizes = materialise(rows.groupBy("stratum").agg(F.count("*").alias("rows")), "shard-sizes")
-    by_source = ranked(rows, ["stratum"], F.floor(F.col("place") * buckets / F.lit(float(1 << 52))).cast("int"), [F.col("place"), *ties], "rank")
+    # Divided first: 52 bits times the buckets would pass a long's 63 from 2049 buckets on.
+    by_source = ranked(rows, ["stratum"], F.floor(F.col("place") / F.lit(float(1 << 52)) * buckets).cast("int"), [F.col("place"), *ties], "rank")
     fraction = (F.col("rank") * 2 + 1) / (F.col("rows").cast("double") * 2)
     mixed = materialise(by_source.join(sizes, "stratum").withColumn("fraction", fraction), "shard-mixed")
     placed = ranked(mixed.withColumn("all", F.lit(0)), ["all"], F.floor(F.col("fraction") * buckets).cast("int"), [F.col("fraction"), F.col("stratum"), *ties], "place_in_all")

@@ -184,6 +184,18 @@ def test_shards(spark, monkeypatch):
     assert sharding.shard(df.limit(0)).count() == 0 and sharding.shard(df.limit(3), 16).count() == 3
 
 
+def test_shards_of_more_than_2048_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 1)
+    rows = [(k, f"text {k}", f"s{k % 3}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = sharding.shard(df, 16).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3000))
+    counts = collections.Counter(r["shard"] for r in got)
+    assert set(counts) == set(range(16)) and max(counts.values()) - min(counts.values()) <= 1
+    mixed = collections.Counter((r["source"], r["shard"]) for r in got)
+    assert len(mixed) == 48 and max(mixed.values()) - min(mixed.values()) <= 2
+
+
 # Shared pieces
 
 
