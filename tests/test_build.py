@@ -65,3 +65,11 @@ def test_stream_windows_and_repeats(spark, tmp_path):
         query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start()
         query.awaitTermination(60)
         assert spark.table(name).count() == n
+
+
+def test_ratings_and_parcels_are_whole_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    size = lambda n: spark.read.parquet(f"{sf}/{n}.parquet").count()
+    assert roll.profiles(spark, sf).count() == size("supplier") > 50
+    found = roll.parcels(spark, sf)
+    assert found.count() == size("customer") > found.where("latitude IS NOT NULL").count() > 0
