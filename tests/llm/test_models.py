@@ -139,6 +139,16 @@ def test_scan_and_redaction(spark):
     assert secrets.find(df.limit(0)).count() == 0
 
 
+def test_secrets_in_runs_over_200(spark):
+    draw = random.Random(11)
+    key = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400))
+    path = "/".join(["usr", "share", "some", "ordinary", "folder"] * 20) + "/v2"
+    df = spark.createDataFrame([(1, f"see {key} there"), (2, f"see {path} there")], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.find(df)).collect()}
+    assert len(path) > 200 and got == {1: "format:4:404", 2: ""}
+    assert {r["text"] for r in secrets.redact(df).collect()} == {"see [secret] there", f"see {path} there"}
+
+
 # Decontamination
 
 
