@@ -191,12 +191,21 @@ def jaccard_components(docs: DataFrame, *, length: int = 5, percent: int = 80, b
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one row of each component, the one of the smallest doc_id; rows without words stay."""
-    found = materialise(jaccard_components(docs, **how).select("doc_id", "component_id"), "jaccard-found")
-    dropped = materialise(found.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-dropped")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
-    return kept if repeated.isEmpty() else kept.where("doc_id IS NULL").union(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """``docs`` with one row of each component, the one of the smallest doc_id.
+
+    Rows without words stay, and so do rows with a null doc_id. Where ids repeat, they do not
+    tell rows apart, and the rows are joined by numbers of their own.
+    """
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        found = jaccard_components(docs, **how)
+        dropped = materialise(found.where("doc_id <> component_id").select("doc_id"), "jaccard-dropped")
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-numbered")
+    found = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("__row"), "component_id")
+    placed = materialise(rows.where("doc_id IS NOT NULL").select("__row", "doc_id").join(found, "__row"), "jaccard-found")
+    leaders = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first")).select("first.__row")
+    dropped = materialise(placed.join(leaders, "__row", "left_anti").select("__row"), "jaccard-dropped")
+    return rows.join(dropped, "__row", "left_anti").select(*docs.columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,15 @@ def test_repeated_and_null_ids_and_empty_tables(spark):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 3, 5] and kept.columns == df.columns
 
 
+def test_one_of_each_group_stays_where_ids_repeat(spark):
+    group, other = "a b c d e f", "one two three four five six"
+    rows = [(5, group, "x"), (5, other, "y"), (2, group, "z"), (7, group, "x"), (7, "seven lonely words of another text", "y"), (9, other, "x"), (9, other, "x"), (4, "", "x"), (4, None, "x"), (None, "words of a row without any id", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    kept = jaccard.keep_one(df)
+    want = [(2, group, "z"), (5, other, "y"), (7, "seven lonely words of another text", "y"), (4, "", "x"), (4, None, "x"), (None, "words of a row without any id", "x")]
+    assert kept.columns == df.columns and sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
+
+
 def test_long_text(spark):
     long = " ".join(map(str, range(60_000)))
     df = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "short one")], "doc_id long, text string")
