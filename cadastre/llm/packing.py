@@ -12,12 +12,13 @@ runs dry, the rest share its part in their own proportions. Whatever does not fi
 at the very end is cut into powers of two, so no sequence is padded.
 
 Queues are at most ``window``, since no window holds more; sources beyond that share queues
-by hash. A queue whose share is under one token a window shares the slot of the next larger one.
+by hash, those with a target apart from those without. A queue whose share is under one token a window shares the slot of the next larger one.
 """
 
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -157,6 +158,32 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, name: str, keep_
     return materialise(given.mapInArrow(run, "doc_id long, source string, part int, within long, n_tokens long, ids binary"), name)
 
 
+def grouped(stored: DataFrame, wanted: dict[str, float] | None, window: int) -> tuple[DataFrame, dict[str, float] | None]:
+    """``stored`` with ``group``, its queue, and the targets by queue: at most ``window`` queues.
+
+    Where sources are more, those with a target stay queues of their own, the largest targets
+    first, up to half the window. What targets are left share a quarter of it by hash and add up there;
+    sources without a target share the rest, so that none of them eats up a target.
+    """
+    sources = stored.select("source").distinct()
+    if sources.count() <= window:
+        return stored.withColumn("group", F.col("source")), wanted
+    spark, given = stored.sparkSession, {k: v for k, v in (wanted or {}).items() if v}
+    if not given:
+        return stored.withColumn("group", F.concat(F.lit("#"), (F.crc32(F.col("source").cast("binary")) % window).cast("string"))), wanted
+    # Only targets of sources that are there count; the driver holds as many names as targets were given.
+    targets = spark.createDataFrame([(k,) for k in given], "source string")
+    there = sorted((r["source"] for r in sources.join(targets, "source", "left_semi").collect()), key=lambda k: (-Fraction(str(given[k])), k))
+    own, parts = window // 2, max(1, window // 4)
+    group = {k: k if n < own else f"+{zlib.crc32(k.encode()) % parts}" for n, k in enumerate(there)}
+    sums: dict[str, Fraction] = {}
+    for k, g in group.items():
+        sums[g] = sums.get(g, Fraction(0)) + Fraction(str(given[k]))
+    named = spark.createDataFrame(list(group.items()), "source string, named string")
+    rest = F.concat(F.lit("#"), (F.crc32(F.col("source").cast("binary")) % max(1, window - own - parts)).cast("string"))
+    return stored.join(named, "source", "left").withColumn("group", F.coalesce("named", rest)).drop("named"), sums
+
+
 def pack(docs: DataFrame, tokenizer_path: str, *, weights: dict[str, float] | None = None, end_id: int = 2, window: int = 4096, keep_words: bool = True) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, doc_tokens, sequence_id, offset, source, ids (uint32 bytes).
 
@@ -168,15 +195,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, weights: dict[str, float] | No
     where the same workers have other memory-hungry work to do.
     """
     stored = tokenise(docs, tokenizer_path, end_id, "packing", keep_words)
-    sources = stored.select("source").distinct().count()
-    if sources > window:
-        shared = F.concat(F.lit("#"), (F.crc32(F.col("source").cast("binary")) % window).cast("string"))
-        stored = stored.withColumn("group", shared)
-    else:
-        stored = stored.withColumn("group", F.col("source"))
+    wanted = None if weights is None else {("null" if k is None else f"={k}"): v for k, v in weights.items()}
+    stored, wanted = grouped(stored, wanted, window)
     tokens = {r["group"]: r["n"] for r in stored.groupBy("group").agg(F.sum("n_tokens").alias("n")).collect()}  # at most ``window`` rows
     total = sum(tokens.values())
-    wanted = None if weights is None else {("null" if k is None else f"={k}"): v for k, v in weights.items()}
     phases = plan(tokens, wanted, window)
     order = Window.partitionBy("group").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
     sizes = stored.groupBy("group", "source", "part").agg(F.sum("n_tokens").alias("n"))

@@ -139,6 +139,20 @@ def test_sequences(spark):
     assert all(len(r["ids"]) == 4 * r["length"] for r in whole) and sum(r["length"] for r in whole) > 3000
 
 
+def test_targets_hold_with_more_sources_than_queues(spark):
+    rows = [(k, "word " * 40, f"s{k % 30}") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    weights = {"s1": 3, "s2": 1, "absent": 5}
+    pieces = packing.pack(df, WORD, window=16, weights=weights).collect()
+    check_packing(pieces, 16, rows)
+    # 4 windows are far from the end of any of the two: 3 parts s1, one part s2, to a token, and none of the others.
+    first = [p for p in pieces if p["sequence_id"] < 4]
+    given = {s: sum(p["length"] for p in first if p["source"] == s) for s in {p["source"] for p in first}}
+    assert set(given) == {"s1", "s2"} and abs(given["s1"] - 48) <= 1
+    many = {f"s{k}": 1 for k in range(29)}
+    check_packing(packing.pack(df, WORD, window=16, weights=many).collect(), 16, rows)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.dictionaries(st.sampled_from("abcdef"), st.integers(0, 200), min_size=1), st.sampled_from([None, {"a": 1.0, "b": 2.5, "c": 0.5}]), st.sampled_from([4, 16]))
 def test_plan_places_every_token_once(tokens, weights, window):
