@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 Voters are lexicons and patterns: a small fixed lexicon, lexicons of words and of word
-stems mined from labelled rows, repeated hits, and the absence of any hit. A generative
+stems mined from labelled rows, repeated hits, the absence of any hit, many capitals, many
+marks, and stretched or masked words. A generative
 model of their votes estimates, without trusting any one of them, how often each is right
 for either class, the labels being one more voter; groups of voters that err together count
 as fewer. Its posterior labels train a linear classifier, and that alone scores texts.
@@ -26,12 +27,16 @@ from pyspark.sql import functions as F
 from .common import id_crc, materialise, raw_texts, sliced, table, text_bytes
 
 find_words = re.compile(rb"[a-z\x80-\xff]+").findall
+#: Words with a letter three times in a row (not ``www``), and with marks between letters.
+find_bent = re.compile(rb"([A-Va-vX-Zx-z])\1\1|[A-Za-z][*#$%!]+[A-Za-z]").findall
 #: Common English insults: a starting point that needs no labels.
 SEED_WORDS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting", "clown", "dumb", "fool", "jerk", "garbage", "imbecile")
 STEMS = (4, 5, 6)
 TRAIN_ROWS, TERMS, LEAST = 12_000, 400, 5
 #: Log odds from which a term counts as a hit.
 STRONG = 2.5
+#: Shares (of ``shape_of``) from which a pattern votes.
+PATTERNS = {"capitals": 0.25, "marks": 0.03, "stretched or masked words": 0.02}
 TOXIC, CLEAN = 1, -1
 
 
@@ -43,11 +48,11 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 def shape_of(text: bytes) -> list[float]:
-    """Pattern features: shares of capitals, digits and marks, and the length's logarithm."""
+    """Pattern features: shares of capitals and marks, of stretched or masked words, and the length's logarithm."""
     n = max(1, len(text))
     capitals = sum(text.count(bytes([c])) for c in range(65, 91)) / n
     marks = sum(text.count(c) for c in (b"!", b"#", b"$", b"%", b"&", b"*", b"?")) / n
-    return [capitals, marks, math.log10(n + 1) / 5]
+    return [capitals, marks, len(find_bent(text)) / (text.count(b" ") + 1), math.log10(n + 1) / 5]
 
 
 @dataclass
@@ -56,7 +61,7 @@ class Model:
 
     terms: dict[bytes, float] = field(default_factory=lambda: {w.encode(): 4.0 for w in SEED_WORDS})
     strong: frozenset[bytes] = frozenset(w.encode() for w in SEED_WORDS)
-    shape: tuple[float, ...] = (0.0, 0.0, 0.0)
+    shape: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
     hits: float = 0.0
     bias: float = -3.0
 
@@ -117,10 +122,10 @@ def votes_of(rows: list[Row], mined: dict[bytes, float]) -> tuple[np.ndarray, li
     """Votes (rows by voters: 1 toxic, -1 clean, 0 none). Mined terms are dealt to four voters each for words and stems."""
     seed = {w.encode() for w in SEED_WORDS}
     strong = {t for t, o in mined.items() if o > STRONG}
-    voters = ["seed lexicon", *[f"words {k}" for k in range(4)], *[f"stems {k}" for k in range(4)], "two strong terms", "no term at all", "label"]
+    voters = ["seed lexicon", *[f"words {k}" for k in range(4)], *[f"stems {k}" for k in range(4)], "two strong terms", "no term at all", *PATTERNS, "label"]
     votes = np.zeros((len(rows), len(voters)), np.int8)
     ranked = {t: k for k, t in enumerate(mined)}
-    for r, (y, blob, _) in enumerate(rows):
+    for r, (y, blob, shape) in enumerate(rows):
         terms = blob.split()
         hit = [t for t in terms if t in mined]
         votes[r, 0] = TOXIC if seed.intersection(terms) else 0
@@ -128,7 +133,8 @@ def votes_of(rows: list[Row], mined: dict[bytes, float]) -> tuple[np.ndarray, li
             votes[r, (5 if t.endswith(b"*") else 1) + ranked[t] % 4] = TOXIC
         votes[r, 9] = TOXIC if sum(t in strong for t in hit) >= 2 else 0
         votes[r, 10] = 0 if hit else CLEAN
-        votes[r, 11] = TOXIC if y else CLEAN
+        votes[r, 11:-1] = [TOXIC if share >= least else 0 for share, least in zip(shape, PATTERNS.values(), strict=False)]
+        votes[r, -1] = TOXIC if y else CLEAN
     return votes, voters
 
 
@@ -175,23 +181,23 @@ def fit(rows: list[Row], *, most: int = TERMS, least: int = LEAST) -> Model:
     posterior, _ = label_model(votes_of(rows, mined)[0], share)
     number = {t: k for k, t in enumerate(mined)}
     strong = frozenset(t for t, o in mined.items() if o > STRONG)
-    x = np.zeros((len(rows), len(mined) + 5), np.float32)
+    x = np.zeros((len(rows), len(mined) + 6), np.float32)
     for r, (_, terms, shape) in enumerate(rows):
         found = [t for t in terms.split() if t in number]
         x[r, [number[t] for t in strongest(found, mined)]] = 1
-        x[r, -5] = min(3, len({t.rstrip(b"*")[:4] for t in found if t in strong}))
-        x[r, -4:-1], x[r, -1] = shape, 1
+        x[r, -6] = min(3, len({t.rstrip(b"*")[:4] for t in found if t in strong}))
+        x[r, -5:-1], x[r, -1] = shape, 1
     w = np.zeros(x.shape[1], np.float32)
     posterior = posterior.astype(np.float32)
     ridge = np.full(len(w), 2e-4, np.float32)
-    ridge[-1], ridge[-5] = 0, 1e-5
+    ridge[-1], ridge[-6] = 0, 1e-5
     scale, velocity = 1 / max(1.0, float((x**2).sum(1).mean()) / 4), np.zeros_like(w)
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - posterior) / len(rows) + ridge * w
         velocity = 0.9 * velocity - 4 * scale * gradient
         w += velocity
-    return Model({t: float(w[k]) for t, k in number.items()}, strong, tuple(map(float, w[-4:-1])), float(w[-5]), float(w[-1]))
+    return Model({t: float(w[k]) for t, k in number.items()}, strong, tuple(map(float, w[-5:-1])), float(w[-6]), float(w[-1]))
 
 
 def strongest(found: list[bytes], mined: dict[bytes, float]) -> list[bytes]:

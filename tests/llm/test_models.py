@@ -94,6 +94,14 @@ def test_held_out_accuracy_and_no_leak(spark):
     assert nothing.score(b"you idiot") > 0.5 > nothing.score(b"fine")
 
 
+def test_patterns_vote_where_no_term_is_known():
+    texts = [b"YOU ARE SUCH A ZQXBLIK", b"go away zqxblik!!!! ##$%", b"what a zqx*lik you are", b"you zqxbliiiiik", b"see www.example.org for a plain text, fine."]
+    rows = [(0, b" ".join(toxicity.terms_of(t)), toxicity.shape_of(t)) for t in texts]
+    votes, voters = toxicity.votes_of(rows, {})
+    said = [{v for v, n in zip(voters, row, strict=True) if n > 0} for row in votes]
+    assert voters[-1] == "label" and said == [{"capitals"}, {"marks"}, {"marks", "stretched or masked words"}, {"stretched or masked words"}, set()]
+
+
 def test_label_model_learns_who_is_right():
     import numpy as np
 
