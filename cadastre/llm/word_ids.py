@@ -5,12 +5,15 @@ it does reaches across such a boundary. So a text's ids are the joined ids of it
 white-space-separated chunks, and a chunk's those of its runs; both are cached. Runs not
 seen before go through the tokenizer together, and the word-end mark of the last token of
 each run shows where its ids end. A chunk outside the plain alphabet, where normalisation
-could join characters, goes through the tokenizer as it is.
+could join characters, goes through the tokenizer as it is. Chunks are cached with A-Z
+lowered, but for one: normalisation joins a letter with the mark after it before the tokenizer
+lowers it, so a chunk with a capital before what may be a mark keeps its capitals.
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 
 import numpy as np
 import regex
@@ -21,9 +24,18 @@ RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = "[\\x21-\\x7e¡-įı-ɏ]+"
 #: Marks that end a chunk as a run of their own after letters.
 MARKS = (b".", b",", b";", b":", b"!", b"?")
+#: A capital with a code point from U+0300 on after it, in UTF-8.
+find_joined = re.compile(rb"[A-Z][\xcc-\xf4]").search
 CHUNKS_CACHED, RUNS_CACHED, TOGETHER = 1_000_000, 700_000, 500
 
 
+def chunks_of(text: bytes) -> list[bytes]:
+    """White-space-separated chunks as the cache has them."""
+    if text.isascii() or not find_joined(text):
+        return text.lower().split()
+    return [c if find_joined(c) else c.lower() for c in text.split()]
+
+
 class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -63,7 +75,7 @@ class WordIds:
             self.runs.update(zip(some, map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
 
     def learn(self, chunks: list[bytes]) -> None:
-        """Ids of lower-cased chunks into the cache."""
+        """Ids of chunks, as ``chunks_of`` gives them, into the cache."""
         words: list[tuple[bytes, str]] = []
         marked: list[tuple[bytes, str, str]] = []
         split: list[tuple[bytes, list[str]]] = []
@@ -95,7 +107,7 @@ class WordIds:
         done: list[bytes] = []
         for k in range(0, len(texts), 256):
             some = texts[k : k + 256]
-            words = [() if b"<|" in t else t.lower().split() for t in some]
+            words = [() if b"<|" in t else chunks_of(t) for t in some]
             if len(self.chunks) > CHUNKS_CACHED:
                 self.chunks.clear()
             new = set(itertools.chain.from_iterable(words)).difference(self.chunks)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -47,6 +49,44 @@ def test_any_text(text):
     assert words.encode([text.encode()]) == [words.pack(Tokenizer.from_file(WORD).encode(text, add_special_tokens=False).ids)]
 
 
+def test_capitals_before_marks():
+    """Every capital with every combining mark, and what lower-casing turns into more than one character."""
+    marks = [chr(c) for c in range(0x250, 0x2000) if unicodedata.combining(chr(c))]
+    texts = [c + m for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in marks] + ["J\u030cA \u017d j\u030c", "\u039f\u03a3 A\u03a3 \u03a3.", "\u0130I \u0130\u0301 x\u0130"]
+    draw = random.Random(5)
+    some = "ABCJHTWYabjhtw 's.,1\t\u0085\u0130\u03a3\u212a" + "".join(draw.sample(marks, 20)) + "\u030c\u0331\u0308\u030a"
+    texts += ["".join(draw.choice(some) for _ in range(draw.randint(1, 12))) for _ in range(20_000)]
+    words, reference = word_ids.encoder(WORD), Tokenizer.from_file(WORD)
+    want = [words.pack(e.ids) for e in reference.encode_batch(texts, add_special_tokens=False)]
+    assert words.encode([t.encode() for t in texts]) == want
+
+
+def test_queries_against_the_library(spark):
+    """op1, op3 and op10 as registered, over whole tables."""
+    sf = "/root/testdata/sf0.001"
+    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    reference, byte_level = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    ids = {k: reference.encode(t, add_special_tokens=False).ids for k, t in docs}
+    want, start = [], 0
+    for k, _ in docs:
+        want.append((k, start, len(ids[k]) + 1, crc([*ids[k], 1])))
+        start += len(ids[k]) + 1
+    assert sorted(map(tuple, id_files.op10_id_files(spark, sf).collect())) == want
+    counts = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_counts.op1_token_counts(spark, sf).collect()}
+    assert counts == {k: (len(t.encode()), n := len(byte_level.encode(t, add_special_tokens=False).ids), n > 512) for k, t in docs}
+    seen = {}
+    for p in packing.op3_packing(spark, sf).collect():
+        own = [*ids[p["doc_id"]], 2]
+        assert p["doc_tokens"] == len(own) and p["ids_crc32"] == crc(own[p["start"] : p["start"] + p["length"]])
+        seen.setdefault(p["doc_id"], []).append((p["start"], p["length"]))
+    assert all(sum(n for _, n in v) == len(ids[k]) + 1 and len({a for a, _ in v}) == len(v) for k, v in seen.items()) and set(seen) == set(ids)
+
+
+def test_ids_of_any_integer_type(spark):
+    df = spark.createDataFrame([(1, "a b", "x"), (2, None, "y")], "doc_id int, text string, source string")
+    assert packing.pack(df, WORD).count() == 2 and id_files.read_id_files(id_files.write_id_files(df, WORD)).count() == 2
+
+
 def test_counts(spark):
     reference = Tokenizer.from_file(BYTE)
     out = token_counts.count_tokens(table(spark), BYTE, limit=100)
@@ -149,8 +189,12 @@ def test_targets_hold_with_more_sources_than_queues(spark):
     first = [p for p in pieces if p["sequence_id"] < 4]
     given = {s: sum(p["length"] for p in first if p["source"] == s) for s in {p["source"] for p in first}}
     assert set(given) == {"s1", "s2"} and abs(given["s1"] - 48) <= 1
+    # Targets under a token a window add up in a queue of their own, ahead of sources without one.
     many = {f"s{k}": 1 for k in range(29)}
-    check_packing(packing.pack(df, WORD, window=16, weights=many).collect(), 16, rows)
+    pieces = packing.pack(df, WORD, window=16, weights=many).collect()
+    check_packing(pieces, 16, rows)
+    last = max(p["sequence_id"] for p in pieces if p["length"] == 16)
+    assert all(p["sequence_id"] > last // 2 for p in pieces if p["source"] == "s29")
 
 
 @settings(max_examples=80, deadline=None)
