@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_bounds, materialise, range_of, shuffle_width, table, text_bytes
+from .common import key_bounds, long_id, materialise, range_of, shuffle_width, table, text_bytes
 from .word_ids import encoder
 
 MAGIC = b"CVB1"
@@ -98,10 +98,11 @@ def write_id_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, blo
     Documents ascend by ``doc_id`` (nulls first, repeated ids by their token ids) through blocks
     in the order of (part, block). Cut points of the parts come from the ids alone, so texts are
     tokenized once and moved once, as ids. A block closes at ``block_ids`` ids, or after the one
-    document that crosses it. A null text is the end id alone; other columns are not stored.
+    document that crosses it. A null text is the end id alone; an id is of any integer type; other
+    columns are not stored.
     """
     parts = shuffle_width(docs.sparkSession)
-    bounds = key_bounds(docs, "doc_id", parts)
+    bounds = key_bounds(docs.select(long_id()), "doc_id", parts)
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer_path)
@@ -131,7 +132,7 @@ def write_id_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 1, blo
         if held:
             yield close()
 
-    ids = docs.select("doc_id", text_bytes().alias("text")).mapInArrow(tokenise, "doc_id long, ids binary")
+    ids = docs.select(long_id(), text_bytes().alias("text")).mapInArrow(tokenise, "doc_id long, ids binary")
     dealt = ids.select(range_of(F.col("doc_id"), bounds).alias("part"), "doc_id", "ids").repartitionById(len(bounds) + 1, F.col("part"))
     ordered = dealt.sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "ids")
     return materialise(ordered.mapInArrow(blocks, "part int, block int, n_docs long, n_ids long, bytes binary"), name)

@@ -11,14 +11,16 @@ With the natural mixture all queues end together. Other targets make phases: whe
 runs dry, the rest share its part in their own proportions. Whatever does not fill a window
 at the very end is cut into powers of two, so no sequence is padded.
 
-Queues are at most ``window``, since no window holds more; sources beyond that share queues
-by hash, those with a target apart from those without. A queue whose share is under one token a window shares the slot of the next larger one.
+A window holds no token of a source whose share is under one token a window, so such
+sources are one queue together, in stored order: those with a target, whose targets add up, apart
+from those without. So the queues are ``window`` with targets and ``window`` without at most,
+however many sources there are. A queue whose share falls under one token a window in some phase
+shares the slot of the next larger one.
 """
 
 from __future__ import annotations
 
 import itertools
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_bytes
+from .common import long_id, materialise, table, text_bytes
 from .word_ids import encoder
 
 
@@ -154,34 +156,30 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, name: str, keep_
         if not keep_words:
             words.forget()
 
-    given = docs.select("doc_id", queue.alias("source"), text_bytes().alias("text"))
+    given = docs.select(long_id(), queue.alias("source"), text_bytes().alias("text"))
     return materialise(given.mapInArrow(run, "doc_id long, source string, part int, within long, n_tokens long, ids binary"), name)
 
 
-def grouped(stored: DataFrame, wanted: dict[str, float] | None, window: int) -> tuple[DataFrame, dict[str, float] | None]:
-    """``stored`` with ``group``, its queue, and the targets by queue: at most ``window`` queues.
+def grouped(sizes: DataFrame, weights: dict[str, float] | None, window: int) -> tuple[DataFrame, dict[str, Fraction] | None]:
+    """(source, group) for sources that are queues of their own, all others being in the groups ``+`` and ``#``; targets by group.
 
-    Where sources are more, those with a target stay queues of their own, the largest targets
-    first, up to half the window. What targets are left share a quarter of it by hash and add up there;
-    sources without a target share the rest, so that none of them eats up a target.
+    ``sizes`` (source, n). A source is a queue of its own if it has a token a window or more: of all
+    tokens, or of the targets of the sources that are there if it has one.
     """
-    sources = stored.select("source").distinct()
-    if sources.count() <= window:
-        return stored.withColumn("group", F.col("source")), wanted
-    spark, given = stored.sparkSession, {k: v for k, v in (wanted or {}).items() if v}
-    if not given:
-        return stored.withColumn("group", F.concat(F.lit("#"), (F.crc32(F.col("source").cast("binary")) % window).cast("string"))), wanted
-    # Only targets of sources that are there count; the driver holds as many names as targets were given.
+    spark, given = sizes.sparkSession, {k: Fraction(str(v)) for k, v in (weights or {}).items() if v}
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     targets = spark.createDataFrame([(k,) for k in given], "source string")
-    there = sorted((r["source"] for r in sources.join(targets, "source", "left_semi").collect()), key=lambda k: (-Fraction(str(given[k])), k))
-    own, parts = window // 2, max(1, window // 4)
-    group = {k: k if n < own else f"+{zlib.crc32(k.encode()) % parts}" for n, k in enumerate(there)}
-    sums: dict[str, Fraction] = {}
-    for k, g in group.items():
-        sums[g] = sums.get(g, Fraction(0)) + Fraction(str(given[k]))
-    named = spark.createDataFrame(list(group.items()), "source string, named string")
-    rest = F.concat(F.lit("#"), (F.crc32(F.col("source").cast("binary")) % max(1, window - own - parts)).cast("string"))
-    return stored.join(named, "source", "left").withColumn("group", F.coalesce("named", rest)).drop("named"), sums
+    # No more rows than targets were given.
+    there = sorted(r["source"] for r in sizes.join(targets, "source", "left_semi").select("source").distinct().collect())
+    mass, named, sums = sum(given[k] for k in there), [], {}
+    for k in there:
+        group = k if given[k] * window >= mass else "+"
+        named.append((k, group))
+        sums[group] = sums.get(group, Fraction(0)) + given[k]
+    # ``window`` rows at most: each has that part of all tokens.
+    large = sizes.groupBy("source").agg(F.sum("n").alias("n")).where(F.col("n") * window >= total).select("source").collect()
+    named += [(r["source"], r["source"]) for r in large if r["source"] not in given]
+    return spark.createDataFrame(named, "source string, own string"), None if weights is None else sums
 
 
 def pack(docs: DataFrame, tokenizer_path: str, *, weights: dict[str, float] | None = None, end_id: int = 2, window: int = 4096, keep_words: bool = True) -> DataFrame:
@@ -189,20 +187,24 @@ def pack(docs: DataFrame, tokenizer_path: str, *, weights: dict[str, float] | No
 
     Every id of every document, its end id included, lies in exactly one piece. A null text
     is the end id alone; a null source is a queue of its own; repeated rows are packed as
-    often as they stand there; other columns are ignored. ``weights``: source to target share,
+    often as they stand there; an id is of any integer type; other columns are ignored. ``weights``: source to target share,
     null under the key ``None``; a source without one comes once the others are used up.
     ``keep_words``: whether Python workers keep encoded words from task to task, for speed; not
     where the same workers have other memory-hungry work to do.
     """
     stored = tokenise(docs, tokenizer_path, end_id, "packing", keep_words)
     wanted = None if weights is None else {("null" if k is None else f"={k}"): v for k, v in weights.items()}
-    stored, wanted = grouped(stored, wanted, window)
-    tokens = {r["group"]: r["n"] for r in stored.groupBy("group").agg(F.sum("n_tokens").alias("n")).collect()}  # at most ``window`` rows
+    by_part = materialise(stored.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "packing-sizes")
+    named, targets = grouped(by_part, wanted, window)
+    sizes = materialise(by_part.join(F.broadcast(named), "source", "left").select("source", "part", "n", F.coalesce("own", F.lit("#")).alias("group")), "packing-groups")
+    tokens = {r["group"]: r["n"] for r in sizes.groupBy("group").agg(F.sum("n").alias("n")).collect()}  # a row a queue
     total = sum(tokens.values())
-    phases = plan(tokens, wanted, window)
-    order = Window.partitionBy("group").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = stored.groupBy("group", "source", "part").agg(F.sum("n_tokens").alias("n"))
-    bases = materialise(sizes.select("source", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base")), "packing-bases")
+    phases = plan(tokens, targets, window)
+    # What lies before in a queue: its earlier parts, then the sources before in the same part.
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    parts = sizes.groupBy("group", "part").agg(F.sum("n").alias("n")).select("group", "part", F.coalesce(F.sum("n").over(before("group").orderBy("part")), F.lit(0)).alias("earlier"))
+    in_part = sizes.withColumn("lead", F.coalesce(F.sum("n").over(before("group", "part").orderBy("source")), F.lit(0)))
+    bases = materialise(in_part.join(parts, ["group", "part"]).select("source", "part", "group", (F.col("earlier") + F.col("lead")).alias("base")), "packing-bases")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(tokenizer_path).dtype
