@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,15 +11,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Folder of a single-machine session that names none, and the tables written by this process.
+_own: list[str] = []
+_written: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder takes its place.
+    Where that is unset, the context's checkpoint folder, and on a single machine (a ``local``
+    master, as in tests) a temporary folder. A cluster without one is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="cadastre-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="cadastre-"))
+        root = _own[0]
     return root.rstrip("/")
 
 
@@ -37,18 +45,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._scratch = path
+    return found
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _written:
+        _written.remove(path)
 
 
-def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a table made by ``materialise``; for tables nothing reads any more."""
-    root = scratch_root(spark)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if folder.replace("file:///", "/").startswith(root.replace("file:///", "/").replace("file://", "")):
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            with contextlib.suppress(Exception):
-                path.getFileSystem(conf).delete(path, True)
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialise`` gave, once all that reads them has been written."""
+    for df in tables:
+        delete(df.sparkSession, df._scratch)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete every scratch table this process has written; for when its results have been read."""
+    for path in list(_written):
+        delete(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +92,11 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(low, rows)
 
 
+def long_id(column: str = "doc_id") -> Column:
+    """An id of any integer type as a long; text that is no number is an error."""
+    return F.col(column).cast("long").alias(column)
+
+
 def text_bytes(column: str = "text") -> Column:
     """UTF-8 bytes of a text; a null is an empty text."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
