@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..contracts import TABLES
 from ..operators import contractors, kpi, permits, places, properties, publish
 from ..region import COUNTY, Region
+from ..storage import drop_all, stored
 
 
 @dataclass
@@ -38,19 +39,23 @@ class Tables:
         return [(n, df) for n in TABLES if (df := getattr(self, n)) is not None]
 
 
-def build(inputs: Inputs, run_id: str, run_date: date, *, previous: dict[str, DataFrame] | None = None, match_unlicensed: bool = False, region: Region = COUNTY) -> Tables:
-    """All published tables from one run's inputs. The staged permits are read by four steps and are cached."""
+def build(inputs: Inputs, run_id: str, run_date: date, *, previous: dict[str, DataFrame] | None = None, match_unlicensed: bool = False, region: Region = COUNTY, fetched_at: str | None = None) -> Tables:
+    """All published tables from one run's inputs. ``fetched_at``: when the roll was loaded.
+
+    What several tables are made of is stored once: the staged permits, which four steps read, the
+    base properties, and the published permits, which the properties are summed up from.
+    """
     previous = previous or {}
-    feeds = [permits.from_roll(inputs.roll["permit"], region)]
+    feeds = [permits.from_roll(inputs.roll["permit"], region, fetched_at)]
     if inputs.portal is not None:
         feeds.append(permits.from_portal(inputs.portal, region))
-    base = properties.base(inputs.roll, run_date, inputs.parcels, region)
-    staged = permits.stage(feeds, run_date, region).cache()
-    links = contractors.links(staged)
-    entities = contractors.roll_up(staged, links)
+    base = stored(properties.base(inputs.roll, run_date, inputs.parcels, region), "base")
+    staged = stored(permits.stage(feeds, run_date, region), "staged")
+    links = stored(contractors.links(staged), "links")
+    entities = stored(contractors.roll_up(staged, links), "entities")
     ratings = None if inputs.profiles is None else contractors.match_ratings(entities, inputs.profiles, match_unlicensed=match_unlicensed)
     published = contractors.publish(entities, ratings)
-    done = permits.publish(staged, base, links, ratings, inputs.parcels, previous.get("permits"), run_id, region)
+    done = stored(permits.publish(staged, base, links, ratings, inputs.parcels, previous.get("permits"), run_id, region), "permits")
     found = properties.publish(base, done, previous.get("properties"), run_id, run_date, region)
     return Tables(found, done, published, None if inputs.places is None else places.publish(inputs.places, published))
 

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..contracts import CONTRACTORS, PERMITS, PLACES, PROPERTIES
 from ..functions import columns as c
 from ..functions import gazetteer
 from ..functions.geo import haversine_miles, in_polygon
 from ..operators import contractors, guard, kpi, leads, lineage, places, publish, upsert
 from ..region import COUNTY
 from ..sources import html
-from . import roll
+from ..storage import stored
+from . import expected, roll
 from .analogues import RUN_DATE, WITH_SQL, permits, properties, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -509,57 +511,70 @@ def topk_long_open_sample(spark: SparkSession, sf: str) -> DataFrame:
 # The build, on the roll's shapes
 
 
-@query(f"WITH {roll.STAGE_SQL} SELECT * FROM stage")
+STAGED = [
+    "property_improvement_id", "property_id", "permit_number", "parcel_identifier", "improvement_status", "improvement_action", "improvement_type", "permit_issue_date", "application_received_date", "final_inspection_date", "permit_close_date",
+    "completion_date", "expiration_date", "opened_date", "source_system", "description", "estimated_job_value", "issuing_agency", "contractor_name", "contractor_qualifier", "contractor_phone", "contractor_license", "contractor_name_norm",
+    "address_street", "address_city", "address_zip", "source_url", "fetched_at", "is_roofing", "is_open", "days_open", "row_hash",
+]
+ENTITY = ["contractor_id", "display_name", "normalized_name", "license_number", "phone", "identity_basis", "permit_count", "roofing_permit_count", "open_roofing_permit_count", "first_permit_date", "last_permit_date", "source_systems"]
+MATCHED = ["contractor_id", "bbb_id", "bbb_match_method", "bbb_rating", "bbb_accredited", "bbb_review_count", "bbb_complaint_count", "bbb_profile_url"]
+BASED = [
+    "property_id", "request_identifier", "parcel_identifier", "source_system", "county_name", "state_code", "address_street", "address_city", "address_zip", "latitude", "longitude", "lot_size_acre", "lot_area_sqft", "property_type",
+    "property_usage_type", "built_year", "effective_year", "livable_floor_area", "total_area", "assessed_value", "market_value", "land_value", "owner_name", "owners_text", "owner_count", "owner_occupied", "last_sale_date", "last_sale_price",
+    "subdivision", "owner_mail_city", "owner_mail_state", "owner_mail_country", "owner_out_of_county", "owner_out_of_state", "gis_year_built",
+]
+
+
+@query(expected.sql("stage", STAGED))
 def build_permits_stage(spark: SparkSession, sf: str) -> DataFrame:
-    return roll.staged(spark, sf).select(*roll.STAGED)
+    return roll.staged(spark, sf).select(*STAGED)
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL} SELECT alias_key, canonical_key FROM alias")
+@query(expected.sql("alias", ["alias_key", "canonical_key"]))
 def er_alias(spark: SparkSession, sf: str) -> DataFrame:
-    return contractors.aliases(roll.staged(spark, sf))
+    return contractors.aliases(stored(roll.staged(spark, sf), "staged"))
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL} SELECT property_improvement_id, identity_basis, identity_key, canonical_key, contractor_id FROM links")
+@query(expected.sql("links", ["property_improvement_id", "identity_basis", "identity_key", "canonical_key", "contractor_id"]))
 def er_links(spark: SparkSession, sf: str) -> DataFrame:
-    return contractors.links(roll.staged(spark, sf))
+    return contractors.links(stored(roll.staged(spark, sf), "staged"))
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL}, {roll.ENTITIES_SQL} SELECT * FROM entities")
+@query(expected.sql("entities", ENTITY))
 def er_contractors(spark: SparkSession, sf: str) -> DataFrame:
-    return roll.entities(spark, sf).select(*roll.ENTITY)
-
+    return roll.entities(spark, sf).select(*ENTITY)
 
-def match_sql(outer: bool) -> str:
-    return f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL}, {roll.ENTITIES_SQL}, {roll.match_sql(outer)} SELECT contractor_id, bbb_id, bbb_match_method, bbb_rating FROM matched"
 
-
-@query(match_sql(False))
+@query(expected.sql("matched", MATCHED))
 def er_match_cascade(spark: SparkSession, sf: str) -> DataFrame:
-    return contractors.match_ratings(roll.entities(spark, sf), roll.profiles(spark, sf)).select("contractor_id", "bbb_id", "bbb_match_method", "bbb_rating")
+    return contractors.match_ratings(roll.entities(spark, sf), roll.profiles(spark, sf)).select(*MATCHED)
 
 
-@query(match_sql(True))
+@query(expected.sql("matched", MATCHED, unlicensed=True))
 def er_match_unlicensed(spark: SparkSession, sf: str) -> DataFrame:
-    return contractors.match_ratings(roll.entities(spark, sf), roll.profiles(spark, sf), match_unlicensed=True).select("contractor_id", "bbb_id", "bbb_match_method", "bbb_rating")
+    return contractors.match_ratings(roll.entities(spark, sf), roll.profiles(spark, sf), match_unlicensed=True).select(*MATCHED)
 
 
-@query(f"WITH {roll.BASE_SQL} SELECT {', '.join(roll.BASED)} FROM base")
+@query(expected.sql("base", BASED))
 def build_properties_base(spark: SparkSession, sf: str) -> DataFrame:
-    return roll.base(spark, sf).select(*roll.BASED)
+    return roll.base(spark, sf).select(*BASED)
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL}, {roll.ENTITIES_SQL}, {roll.match_sql(False)}, {roll.BASE_SQL}, {roll.FINAL_SQL} SELECT {', '.join(roll.PERMIT_OUT)} FROM final_permits")
+@query(expected.sql("final_permits", PERMITS.columns, fetched_at="2001-12-30"))
 def build_permits(spark: SparkSession, sf: str) -> DataFrame:
-    return roll.built(spark, sf).permits.select(*roll.PERMIT_OUT)
+    return roll.built(spark, sf).permits
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL}, {roll.ENTITIES_SQL}, {roll.match_sql(False)}, {roll.BASE_SQL}, {roll.FINAL_SQL} SELECT {', '.join(roll.PROPERTY_OUT)} FROM final_properties")
+@query(expected.sql("final_properties", PROPERTIES.columns))
 def build_properties(spark: SparkSession, sf: str) -> DataFrame:
-    return roll.built(spark, sf).properties.select(*roll.PROPERTY_OUT)
+    return roll.built(spark, sf).properties
 
 
-@query(f"WITH {roll.STAGE_SQL}, {roll.LINKS_SQL}, {roll.ENTITIES_SQL}, {roll.PLACES_SQL} SELECT {', '.join(roll.PLACE_OUT)} FROM final_places")
-def build_places(spark: SparkSession, sf: str) -> DataFrame:
-    return places.publish(places.licensed(roll.raw_places(spark, sf)), roll.entities(spark, sf)).select(*roll.PLACE_OUT)
+@query(expected.sql("(SELECT * FROM entities LEFT JOIN matched USING (contractor_id))", CONTRACTORS.columns))
+def build_contractors(spark: SparkSession, sf: str) -> DataFrame:
+    return roll.built(spark, sf).contractors
 
 
+@query(expected.sql("final_places", PLACES.columns))
+def build_places(spark: SparkSession, sf: str) -> DataFrame:
+    return places.publish(places.licensed(roll.raw_places(spark, sf)), roll.entities(spark, sf))
