@@ -3,76 +3,110 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
-from datetime import date
+from datetime import UTC, date, datetime
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from .contracts import TABLES, describe
-from .operators import guard
+from .operators import guard, publish
 from .plans import build
 from .sources import delimited, harvests
+from .sources.paged import refresh_window
+from .storage import Folder
 
 
-def loaders(spark: SparkSession, folder: Path, run_id: str, tax_year: int) -> dict[str, build.Loader]:
-    """Loaders of what a folder holds: roll/*.csv, portal*.jsonl, parcels*.jsonl, profiles*.jsonl, listings*.jsonl, places/*.parquet."""
-    found: dict[str, build.Loader] = {"roll": lambda: dict(delimited.load_roll(spark, {p.stem.lower(): str(p) for p in sorted((folder / "roll").glob("*.csv"))}, digest="", loaded={}, tax_year=tax_year, run_id=run_id).tables)}
+def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = False) -> dict[str, build.Loader]:
+    """Loaders of what a folder holds: roll/*.csv, portal*.jsonl, parcels*.jsonl, profiles*.jsonl, listings*.jsonl, places/*.parquet.
+
+    The roll is loaded once a digest of its files. An increment takes the portal's records fetched within its window.
+    """
+
+    def roll(asked: build.Asked) -> build.Loaded:
+        files = sorted((folder / "roll").glob("*.csv"))
+        whole = hashlib.sha256("".join(f"{p.name}:{delimited.sha256_of(p)}" for p in files).encode()).hexdigest()
+        done = {tax_year: asked.last["digest"]} if asked.last else {}
+        got = delimited.load_roll(spark, {p.stem.lower(): str(p) for p in files}, digest=whole, loaded=done, tax_year=tax_year, run_id=asked.run_id, force=force)
+        return build.Loaded(None if got.status == "skipped" else dict(got.tables), whole, got.quarantined, got.status == "skipped")
+
+    found: dict[str, build.Loader] = {"roll": roll}
     if paths := harvests.files_of(folder, "parcels"):
-        found["parcels"] = lambda paths=paths: harvests.parcels(harvests.read_lines(spark, paths, harvests.PARCEL))
+        found["parcels"] = lambda asked, paths=paths: harvests.parcels(harvests.read_lines(spark, paths, harvests.PARCEL))
     if paths := harvests.files_of(folder, "portal"):
-        found["portal"] = lambda paths=paths: harvests.portal_permits(harvests.read_lines(spark, paths, harvests.PERMIT))
+
+        def portal(asked: build.Asked, paths: list[str] = paths):
+            rows = harvests.portal_permits(harvests.read_lines(spark, paths, harvests.PERMIT))
+            return rows if asked.mode == "full" else rows.where(rows.fetched_at.try_cast("date") >= asked.window[0])
+
+        found["portal"] = portal
     full, thin = harvests.files_of(folder, "profiles"), harvests.files_of(folder, "listings")
     if full or thin:
         empty = lambda schema: spark.createDataFrame([], schema)
-        found["ratings"] = lambda: harvests.profiles(harvests.read_lines(spark, full, harvests.PROFILE) if full else empty(harvests.PROFILE), harvests.read_lines(spark, thin, harvests.LISTING) if thin else empty(harvests.LISTING))
+        found["ratings"] = lambda asked: harvests.profiles(harvests.read_lines(spark, full, harvests.PROFILE) if full else empty(harvests.PROFILE), harvests.read_lines(spark, thin, harvests.LISTING) if thin else empty(harvests.LISTING))
     if (folder / "places").is_dir():
-        found["places"] = lambda: spark.read.parquet(str(folder / "places"))
+        found["places"] = lambda asked: spark.read.parquet(str(folder / "places"))
     return found
 
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cadastre")
     commands = parser.add_subparsers(dest="command", required=True)
-    run = commands.add_parser("run", help="load, build, export and record one run")
-    run.add_argument("--input", type=Path, required=True)
-    run.add_argument("--output", type=Path, required=True)
-    run.add_argument("--mode", choices=["full", "incremental"], default="incremental")
-    run.add_argument("--run-date", type=date.fromisoformat, default=date.today())
-    for name in ("history", "tables"):
-        one = commands.add_parser(name)
-        one.add_argument("--output", type=Path, default=Path("."))
-    ask = commands.add_parser("query", help="one SELECT over the last published tables")
-    ask.add_argument("--output", type=Path, required=True)
-    ask.add_argument("statement")
-    verify = commands.add_parser("verify", help="compare the last run's files with its manifest")
-    verify.add_argument("--output", type=Path, required=True)
+
+    def command(name: str, about: str, *, reads: bool = False, dated: bool = False) -> argparse.ArgumentParser:
+        made = commands.add_parser(name, help=about)
+        made.add_argument("--output", required=name != "tables")
+        if reads:
+            made.add_argument("--input", type=Path, required=True)
+            made.add_argument("--force", action="store_true", help="load the roll even if its digest is loaded")
+        if dated:
+            made.add_argument("--mode", choices=["full", "incremental"], default="incremental")
+            made.add_argument("--run-date", type=date.fromisoformat, default=date.today())
+        return made
+
+    command("run", "load, build, export and record one run", reads=True, dated=True)
+    command("ingest", "load sources into the raw store alone", reads=True, dated=True)
+    command("build", "build, export and record one run from the raw store", dated=True)
+    command("publish", "the last run's files into a store by content").add_argument("--store", required=True)
+    command("history", "all runs")
+    command("tables", "the published columns")
+    command("query", "one SELECT over the last published tables").add_argument("statement")
+    command("verify", "compare the last run's files with its manifest")
     given = parser.parse_args(args)
-    if given.command == "history":
-        print(json.dumps(build.History(given.output / "run-history.json").runs(), indent=1))
-        return 0
     if given.command == "tables":
         print(json.dumps({n: describe(n) for n in TABLES}, indent=1))
         return 0
     spark = SparkSession.builder.appName("cadastre").getOrCreate()
-    if given.command == "run":
-        run_id = build.new_run_id(given.mode)
-        print(build.execute(spark, loaders(spark, given.input, run_id, given.run_date.year), given.output, mode=given.mode, run_date=given.run_date, run_id=run_id).status)
+    history = build.History(spark, given.output)
+    if given.command == "history":
+        print(json.dumps(history.runs(), indent=1))
+        return 0
+    if given.command in ("run", "build"):
+        sources = loaders(spark, given.input, given.run_date.year, given.force) if given.command == "run" else {}
+        print(build.execute(spark, sources, given.output, mode=given.mode, run_date=given.run_date).status)
+        return 0
+    last = history.last_published()
+    if given.command == "ingest":
+        since = date.fromisoformat(last["runDate"]) if last and given.mode == "incremental" else None
+        asked = build.Asked(given.mode if since else "full", refresh_window(since, given.run_date), datetime.now(UTC).strftime("%Y-%m-%dT%H-%M-%SZ"))
+        for result in build.ingest(build.RawStore(spark, given.output), loaders(spark, given.input, given.run_date.year, given.force), asked):
+            print(json.dumps(vars(result)))
         return 0
-    last = build.History(given.output / "run-history.json").last_published()
     if last is None:
         print("nothing is published")
         return 1
-    folder = given.output / last["runId"]
+    folder = Folder(spark, given.output + "/" + last["runId"])
     if given.command == "query":
-        tables = {n: spark.read.parquet(str(folder / n)) for n in TABLES if (folder / n).exists()}
+        tables = {n: spark.read.parquet(folder.at(n)) for n in TABLES if folder.exists(n)}
         guard.run_select(spark, given.statement, tables).show(50, truncate=False)
         return 0
-    listed = {a["name"]: a for a in json.loads((folder / "manifest.json").read_text())["artifacts"]}
-    from .operators.publish import file_digests
-
-    now = {r["name"]: r["sha256"] for r in file_digests(spark, str(folder)).collect()}
-    wrong = [n for n, a in listed.items() if now.get(n) != a["sha256"]]
+    if given.command == "publish":
+        print(publish.publish_store(spark, folder.root, given.store))
+        return 0
+    listed = {a["path"]: a for a in json.loads(folder.read("manifest.json"))["artifacts"]}
+    now = {r["path"]: r["sha256"] for r in publish.file_digests(spark, folder.root).collect()}
+    wrong = [a["name"] for n, a in listed.items() if now.get(n) != a["sha256"]]
     print("\n".join(f"differs: {n}" for n in wrong) or "all match")
     return int(bool(wrong))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ def finite(value: float, name: str = "value") -> float:
     return value
 
 
-def limit_of(limit: int | None, default: int) -> int:
-    return min(max(int(default if limit is None else finite(limit, "limit")), 1), MOST_ROWS)
+def limit_of(limit: float | None, default: int) -> int:
+    """A whole number of rows, ``MOST_ROWS`` at most; ``default`` for none, for one that is not finite, and below one."""
+    wanted = float("nan") if limit is None else float(limit)
+    return min(int(wanted), MOST_ROWS) if 1 <= wanted < float("inf") else default
 
 
 def safe_id(value: str) -> str:
@@ -180,12 +183,21 @@ def with_permits(found: DataFrame, permits: DataFrame, columns: list[str]) -> Da
     return nested.withColumn("permits", F.coalesce(bare, F.array().cast(nested.select(bare.alias("p")).schema["p"].dataType)))
 
 
-@dataclass
+@dataclass(frozen=True)
 class Leads:
+    """``total`` and ``truncated`` count when they are first read, not before."""
+
     properties: DataFrame
-    total: int
-    truncated: bool
-    columns: list[str] = field(default_factory=list)
+    counted: DataFrame
+    limit: int
+
+    @cached_property
+    def total(self) -> int:
+        return self.counted.first()["total"]
+
+    @property
+    def truncated(self) -> bool:
+        return self.total > self.limit
 
 
 def radius_leads(properties: DataFrame, permits: DataFrame, circle: Circle, wanted: PropertyFilter = PropertyFilter(), *, permit_side: PermitFilter | None = None, include_permits: bool = True, limit: int | None = None) -> Leads:  # noqa: B008
@@ -194,10 +206,16 @@ def radius_leads(properties: DataFrame, permits: DataFrame, circle: Circle, want
         near = circle.around(permits).where(permit_side.condition()).select("parcel_identifier").distinct()
         properties = properties.join(near, "parcel_identifier", "left_semi")
     found = radius_properties(properties, circle, wanted, limit)
-    total = radius_count(properties, circle, wanted).first()["total"]
+    counted = radius_count(properties, circle, wanted)
     if include_permits:
         found = with_permits(found, permits.where("is_roofing"), ["permit_number", "improvement_status", "days_open", "contractor_name", "bbb_rating"])
-    return Leads(found, total, total > limit_of(limit, 500), found.columns)
+    return Leads(found, counted, limit_of(limit, 500))
+
+
+def resorted(rows: list[dict], column: str, *, descending: bool = True) -> list[dict]:
+    """Rows a client has already, by another column: nulls last either way, equals as they were."""
+    known = [r for r in rows if r.get(column) is not None]
+    return [*sorted(known, key=lambda r: r[column], reverse=descending), *(r for r in rows if r.get(column) is None)]
 
 
 def in_area(rows: DataFrame, *, box: Box | None = None, ring: Ring | None = None, limit: int | None = None) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import PLACES, conform
 from ..functions import columns as c
 from ..functions.geo import Ring, clip
+from ..storage import Folder
 
 #: Datasets whose licence keeps them out.
 EXCLUDED_DATASETS = ("openstreetmap", "osm")
@@ -51,6 +52,27 @@ def extract(raw: DataFrame, ring: Ring, release: str, fips: str) -> DataFrame:
     )
 
 
+def read_release(spark: SparkSession, root: str, release: str, ring: Ring) -> DataFrame:
+    """Places of a release in ``root/release=R/theme=places/type=place``, those in the polygon's box alone.
+
+    Theme and type are folders, and the box is four comparisons with columns that row groups have
+    statistics of, so other themes are not listed and other row groups not read.
+    """
+    lats, lngs = [lat for _, lat in ring], [lng for lng, _ in ring]
+    x, y = F.col("bbox.xmin"), F.col("bbox.ymin")
+    rows = spark.read.option("basePath", f"{root}/release={release}").parquet(f"{root}/release={release}/theme=places/type=place")
+    return rows.where((x >= float(min(lngs))) & (x <= float(max(lngs))) & (y >= float(min(lats))) & (y <= float(max(lats))))
+
+
+def cached_extract(spark: SparkSession, root: str, release: str, ring: Ring, fips: str, cache: str) -> DataFrame:
+    """The extract of a release, read from ``cache/R`` if it is complete there, else made and written first."""
+    folder = Folder(spark, cache)
+    if not folder.exists(release, "_SUCCESS"):
+        found = extract(read_release(spark, root, release, ring), ring, release, fips)
+        found.write.mode("overwrite").option("compression", "zstd").parquet(folder.at(release))
+    return spark.read.parquet(folder.at(release))
+
+
 def publish(raw: DataFrame, contractors: DataFrame | None) -> DataFrame:
     """The published places. Only places of the trade link, to the smallest contractor id of their phone."""
     rows = raw.withColumns(

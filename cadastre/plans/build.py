@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import asdict, dataclass, field, replace
 from datetime import UTC, date, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import TABLES
-from ..operators import contractors, kpi, permits, places, properties, publish
+from ..operators import contractors, kpi, permits, places, properties, publish, upsert
 from ..region import COUNTY, Region
-from ..storage import drop_all, stored
+from ..sources.paged import Window, refresh_window
+from ..storage import Folder, drop_all, stored
 
 
 @dataclass
@@ -65,6 +66,9 @@ class SourceResult:
     source: str
     status: str
     seen: int = 0
+    inserted: int = 0
+    changed: int = 0
+    quarantined: int = 0
     error: str | None = None
     durationMs: int = 0
 
@@ -75,12 +79,14 @@ class Run:
     mode: str
     status: str = "running"
     startedAt: str = ""
+    runDate: str = ""
     finishedAt: str | None = None
     root: str | None = None
     previousRoot: str | None = None
     sources: list[SourceResult] = field(default_factory=list)
     tableCounts: dict[str, int] = field(default_factory=dict)
     deltas: dict[str, int] = field(default_factory=dict)
+    coverage: dict[str, float] = field(default_factory=dict)
 
 
 def new_run_id(mode: str, now: datetime | None = None) -> str:
@@ -90,63 +96,138 @@ def new_run_id(mode: str, now: datetime | None = None) -> str:
 class History:
     """Run records in one JSON file, by start time; a record replaces the one of its id."""
 
-    def __init__(self, path: str | Path):
-        self.path = Path(path)
+    NAME = "run-history.json"
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.folder = Folder(spark, out)
 
     def runs(self) -> list[dict]:
-        return json.loads(self.path.read_text()) if self.path.exists() else []
+        return json.loads(self.folder.read(self.NAME) or "[]")
 
     def save(self, run: Run) -> None:
         rest = [r for r in self.runs() if r["runId"] != run.runId]
-        self.path.parent.mkdir(parents=True, exist_ok=True)
-        self.path.write_text(json.dumps(sorted([*rest, asdict(run)], key=lambda r: (r["startedAt"], r["runId"])), indent=1))
+        self.folder.write(json.dumps(sorted([*rest, asdict(run)], key=lambda r: (r["startedAt"], r["runId"])), indent=1), self.NAME)
 
     def last_published(self) -> dict | None:
         return next((r for r in reversed(self.runs()) if r.get("root")), None)
 
 
-Loader = Callable[[], DataFrame | dict[str, DataFrame]]
+@dataclass
+class Loaded:
+    """What a loader found. ``digest``: of the source as a whole, if it has one; ``skipped``: it is the one loaded before."""
+
+    tables: DataFrame | dict[str, DataFrame] | None
+    digest: str | None = None
+    quarantined: int = 0
+    skipped: bool = False
 
 
-def execute(spark: SparkSession, loaders: dict[str, Loader], out: str | Path, *, mode: str = "incremental", run_date: date, region: Region = COUNTY, run_id: str | None = None, least_coverage: float = 0.5) -> Run:
-    """Load, build, export and record one run.
+@dataclass
+class Asked:
+    """What a loader is asked for: an increment's window of days (a full run asks for all), and what was loaded last."""
+
+    mode: str
+    window: Window
+    run_id: str
+    last: dict = field(default_factory=dict)
+
+
+Loader = Callable[[Asked], Loaded | DataFrame | dict[str, DataFrame]]
+#: Sources whose increments are laid over what is there: their key, and what says which row is the latest.
+KEYED = {"portal": (["permit_number"], "fetched_at"), "parcels": (["parcel_no"], "object_id"), "ratings": (["bbb_id"], None)}
+
+
+class RawStore:
+    """Loaded tables as they are, in ``raw/SOURCE/RUN/TABLE``, and the ledger that says which are current."""
+
+    NAME = "load-ledger.json"
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.spark, self.folder = spark, Folder(spark, out)
+        self.ledger: dict[str, dict] = json.loads(self.folder.read(self.NAME) or "{}")
+
+    def read(self, source: str) -> DataFrame | dict[str, DataFrame]:
+        entry = self.ledger[source]
+        tables = {n: self.spark.read.parquet(self.folder.at("raw", source, entry["runId"], n)) for n in entry["tables"]}
+        return tables[source] if list(tables) == [source] else tables
+
+    def keep(self, source: str, got: Loaded, asked: Asked) -> SourceResult:
+        """Store what was loaded; an increment of a keyed source is merged into what is there, latest row first."""
+        if got.skipped:
+            return SourceResult(source, "skipped")
+        result = SourceResult(source, "ok", quarantined=got.quarantined)
+        tables = got.tables if isinstance(got.tables, dict) else {source: got.tables}
+        before = self.ledger.get(source)
+        if source in KEYED and asked.mode == "incremental" and before is not None:
+            (key, at), new, old = KEYED[source], tables[source], self.read(source)
+            hashed = lambda df: df.withColumn("__hash", F.xxhash64(F.to_json(F.struct(*sorted(new.columns)))))
+            counts = upsert.change_counts(hashed(old), hashed(new), key, "__hash").first()
+            result.seen, result.inserted, result.changed = counts["seen"], counts["inserted"], counts["changed"]
+            tables = {source: upsert.upsert(old, new, key, [F.desc_nulls_last(at)] if at in new.columns else [])}
+        rows = {}
+        for name, df in tables.items():
+            path = self.folder.at("raw", source, asked.run_id, name)
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            rows[name] = self.spark.read.parquet(path).count()
+        if not result.seen and not result.inserted:
+            result.seen = result.inserted = sum(rows.values())
+        self.ledger[source] = {"digest": got.digest, "runId": asked.run_id, "tables": rows, "quarantined": got.quarantined, "loadedAt": datetime.now(UTC).isoformat()}
+        self.folder.write(json.dumps(self.ledger, indent=1), self.NAME)
+        if before is not None and before["runId"] != asked.run_id:
+            self.folder.drop("raw", source, before["runId"])
+        return result
+
+
+def ingest(store: RawStore, loaders: dict[str, Loader], asked: Asked, region: Region = COUNTY) -> Iterator[SourceResult]:
+    """Load every source into the raw store. A required one that fails ends it, any other is reported and keeps what it had."""
+    for name, loader in loaders.items():
+        began = time.monotonic()
+        try:
+            got = loader(replace(asked, last=store.ledger.get(name, {})))
+            result = store.keep(name, got if isinstance(got, Loaded) else Loaded(got), asked)
+        except Exception as e:
+            result = SourceResult(name, "failed", error=str(e)[:500])
+            if region.sources.get(name) and region.sources[name].required:
+                yield replace(result, durationMs=int(1000 * (time.monotonic() - began)))
+                raise
+        yield replace(result, durationMs=int(1000 * (time.monotonic() - began)))
+
+
+def execute(spark: SparkSession, loaders: dict[str, Loader], out: str, *, mode: str = "incremental", run_date: date, region: Region = COUNTY, run_id: str | None = None, least_coverage: float = 0.5) -> Run:
+    """Load, build, export and record one run. ``out``: a folder on any file system that all executors reach.
 
     The run is recorded before anything else, so that a crash shows. A required source that
-    fails ends it; any other is recorded and its columns stay null. An increment needs the last
-    published snapshot and falls back to a full run without one. Coverage of coordinates that
-    falls below ``least_coverage`` of the last run's fails the run before it is published.
+    fails ends it; any other is recorded, and what it brought before is used again. An increment
+    asks its sources for a window since the last published run; without one it is a full run.
+    A source that was never loaded leaves its columns null. Coverage of coordinates that falls
+    below ``least_coverage`` of the last run's fails the run before it is published.
     """
-    out, history = Path(out), History(Path(out) / "run-history.json")
+    history, store, folder = History(spark, str(out)), RawStore(spark, str(out)), Folder(spark, str(out))
     last = history.last_published()
     mode = mode if last else "full"
-    run = Run(run_id or new_run_id(mode), mode, startedAt=datetime.now(UTC).isoformat(), previousRoot=last["root"] if last else None)
+    run = Run(run_id or new_run_id(mode), mode, startedAt=datetime.now(UTC).isoformat(), runDate=run_date.isoformat(), previousRoot=last["root"] if last else None)
     history.save(run)
+    since = date.fromisoformat(last["runDate"]) if last and mode == "incremental" else None
     try:
-        loaded: dict[str, DataFrame | dict[str, DataFrame]] = {}
-        for name, loader in loaders.items():
-            began = time.monotonic()
-            try:
-                loaded[name] = loader()
-                run.sources.append(SourceResult(name, "ok", durationMs=int(1000 * (time.monotonic() - began))))
-            except Exception as e:
-                run.sources.append(SourceResult(name, "failed", error=str(e)[:500], durationMs=int(1000 * (time.monotonic() - began))))
-                if region.sources.get(name) and region.sources[name].required:
-                    raise
-        previous = {n: spark.read.parquet(str(out / last["runId"] / n)) for n in ("properties", "permits")} if last else {}
-        inputs = Inputs(loaded["roll"], loaded.get("portal"), loaded.get("parcels"), loaded.get("ratings"), loaded.get("places"))
-        tables = build(inputs, run.runId, run_date, previous=previous, region=region)
+        for result in ingest(store, loaders, Asked(mode, refresh_window(since, run_date), run.runId), region):
+            run.sources.append(result)
+        have = {n: store.read(n) for n in store.ledger}
+        previous = {n: spark.read.parquet(folder.at(last["runId"], n)) for n in ("properties", "permits")} if last else {}
+        inputs = Inputs(have["roll"], have.get("portal"), have.get("parcels"), have.get("ratings"), have.get("places"))
+        tables = build(inputs, run.runId, run_date, previous=previous, region=region, fetched_at=store.ledger["roll"]["loadedAt"])
         for name, df in tables.items():
-            publish.export(df, TABLES[name], str(out / run.runId / name))
-            run.tableCounts[name] = spark.read.parquet(str(out / run.runId / name)).count()
+            publish.export(df, TABLES[name], folder.at(run.runId, name))
+            run.tableCounts[name] = spark.read.parquet(folder.at(run.runId, name)).count()
         run.deltas = {n: c - (last["tableCounts"].get(n, 0) if last else 0) for n, c in run.tableCounts.items()}
-        rows = kpi.coverage(spark.read.parquet(str(out / run.runId / "properties"))).collect()
-        covered = {r["column"]: r["pct"] for r in rows}
-        if last and last.get("latitudePct", 0) and covered["latitude"] < least_coverage * last["latitudePct"]:
-            raise RuntimeError(f"coverage of latitude fell to {covered['latitude']} %")
-        (out / run.runId / "coverage.json").write_text(json.dumps(covered, indent=1))
-        artifacts = [r.asDict() for r in publish.file_digests(spark, str(out / run.runId)).collect()]
+        rows = kpi.coverage(spark.read.parquet(folder.at(run.runId, "properties"))).collect()  # a row a column
+        run.coverage = {r["column"]: r["pct"] for r in rows}
+        before = last["coverage"].get("latitude") if last else None
+        if before and (run.coverage.get("latitude") or 0.0) < least_coverage * before:
+            raise RuntimeError(f"coverage of latitude fell from {before} to {run.coverage.get('latitude')} %")
+        folder.write(json.dumps({"columns": run.coverage, "sources": [asdict(r) for r in run.sources], "ledger": store.ledger}, indent=1), run.runId, "coverage.json")
+        artifacts = [r.asDict() for r in publish.file_digests(spark, folder.at(run.runId)).collect()]  # a row a file
         made = publish.manifest(run.runId, artifacts, run.tableCounts, run.previousRoot)
-        (out / run.runId / "manifest.json").write_text(json.dumps(made, indent=1))
+        folder.write(json.dumps(made, indent=1), run.runId, "manifest.json")
         run.root, run.status = made["root"], "succeeded"
     except Exception:
         run.status = "failed"
@@ -154,5 +235,5 @@ def execute(spark: SparkSession, loaders: dict[str, Loader], out: str | Path, *,
     finally:
         run.finishedAt = datetime.now(UTC).isoformat()
         history.save(run)
-        spark.catalog.clearCache()
+        drop_all(spark)
     return run

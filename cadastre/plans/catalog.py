@@ -257,21 +257,25 @@ def wn_mode_name(spark: SparkSession, sf: str) -> DataFrame:
     return contractors.most_frequent(table(spark, sf, "events").select("user_id", "event_type"), "user_id", "event_type")
 
 
+#: Two feeds of one table, a user's events of one kind being one record: what came before a day, and what came from it on.
+RECORD = ["user_id", "event_type"]
+SPLIT = "TIMESTAMP '2024-01-28 00:00:00'"
+
+
 def halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The latest event of each user before a day, and all events from it on."""
+    """The latest event of each record before a day, and all events from it on."""
     events = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
-    old = upsert.latest(events.where(F.expr(f"ts < {CUT}")), ["user_id"], [F.desc("ts"), F.desc("event_id")])
-    return old, events.where(F.expr(f"ts >= {CUT} AND user_id % 2 = 0"))
+    return upsert.latest(events.where(F.expr(f"ts < {SPLIT}")), RECORD, [F.desc("ts"), F.desc("event_id")]), events.where(F.expr(f"ts >= {SPLIT}"))
 
 
-HALVES_SQL = f"""old AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events WHERE ts < {CUT}) q WHERE n = 1),
-new AS (SELECT * FROM events WHERE ts >= {CUT} AND user_id % 2 = 0), latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM new) q WHERE n = 1)"""
+def newest_sql(name: str, when: str) -> str:
+    return f"{name} AS (SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events WHERE {when} GROUP BY 1, 2)"
 
 
-@query(f"WITH {HALVES_SQL} SELECT user_id, event_id, event_type, value FROM latest UNION ALL SELECT user_id, event_id, event_type, value FROM old WHERE user_id NOT IN (SELECT user_id FROM latest)")
+@query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
 def snk_upsert(spark: SparkSession, sf: str) -> DataFrame:
     old, new = halves(spark, sf)
-    return upsert.upsert(old, new, ["user_id"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
+    return upsert.upsert(old, new, RECORD, [F.desc("ts"), F.desc("event_id")]).drop("ts")
 
 
 @query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY (CASE WHEN event_type = 'purchase' THEN 0 ELSE 1 END), ts DESC, event_id DESC) AS n FROM events) q WHERE n = 1")
@@ -280,10 +284,13 @@ def snk_upsert_quality(spark: SparkSession, sf: str) -> DataFrame:
     return upsert.latest(rows.drop("props"), ["user_id"], upsert.by_quality()).select("user_id", "event_id")
 
 
-@query(f"WITH {HALVES_SQL} SELECT count(*) AS seen, count(DISTINCT CASE WHEN o.user_id IS NULL THEN n.user_id END) AS inserted, count(*) FILTER (WHERE o.user_id IS NOT NULL AND o.event_type <> n.event_type) AS changed FROM new n LEFT JOIN old o ON o.user_id = n.user_id")
+@query(
+    f"""WITH {newest_sql("old", f"ts < {SPLIT}")}, rated AS (SELECT n.user_id, n.event_type, o.event_id AS before, n.value > 500 AS now, o.value > 500 AS was FROM events n LEFT JOIN old o USING (user_id, event_type) WHERE n.ts >= {SPLIT})
+    SELECT count(*) AS seen, count(DISTINCT CASE WHEN before IS NULL THEN user_id || '/' || event_type END) AS inserted, count(CASE WHEN now <> was THEN 1 END) AS changed FROM rated"""
+)
 def snk_change_counts(spark: SparkSession, sf: str) -> DataFrame:
-    old, new = halves(spark, sf)
-    return upsert.change_counts(old, new, ["user_id"], "event_type")
+    old, new = (df.withColumn("high", F.col("value") > 500) for df in halves(spark, sf))
+    return upsert.change_counts(old, new, RECORD, "high")
 
 
 HASHED = ["event_type", "value", "event_id"]
@@ -291,15 +298,20 @@ HASH_SQL = "sha256(concat_ws('|', event_type, printf('%.6f', value), CAST(event_
 
 
 @query(
-    f"""WITH {HALVES_SQL}, prev AS (SELECT user_id, {HASH_SQL} AS h FROM old WHERE user_id % 5 <> 0), cur AS (SELECT user_id, {HASH_SQL} AS h FROM latest UNION ALL SELECT user_id, {HASH_SQL} FROM old WHERE user_id NOT IN (SELECT user_id FROM latest))
-    SELECT c.user_id, CASE WHEN p.user_id IS NULL THEN 'run-2' ELSE 'run-1' END AS first_seen_run_id, CASE WHEN p.h = c.h THEN 'run-1' ELSE 'run-2' END AS last_changed_run_id, c.h AS row_hash FROM cur c LEFT JOIN prev p ON p.user_id = c.user_id"""
+    f"""WITH {newest_sql("first", f"ts < {SPLIT}")}, {newest_sql("second", "ts >= TIMESTAMP '2024-01-03 00:00:00'")}
+    SELECT s.user_id || '/' || s.event_type AS record, CASE WHEN f.user_id IS NULL THEN 'run-2' ELSE 'run-1' END AS first_seen_run_id, CASE WHEN f.event_id = s.event_id THEN 'run-1' ELSE 'run-2' END AS last_changed_run_id,
+      sha256(concat_ws('|', s.event_type, printf('%.6f', s.value), CAST(s.event_id AS VARCHAR))) AS row_hash FROM second s LEFT JOIN first f USING (user_id, event_type)"""
 )
 def cdc_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    old, new = halves(spark, sf)
-    order = [F.desc("ts"), F.desc("event_id")]
-    hashed = lambda df: df.withColumn("row_hash", c.row_hash(HASHED, {"value"})).select("user_id", "row_hash")
-    first = lineage.carry_lineage(hashed(old.where("user_id % 5 <> 0")), None, "user_id", "run-1")
-    return lineage.carry_lineage(hashed(upsert.upsert(old, new, ["user_id"], order)), first, "user_id", "run-2")
+    """Two snapshots that overlap: a record may be in one of them alone, alike in both, or changed."""
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
+
+    def snapshot(when: str) -> DataFrame:
+        newest = upsert.latest(events.where(when), RECORD, [F.desc("ts"), F.desc("event_id")])
+        return newest.select(F.concat_ws("/", *RECORD).alias("record"), c.row_hash(HASHED, {"value"}).alias("row_hash"))
+
+    first = lineage.carry_lineage(snapshot(f"ts < {SPLIT}"), None, "record", "run-1")
+    return lineage.carry_lineage(snapshot("ts >= TIMESTAMP '2024-01-03 00:00:00'"), first, "record", "run-2")
 
 
 @query(f"SELECT event_id, {HASH_SQL} AS row_hash FROM events")
@@ -347,9 +359,9 @@ def st_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
+@query("SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 2000 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000)")
 def src_fallback_union(spark: SparkSession, sf: str) -> DataFrame:
-    full = table(spark, sf, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
+    full = table(spark, sf, "customer").where("c_acctbal > 2000").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"))
     return upsert.with_fallback(full, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")), "k")
 
 
@@ -490,7 +502,7 @@ def src_url_host(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def src_page_outline(spark: SparkSession, sf: str) -> DataFrame:
-    return html.parse_pages(table(spark, sf, "pages"), html.page_outline, "url string, title string, headings int, links int, characters int")
+    return html.parse_pages(table(spark, sf, "pages"), html.page_outline, "url string, title string, headings int, links int, characters int").drop("parse_error")
 
 
 @query(f"{WITH_SQL} SELECT improvement_status, count(*) AS n FROM permits GROUP BY improvement_status")

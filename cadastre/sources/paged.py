@@ -1,18 +1,20 @@
 """A paged service as a Spark data source: one partition a page, pages read by a given function.
 
-The function stands in for the transport: ``fetch(offset, size) -> rows``. Failed pages are
+The function stands in for the transport. Failed pages are
 tried again with doubling waits; a checkpoint file remembers which offsets are done.
 """
 
 from __future__ import annotations
 
 import json
+import shutil
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import date, timedelta
 from pathlib import Path
+from typing import BinaryIO
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, GreaterThanOrEqual, InputPartition
 from pyspark.sql.types import StructType
 
 PAGE, ATTEMPTS, WAIT_S = 2000, 5, 0.5
@@ -36,18 +38,36 @@ def with_retries(call: Callable[[], list], attempts: int = ATTEMPTS, wait: float
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, fetch: Callable[[int, int], list[tuple]], total: int, page: int, wait: float):
-        self.fetch, self.total, self.page, self.wait = fetch, total, page, wait
+    """One partition a page; Spark reads as many at once as it has tasks.
+
+    A filter ``since_column >= value`` goes to the service, which ``total(since)`` and
+    ``fetch(offset, size, since)`` then answer for changed rows alone; Spark applies all other filters itself.
+    """
+
+    def __init__(self, fetch: Callable[[int, int, object], list[tuple]], total: Callable[[object], int], page: int, wait: float, since_column: str | None):
+        self.fetch, self.total, self.page, self.wait, self.since_column = fetch, total, page, wait, since_column
+        self.since: object = None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for f in filters:
+            if isinstance(f, GreaterThanOrEqual) and f.attribute == (self.since_column,) and self.since is None:
+                self.since = f.value
+            else:
+                yield f
 
     def partitions(self) -> list[Page]:
-        return [Page(k, min(self.page, self.total - k)) for k in range(0, self.total, self.page)]
+        total = self.total(self.since)
+        return [Page(k, min(self.page, total - k)) for k in range(0, total, self.page)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        yield from with_retries(lambda: self.fetch(partition.offset, partition.size), wait=self.wait)
+        yield from with_retries(lambda: self.fetch(partition.offset, partition.size, self.since), wait=self.wait)
 
 
-def paged_source(name: str, schema: str, fetch: Callable[[int, int], list[tuple]], total: int, *, page: int = PAGE, wait: float = WAIT_S) -> type[DataSource]:
-    """A DataSource class to register under ``name`` with ``spark.dataSource.register``."""
+def paged_source(name: str, schema: str, fetch: Callable[[int, int, object], list[tuple]], total: Callable[[object], int], *, page: int = PAGE, wait: float = WAIT_S, since_column: str | None = None) -> type[DataSource]:
+    """A DataSource class to register under ``name`` with ``spark.dataSource.register``.
+
+    Filters reach it where ``spark.sql.python.filterPushdown.enabled`` is set.
+    """
 
     class Paged(DataSource):
         @classmethod
@@ -58,11 +78,34 @@ def paged_source(name: str, schema: str, fetch: Callable[[int, int], list[tuple]
             return schema
 
         def reader(self, schema: StructType) -> PagedReader:
-            return PagedReader(fetch, total, page, wait)
+            return PagedReader(fetch, total, page, wait, since_column)
 
     return Paged
 
 
+def smallest(files: dict[str, int]) -> str | None:
+    """The file to probe a source with: the smallest that is not empty, by name among equals."""
+    return min((n for n, size in files.items() if size), key=lambda n: (files[n], n), default=None)
+
+
+def download(open_url: Callable[[str], BinaryIO], url: str, to: str | Path, *, piece: int = 1 << 20, wait: float = WAIT_S) -> Path:
+    """A file fetched beside its place and moved there whole, so that a broken download never looks like a file."""
+    to = Path(to)
+    beside = to.with_name(to.name + ".part")
+
+    def once() -> list:
+        with open_url(url) as source, beside.open("wb") as target:
+            shutil.copyfileobj(source, target, piece)
+        return []
+
+    try:
+        with_retries(once, wait=wait)
+        beside.replace(to)
+    finally:
+        beside.unlink(missing_ok=True)
+    return to
+
+
 def sweep(fetch: Callable[[int, int], list[dict]], total: int, out: str | Path, checkpoint: str | Path, *, page: int = PAGE, wait: float = WAIT_S) -> int:
     """Pages appended to a JSON-lines file, resumed where the checkpoint says. Driver-side; returns rows written in all."""
     checkpoint, out = Path(checkpoint), Path(out)

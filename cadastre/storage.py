@@ -64,3 +64,52 @@ def drop_all(spark: SparkSession) -> None:
     """Delete every table this process has stored; for when the results over them have been read."""
     for path in list(_written):
         delete(spark, path)
+
+
+class Folder:
+    """Small files of one folder on any file system that Spark reaches: run records, ledgers, manifests."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, str(root).rstrip("/")
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def at(self, *parts: str) -> str:
+        return "/".join([self.root, *parts])
+
+    def exists(self, *parts: str) -> bool:
+        return self._fs.exists(self._path(self.at(*parts)))
+
+    def names(self, *parts: str) -> list[str]:
+        """Names of what lies in a folder; none if it is not there."""
+        where = self._path(self.at(*parts))
+        return sorted(f.getPath().getName() for f in self._fs.listStatus(where)) if self._fs.exists(where) else []
+
+    def read(self, *parts: str) -> str | None:
+        if not self.exists(*parts):
+            return None
+        stream = self._fs.open(self._path(self.at(*parts)))
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, text: str, *parts: str) -> None:
+        """Whole or not at all: written beside the file and renamed over it."""
+        target, beside = self._path(self.at(*parts)), self._path(self.at(*parts) + ".part")
+        stream = self._fs.create(beside, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        self._fs.delete(target, False)
+        if not self._fs.rename(beside, target):
+            raise OSError(f"could not write {self.at(*parts)}")
+
+    def copy(self, source: str, *parts: str) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        given = self._path(source)
+        beside = self._path(self.at(*parts) + ".part")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(given.getFileSystem(conf), given, self._fs, beside, False, True, conf)
+        self._fs.rename(beside, self._path(self.at(*parts)))
+
+    def drop(self, *parts: str) -> None:
+        self._fs.delete(self._path(self.at(*parts)), True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.upsert import upsert
+from ..storage import Folder
 
 OVERLAP = "14 days"
 
@@ -21,31 +22,44 @@ def read_drops(spark: SparkSession, folder: str, schema: str, at: str = "fetched
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).json(folder).withColumn("event_time", F.col(at).try_cast("timestamp"))
 
 
-def without_repeats(stream: DataFrame, key: list[str], overlap: str = OVERLAP) -> DataFrame:
-    return stream.where("event_time IS NOT NULL").withWatermark("event_time", overlap).dropDuplicatesWithinWatermark(key)
+def without_repeats(stream: DataFrame, key: list[str], overlap: str = OVERLAP, at: str = "fetchedAt") -> DataFrame:
+    """Copies of one fetch of a record are dropped, however late within the overlap; other fetches of it all stay."""
+    return stream.where("event_time IS NOT NULL").withWatermark("event_time", overlap).dropDuplicatesWithinWatermark([*key, at])
 
 
 class KeyedTable:
-    """A Parquet table replaced whole by each merge; ``current`` is the folder that readers use."""
+    """A Parquet table replaced whole by each merge, in one folder a batch; ``current`` is the latest complete one.
+
+    Which that is, the folders say themselves, so a restarted process goes on where the last one
+    ended. A table belongs to one checkpoint, whose batch numbers name its folders; the one before
+    the current is kept for its readers.
+    """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str], at: str):
-        self.spark, self.path, self.key, self.at = spark, path.rstrip("/"), key, at
-        self.version: int | None = None
+        self.spark, self.folder, self.key, self.at = spark, Folder(spark, path), key, at
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[2:]) for n in self.folder.names() if n.startswith("v=") and self.folder.exists(n, "_SUCCESS"))
+
+    def read(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(self.folder.at(f"v={version}"))
 
     def current(self) -> DataFrame | None:
-        return None if self.version is None else self.spark.read.parquet(f"{self.path}/v={self.version}")
+        known = self.versions()
+        return self.read(known[-1]) if known else None
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one micro-batch; one seen before (after a restart) gives the same table again."""
+        """Merge one micro-batch into the table before it; a batch seen before (after a restart) gives the same table again."""
         order = [F.col(self.at).desc_nulls_last()]
-        old = self.current()
+        earlier = [v for v in self.versions() if v < batch_id]
         new = batch.drop("event_time")
-        if old is not None:
+        old = self.read(earlier[-1]) if earlier else new.limit(0)
+        if earlier:
             # A late row must not replace a newer one.
             new = old.join(new.select(*self.key).distinct(), self.key, "left_semi").unionByName(new)
-        merged = upsert(new.limit(0) if old is None else old, new, self.key, order)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        self.version = batch_id
+        upsert(old, new, self.key, order).write.mode("overwrite").parquet(self.folder.at(f"v={batch_id}"))
+        for version in earlier[:-1]:
+            self.folder.drop(f"v={version}")
 
 
 def start_merge(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
+from cadastre import cli
+from cadastre.operators import publish
 from cadastre.plans import build, roll
 from cadastre.streaming import harvest
 
@@ -11,35 +15,72 @@ SF = "/root/testdata/sf0.001"
 
 
 def loaders(spark, **more):
-    return {"roll": lambda: roll.raw_roll(spark, SF), "portal": lambda: roll.raw_portal(spark, SF), "parcels": lambda: roll.parcels(spark, SF), "ratings": lambda: roll.profiles(spark, SF)} | more
+    return {"roll": lambda asked: roll.raw_roll(spark, SF), "portal": lambda asked: roll.raw_portal(spark, SF), "parcels": lambda asked: roll.parcels(spark, SF), "ratings": lambda asked: roll.profiles(spark, SF)} | more
 
 
 def test_runs_history_and_recovery(spark, tmp_path):
-    day = date(2002, 1, 1)
-    first = build.execute(spark, loaders(spark), tmp_path, run_date=day, run_id="r1")
+    day, out = date(2002, 1, 1), f"file://{tmp_path}"
+    first = build.execute(spark, loaders(spark), out, run_date=day, run_id="r1")
     assert (first.status, first.mode, first.previousRoot) == ("succeeded", "full", None) and first.tableCounts["properties"] > 0
+    assert {s.source: (s.seen > 0, s.inserted > 0, s.changed) for s in first.sources} == {n: (True, True, 0) for n in ("roll", "portal", "parcels", "ratings")}
+    permits = spark.read.parquet(str(tmp_path / "r1" / "permits"))
+    assert permits.where("source_system = 'osceola_appraiser' AND fetched_at IS NULL").count() == 0
 
-    def broken():
+    def broken(asked):
         raise OSError("offline")
 
-    second = build.execute(spark, loaders(spark, ratings=broken), tmp_path, run_date=day, run_id="r2")
-    assert second.mode == "incremental" and second.previousRoot == first.root and [s.status for s in second.sources][-1] == "failed"
-    again = spark.read.parquet(str(tmp_path / "r2" / "properties"))
-    assert {r[0] for r in again.select("first_seen_run_id").distinct().collect()} == {"r1"}
-    assert second.deltas["properties"] == 0
+    asked_for = []
+
+    def portal(asked):
+        """One permit that changed, and one that is new."""
+        asked_for.append((asked.mode, asked.window))
+        rows = roll.raw_portal(spark, SF).where("fetched_at = '2001-12-31'").orderBy("permit_number").limit(1)
+        new = rows.withColumns({"permit_number": F.lit("AC-new"), "fetched_at": F.lit("2002-01-02")})
+        return rows.withColumns({"status": F.lit("Withdrawn by owner"), "fetched_at": F.lit("2002-01-02")}).union(new)
+
+    second = build.execute(spark, loaders(spark, ratings=broken, portal=portal), out, run_date=date(2002, 1, 3), run_id="r2")
+    assert second.mode == "incremental" and second.previousRoot == first.root and asked_for == [("incremental", (date(2001, 12, 18), date(2002, 1, 3)))]
+    told = {s.source: s for s in second.sources}
+    assert told["ratings"].status == "failed" and (told["portal"].seen, told["portal"].inserted, told["portal"].changed) == (2, 1, 1)
+    assert second.deltas["properties"] == 0 and second.deltas["permits"] == 1
+    again = spark.read.parquet(str(tmp_path / "r2" / "permits"))
+    assert again.where("bbb_rating IS NOT NULL").count() == permits.where("bbb_rating IS NOT NULL").count()
+    assert {r[0] for r in again.where("permit_number = 'AC-new'").select("first_seen_run_id").collect()} == {"r2"}
 
     with pytest.raises(OSError):
-        build.execute(spark, loaders(spark, roll=broken), tmp_path, run_date=day, run_id="r3")
-    with pytest.raises(RuntimeError, match="coverage"):
-        history = build.History(tmp_path / "run-history.json")
-        record = history.runs()[1]
-        record["latitudePct"] = 99.0
-        runs = [record if r["runId"] == record["runId"] else r for r in history.runs()]
-        history.path.write_text(__import__("json").dumps(runs))
-        few = dict(loaders(spark))
-        few.pop("parcels")
-        build.execute(spark, few, tmp_path, run_date=day, run_id="r4")
-    assert [r["status"] for r in build.History(tmp_path / "run-history.json").runs()] == ["succeeded", "succeeded", "failed", "failed"]
+        build.execute(spark, loaders(spark, roll=broken), out, run_date=day, run_id="r3")
+    # Two real runs: the parcels of the second have hardly any coordinates.
+    bare = lambda asked: roll.parcels(spark, SF).withColumns({n: F.when(F.col("parcel_no") == "P1", F.col(n)) for n in ("latitude", "longitude")})
+    with pytest.raises(RuntimeError, match="coverage of latitude fell"):
+        build.execute(spark, loaders(spark, parcels=bare), out, mode="full", run_date=day, run_id="r4")
+    history = build.History(spark, out)
+    assert [r["status"] for r in history.runs()] == ["succeeded", "succeeded", "failed", "failed"] and history.last_published()["runId"] == "r2"
+    store = f"file://{tmp_path}/store"
+    assert publish.publish_store(spark, f"{out}/r2", store) == second.root == publish.publish_store(spark, f"{out}/r2", store)
+    kept = {p.name for p in (tmp_path / "store").iterdir() if not p.name.startswith(".")}
+    assert {"latest.json", f"{second.root}.json"} < kept and len(kept) >= 2 + 3
+
+
+def test_the_roll_is_loaded_once_a_digest(spark, tmp_path, capsys):
+    (tmp_path / "in" / "roll").mkdir(parents=True)
+    for name, df in roll.raw_roll(spark, SF).items():
+        rows = df.collect()
+        lines = ["|".join(df.columns), *("|".join("" if v is None else str(v) for v in r) for r in rows)]
+        (tmp_path / "in" / "roll" / f"{name}.csv").write_text("\n".join([*lines, "|".join(["x"] * (len(df.columns) + 1))]) + "\n")
+    given = ["--input", str(tmp_path / "in"), "--output", f"file://{tmp_path}/out", "--run-date", "2002-01-01"]
+    assert cli.main(["run", *given]) == 0
+    assert cli.main(["ingest", *given]) == 0
+    told = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert [t["status"] for t in told] == ["skipped"]
+    assert cli.main(["build", *given[2:]]) == 0 and cli.main(["verify", *given[2:4]]) == 0
+    ledger = json.loads((tmp_path / "out" / "load-ledger.json").read_text())
+    assert ledger["roll"]["quarantined"] == len(ledger["roll"]["tables"]) and len(ledger["roll"]["digest"]) == 64
+    first, second = build.History(spark, f"file://{tmp_path}/out").runs()
+    assert first["sources"][0]["quarantined"] == len(ledger["roll"]["tables"]) and second["sources"] == [] and second["tableCounts"] == first["tableCounts"]
+
+
+def harvest_batch(spark, rows):
+    return spark.createDataFrame(rows, "permitNumber string, status string, fetchedAt string").withColumn("event_time", F.col("fetchedAt").cast("timestamp"))
 
 
 def test_stream_merges_latest(spark, tmp_path):
@@ -56,12 +97,19 @@ def test_stream_merges_latest(spark, tmp_path):
     run()
     assert sorted((r["permitNumber"], r["status"]) for r in table.current().collect()) == [("1", "new"), ("2", "x")]
 
+    # A process that starts anew finds the table as it was, and a batch given twice changes nothing.
+    table = harvest.KeyedTable(spark, str(tmp_path / "table"), ["permitNumber"], "fetchedAt")
+    (drops / "c.json").write_text('{"permitNumber":"3","status":"y","fetchedAt":"2026-01-06T00:00:00"}\n')
+    run()
+    table.merge(harvest_batch(spark, [("3", "y", "2026-01-06T00:00:00")]), table.versions()[-1])
+    assert sorted((r["permitNumber"], r["status"]) for r in table.current().collect()) == [("1", "new"), ("2", "x"), ("3", "y")] and len(table.versions()) == 2
+
 
 def test_stream_windows_and_repeats(spark, tmp_path):
     (tmp_path / "d").mkdir()
-    (tmp_path / "d" / "a.json").write_text("".join(f'{{"permitNumber":"{k % 2}","status":"s","fetchedAt":"2026-01-0{1 + k}T00:00:00"}}\n' for k in range(4)))
+    (tmp_path / "d" / "a.json").write_text("".join(f'{{"permitNumber":"{k % 2}","status":"s","fetchedAt":"2026-01-0{1 + k}T00:00:00"}}\n' for k in [0, 1, 2, 3, 3]))
     stream = harvest.read_drops(spark, str(tmp_path / "d"), "permitNumber string, status string, fetchedAt string")
-    for name, df, mode, n in (("once", harvest.without_repeats(stream, ["permitNumber"]), "append", 2), ("days", harvest.windowed_counts(stream), "complete", 4)):
+    for name, df, mode, n in (("once", harvest.without_repeats(stream, ["permitNumber"]), "append", 4), ("days", harvest.windowed_counts(stream), "complete", 4)):
         query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start()
         query.awaitTermination(60)
         assert spark.table(name).count() == n

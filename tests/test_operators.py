@@ -119,7 +119,8 @@ def test_guards(spark, bad):
 
 
 def test_limits():
-    assert [leads.limit_of(n, 500) for n in (None, 0, 5, 9999)] == [500, 1, 5, 1000]
+    assert [leads.limit_of(n, 500) for n in (None, 0, -3, 5, 5.9, 9999, float("nan"), float("inf"))] == [500, 500, 500, 5, 5, 1000, 500, 500]
+    assert [r["k"] for r in leads.resorted([{"k": 1}, {"k": None}, {"k": 3}], "k")] == [3, 1, None]
 
 
 @pytest.mark.parametrize("sql", ["", "DELETE FROM t", "SELECT 1; SELECT 2", "SELECT ';'", "x" * 20_001, "selective 1"])

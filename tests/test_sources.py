@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import io
 import json
+import shutil
+import struct
 import zipfile
 from datetime import date
 
 import pytest
 
-from cadastre.sources import artifacts, delimited, harvests, html, paged
+from cadastre.operators import places
+from cadastre.sources import artifacts, delimited, harvests, html, paged, shapefile
 from tests_data import DETAIL, GRID
 
 
@@ -64,12 +68,91 @@ def test_features(spark):
 
 
 def test_paged_source(spark):
-    def fetch(offset, size):
-        return [(k, f"row {k}") for k in range(offset, offset + size)]
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
 
-    spark.dataSource.register(paged.paged_source("county_pages", "k int, v string", fetch, 4500))
+    def fetch(offset, size, since):
+        return [(k + (since or 0), f"row {k} of {since}") for k in range(offset, offset + size)]
+
+    spark.dataSource.register(paged.paged_source("county_pages", "k int, v string", fetch, lambda since: 4500 - (since or 0), since_column="k"))
     df = spark.read.format("county_pages").load()
     assert df.count() == 4500 and df.rdd.getNumPartitions() == 3
+    late = df.where("k >= 4000 AND v LIKE 'row 1%'")
+    assert {r["v"].split(" of ")[1] for r in late.collect()} == {"4000"} and late.count() == 111
+
+
+def test_small_files(tmp_path):
+    assert paged.smallest({"a": 0, "c": 5, "b": 5}) == "b" and paged.smallest({}) is None
+    tries = []
+
+    def open_url(url):
+        tries.append(url)
+        if len(tries) == 1:
+            raise OSError("once")
+        return io.BytesIO(b"x" * 3_000_000)
+
+    assert paged.download(open_url, "u", tmp_path / "f.zip", wait=0).stat().st_size == 3_000_000 and len(tries) == 2
+    with pytest.raises(OSError):
+        paged.download(lambda u: (_ for _ in ()).throw(OSError("gone")), "u", tmp_path / "g.zip", wait=0)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["f.zip"]
+
+
+def shape_zip(path, rings, names):
+    body = b""
+    for k, ring in enumerate(rings):
+        points = b"".join(struct.pack("<2d", *p) for p in ring)
+        shape = struct.pack("<i4d2ii", 5, 0, 0, 0, 0, 1, len(ring), 0) + points
+        body += struct.pack(">2i", k + 1, len(shape) // 2) + shape
+    field = b"GEOID".ljust(11, b"\0") + b"C" + bytes(4) + bytes([8]) + bytes(15)
+    rows = b"".join(b" " + n.encode().ljust(8) for n in names)
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("county/tl.shp", bytes(100) + body)
+        z.writestr("county/tl.dbf", struct.pack("<4BIHH", 3, 0, 0, 0, len(names), 65, 9) + bytes(20) + field + b"\r" + rows)
+
+
+def test_places_of_a_release(spark, tmp_path):
+    ring = [(-81.7, 27.5), (-80.8, 27.5), (-80.8, 28.4), (-81.7, 28.4), (-81.7, 27.5)]
+    shape_zip(tmp_path / "b.zip", [[(0, 0), (1, 0), (1, 1), (0, 0)], ring], ["12001", "12097"])
+    found = shapefile.boundary(tmp_path / "b.zip", "GEOID", "12097")
+    assert found == ring and len(shapefile.read_zip(tmp_path / "b.zip")) == 2
+    with pytest.raises(ValueError, match="no shape"):
+        shapefile.boundary(tmp_path / "b.zip", "GEOID", "0")
+    schema = (
+        "id string, names struct<primary:string>, taxonomy struct<primary:string,hierarchy:array<string>,alternates:array<string>>, basic_category string, operating_status string, confidence double, websites array<string>, phones array<string>, "
+        "emails array<string>, brand struct<names:struct<primary:string>>, addresses array<struct<freeform:string,locality:string,postcode:string,region:string>>, sources array<struct<dataset:string>>, bbox struct<xmin:float,xmax:float,ymin:float,ymax:float>"
+    )
+    row = lambda k, x, y: (k, ("n",), ("t", ["a", "b"], None), "c", "open", 0.9, None, ["407"], None, None, [("1 A ST", "K", "34741", "FL")], [("meta",)], (x, x, y, y))
+    spark.createDataFrame([row("in", -81.4, 28.0), row("out", -70.0, 28.0)], schema).write.parquet(str(tmp_path / "release=r1" / "theme=places" / "type=place"))
+    scanned = places.read_release(spark, str(tmp_path), "r1", found)
+    assert "PushedFilters: [" in (plan := scanned._jdf.queryExecution().executedPlan().toString()) and "GreaterThanOrEqual(bbox.xmin" in plan
+    for _ in range(2):
+        got = places.cached_extract(spark, str(tmp_path), "r1", found, "12097", str(tmp_path / "cache")).collect()
+        assert [(r["gers_id"], r["taxonomy_hierarchy"], r["county_fips"]) for r in got] == [("in", "a/b", "12097")]
+        shutil.rmtree(tmp_path / "release=r1", ignore_errors=True)
+
+
+def test_professional_blocks():
+    def told(*lines):
+        return html.professional(html.parse("<td>" + "<br>".join(lines) + "</td>").children[0])[0]
+
+    full = told("JANE DOE", "ABC ROOFING", "OF ORLANDO", "12 MAIN ST", "SUITE 5", "KISSIMMEE, FL, 34741", "ROOFING CCC1330001")
+    assert (full["businessName"], full["address"], full["licenseNumber"], full["licenseType"]) == ("ABC ROOFING OF ORLANDO", "12 MAIN ST, SUITE 5, KISSIMMEE, FL, 34741", "CCC1330001", "ROOFING")
+    box = told("JOE", "P.O. Box 7", "ORLANDO FL", "ORLANDO, FL 32801-1234")
+    assert (box["businessName"], box["address"], box["licenseNumber"]) == (None, "P.O. Box 7, ORLANDO FL, ORLANDO, FL 32801-1234", None)
+    bare = told("JOE", "ABC INC", "somewhere", "CBC-12345")
+    assert (bare["businessName"], bare["address"], bare["licenseNumber"], bare["licenseType"]) == ("ABC INC", "somewhere", "CBC12345", None)
+    assert told("ONE")["name"] == "ONE" and told()["name"] is None and told("JOE", "ABC", "KISSIMMEE, FL 34741")["address"] == "KISSIMMEE, FL 34741"
+
+
+def test_failed_pages_are_rows(spark):
+    df = spark.createDataFrame([("u1", "<p>", 1), ("u2", "bad", 2)], "url string, html string, page_id int")
+
+    def parser(page, url):
+        if page == "bad":
+            raise ValueError("broken")
+        return [{"n": 1}]
+
+    got = {tuple(r) for r in html.parse_pages(df, parser, "n int", keep=["page_id"]).collect()}
+    assert got == {(1, 1, None), (2, None, "broken")}
 
 
 def test_sweep_resumes(tmp_path):
