@@ -1,73 +1,17 @@
-"""Shared pieces of the training-data operators: scratch tables and document access."""
+"""Shared pieces of the training-data operators: document access. Scratch tables are those of ``storage``."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import drop_stored, stored
 
-#: Folder of a single-machine session that names none, and the tables written by this process.
-_own: list[str] = []
-_written: list[str] = []
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Where that is unset, the context's checkpoint folder, and on a single machine (a ``local``
-    master, as in tests) a temporary folder. A cluster without one is an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not _own:
-            _own.append("file://" + tempfile.mkdtemp(prefix="cadastre-"))
-        root = _own[0]
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared folder and read it back.
-
-    The lineage ends here, so a lost executor costs a reread and never a recomputation,
-    and two plans over the result see the same rows.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
-    found = spark.read.schema(df.schema).parquet(path)
-    found._scratch = path
-    return found
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    if path in _written:
-        _written.remove(path)
-
-
-def drop_scratch(*tables: DataFrame) -> None:
-    """Delete the files of tables that ``materialise`` gave, once all that reads them has been written."""
-    for df in tables:
-        delete(df.sparkSession, df._scratch)
-
-
-def drop_all(spark: SparkSession) -> None:
-    """Delete every scratch table this process has written; for when its results have been read."""
-    for path in list(_written):
-        delete(spark, path)
+#: Write a table once into the shared folder and read it back; delete one that nothing reads any more.
+materialise, drop_scratch = stored, drop_stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

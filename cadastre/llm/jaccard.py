@@ -2,16 +2,20 @@
 
 1. Shingle sets are hashed, and every shingle's document frequency is counted exactly.
 2. A set's prefix is its rarest shingles, one more than a similar set may lack. Similar
-   sets share one in their prefixes; equal sets are one from here on. Sets that share
-   prefix shingles, directly or through others, form a cell: no link leaves a cell.
-3. Each cell is joined by a signature tree. A cell beyond ``block`` sets is dealt into
-   blocks; the components of each block send one set each to the next level, and so on.
-   What is still apart then is compared block by block, all sets of the smaller components
-   with all others of the cell, so that no link is lost and copies are never paired off.
+   sets share one in their prefixes; equal sets are one from here on. All sets with one
+   shingle in their prefixes are that shingle's list, and all links lie within lists.
+3. Each set is first joined in one list alone, the largest it is in, by signature trees. A list
+   beyond ``block`` sets is dealt into blocks; the components of each block send one set
+   each to the next level, and so on. For groups of copies this does nearly all of it.
+4. Every list whose sets are not one component by then is joined whole, lists of the same sets
+   once: in one tree, or beyond ``block`` sets by size classes (sets link within one class or with the
+   next), each block against block, the smaller components against all of the class. So no link
+   is lost, copies are never paired off, and sets that only share words are compared list by list.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,27 +25,29 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers, release_memory
-from .common import materialise, table, text_bytes
+from .blocks import Block, Counted, exchange, in_blocks, mixed, read_answers, release_memory
+from .common import drop_scratch, long_id, materialise, table, text_bytes
 from .components import components
 from .signature_tree import link, needed
 
 BLOCK = 128
 
 
-def shingles(text: bytes, length: int) -> np.ndarray:
-    """Sorted distinct keys of the word ``length``-grams of a text, or of all its words if fewer."""
-    words = hashes(text.lower().split())
-    n = len(words)
-    if not n:
-        return words
-    return np.unique(mixed(*[words[k : n - length + 1 + k] for k in range(length)]) if n >= length else mixed(*[words[k : k + 1] for k in range(n)]))
+def shingles(block: Block, length: int) -> list[np.ndarray]:
+    """By row, the sorted distinct keys of the word ``length``-grams, or of all its words if fewer."""
+    keys, out = block.keys, []
+    grams = mixed(*[keys[k : len(keys) - length + 1 + k] for k in range(length)]) if len(keys) >= length else keys[:0]
+    for a, b in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
+        if b - a >= length:
+            out.append(np.unique(grams[a : b - length + 1]))
+        else:
+            out.append(mixed(*[keys[k : k + 1] for k in range(a, b)]) if b > a else keys[:0])
+    return out
 
 
 def asker(length: int):
-    def ask(rows: pa.Table) -> list[Counted]:
-        sets = [shingles(t.as_py(), length) for t in rows["text"]]
-        return [np.unique(np.concatenate(sets), return_counts=True)]
+    def ask(block: Block, _: list[np.ndarray] | None) -> list[Counted]:
+        return [np.unique(np.concatenate(shingles(block, length)), return_counts=True)]
 
     return ask
 
@@ -51,7 +57,7 @@ SETS = "uid long, doc_id long, n long, print string, keys array<long>, shingles
 
 def shingle_sets(docs: DataFrame, length: int, percent: int, name: str) -> DataFrame:
     """Stored rows of ``SETS``: for sets that can have a link, their shared prefix shingles and all shingles."""
-    given = docs.select("doc_id", text_bytes().alias("text"))
+    given = docs.select(long_id(), text_bytes().alias("text"))
     found, _ = exchange(in_blocks(given, f"{name}-blocks"), asker(length), 1, f"{name}-answers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,12 +66,12 @@ def shingle_sets(docs: DataFrame, length: int, percent: int, name: str) -> DataF
         part, serial = TaskContext.get().partitionId(), 0
         for batch in batches:
             for k in range(batch.num_rows):
-                rows = from_payload(batch.column(0)[k].as_py())
-                sets = [shingles(t.as_py(), length) for t in rows["text"]]
+                block = Block.unpack(batch.column(0)[k].as_py())
+                sets = shingles(block, length)
                 _, number = np.unique(np.concatenate(sets), return_inverse=True)
-                (frequency,) = read_answers(batch.column(1)[k].as_py(), 1)
+                (frequency,) = read_answers(batch.column(1)[k].as_py())
                 frequency, low, made = frequency[number], 0, []
-                for doc, own in zip(rows["doc_id"].to_pylist(), sets, strict=True):
+                for doc, own in zip(block.rows["doc_id"].to_pylist(), sets, strict=True):
                     n, kept, digest, raw = len(own), None, None, None
                     df, low = frequency[low : low + n], low + n
                     length_of_prefix = n - needed(n, percent) + 1
@@ -79,13 +85,17 @@ def shingle_sets(docs: DataFrame, length: int, percent: int, name: str) -> DataF
                     serial += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), kinds, strict=True)], names=names)
                 release_memory()
-        release_memory(words=True)
 
-    return materialise(found.select("payload", "answers").mapInArrow(run, SETS), f"{name}-sets")
+    sets = materialise(found.select("payload", "answers").mapInArrow(run, SETS), f"{name}-sets")
+    drop_scratch(found)
+    return sets
+
+
+GROUP = ["cell", "size_class", "x", "y"]
 
 
 def linked_groups(rows: DataFrame, percent: int) -> DataFrame:
-    """(uid, was, label) of ``rows`` (group columns cell, x, y; uid, label, shingles), each group joined by one tree."""
+    """(uid, was, label) of ``rows`` (columns of GROUP; uid, label, shingles), each group joined by one tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, uids, labels, sets = None, [], [], []
@@ -107,8 +117,7 @@ def linked_groups(rows: DataFrame, percent: int) -> DataFrame:
         if uids:
             yield close()
 
-    group = ["cell", "x", "y"]
-    dealt = rows.select(*group, "uid", "label", "shingles").repartition(*group).sortWithinPartitions(*group, "uid")
+    dealt = rows.select(*GROUP, "uid", "label", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP, "uid")
     return dealt.mapInArrow(run, "uid long, was long, label long")
 
 
@@ -117,56 +126,85 @@ def dealt(size: Column, block: int, seed: int) -> Column:
     return F.when(size <= block, F.lit(0)).otherwise(F.pmod(F.xxhash64("uid", F.lit(seed)), F.ceil(size / (0.75 * block))).cast("int"))
 
 
-def link_cells(members: DataFrame, percent: int, block: int, name: str) -> DataFrame:
-    """(uid, label) of ``members`` (cell, uid, shingles): one label for each component of similar sets."""
-    sizes = materialise(members.groupBy("cell").agg(F.count("*").alias("size")), f"{name}-sizes")
-    sized = members.join(sizes, "cell")
-    begun = sized.withColumn("x", dealt(F.col("size"), block, 0)).withColumn("y", F.lit(0)).withColumn("label", F.col("uid"))
-    labels = materialise(linked_groups(begun, percent).select("uid", "label"), f"{name}-level")
-    # Cells of one block are done. Higher levels: one set of each component.
-    large = materialise(sized.where(F.col("size") > block).drop("size"), f"{name}-large")
-    if large.isEmpty():
-        return labels
-    level, seed, top = labels, 0, large
+def in_levels(members: DataFrame, percent: int, block: int, name: str) -> DataFrame:
+    """Stored (uid, label) of ``members`` (cell, uid, shingles), each uid in one cell: sets of one label are linked.
+
+    Level by level, one set of each component of a block meets those of others. Ends once every
+    cell fits one block, or a level merges few: those links are left to the lists.
+    """
+    top, level, labels, seed = members, None, None, 0
     while True:
+        sizes = materialise(top.groupBy("cell").agg(F.count("*").alias("size")), f"{name}-sizes")
+        sized = top.join(sizes, "cell")
+        begun = sized.select("cell", F.lit(0).alias("size_class"), dealt(F.col("size"), block, seed).alias("x"), F.lit(0).alias("y"), "uid", F.col("uid").alias("label"), "shingles")
+        level = materialise(linked_groups(begun, percent).select("uid", "label"), f"{name}-level")
+        if labels is None:
+            labels = level
+        else:
+            step = level.select(F.col("uid").alias("label"), F.col("label").alias("to"))
+            labels = materialise(labels.join(step, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
+        heads = sized.where(F.col("size") > block).select("cell", "uid", "shingles").join(level.where("uid = label").select("uid"), "uid", "left_semi")
+        top = materialise(heads, f"{name}-heads")
+        before, left = sizes.where(F.col("size") > block).agg(F.sum("size")).first()[0] or 0, top.count()
+        if not left or left > 0.8 * before:
+            return labels
         seed += 1
-        heads = materialise(top.join(level.where("uid = label").select("uid"), "uid", "left_semi"), f"{name}-heads")
-        sizes = materialise(heads.groupBy("cell").agg(F.count("*").alias("size")), f"{name}-sizes")
-        before = heads.count()
-        x = heads.join(sizes, "cell").withColumn("x", dealt(F.col("size"), block, seed)).withColumn("y", F.lit(0)).withColumn("label", F.col("uid"))
-        level = materialise(linked_groups(x, percent).select("uid", "label"), f"{name}-level")
-        step = level.select(F.col("uid").alias("label"), F.col("label").alias("to"))
-        labels = materialise(labels.join(step, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
-        left = level.where("uid = label").count()
-        if sizes.where(F.col("size") > block).isEmpty() or left > 0.8 * before:
-            break
-        top = heads
-    # What is still apart in a large cell: the smaller components against all of it.
-    now = large.join(labels, "uid")
-    parts = now.groupBy("cell", "label").agg(F.count("*").alias("n"))
-    order = F.struct("n", "label")
-    main = parts.groupBy("cell").agg(F.max(order).alias("main"), F.count("*").alias("components"), F.sum("n").alias("size"))
-    apart = materialise(main.where("components > 1").select("cell", F.col("main.label").alias("main"), F.col("main.n").alias("n"), (F.col("size") - F.col("main.n")).alias("rest")), f"{name}-apart")
-    if apart.isEmpty():
-        return labels
+
+
+def open_lists(postings: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """Stored (cell, size) of lists whose sets are not one component, of lists with the same sets the one of the smallest key."""
+    placed = postings.join(labels, "uid")
+    same = [F.bit_xor(F.xxhash64("uid", F.lit(seed))).alias(f"same_{seed}") for seed in (1, 2)]
+    lists = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), *same).where("low < high")
+    return materialise(lists.groupBy("size", "same_1", "same_2").agg(F.min("key").alias("cell")).select("cell", "size"), f"{name}-open")
+
+
+def apart(postings: DataFrame, lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int, name: str) -> DataFrame:
+    """Rows for ``linked_groups`` in which every two sets of a list, of sizes that can link and of different labels, meet."""
+    listed = materialise(postings.withColumnRenamed("key", "cell").join(lists, "cell").join(labels, "uid").join(sets.select("uid", "n"), "uid"), f"{name}-listed")
+    # A class is a little wider than the ratio of sizes that may link, so that rounding parts none of them.
+    ratio = math.log(100 / percent * 1.001) if percent < 100 else 1e-3
+    own = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
+    classes = F.when(F.col("size") <= block, F.array(F.lit(0))).otherwise(F.array(own, own - 1))
+    classed = listed.withColumn("size_class", F.explode(classes))
+    parts = classed.groupBy("cell", "size_class", "label").agg(F.count("*").alias("m"))
+    main = parts.groupBy("cell", "size_class").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("total"), F.count("*").alias("labels"))
+    sized = materialise(main.where("labels > 1").select("cell", "size_class", F.col("main.label").alias("main"), F.col("main.m").alias("most"), (F.col("total") - F.col("main.m")).alias("rest")), f"{name}-classes")
     half = max(1, block // 2)
-    placed = now.join(apart, "cell").withColumn("minor", F.col("label") != F.col("main"))
-    minors, majors = F.ceil(F.col("rest") / half).cast("int"), F.ceil(F.col("n") / half).cast("int")
-    own = F.pmod(F.xxhash64("uid", F.lit(-1)), F.when(F.col("minor"), minors).otherwise(majors)).cast("int")
+    placed = classed.join(sized, ["cell", "size_class"]).withColumn("minor", F.col("label") != F.col("main"))
+    minors, majors = F.ceil(F.col("rest") / half).cast("int"), F.ceil(F.col("most") / half).cast("int")
+    at = F.pmod(F.xxhash64("uid", F.lit(-1)), F.when(F.col("minor"), minors).otherwise(majors)).cast("int")
     every = F.sequence(F.lit(0), minors - 1)
     # Group (x, y): minor block x with minor block y >= x, or with main block y - minors.
-    groups = F.when(
-        F.col("minor"),
-        F.flatten(F.array(F.transform(every, lambda k: F.struct(F.least(k, own).alias("x"), F.greatest(k, own).alias("y"))), F.transform(F.sequence(F.lit(0), majors - 1), lambda k: F.struct(own.alias("x"), (minors + k).alias("y"))))),
-    ).otherwise(F.transform(every, lambda k: F.struct(k.alias("x"), (minors + own).alias("y"))))
-    pairs = placed.withColumn("group", F.explode(groups)).select("cell", "group.x", "group.y", "uid", "label", "shingles")
-    found = linked_groups(pairs, percent).where("was <> label").select(F.col("was").alias("a"), F.col("label").alias("b")).distinct()
-    merged = components(found, f"{name}-merged").select(F.col("node").alias("label"), F.col("label").alias("to"))
-    return materialise(labels.join(merged, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
+    pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    of_minor = F.concat(F.transform(every, lambda k: pair(F.least(k, at), F.greatest(k, at))), F.transform(F.sequence(F.lit(0), majors - 1), lambda k: pair(at, minors + k)))
+    of_main = F.transform(every, lambda k: pair(k, minors + at))
+    whole = F.col("rest") + F.col("most") <= block
+    groups = F.when(whole, F.array(pair(F.lit(0), F.lit(0)))).when(F.col("minor"), of_minor).otherwise(of_main)
+    shipped = placed.withColumn("group", F.explode(groups)).select("cell", "size_class", "group.x", "group.y", "uid", "label")
+    return shipped.join(sets.select("uid", "shingles"), "uid")
+
+
+def link_sets(sets: DataFrame, percent: int, block: int, name: str) -> DataFrame:
+    """Stored (uid, label) of ``sets`` (uid, n, keys, shingles) that are in a list: one label for each component."""
+    posted = materialise(sets.select("uid", F.explode("keys").alias("key")), f"{name}-postings")
+    sizes = materialise(posted.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), f"{name}-keys")
+    postings = materialise(posted.join(sizes, "key"), f"{name}-listed")
+    homes = postings.groupBy("uid").agg(F.max(F.struct("size", "key")).alias("home")).select("uid", F.col("home.key").alias("cell"))
+    members = materialise(sets.select("uid", "shingles").join(homes, "uid"), f"{name}-members")
+    labels = in_levels(members, percent, block, name)
+    keyed = postings.select("uid", "key")
+    lists = open_lists(keyed, labels, name)
+    found = linked_groups(apart(keyed, lists, labels, sets, percent, block, name), percent)
+    edges = materialise(found.where("was <> label").select(F.col("was").alias("a"), F.col("label").alias("b")).distinct(), f"{name}-edges")
+    merged = components(edges, f"{name}-merged").select(F.col("node").alias("label"), F.col("label").alias("to"))
+    done = materialise(labels.join(merged, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
+    drop_scratch(posted, sizes, postings, members, labels, lists, edges)
+    return done
 
 
 def jaccard_components(docs: DataFrame, *, length: int = 5, percent: int = 80, block: int = BLOCK, name: str = "jaccard") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id of any integer type, text).
 
     Two rows link when 100 * intersection >= ``percent`` * union of their shingle sets.
     ``component_id`` is the smallest doc_id reachable. Rows without words, null texts too, have
@@ -176,35 +214,32 @@ def jaccard_components(docs: DataFrame, *, length: int = 5, percent: int = 80, b
     sets = shingle_sets(docs, length, percent, name)
     active = sets.where("print IS NOT NULL")
     nodes = materialise(active.groupBy("print").agg(F.min("uid").alias("uid")), f"{name}-nodes")
-    keys = active.select("uid", F.explode("keys").alias("key")).join(nodes.select("uid"), "uid", "left_semi")
-    postings = materialise(keys, f"{name}-postings")
-    centres = materialise(postings.groupBy("key").agg(F.min("uid").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b"), f"{name}-centres")
-    edges = postings.join(centres, "key").where("uid <> b").select(F.col("uid").alias("a"), "b").distinct()
-    cells = components(edges, f"{name}-cells").select(F.col("node").alias("uid"), F.col("label").alias("cell"))
-    members = materialise(sets.select("uid", "shingles").join(cells, "uid"), f"{name}-members")
-    labels = link_cells(members, percent, block, name)
-    node_of = materialise(active.select("doc_id", "n", "print").join(nodes, "print").select("doc_id", "n", "uid"), f"{name}-rows")
+    # One of all equal sets.
+    single = materialise(active.select("uid", "n", "keys", "shingles").join(nodes.select("uid"), "uid", "left_semi"), f"{name}-single")
+    labels = link_sets(single, percent, block, name)
+    node_of = active.select("doc_id", "n", "print").join(nodes, "print").select("doc_id", "n", "uid")
     placed = materialise(node_of.join(labels, "uid", "left").select("doc_id", "n", F.coalesce("label", "uid").alias("label")), f"{name}-placed")
     leaders = materialise(placed.groupBy("label").agg(F.min("doc_id").alias("component_id")), f"{name}-leaders")
+    rest = materialise(sets.where("print IS NULL").select("doc_id", "n"), f"{name}-rest")
+    drop_scratch(sets, nodes, single, labels)
     together = placed.join(leaders, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return together.union(sets.where("print IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    return together.union(rest.select("doc_id", "n", F.col("doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one row of each component, the one of the smallest doc_id.
+    """``docs`` with one row of each component: of the smallest doc_id (nulls last), and of rows of one id the first.
 
-    Rows without words stay, and so do rows with a null doc_id. Where ids repeat, they do not
-    tell rows apart, and the rows are joined by numbers of their own.
+    Rows are told apart by numbers of their own, so ids may repeat or be null: a row goes only if
+    its own text is linked with another that stays. Rows without words stay.
     """
-    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        found = jaccard_components(docs, **how)
-        dropped = materialise(found.where("doc_id <> component_id").select("doc_id"), "jaccard-dropped")
-        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-numbered")
-    found = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("__row"), "component_id")
-    placed = materialise(rows.where("doc_id IS NOT NULL").select("__row", "doc_id").join(found, "__row"), "jaccard-found")
-    leaders = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first")).select("first.__row")
-    dropped = materialise(placed.join(leaders, "__row", "left_anti").select("__row"), "jaccard-dropped")
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    found = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"), **how).where("n_shingles > 0")
+    grouped = found.select(F.col("doc_id").alias("__row"), "component_id")
+    # Components of one row are most of all; only rows of larger ones are looked at.
+    larger = materialise(grouped.join(grouped.where("__row <> component_id").select("component_id").distinct(), "component_id", "left_semi"), "jaccard-larger")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
+    first = larger.join(rows.select("__row", "doc_id"), "__row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__row")
+    dropped = materialise(larger.join(first, "__row", "left_anti").select("__row"), "jaccard-dropped")
     return rows.join(dropped, "__row", "left_anti").select(*docs.columns)
 
 

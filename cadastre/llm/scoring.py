@@ -1,20 +1,23 @@
-"""Language-model scores by a weighted backoff automaton over smoothed bigrams.
+"""Language-model scores by a weighted backoff automaton over smoothed trigrams.
 
-A state is a history that training texts hold: none, or the last word. A state's arcs are the
-words seen after it; for any other word a failure arc leads, at a cost, to the shorter
-history, where every known word and the unknown word have an arc. Smoothing is a Dirichlet
-prior on the shorter history: with c(h) continuations of history h in training,
+A state is a history that training texts hold: none, the last word, or the last two. A state's
+arcs are the words seen after it; for any other word a failure arc leads, at a cost, to the
+shorter history that is a state, and at last to the root, where every known word and the unknown
+word have an arc. Smoothing is a Dirichlet prior on the shorter history: with c(h) continuations
+of history h in training, and p the weight that the shorter history gives,
 
     arc(h, w)  = (c(h, w) + strength * p(w)) / (c(h) + strength)
     failure(h) = strength / (c(h) + strength)
-    p(w)       = (c(w) + 0.5) / (N + 0.5 * (V + 1)),    the last share for any unknown word
+    p(w)       = (c(w) + 0.5) / (N + 0.5 * (V + 1)) at the root, the last share for any unknown word
 
 so the weights leaving a state sum to one. A traversal reads a text from left to right,
 carries the state, follows failure arcs until an arc takes the word, and adds up log10 weights.
 
 The automaton of a large corpus fits nowhere whole. A block of texts can only reach the
-states and arcs of its own words and word pairs, so each block is given exactly those, with
-counts over all training texts (``blocks.exchange``), and is traversed where it lies.
+states and arcs of its own words, pairs and triples, so each block is given exactly those, with
+counts over all training texts (``blocks.exchange``), and is traversed where it lies. Triples are
+exchanged only where that can tell anything: if no other block holds a triple's first pair, or none
+its last, then no other block holds the triple.
 """
 
 from __future__ import annotations
@@ -27,38 +30,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Asked, Counted, exchange, from_payload, hashes, in_blocks, mixed, read_answers, release_memory
-from .common import id_crc, table, text_bytes
+from .blocks import Asked, Block, Counted, exchange, in_blocks, mixed, read_answers, release_memory
+from .common import id_crc, long_id, table, text_bytes
 
 #: Keys of the start of a text and of the end token; no word hashes to them but by chance.
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
+#: Tokens whose arcs are laid out at once for a traversal.
+STRIDE = 50_000
 
 
 @dataclass
 class Tokens:
-    """A block's tokens in reading order: word key, and the key of the pair with the one before."""
+    """A block's tokens in reading order: keys of the word, of the pair and of the triple that it ends.
+
+    The first token of a text ends no triple, and its pair begins with the start of the text.
+    """
 
     word: np.ndarray
     pair: np.ndarray
+    triple: np.ndarray
     first: np.ndarray
     ends: np.ndarray
     learn: np.ndarray
 
 
-def tokens_of(rows: pa.Table) -> Tokens:
-    texts = [t.split() for t in (x.as_py().lower() for x in rows["text"])]
-    ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
-    first = np.concatenate(([0], ends[:-1])).astype(np.int64)
+def tokens_of(block: Block) -> Tokens:
+    sizes = np.diff(block.ends, prepend=0) + 1
+    ends = np.cumsum(sizes)
+    first = ends - sizes
     word = np.empty(int(ends[-1]), np.uint64)
-    word[ends - 1] = END
     inner = np.ones(len(word), bool)
     inner[ends - 1] = False
-    word[inner] = hashes([w for t in texts for w in t])
+    word[inner], word[ends - 1] = block.keys, END
     before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[first] = START
-    learn = np.repeat(np.array(rows["learn"].to_pylist(), bool), np.diff(ends, prepend=0))
-    return Tokens(word, mixed(before, word), first, ends, learn)
+    before[1:], before[first] = word[:-1], START
+    pair = mixed(before, word)
+    before[1:], before[first] = pair[:-1], 0
+    return Tokens(word, pair, mixed(before, word), first, ends, np.repeat(np.array(block.rows["learn"].to_pylist(), bool), sizes))
 
 
 def counted(keys: np.ndarray, learn: np.ndarray) -> Counted:
@@ -66,73 +74,136 @@ def counted(keys: np.ndarray, learn: np.ndarray) -> Counted:
     return distinct, np.bincount(number, weights=learn, minlength=len(distinct)).astype(np.int64)
 
 
-def ask(rows: pa.Table) -> list[Counted]:
-    t = tokens_of(rows)
+def word_keys(t: Tokens) -> Counted:
+    """Words, and the start of the text as a history that every text continues once."""
     starts = t.learn[t.first]
-    words = counted(np.concatenate((t.word, np.full(len(starts), START))), np.concatenate((t.learn, starts)))
-    return [words, counted(t.pair, t.learn)]
+    return counted(np.concatenate((t.word, np.full(len(starts), START))), np.concatenate((t.learn, starts)))
 
 
-class Automaton:
-    """The states and arcs that one block's tokens reach; ``walk`` is one traversal of each text."""
-
-    def __init__(self, tokens: Tokens, words: np.ndarray, pairs: np.ndarray, sums: Asked, strength: float):
-        keys = np.unique(np.concatenate((tokens.word, np.array([START]))))
-        self.tokens = tokens
-        self.root_mass = sums.total + 0.5 * (sums.keys + 1)
-        self.continued = words
-        self.start = int(np.searchsorted(keys, START))
-        self.label = np.searchsorted(keys, tokens.word)
-        self.root = np.log10((words + 0.5) / self.root_mass)
-        # A word's state exists where it was seen in training; its failure arc leads to the root.
-        self.failure = np.log10(strength / (words + strength))
-        self.arc_of = np.unique(tokens.pair, return_inverse=True)[1]
-        self.arc_count, self.strength = pairs, strength
+#: A pair's count in training lies below this bit, and the number of blocks that hold it at all above.
+HOLDERS = 40
+
+
+def ask_pairs(block: Block, _: list[np.ndarray] | None) -> list[Counted]:
+    t = tokens_of(block)
+    pairs, counts = counted(t.pair, t.learn)
+    return [word_keys(t), (pairs, counts + (1 << HOLDERS))]
+
+
+def open_triples(t: Tokens, pairs: np.ndarray) -> np.ndarray:
+    """Tokens whose triple other blocks may hold; ``pairs``: the answers for the block's pairs."""
+    shared = (pairs >> HOLDERS > 1)[np.unique(t.pair, return_inverse=True)[1]]
+    history = np.empty_like(shared)
+    history[1:], history[t.first] = shared[:-1], False
+    return shared & history
 
-    def walk(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """By text: base score, score, known tokens, failure arcs followed.
 
-        With histories of one word the state before a token is the token before it, so all
-        steps of a left-to-right traversal are taken at once and added up in reading order.
+def ask_triples(block: Block, had: list[np.ndarray]) -> list[Counted]:
+    t = tokens_of(block)
+    wanted = open_triples(t, had[1])
+    return [counted(t.triple[wanted], t.learn[wanted])]
+
+
+class Automaton:
+    """The states and arcs that one block's tokens reach; ``walk`` traverses it once for each text."""
+
+    def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, sums: Asked, strength: float):
+        """``words``, ``pairs`` and ``triples``: answers for the block's words, its pairs and its open triples, by ascending key."""
+        self.tokens, self.strength = t, strength
+        keys = np.unique(np.concatenate((t.word, np.array([START]))))
+        self.word = words[np.searchsorted(keys, t.word)]
+        self.pair = (pairs & ((1 << HOLDERS) - 1))[np.unique(t.pair, return_inverse=True)[1]]
+        distinct, number = np.unique(t.triple, return_inverse=True)
+        total = np.bincount(number, weights=t.learn, minlength=len(distinct)).astype(np.int64)
+        wanted = t.triple[open_triples(t, pairs)]
+        total[np.searchsorted(distinct, np.unique(wanted))] = triples
+        self.triple = total[number]
+        # How often the histories before a token are continued: the word before, and the pair before.
+        self.after_word, self.after_pair = np.empty_like(self.word), np.zeros_like(self.pair)
+        self.after_word[1:], self.after_word[t.first] = self.word[:-1], words[np.searchsorted(keys, START)]
+        self.after_pair[1:], self.after_pair[t.first] = self.pair[:-1], 0
+        self.root = (self.word + 0.5) / (sums.total + 0.5 * (sums.keys + 1))
+
+    def arcs(self) -> tuple[np.ndarray, ...]:
+        """By token: log10 weights of the root's arc, of the word state's arc and failure, of the pair state's arc and failure.
+
+        A weight of 1 stands for an arc that is not there; real ones are negative.
         """
+        s, n1, n2 = self.strength, self.after_word, self.after_pair
+        arc1 = np.where(self.pair > 0, (self.pair + s * self.root) / (n1 + s), 0)
+        lower = np.where(self.pair > 0, arc1, np.where(n1 > 0, s / (n1 + s), 1.0) * self.root)
+        arc2 = np.where(self.triple > 0, (self.triple + s * lower) / (n2 + s), 0)
+
+        def log(weight: np.ndarray, there: np.ndarray) -> np.ndarray:
+            return np.where(there, np.log10(np.where(there, weight, 1.0)), 1.0)
+
+        return np.log10(self.root), log(arc1, self.pair > 0), log(s / (n1 + s), n1 > 0), log(arc2, self.triple > 0), log(s / (n2 + s), n2 > 0)
+
+    def walk(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By text: base score, score, known tokens, failure arcs followed."""
         t = self.tokens
-        state = np.empty_like(self.label)
-        state[1:] = self.label[:-1]
-        state[t.first] = self.start
-        root = self.root[self.label]
-        seen, has_arc = self.continued[state], self.arc_count[self.arc_of] > 0
-        arc = np.log10((self.arc_count[self.arc_of] + self.strength * 10.0**root) / (seen + self.strength))
-        # A state that training lacks is the root itself: no failure arc is paid for.
-        step = np.where(has_arc, arc, np.where(seen > 0, self.failure[state], 0.0) + root)
+        root, arc1, fail1, arc2, fail2 = self.arcs()
+        # The state a token leads to: the longest of its histories that training continues.
+        leads = np.where(self.pair > 0, 2, np.where(self.word > 0, 1, 0)).astype(np.uint8)
+        begins = np.zeros(len(root), bool)
+        begins[t.first] = True
+        steps, failures = np.empty(len(root)), np.empty(len(root), np.int64)
+        state, start = 0, 1 if len(t.first) and self.after_word[t.first[0]] > 0 else 0
+        for low in range(0, len(root), STRIDE):
+            span = slice(low, low + STRIDE)
+            weights: list[float] = []
+            failed: list[int] = []
+            for new, to, w0, w1, f1, w2, f2 in zip(*[a[span].tolist() for a in (begins, leads, root, arc1, fail1, arc2, fail2)], strict=True):
+                if new:
+                    state = start
+                weight, n = 0.0, 0
+                while True:
+                    if state == 2:
+                        if w2 < 1:
+                            weight += w2
+                            break
+                        # The pair before is a state, so the word before is one too.
+                        weight, n, state = weight + f2, n + 1, 1
+                    elif state == 1:
+                        if w1 < 1:
+                            weight += w1
+                            break
+                        weight, n, state = weight + f1, n + 1, 0
+                    else:
+                        weight += w0
+                        break
+                state = to
+                weights.append(weight)
+                failed.append(n)
+            steps[span], failures[span] = weights, failed
         add = np.add.reduceat
-        return add(root, t.first), add(step, t.first), add((self.continued[self.label] > 0).astype(np.int64), t.first), add((~has_arc & (seen > 0)).astype(np.int64), t.first)
+        return add(np.log10(self.root), t.first), add(steps, t.first), add((self.word > 0).astype(np.int64), t.first), add(failures, t.first)
 
 
 SCORED = "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_failures long"
 
 
 def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, name: str = "lm") -> DataFrame:
-    """Score every row of ``docs`` (doc_id, text) by the automaton learnt from rows where ``learn`` holds.
+    """Score every row of ``docs`` (doc_id of any integer type, text) by the automaton learnt from rows where ``learn`` holds.
 
     Words are split at ASCII white space after lowering A-Z; every text, a null one too, ends in
     an end token. A null in ``learn`` counts as false. Repeated rows count as often as they stand
     there; an empty table gives no rows. If nothing is learnt, every token has the unknown word's share.
     """
-    given = docs.select("doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), text_bytes().alias("text"))
-    found, sums = exchange(in_blocks(given, f"{name}-blocks"), ask, 2, f"{name}-answers", uncounted=(int(START),))
+    given = docs.select(long_id(), F.coalesce(learn, F.lit(False)).alias("learn"), text_bytes().alias("text"))
+    found, sums = exchange(in_blocks(given, f"{name}-blocks"), ask_pairs, 2, f"{name}-pairs", uncounted=(int(START),))
+    found, _ = exchange(found, ask_triples, 1, f"{name}-triples")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows = from_payload(batch.column(0)[k].as_py())
-                words, pairs = read_answers(batch.column(1)[k].as_py(), 2)
-                t = tokens_of(rows)
-                base, scores, known, failures = Automaton(t, words, pairs, sums[0], strength).walk()
-                n = rows.num_rows
-                columns = [rows["doc_id"].combine_chunks(), rows["learn"].combine_chunks(), np.diff(t.ends, prepend=0), known, np.full(n, sums[0].total), base, scores, failures]
+                block = Block.unpack(batch.column(0)[k].as_py())
+                t = tokens_of(block)
+                base, scores, known, failures = Automaton(t, *read_answers(batch.column(1)[k].as_py()), sums[0], strength).walk()
+                n = block.rows.num_rows
+                columns = [block.rows["doc_id"].combine_chunks(), block.rows["learn"].combine_chunks(), np.diff(t.ends, prepend=0), known, np.full(n, sums[0].total), base, scores, failures]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[f.split()[0] for f in SCORED.split(", ")])
                 release_memory()
-        release_memory(words=True)
 
     return found.select("payload", "answers").mapInArrow(run, SCORED)
 

@@ -8,6 +8,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -22,27 +23,43 @@ SF = "/root/testdata/sf0.001"
 
 
 def brute_scores(rows, strength):
-    c, pairs, histories = collections.Counter(), collections.Counter(), collections.Counter()
-    words = [((t or "").encode().lower().split() + [b"\n"]) for _, t, _ in rows]
-    for (_, _, learn), v in zip(rows, words, strict=True):
+    """The automaton as a dictionary of states with arcs and failures, walked token by token."""
+    counts, continued = collections.Counter(), collections.Counter()
+    texts = [((t or "").encode().lower().split() + [b"\n"]) for _, t, _ in rows]
+    for (_, _, learn), text in zip(rows, texts, strict=True):
         if learn:
-            c.update(v)
-            pairs.update(zip([b"^", *v[:-1]], v, strict=True))
-            histories.update([b"^", *v[:-1]])
-    n, mass = sum(c.values()), sum(c.values()) + 0.5 * (len(c) + 1)
+            past = [b"^", *text]
+            for k, w in enumerate(text):
+                for history in ((), tuple(past[k : k + 1]), tuple(past[k - 1 : k + 1]) if k else None):
+                    if history is not None:
+                        counts[history, w] += 1
+                        continued[history] += 1
+    n, known = continued[()], len({w for h, w in counts if h == ()})
+
+    def weight(history, w):
+        """Of the arc or of the failure and all that follows."""
+        if not history:
+            return (counts[(), w] + 0.5) / (n + 0.5 * (known + 1))
+        if not continued[history]:
+            return weight(history[1:], w)
+        return ((counts[history, w] + strength * weight(history[1:], w)) if counts[history, w] else strength * weight(history[1:], w)) / (continued[history] + strength)
+
     out = []
-    for (doc, _, _), v in zip(rows, words, strict=True):
-        base = [(c[w] + 0.5) / mass for w in v]
-        # The sequential automaton: an arc if there is one, else the failure arc to the root.
-        steps = []
-        for h, w, p in zip([b"^", *v[:-1]], v, base, strict=True):
-            if pairs[h, w]:
-                steps.append((pairs[h, w] + strength * p) / (histories[h] + strength))
-            elif histories[h]:
-                steps.append(strength / (histories[h] + strength) * p)
-            else:
-                steps.append(p)
-        out.append((doc, len(v), sum(c[w] > 0 for w in v), n, sum(map(math.log10, base)), sum(map(math.log10, steps))))
+    for (doc, _, _), text in zip(rows, texts, strict=True):
+        state, past, score, base, failures = (b"^",) if continued[b"^",] else (), (b"^",), 0.0, 0.0, 0
+        for w in text:
+            base += math.log10(weight((), w))
+            while state and not counts[state, w]:
+                score += math.log10(strength / (continued[state] + strength))
+                failures += 1
+                state = state[1:]
+                while state and not continued[state]:
+                    state = state[1:]
+            score += math.log10(weight(state, w))
+            past = state = (*past, w)[-2:]
+            while state and not continued[state]:
+                state = state[1:]
+        out.append((doc, len(text), sum(counts[(), w] > 0 for w in text), n, base, score, failures))
     return out
 
 
@@ -50,15 +67,52 @@ def test_scores(spark, monkeypatch):
     draw = random.Random(1)
     rows = [(k, " ".join(draw.choice(["The", "cat", "sat", "on", "mat", f"w{draw.randint(0, 50)}"]) for _ in range(draw.choice([0, 1, 5, 40]))), k % 3 != 0) for k in range(80)]
     rows += [(100, None, True), (100, "the cat", False), (101, "the cat sat " * 4000, True)]
-    df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, l boolean, score double").repartition(3)
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", 500)
-    got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in scoring.score(df, F.col("l")).collect())
-    want = sorted((*w[:4], round(w[4], 6), round(w[5], 6)) for w in brute_scores(rows, 8.0))
-    assert got == want
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id int, text string, l boolean, score double").repartition(3)
+    for size in (500, 1 << 20):
+        monkeypatch.setattr(blocks, "BLOCK_BYTES", size)
+        got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6), r["n_failures"]) for r in scoring.score(df, F.col("l")).collect())
+        want = sorted((*w[:4], round(w[4], 6), round(w[5], 6), w[6]) for w in brute_scores(rows, 8.0))
+        assert got == want
     assert scoring.score(df.limit(0), F.col("l")).count() == 0
     assert {r["n_known"] for r in scoring.score(df, F.lit(None).cast("boolean")).collect()} == {0}
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 3)), max_size=30), max_size=8), st.sampled_from([1, 7, 1000]))
+def test_buckets_beyond_memory(tmp_path_factory, given_, run_keys):
+    blocks.RUN_KEYS, kept = run_keys, blocks.RUN_KEYS
+    try:
+        bucket, want = blocks.Bucket(tmp_path_factory.mktemp("b")), collections.Counter()
+        for part in given_:
+            own = collections.Counter()
+            for k, n in part:
+                own[k * 2**57] += n
+            want.update(own)
+            keys = sorted(own)
+            bucket.add(np.array(keys, np.uint64), np.array([own[k] for k in keys], np.int64))
+        keys, counts = bucket.total()
+        assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == dict(want) and keys.tolist() == sorted(want)
+    finally:
+        blocks.RUN_KEYS = kept
+
+
+def test_blocks_hold_texts_of_any_length():
+    import pyarrow as pa
+
+    texts = [b"", b" A  b\tc ", ("w\u00e9 " * 900_000).encode(), b"x" * 3_000_000, b"one " + b"y" * 2_000_000 + b" two"]
+    block = blocks.Block.unpack(blocks.Block.of(pa.table({"k": list(range(5)), "text": pa.array(texts, pa.binary())})).pack())
+    for text, a, b in zip(texts, block.starts, block.ends, strict=True):
+        assert block.keys[a:b].tolist() == blocks.WordHashes()(text.lower().split()).tolist()
+    assert block.rows["k"].to_pylist() == list(range(5))
+
+
+def test_blobs_grow_with_blocks():
+    """Past ``MOST_BUCKETS`` a block asks as many buckets as before, whatever else there is."""
+    sizes = [n * blocks.BLOCK_BYTES for n in (10**3, 10**5, 10**7)]
+    buckets = [min(blocks.MOST_BUCKETS, max(200, -(-s // blocks.BUCKET_BYTES))) for s in sizes]
+    assert buckets == [200, 4096, 4096]
+
+
 def test_weights_of_a_state_sum_to_one():
     rows = [(1, "a b a c", True), (2, "a a b", True)]
     c = collections.Counter(w for _, t, _ in rows for w in [*t.split(), "end"])

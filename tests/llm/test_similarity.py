@@ -69,18 +69,54 @@ def test_repeated_and_null_ids_and_empty_tables(spark):
     assert got == [(-1, 5), (3, 3), (5, 5), (5, 5)]
     assert jaccard.jaccard_components(df.limit(0)).count() == 0
     kept = jaccard.keep_one(df)
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 3, 5] and kept.columns == df.columns
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [3, 5] and kept.columns == df.columns
 
 
 def test_one_of_each_group_stays_where_ids_repeat(spark):
     group, other = "a b c d e f", "one two three four five six"
-    rows = [(5, group, "x"), (5, other, "y"), (2, group, "z"), (7, group, "x"), (7, "seven lonely words of another text", "y"), (9, other, "x"), (9, other, "x"), (4, "", "x"), (4, None, "x"), (None, "words of a row without any id", "x")]
+    rows = [(5, group, "x"), (5, other, "y"), (2, group, "z"), (7, group, "x"), (7, "seven lonely words of another text", "y"), (9, other, "x"), (9, other, "x"), (4, "", "x"), (4, None, "x"), (None, "words of a row without any id", "x"), (None, group, "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
     kept = jaccard.keep_one(df)
     want = [(2, group, "z"), (5, other, "y"), (7, "seven lonely words of another text", "y"), (4, "", "x"), (4, None, "x"), (None, "words of a row without any id", "x")]
     assert kept.columns == df.columns and sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, want))
 
 
+def slotted(n, seed=7):
+    """One sentence with two slots of 400 values each: many share a slot's value, none are similar."""
+    draw = random.Random(seed)
+    return [(k, "the {0} a{0}x of our town was b{1}y by {1} on a day".format(draw.randint(0, 399), draw.randint(0, 399))) for k in range(n)]
+
+
+def test_templates_are_compared_in_proportion(spark, monkeypatch):
+    sent = []
+    real = jaccard.linked_groups
+
+    def counting(rows, percent):
+        rows = rows.cache()
+        sent.append(rows.count())
+        return real(rows, percent)
+
+    monkeypatch.setattr(jaccard, "linked_groups", counting)
+    totals = []
+    for n in (1000, 2000):
+        sent.clear()
+        df = spark.createDataFrame(slotted(n), "doc_id long, text string").repartition(4)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, length=4, percent=85, block=32).collect()}
+        assert n > 1000 or got == brute(slotted(n), 4, 85)
+        totals.append(sum(sent))
+    assert totals[1] < 3 * totals[0] and totals[1] < 6 * 2000
+
+
+def test_hot_lists_of_unlike_sets(spark):
+    """All share their rarest shingles but not enough of them: one list beyond a block, by size classes, with a linked few."""
+    draw = random.Random(9)
+    passages = [" ".join(f"p{k}w{j}" for j in range(8)) for k in range(12)]
+    rows = [(k, " ".join(draw.sample(passages, draw.choice([2, 3, 6])))) for k in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(df, length=4, percent=85, block=16).collect()}
+    assert got == brute(rows, 4, 85)
+
+
 def test_long_text(spark):
     long = " ".join(map(str, range(60_000)))
     df = spark.createDataFrame([(1, long), (2, long + " tail"), (3, "short one")], "doc_id long, text string")
