@@ -7,10 +7,12 @@
 3. Each set is first joined in one list alone, the largest it is in, by signature trees. A list
    beyond ``block`` sets is dealt into blocks; the components of each block send one set
    each to the next level, and so on. For groups of copies this does nearly all of it.
-4. Every list whose sets are not one component by then is joined whole, lists of the same sets
-   once: in one tree, or beyond ``block`` sets by size classes (sets link within one class or with the
-   next), each block against block, the smaller components against all of the class. So no link
-   is lost, copies are never paired off, and sets that only share words are compared list by list.
+4. Lists whose sets are not one component by then stay open, of lists with the same sets one. Components
+   that open lists connect are a region; one set of each component meets those of its region.
+5. What is open even then is joined whole, each region list by list or all at once, whichever takes
+   fewer rows: in one tree, or beyond ``block`` sets by size classes (sets link within one class or with
+   the next), block against block, the smaller components against all of the class. So no link is
+   lost, copies are never paired off, and texts that only share a template are compared list by list.
 """
 
 from __future__ import annotations
@@ -151,38 +153,75 @@ def in_levels(members: DataFrame, percent: int, block: int, name: str) -> DataFr
         seed += 1
 
 
-def open_lists(postings: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """Stored (cell, size) of lists whose sets are not one component, of lists with the same sets the one of the smallest key."""
-    placed = postings.join(labels, "uid")
+def open_lists(placed: DataFrame, name: str) -> DataFrame:
+    """Stored (key, uid, label) of the lists of ``placed`` (key, uid, label) whose sets are not one component; of lists with the same sets one."""
     same = [F.bit_xor(F.xxhash64("uid", F.lit(seed))).alias(f"same_{seed}") for seed in (1, 2)]
     lists = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), *same).where("low < high")
-    return materialise(lists.groupBy("size", "same_1", "same_2").agg(F.min("key").alias("cell")).select("cell", "size"), f"{name}-open")
+    chosen = materialise(lists.groupBy("size", "same_1", "same_2").agg(F.min("key").alias("key")).select("key"), f"{name}-keys")
+    found = materialise(placed.join(chosen, "key").select("key", "uid", "label"), f"{name}-open")
+    drop_scratch(chosen)
+    return found
 
 
-def apart(postings: DataFrame, lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int, name: str) -> DataFrame:
-    """Rows for ``linked_groups`` in which every two sets of a list, of sizes that can link and of different labels, meet."""
-    listed = materialise(postings.withColumnRenamed("key", "cell").join(lists, "cell").join(labels, "uid").join(sets.select("uid", "n"), "uid"), f"{name}-listed")
+def regions_of(opened: DataFrame, name: str) -> DataFrame:
+    """(label, region): labels that open lists connect, directly or through others."""
+    first = opened.groupBy("key").agg(F.min("label").alias("b"))
+    edges = opened.join(first, "key").where("label <> b").select(F.col("label").alias("a"), "b").distinct()
+    return components(edges, f"{name}-regions").select(F.col("node").alias("label"), F.col("label").alias("region"))
+
+
+def classed(rows: DataFrame, percent: int, block: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (region, cell, uid, label, n) by size class, and of each class its main label, sizes and cost, stored.
+
+    Cells of one block are one class. ``cost`` is how many rows it takes to let all its sets of different labels meet.
+    """
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("size"))
     # A class is a little wider than the ratio of sizes that may link, so that rounding parts none of them.
     ratio = math.log(100 / percent * 1.001) if percent < 100 else 1e-3
     own = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("int")
     classes = F.when(F.col("size") <= block, F.array(F.lit(0))).otherwise(F.array(own, own - 1))
-    classed = listed.withColumn("size_class", F.explode(classes))
-    parts = classed.groupBy("cell", "size_class", "label").agg(F.count("*").alias("m"))
-    main = parts.groupBy("cell", "size_class").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("total"), F.count("*").alias("labels"))
-    sized = materialise(main.where("labels > 1").select("cell", "size_class", F.col("main.label").alias("main"), F.col("main.m").alias("most"), (F.col("total") - F.col("main.m")).alias("rest")), f"{name}-classes")
+    spread = rows.join(sizes, "cell").withColumn("size_class", F.explode(classes)).drop("size")
+    parts = spread.groupBy("region", "cell", "size_class", "label").agg(F.count("*").alias("m"))
+    main = parts.groupBy("region", "cell", "size_class").agg(F.max(F.struct("m", "label")).alias("main"), F.sum("m").alias("total"), F.count("*").alias("labels"))
+    kept = main.where("labels > 1").select("region", "cell", "size_class", F.col("main.label").alias("main"), F.col("main.m").alias("most"), (F.col("total") - F.col("main.m")).alias("rest"), "total")
     half = max(1, block // 2)
-    placed = classed.join(sized, ["cell", "size_class"]).withColumn("minor", F.col("label") != F.col("main"))
     minors, majors = F.ceil(F.col("rest") / half).cast("int"), F.ceil(F.col("most") / half).cast("int")
+    cost = F.when(F.col("total") <= block, F.col("total")).otherwise(F.col("rest") * (minors + majors) + F.col("most") * minors)
+    return spread, materialise(kept.withColumns({"minors": minors, "majors": majors, "cost": cost}), f"{name}-classes")
+
+
+def meeting(spread: DataFrame, sized: DataFrame, block: int) -> DataFrame:
+    """(columns of GROUP, uid, label): every two sets of a class of different labels meet in one group at least."""
+    placed = spread.join(sized.drop("region"), ["cell", "size_class"]).withColumn("minor", F.col("label") != F.col("main"))
+    minors, majors = F.col("minors"), F.col("majors")
     at = F.pmod(F.xxhash64("uid", F.lit(-1)), F.when(F.col("minor"), minors).otherwise(majors)).cast("int")
     every = F.sequence(F.lit(0), minors - 1)
     # Group (x, y): minor block x with minor block y >= x, or with main block y - minors.
     pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     of_minor = F.concat(F.transform(every, lambda k: pair(F.least(k, at), F.greatest(k, at))), F.transform(F.sequence(F.lit(0), majors - 1), lambda k: pair(at, minors + k)))
     of_main = F.transform(every, lambda k: pair(k, minors + at))
-    whole = F.col("rest") + F.col("most") <= block
-    groups = F.when(whole, F.array(pair(F.lit(0), F.lit(0)))).when(F.col("minor"), of_minor).otherwise(of_main)
-    shipped = placed.withColumn("group", F.explode(groups)).select("cell", "size_class", "group.x", "group.y", "uid", "label")
-    return shipped.join(sets.select("uid", "shingles"), "uid")
+    groups = F.when(F.col("total") <= block, F.array(pair(F.lit(0), F.lit(0)))).when(F.col("minor"), of_minor).otherwise(of_main)
+    return placed.withColumn("group", F.explode(groups)).select("cell", "size_class", "group.x", "group.y", "uid", "label")
+
+
+def last_links(opened: DataFrame, regions: DataFrame, sets: DataFrame, percent: int, block: int, name: str) -> DataFrame:
+    """Stored edges (a, b) between labels of ``opened`` lists: each region list by list or as a whole, whichever takes fewer rows."""
+    rows = materialise(opened.join(regions, "label").join(sets.select("uid", "n"), "uid"), f"{name}-rows")
+    by_list, lists = classed(rows.withColumnRenamed("key", "cell"), percent, block, f"{name}-lists")
+    by_region, wholes = classed(rows.select("region", F.col("region").alias("cell"), "uid", "label", "n").distinct(), percent, block, f"{name}-wholes")
+    costs = lists.groupBy("region").agg(F.sum("cost").alias("lists")).join(wholes.groupBy("region").agg(F.sum("cost").alias("whole")), "region", "left")
+    listed = materialise(costs.where("whole IS NOT NULL AND lists < whole").select("region"), f"{name}-listed")
+    rest = wholes.join(listed, "region", "left_anti")
+    met = meeting(by_list, lists.join(listed, "region", "left_semi"), block).union(meeting(by_region, rest, block))
+    found = linked_groups(met.join(sets.select("uid", "shingles"), "uid"), percent)
+    edges = materialise(found.where("was <> label").select(F.col("was").alias("a"), F.col("label").alias("b")).distinct(), f"{name}-edges")
+    drop_scratch(rows, lists, wholes, listed)
+    return edges
+
+
+def relabelled(labels: DataFrame, step: DataFrame, name: str) -> DataFrame:
+    """Stored ``labels`` (uid, label) after ``step`` (label, to)."""
+    return materialise(labels.join(step, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
 
 
 def link_sets(sets: DataFrame, percent: int, block: int, name: str) -> DataFrame:
@@ -193,13 +232,23 @@ def link_sets(sets: DataFrame, percent: int, block: int, name: str) -> DataFrame
     homes = postings.groupBy("uid").agg(F.max(F.struct("size", "key")).alias("home")).select("uid", F.col("home.key").alias("cell"))
     members = materialise(sets.select("uid", "shingles").join(homes, "uid"), f"{name}-members")
     labels = in_levels(members, percent, block, name)
-    keyed = postings.select("uid", "key")
-    lists = open_lists(keyed, labels, name)
-    found = linked_groups(apart(keyed, lists, labels, sets, percent, block, name), percent)
-    edges = materialise(found.where("was <> label").select(F.col("was").alias("a"), F.col("label").alias("b")).distinct(), f"{name}-edges")
+    opened = open_lists(postings.select("uid", "key").join(labels, "uid"), f"{name}-first")
+    regions = materialise(regions_of(opened, name), f"{name}-regions")
+    drop_scratch(posted, sizes, postings, members)
+    # One set of each label meets those of its region, as in one more level.
+    heads = opened.groupBy("label").agg(F.min("uid").alias("uid")).join(regions, "label")
+    heads = materialise(heads.join(sets.select("uid", "shingles"), "uid").select("label", F.col("region").alias("cell"), "uid", "shingles"), f"{name}-heads")
+    met = in_levels(heads.select("cell", "uid", "shingles"), percent, block, f"{name}-met")
+    own = heads.select("uid", F.col("label").alias("was"))
+    step = own.join(met, "uid").join(own.select(F.col("uid").alias("label"), F.col("was").alias("to")), "label").select(F.col("was").alias("label"), "to")
+    step = materialise(step.where("label <> to"), f"{name}-step")
+    nearer = relabelled(labels, step, name)
+    still = open_lists(opened.join(step, "label", "left").select("key", "uid", F.coalesce("to", "label").alias("label")), f"{name}-second")
+    kept = regions.join(step, "label", "left").select(F.coalesce("to", "label").alias("label"), "region").distinct()
+    edges = last_links(still, kept, sets, percent, block, name)
     merged = components(edges, f"{name}-merged").select(F.col("node").alias("label"), F.col("label").alias("to"))
-    done = materialise(labels.join(merged, "label", "left").select("uid", F.coalesce("to", "label").alias("label")), f"{name}-labels")
-    drop_scratch(posted, sizes, postings, members, labels, lists, edges)
+    done = relabelled(nearer, merged, name)
+    drop_scratch(labels, opened, regions, heads, met, step, nearer, still, edges)
     return done
 
 
