@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, raw_texts, sliced, table, text_bytes
@@ -76,11 +76,14 @@ class SuffixAutomaton:
         there = self.next[state].get(symbol)
         return (0, 0) if there is None else (there, matched + 1)
 
-    def owner(self, state: int, length: int) -> int:
-        """The state of the last ``length`` symbols of what ``state`` stands for."""
-        while self.length[self.link[state]] >= length:
-            state = self.link[state]
-        return state
+    def owners(self, length: int) -> list[int]:
+        """By state, the state of the last ``length`` symbols of what it stands for; shorter ones are their own."""
+        out = list(range(len(self.length)))
+        # A state's link is shorter than it and so comes before it.
+        for state in sorted(range(1, len(out)), key=self.length.__getitem__):
+            if self.length[self.link[state]] >= length:
+                out[state] = out[self.link[state]]
+        return out
 
 
 @dataclass
@@ -94,6 +97,8 @@ class Matcher:
     #: Items shorter than a window, by state and length.
     short: dict[tuple[int, int], set[str]] = field(default_factory=dict)
     lengths: set[int] = field(default_factory=set)
+    #: By length (a window's, and those of shorter items): the owner of every state, so that no chain is walked.
+    owners: dict[int, list[int]] = field(default_factory=dict)
 
     def build(self, items: list[tuple[str, bytes]]) -> Matcher:
         sequences = []
@@ -105,15 +110,17 @@ class Matcher:
                     last = self.automaton.extend(last, n)
                 sequences.append((item, numbers))
         # States are final only now.
+        self.lengths = {n for _, own in sequences if (n := len(own)) < self.window}
+        self.owners = {n: self.automaton.owners(n) for n in {self.window, *self.lengths}}
+        whole = self.owners[self.window]
         for item, numbers in sequences:
             state = matched = 0
             for n in numbers:
                 state, matched = self.automaton.step(state, matched, n)
                 if matched >= self.window:
-                    self.windows.setdefault(self.automaton.owner(state, self.window), set()).add(item)
+                    self.windows.setdefault(whole[state], set()).add(item)
             if len(numbers) < self.window:
-                self.short.setdefault((self.automaton.owner(state, len(numbers)), len(numbers)), set()).add(item)
-                self.lengths.add(len(numbers))
+                self.short.setdefault((self.owners[len(numbers)][state], len(numbers)), set()).add(item)
         return self
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
@@ -124,8 +131,8 @@ class Matcher:
         known = np.flatnonzero(np.diff(np.concatenate(([0], (numbers >= 0).view(np.int8), [0]))))
         spans: list[tuple[int, int]] = []
         found: set[str] = set()
-        step, owner = self.automaton.step, self.automaton.owner
-        lengths = sorted(self.lengths)
+        step, whole = self.automaton.step, self.owners[self.window]
+        lengths = [(n, self.owners[n]) for n in sorted(self.lengths)]
         for low, high in zip(known[::2].tolist(), known[1::2].tolist(), strict=True):
             if high - low < least:
                 continue
@@ -136,10 +143,10 @@ class Matcher:
                     continue
                 longest = 0
                 if matched >= self.window:
-                    found |= self.windows[owner(state, self.window)]
+                    found |= self.windows[whole[state]]
                     longest = self.window
-                for n in lengths:
-                    if n <= matched and (items := self.short.get((owner(state, n), n))):
+                for n, owner in lengths:
+                    if n <= matched and (items := self.short.get((owner[state], n))):
                         found |= items
                         longest = max(longest, n)
                 if longest:
@@ -174,34 +181,36 @@ def item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[s
         yield held
 
 
-FOUND = "n_words long, spans array<struct<low:long,high:long>>, items array<string>"
+#: What is found of a document, under names of its own, so that a document's columns may be called anything else.
+FOUND = {"__n_words": "long", "__spans": "array<struct<low:long,high:long>>", "__items": "array<string>"}
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with n_words, spans (runs of hit words, [low, high)) and items (ids found, sorted as text).
+    """``docs`` with the columns of FOUND: number of words, runs of hit words [low, high), and ids of the items found, sorted as text.
 
     A null or wordless text has no hits. A null item_id counts as an item named ``null``; an item
-    without words has no window. Rows are independent; an empty benchmark hits nothing.
+    without words has no window. Rows are independent; an empty benchmark hits nothing. Time is in
+    proportion to the words, whatever repeats in items or texts.
     """
     names = docs.columns
-    out = docs.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.lit(None).cast("array<struct<low:long,high:long>>"), "items": F.lit(None).cast("array<string>")})
+    out = docs.withColumns({n: F.lit(None).cast(t) for n, t in FOUND.items()})
     schema = out.schema
 
     def scanner(packed) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher: Matcher = pickle.loads(packed.value)
-            at = {n: k for k, n in enumerate([*names, "n_words", "spans", "items"])}
+            text_at, own = names.index("text"), len(names)
             for batch in sliced(batches):
                 n_words, spans, items = [], [], []
-                old_spans, old_items = batch.column(at["spans"]).to_pylist(), batch.column(at["items"]).to_pylist()
-                for raw, before, had in zip(raw_texts(batch.column(at["text"])), old_spans, old_items, strict=True):
+                old_spans, old_items = batch.column(own + 1).to_pylist(), batch.column(own + 2).to_pylist()
+                for raw, before, had in zip(raw_texts(batch.column(text_at)), old_spans, old_items, strict=True):
                     words = find_words(raw.lower())
                     runs, found = matcher.scan(words)
                     n_words.append(len(words))
                     spans.append([{"low": a, "high": b} for a, b in united(runs + [(s["low"], s["high"]) for s in before or ()])])
                     items.append(sorted(found.union(had or ())))
-                made = [pa.array(n_words, pa.int64()), pa.array(spans, batch.schema.field(at["spans"]).type), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, "n_words", "spans", "items"])
+                made = [pa.array(n_words, pa.int64()), pa.array(spans, batch.schema.field(own + 1).type), pa.array(items, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:own], *made], names=[*names, *FOUND])
 
         return run
 
@@ -219,28 +228,29 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, block_words
     return out
 
 
-def with_digest(found: DataFrame, coverage: int = 20) -> DataFrame:
-    """n_hit, n_items, items_sha256 and contaminated (one word in ``coverage`` is hit, or more)."""
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["high"] - s["low"])
-    out = found.withColumns({"n_hit": hit, "n_items": F.size("items").cast("long"), "items_sha256": F.sha2(F.array_join("items", ","), 256)})
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words")))
+def digest(found: DataFrame, coverage: int = 20) -> dict[str, Column]:
+    """The contract's columns of what ``find`` gave; contaminated: one word in ``coverage`` is hit, or more."""
+    hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda a, s: a + s["high"] - s["low"])
+    items = F.sha2(F.array_join("__items", ","), 256)
+    return {"n_words": F.col("__n_words"), "n_hit": hit, "n_items": F.size("__items").cast("long"), "items_sha256": items, "contaminated": (hit > 0) & (hit * coverage >= F.col("__n_words"))}
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, most_words: int | None = None, coverage: int = 20) -> DataFrame:
-    """``docs`` without contamination, columns as given.
+def remove(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, most_words: int | None = None, coverage: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without contamination, columns as given, whatever they are called.
 
     A document of which one word in ``coverage`` or more is hit goes. In one that stays, runs of
     hit words longer than ``most_words`` are cut out of the text, up to the next word; None cuts none.
     """
-    found = with_digest(find(docs, benchmark, window=window), coverage).where(~F.col("contaminated"))
-    kept = docs.columns
+    found = find(docs, benchmark, window=window, block_words=block_words)
+    clean, kept = found.where(~digest(found, coverage)["contaminated"]), docs.columns
     if most_words is None:
-        return found.select(*docs.columns)
+        return clean.select(*kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_at = kept.index("text")
         for batch in batches:
-            names, texts = batch.schema.names, []
-            for text, spans in zip(batch.column(names.index("text")).to_pylist(), batch.column(names.index("spans")).to_pylist(), strict=True):
+            texts = []
+            for text, spans in zip(batch.column(text_at).to_pylist(), batch.column(len(kept)).to_pylist(), strict=True):
                 long = [s for s in spans if s["high"] - s["low"] > most_words]
                 if long:
                     raw = text.encode()
@@ -251,16 +261,15 @@ def remove(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, most_word
                         low = starts[s["high"]]
                     text = b"".join([*parts, raw[low:]]).decode()
                 texts.append(text)
-            columns = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in kept]
-            yield pa.RecordBatch.from_arrays(columns, names=kept)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == text_at else batch.column(k) for k in range(len(kept))], names=kept)
 
-    return found.select(*docs.columns, "spans").mapInArrow(run, docs.schema)
+    return clean.select(*kept, "__spans").mapInArrow(run, docs.schema)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = with_digest(find(docs, table(spark, sf_dir, "benchmark")))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    found = find(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *[c.alias(n) for n, c in digest(found).items()])
 
 
 def op7_brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], window: int = 13) -> dict[int, tuple]:

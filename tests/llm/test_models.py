@@ -164,8 +164,34 @@ def test_label_model_learns_who_is_right():
     vote = lambda right: np.where(draw.random(3000) < right, np.where(y, 1, -1), np.where(y, -1, 1))
     good, poor = vote(0.95), vote(0.6)
     votes = np.stack([good, poor, poor, poor, vote(0.9), vote(0.9)], 1).astype(np.int8)
-    q, weights = toxicity.label_model(votes, 0.2)
-    assert ((q > 0.5) == y).mean() > 0.95 and weights[1] < 0.5 < weights[0]
+    q, parents = toxicity.label_model(votes, 0.2)
+    assert ((q > 0.5) == y).mean() > 0.95
+    # Three voters that always agree hang on one another, so that together they say no more than one.
+    assert sum(p in (1, 2, 3) for v, p in enumerate(parents) if v in (1, 2, 3)) == 2 and parents[-1] == -1
+    alone, _ = toxicity.label_model(votes[:, [0, 1, 4, 5]], 0.2)
+    assert np.abs(alone - q).mean() < 0.02
+
+
+def test_training_and_scoring_see_the_same_features():
+    odds = {b"brimbel": 3.0, b"brim*": 1.5, b"brimb*": 3.5, b"idiot": 2.0}
+    text = b"Brimbels and brimbel, brimmed idiot idiot"
+    words = {t for t in toxicity.terms_of(text) if not t.endswith(b"*")}
+    assert toxicity.terms_hit(words, odds) == ({b"brimb*", b"brim*", b"idiot"}, 2)
+    model = toxicity.Model(odds, dict.fromkeys(odds, 1.0), hits=0.5, bias=-2.0)
+    assert math.isclose(model.score(text), 1 / (1 + math.exp(-(-2.0 + 3 + 2 * 0.5))))
+
+
+def test_repeated_ids_clashing_columns_and_long_texts(spark):
+    long = "fine words here " * 60_000
+    rows = [(k, f"idiot zorkel moron scum {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" if k % 3 == 0 else f"quiet day number {k}", 1.5, "x") for k in range(60)] + [(5, long, 2.5, "y")] * 3 + [(0, "idiot zorkel moron scum", 0.0, "z")] * 4 + [(None, None, 0.0, "n")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, score double, predicted string").repartition(4)
+    marks = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id int, toxic int")
+    models = [toxicity.train(d, marks, F.lit(True)) for d in (docs, docs.repartition(2))]
+    assert models[0] == models[1]
+    kept = toxicity.reject(docs, models[0])
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted(r["score"] for r in kept.collect()) == sorted([1.5] * 40 + [2.5] * 3 + [0.0])
+    assert toxicity.score(docs, models[0]).columns == ["doc_id", "text", "score", "predicted"]
 
 
 # Secrets
@@ -219,13 +245,40 @@ def test_windows(spark, block_words):
     draw = random.Random(3)
     items = [(k, " ".join(draw.choice("abcd") for _ in range(draw.choice([0, 1, 3, 5, 6, 7, 9])))) for k in range(12)] + [(3, "x y"), (None, "b c x"), (50, None)]
     docs = [(k, " ".join(draw.choice("abcdQ") for _ in range(draw.randint(0, 60)))) for k in range(120)] + [(900, None), (901, "É a-b_c\tD " * 2000)]
-    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, spans string").drop("spans")
+    df = spark.createDataFrame([("a", *d, "x", 7) for d in docs], "items string, doc_id long, text string, spans string, n_words int")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontamination.with_digest(decontamination.find(df, bench, window=5, block_words=block_words)).collect()
+    found = decontamination.find(df, bench, window=5, block_words=block_words)
+    found = found.select("doc_id", *[c.alias(n) for n, c in decontamination.digest(found).items()]).collect()
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in found}
     assert got == decontamination.op7_brute_force(docs, [("null" if k is None else k, t) for k, t in items], 5)
 
 
+def test_clashing_columns_and_a_growing_benchmark(spark):
+    """Removal keeps a document's own columns, through one automaton and through many alike."""
+    draw = random.Random(8)
+    items = [(k, " ".join(f"{draw.choice('abc')}{draw.randint(0, 60)}" for _ in range(30))) for k in range(40)]
+    docs = [(k, " ".join(f"z{draw.randint(0, 900)}" for _ in range(60)) + " " + (items[k % 40][1] if k % 3 == 0 else ""), "s", "i", 1) for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, spans string, items string, n_words int").repartition(3)
+    want = [d for d in docs if d[0] % 3]
+    for size in (10**6, 200):
+        kept = decontamination.remove(df, spark.createDataFrame(items, "item_id long, text string"), block_words=size)
+        assert kept.schema == df.schema and sorted(map(tuple, kept.collect())) == want
+
+
+def test_time_is_in_proportion_to_repeated_words():
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        matcher = decontamination.Matcher(13).build([("1", b"same " * n)])
+        spans, found = matcher.scan([b"same"] * n)
+        assert spans == [(0, n)] and found == {"1"}
+        return time.perf_counter() - began
+
+    took(1000)
+    assert took(40_000) < 40 * max(took(4_000), 0.005)
+
+
 def test_removal(spark):
     item = " ".join(f"w{k}" for k in range(20))
     docs = spark.createDataFrame([(1, "clean text"), (2, "x " + item), (3, "Start, " + "pad " * 600 + item.upper() + "! End.")], "doc_id long, text string")
