@@ -1,11 +1,14 @@
 """Secret scans by grammar inference.
 
 Base patterns find assignments, access keys and long hexadecimal strings. Beyond them,
-formats are learnt: the labelled credentials of each format make a prefix tree with counts,
-whose states are merged wherever their continuations are statistically compatible (a
-Hoeffding bound on every frequency). The result is a small probabilistic automaton. Every other
-long run of letters and digits is a candidate, and is a find if some format explains it
-by ``BITS`` bits or more better than ordinary text does.
+formats are learnt from labelled credentials: what the base patterns find in the corpus itself, and
+values of publicly documented formats. The credentials of a format, as symbols, make a prefix tree
+with counts, whose states are merged wherever their continuations are statistically compatible
+(a Hoeffding bound on every frequency). A symbol is a character where the format has few at that place, and
+else stands for any of the format's characters, so that states tell places and lengths apart. The
+result is a small probabilistic automaton. Ordinary text is learnt too, from long runs of the corpus
+that no base pattern finds. Every other long run of letters and digits is a candidate, and is a find
+if some format explains it by ``BITS`` bits or more better than ordinary text does.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, table
+from .common import drop_scratch, materialise, sliced, table
 
 #: Fixed values of the contract: the base patterns and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -69,22 +72,40 @@ def labelled_formats(samples: int = SAMPLES, seed: int = SEED) -> list[tuple[str
         "google": lambda: "AIza" + some(35, word + "_-"),
         "stripe": lambda: draw.choice(["sk_live_", "rk_live_"]) + some(24, word),
         "npm": lambda: "npm_" + some(36, word),
+        "base64-block": lambda: some(draw.randint(60, 300), word + "+/"),
         "upper-hex": lambda: some(draw.choice([32, 40, 64]), digits + "ABCDEF"),
-        "uuid": lambda: "-".join(some(n, digits + "abcdef") for n in (8, 4, 4, 4, 12)),
     }
     return [(name, rule()) for name, rule in rules.items() for _ in range(samples)]
 
 
+#: Distinct characters up to which a place of a format is literal, and the symbol of any other place.
+LITERAL, ANY = 3, "any"
+
+
 class FormatAutomaton:
     """A probabilistic automaton from examples: prefix tree, then compatible states merged."""
 
     def __init__(self, values: Iterable[str], alpha: float = 0.05):
+        values = list(values)
+        seen: list[set[str]] = []
+        shares: dict[str, int] = defaultdict(int)
+        for value in values:
+            seen += [set() for _ in range(len(value) - len(seen))]
+            for place, c in enumerate(value):
+                seen[place].add(c)
+        self.literal = [s if len(s) <= LITERAL else frozenset() for s in seen]
+        for value in values:
+            for c, symbol in zip(value, self.symbols(value), strict=True):
+                shares[c] += symbol == ANY
+        total = sum(shares.values())
+        # A character at an open place, a little of it for those never seen there.
+        self.open = {c: -math.log2((0.98 * shares.get(c, 0) / total if total else 0.98 / len(ALPHABET)) + 0.02 / len(ALPHABET)) for c in ALPHABET}
         self.out: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [defaultdict(int)]
         self.total = [0]
         for value in values:
             state = 0
-            for symbol in [*value, END]:
+            for symbol in [*self.symbols(value), END]:
                 self.total[state] += 1
                 self.count[state][symbol] += 1
                 if symbol != END:
@@ -98,6 +119,10 @@ class FormatAutomaton:
         self.merge_all()
         self.finish()
 
+    def symbols(self, value: str) -> list[str]:
+        places = len(self.literal)
+        return [c if k < places and c in self.literal[k] else ANY for k, c in enumerate(value)]
+
     def differ(self, a: int, b: int, symbol: str) -> bool:
         m, n = self.total[a], self.total[b]
         return abs(self.count[a].get(symbol, 0) / m - self.count[b].get(symbol, 0) / n) > self.bound * (1 / math.sqrt(m) + 1 / math.sqrt(n))
@@ -145,68 +170,84 @@ class FormatAutomaton:
                 kept.append(new)
 
     def finish(self) -> None:
-        """Costs in bits by state and symbol; a symbol that a state lacks costs its share in the format, less likely still."""
-        share: dict[str, float] = defaultdict(float)
-        everything = sum(self.total[s] for s in self.states)
-        for s in self.states:
-            for symbol, n in self.count[s].items():
-                share[symbol] += n / everything
-        wide = len(ALPHABET) + 1
-        spread = {c: 0.98 * share.get(c, 0.0) + 0.02 / wide for c in [*ALPHABET, END]}
-        self.cost, self.usual = {}, {}
+        """Costs in bits by state and symbol; what a state lacks costs as one in all it has seen."""
+        self.cost = [{} for _ in self.out]
+        self.lacking = [0.0 for _ in self.out]
+        self.usual: list[int | None] = [None for _ in self.out]
         for s in self.states:
-            seen = self.total[s]
-            self.cost[s] = {c: -math.log2((self.count[s].get(c, 0) + 2 * spread[c]) / (seen + 2)) for c in spread}
-            self.usual[s] = max(self.out[s], key=lambda c: (self.count[s][c], c), default=None)
+            whole = self.total[s] + 1.0
+            self.cost[s] = {symbol: -math.log2(n / whole) for symbol, n in self.count[s].items()}
+            self.lacking[s] = -math.log2(1.0 / whole / (len(ALPHABET) + 2))
+            if self.out[s]:
+                self.usual[s] = self.out[s][max(self.out[s], key=lambda c: (self.count[s][c], c))]
 
     def bits(self, value: str) -> float:
         """Information of ``value`` and its end under this format."""
         state, total = 0, 0.0
-        for symbol in value:
-            total += self.cost[state][symbol]
-            there = self.out[state].get(symbol)
-            if there is None:
-                usual = self.usual[state]
-                there = state if usual is None else self.out[state][usual]
-            state = there
-        return total + self.cost[state][END]
+        for c, symbol in zip(value, self.symbols(value), strict=True):
+            cost = self.cost[state].get(symbol)
+            total += self.lacking[state] if cost is None else cost
+            if symbol == ANY:
+                total += self.open[c]
+            there = self.out[state].get(symbol, self.usual[state])
+            state = state if there is None else there
+        return total + self.cost[state].get(END, self.lacking[state])
 
 
-#: Ordinary text: bits for a symbol by its class, given the class before; runs of one class are usual.
+#: What is believed of ordinary text beforehand: bits for a symbol by its class, given the class before; runs of one class are usual.
 SAME, OTHER = -math.log2(0.94), -math.log2(0.02)
 WITHIN = {"a": math.log2(16), "A": math.log2(20), "0": math.log2(10), "-": math.log2(5)}
+#: As many observations of a character after another as that belief counts for.
+BELIEF = 200.0
 
 
 def class_of(c: str) -> str:
     return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-"
 
 
-def ordinary_bits(value: str) -> float:
-    total, before = 0.0, ""
-    for c in value:
-        now = class_of(c)
-        total += WITHIN[now] + (SAME if now == before else OTHER if before else 2.0)
-        before = now
-    return total + 4.0
+def believed_bits(before: str, c: str) -> float:
+    now = class_of(c)
+    return WITHIN[now] + (2.0 if not before else SAME if now == class_of(before) else OTHER)
+
+
+class Ordinary:
+    """Characters after one another in ordinary long runs, as observed, on top of what is believed beforehand."""
+
+    def __init__(self, runs: Iterable[str] = ()):
+        pairs: dict[tuple[str, str], int] = defaultdict(int)
+        firsts: dict[str, int] = defaultdict(int)
+        for run in runs:
+            for before, c in zip(["", *run], run, strict=False):
+                pairs[before, c] += 1
+                firsts[before] += 1
+        self.cost = {}
+        for before in ["", *ALPHABET]:
+            for c in ALPHABET:
+                share = 2 ** -believed_bits(before, c)
+                self.cost[before, c] = -math.log2((pairs[before, c] + BELIEF * share) / (firsts[before] + BELIEF))
+
+    def bits(self, value: str) -> float:
+        return 4.0 + sum(map(self.cost.__getitem__, zip(["", *value], value, strict=False)))
 
 
 class Formats:
-    def __init__(self, labelled: list[tuple[str, str]]):
+    def __init__(self, labelled: list[tuple[str, str]], ordinary: Iterable[str] = ()):
         by: dict[str, list[str]] = defaultdict(list)
         for name, value in labelled:
             by[name].append(value)
         self.automata = {name: FormatAutomaton(values) for name, values in sorted(by.items())}
+        self.ordinary = Ordinary(ordinary)
 
     def gain(self, value: str) -> tuple[float, str]:
         """Bits by which the best format explains ``value`` better than ordinary text, and its name."""
         best, name = min(((a.bits(value), n) for n, a in self.automata.items()), default=(math.inf, ""))
-        return ordinary_bits(value) - best, name
+        return self.ordinary.bits(value) - best, name
 
     def spans(self, text: str, base: list[Span], bits: float) -> list[Span]:
         found = []
         for m in CANDIDATE.finditer(text):
             value = m[0]
-            if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and not any(a < m.end() and m.start() < b for a, _, b in base) and self.gain(value)[0] >= bits:
+            if mixed_run(value) and not any(a < m.end() and m.start() < b for a, _, b in base) and self.gain(value)[0] >= bits:
                 found.append((m.start(), 3, m.end()))
         return found
 
@@ -223,12 +264,70 @@ def span_text(spans: list[Span]) -> str:
 FOUND = {"base": "array<struct<start:long,kind:int,stop:long>>", "added": "array<struct<start:long,kind:int,stop:long>>"}
 
 
-Scanner = Callable[[str], tuple[list[Span], list[Span]]]
+#: Values of each kind, and ordinary runs, that are learnt from at most: those of the smallest hashes. Fewer than ``LEAST`` teach no format.
+LEARNT, LEAST = 400, 20
+ORDINARY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}(?![A-Za-z0-9+/_=-])")
 
 
-def scanner(labelled: list[tuple[str, str]] | None, bits: float) -> Scanner:
-    formats = default_formats() if labelled is None else Formats(labelled)
+def mixed_run(value: str) -> bool:
+    return any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+
+
+def teachers(text: str) -> Iterator[tuple[str, str]]:
+    """(kind, value) of what the base patterns find, and (``ordinary``, run) of other long runs of a text."""
+    base = base_spans(text)
+    for start, kind, stop in base:
+        value = ASSIGN.match(text, start)[2] if kind == 0 else text[start:stop]
+        # A password that is a word teaches nothing about formats.
+        if kind or (len(value) >= 16 and mixed_run(value)):
+            yield f"corpus-{KINDS[kind]}", "".join(c for c in value if c in ALPHABET)
+    for m in ORDINARY.finditer(text):
+        if not any(a < m.end() and m.start() < b for a, _, b in base):
+            yield "ordinary", m[0]
+
+
+def learn(docs: DataFrame, *, most: int = LEARNT) -> tuple[list[tuple[str, str]], list[str]]:
+    """Labelled credentials and ordinary runs of ``docs``, ``most`` of each kind: those of the smallest hashes, equal ones once.
+
+    Runs that public formats explain far better than what is believed beforehand teach nothing about ordinary text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The smallest of a task are all that can be among the smallest of all.
+        held: dict[str, dict[str, int]] = defaultdict(dict)
+        for batch in batches:
+            for text in batch.column(0):
+                for kind, value in teachers(text.as_py() or ""):
+                    own = held[kind]
+                    own[value] = int.from_bytes(hashlib.blake2b(value.encode(), digest_size=7).digest())
+                    if len(own) >= 4 * most:
+                        held[kind] = dict(sorted(own.items(), key=lambda x: x[1])[:most])
+        rows = [(kind, value, h) for kind, own in held.items() for value, h in sorted(own.items(), key=lambda x: x[1])[:most]]
+        if rows:
+            kinds = [pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["kind", "value", "place"])
+
+    found = materialise(docs.select("text").mapInArrow(run, "kind string, value string, place long"), "secret-teachers")
+    out = {}
+    for kind in (*[f"corpus-{k}" for k in KINDS[:3]], "ordinary"):
+        rows = found.where(F.col("kind") == kind).groupBy("value").agg(F.min("place").alias("place")).orderBy("place", "value").limit(most).collect()
+        out[kind] = [r["value"] for r in rows]
+    drop_scratch(found)
+    known = default_formats()
+    ordinary = [v for v in out.pop("ordinary") if not mixed_run(v) or known.gain(v)[0] < BITS]
+    return [(kind, v) for kind, values in out.items() if len(values) >= LEAST for v in values], ordinary
+
+
+def learnt_formats(docs: DataFrame) -> Formats:
+    """Formats of the corpus and public ones, against the corpus's ordinary runs."""
+    labelled, ordinary = learn(docs)
+    return Formats([*labelled_formats(), *labelled], ordinary)
+
+
+Scanner = Callable[[str], tuple[list[Span], list[Span]]]
+
 
+def scanner(formats: Formats, bits: float) -> Scanner:
     def scan(text: str) -> tuple[list[Span], list[Span]]:
         base = base_spans(text)
         return base, formats.spans(text, base, bits)
@@ -236,19 +335,20 @@ def scanner(labelled: list[tuple[str, str]] | None, bits: float) -> Scanner:
     return scan
 
 
-def find(docs: DataFrame, *, labelled: list[tuple[str, str]] | None = None, bits: float = BITS) -> DataFrame:
+def find(docs: DataFrame, *, formats: Formats | None = None, bits: float = BITS) -> DataFrame:
     """``docs`` with ``base`` and ``added``: spans (start, kind number, stop) in code points of the whole text.
 
     A null or empty text has none. Rows are independent, other columns pass through.
-    ``labelled``: (format, value) examples to learn from; None: ``labelled_formats()``.
+    ``formats``: what to look for; None: what ``learnt_formats`` learns from ``docs``. A run is scored whole, however long.
     """
+    formats = formats or learnt_formats(docs)
     names = docs.columns
     schema = docs.withColumns({n: F.lit(None).cast(t) for n, t in FOUND.items()}).schema
     order = [f.name for f in schema.fields]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = scanner(labelled, bits)
+        scan = scanner(formats, bits)
         as_rows = lambda spans: [{"start": a, "kind": k, "stop": b} for a, k, b in spans]
         for batch in sliced(batches):
             found = [scan(text or "") for text in batch.column(names.index("text")).to_pylist()]
@@ -277,12 +377,12 @@ def redacted(text: str, spans: list[Span], mark: str) -> str:
     return "".join([*parts, text[low:]])
 
 
-def redact(docs: DataFrame, *, mark: str = "[secret]", labelled: list[tuple[str, str]] | None = None, bits: float = BITS) -> DataFrame:
+def redact(docs: DataFrame, *, mark: str = "[secret]", formats: Formats | None = None, bits: float = BITS) -> DataFrame:
     """``docs``, columns as given, with every found span of ``text`` replaced by ``mark``; overlapping spans by one."""
-    kept = docs.columns
+    kept, formats = docs.columns, formats or learnt_formats(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = scanner(labelled, bits)
+        scan = scanner(formats, bits)
         for batch in sliced(batches):
             at, texts = kept.index("text"), []
             for text in batch.column(at).to_pylist():

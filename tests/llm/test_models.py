@@ -157,13 +157,11 @@ def test_patterns_vote_where_no_term_is_known():
 
 
 def test_label_model_learns_who_is_right():
-    import numpy as np
-
     draw = np.random.default_rng(3)
     y = draw.random(3000) < 0.2
     vote = lambda right: np.where(draw.random(3000) < right, np.where(y, 1, -1), np.where(y, -1, 1))
     good, poor = vote(0.95), vote(0.6)
-    votes = np.stack([good, poor, poor, poor, vote(0.9), vote(0.9)], 1).astype(np.int8)
+    votes = np.stack([good, poor, poor, poor, vote(0.9), vote(0.98)], 1).astype(np.int8)
     q, parents = toxicity.label_model(votes, 0.2)
     assert ((q > 0.5) == y).mean() > 0.95
     # Three voters that always agree hang on one another, so that together they say no more than one.
@@ -212,8 +210,27 @@ def test_learnt_formats():
     formats = secrets.default_formats()
     unseen = secrets.labelled_formats(40, seed=123)
     assert sum(formats.gain(v)[0] >= secrets.BITS for _, v in unseen) / len(unseen) > 0.9
-    plain = ["Andananblestheenthe2024", "inter-national-organisation-2019", "2024-01-02T03-04-05-and-more", "the_quick_brown_fox_2_jumps", "chapter-12-section-4-paragraph-9"]
+    plain = ["Andananblestheenthe2024", "inter-national-organisation-2019", "2024-01-02T03-04-05-and-more", "the_quick_brown_fox_2_jumps", "chapter-12-section-4-paragraph-9", "0b1c2d3e-aaaa-4bbb-8ccc-0123456789ab"]
     assert all(formats.gain(p)[0] < secrets.BITS for p in plain)
+    # States tell places apart: a format of fixed length has one for each, but for the open ones it may join.
+    sizes = {n: len(a.states) for n, a in formats.automata.items()}
+    assert all(n > 20 for f, n in sizes.items() if f != "base64-block") and sizes["base64-block"] < 300, sizes
+
+
+def test_corpus_teaches_formats(spark):
+    """A format that only the corpus shows, by its assignments; held-out values of it, alone in a text, are found."""
+    draw = random.Random(6)
+    key = lambda: "zq-" + "".join(draw.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(28))
+    words = ["ordinary-path/to/some-file-2020", "another_long_identifier_17", "report-of-the-year-1999-final"]
+    rows = [(k, f"token = '{key()}' and then {draw.choice(words)} there") for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labelled, ordinary = secrets.learn(docs)
+    assert {n for n, _ in labelled} == {"corpus-assign"} and len(labelled) == 120 and set(ordinary) == {"ordinary-path/to/some-file-2020", "another_long_identifier_17", "report-of-the-year-1999-final"}
+    assert secrets.learn(docs.repartition(1)) == (labelled, ordinary)
+    formats = secrets.learnt_formats(docs)
+    unseen = [key() for _ in range(50)]
+    assert sum(formats.gain(v) >= (secrets.BITS, "corpus-assign") for v in unseen) > 45
+    assert all(formats.gain(w)[0] < secrets.BITS for w in words)
 
 
 def test_scan_and_redaction(spark):
@@ -229,11 +246,11 @@ def test_scan_and_redaction(spark):
 
 def test_secrets_in_runs_over_200(spark):
     draw = random.Random(11)
-    key = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400))
+    key = "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(10_000))
     path = "/".join(["usr", "share", "some", "ordinary", "folder"] * 20) + "/v2"
     df = spark.createDataFrame([(1, f"see {key} there"), (2, f"see {path} there")], "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.find(df)).collect()}
-    assert len(path) > 200 and got == {1: "format:4:404", 2: ""}
+    assert len(path) > 200 and got == {1: "format:4:10004", 2: ""}
     assert {r["text"] for r in secrets.redact(df).collect()} == {"see [secret] there", f"see {path} there"}
 
 
