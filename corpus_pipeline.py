@@ -18,11 +18,11 @@ from cadastre.llm.common import id_crc, materialise, table
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts toxic go; labels of held-out ids are not learnt from."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), id_crc("doc_id", 5) != 0)
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.reject(docs, model)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
+    """Of rows linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
     return jaccard.keep_one(docs, length=5, percent=80)
 
 
