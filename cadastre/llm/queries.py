@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import OP7_SQL, op7_decontamination
+from .divergence import OP11_SQL, op11_source_audit
 from .fingerprints import op8_fingerprints
 from .id_files import op10_id_files
 from .jaccard import OP4_SQL, op4_jaccard_join
@@ -14,6 +15,8 @@ from .packing import op3_packing
 from .scoring import op2_lm_scoring
 from .sharding import op9_sharding
 from .secrets import op6_secret_scan
+from .simhash import op13_simhash_dedup
+from .spelling import OP12_SQL, op12_spelling_variants
 from .token_counts import op1_token_counts
 from .toxicity import op5_toxicity
 
@@ -35,7 +38,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_id_files": op10_id_files,
+    "op11_source_audit": op11_source_audit,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_simhash_dedup": op13_simhash_dedup,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op4_jaccard_join": OP4_SQL, "op7_decontamination": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_jaccard_join": OP4_SQL, "op7_decontamination": OP7_SQL, "op11_source_audit": OP11_SQL, "op12_spelling_variants": OP12_SQL}
