@@ -15,30 +15,17 @@ from ..operators import contractors, guard, kpi, leads, lineage, places, publish
 from ..region import COUNTY
 from ..sources import html
 from ..storage import stored
-from . import expected, roll
+from . import expected, ingestion, roll
 from .analogues import RUN_DATE, WITH_SQL, permits, properties, table
+from .registry import ORACLES, QUERIES, query
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "ingestion"]
 
 HOME = COUNTY.anchors["Kissimmee"]
 CIRCLE = leads.Circle(*HOME, 5)
 WIDE = leads.Circle(*HOME, 15)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with its SQL if there is one."""
-
-    def put(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return put
-
-
 def miles_sql(lat: float, lng: float) -> str:
     return f"3958.8 * 2 * asin(sqrt(pow(sin(radians(latitude - CAST({lat} AS DOUBLE)) / 2), 2) + cos(radians(CAST({lat} AS DOUBLE))) * cos(radians(latitude)) * pow(sin(radians(longitude - CAST({lng} AS DOUBLE)) / 2), 2)))"
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 import hashlib
 import re
 import zipfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 # The files of the roll's archive and the tables they become.
 ROLL_FILES = {
     name: f"raw_ocpa_{name}" for name in ("parcel", "site", "owner", "mail", "building", "detail", "sales", "permit", "legal", "lu_dor", "lu_sub")
@@ -44,9 +47,43 @@ def scan(spark: SparkSession, path: str, *, columns: list[str] | None = None, se
     broken and cuts long ones without saying what it cut.
     """
     names = columns or header_of(spark, path, sep, encoding)
-    split = lines_of(spark, path, encoding, header=True).withColumn("fields", F.split("line", re.escape(sep), -1))
-    rows = split.where(F.size("fields") <= len(names)).select(*[F.nullif(F.get("fields", F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
-    return Scan(rows, split.where(F.size("fields") > len(names)).select("line", F.input_file_name().alias("source_file")))
+    found = split(lines_of(spark, path, encoding, header=True), names, sep)
+    return Scan(found.rows, found.quarantined.withColumn("source_file", F.input_file_name()))
+
+
+def split(lines: DataFrame, names: list[str], sep: str = "|") -> Scan:
+    """Rows of ``lines`` (line); those with too many fields as they stand."""
+    fields = lines.select("line", F.split("line", re.escape(sep), -1).alias("fields"))
+    rows = fields.where(F.size("fields") <= len(names)).select(*[F.nullif(F.get("fields", F.lit(k)), F.lit("")).alias(n) for k, n in enumerate(names)])
+    return Scan(rows, fields.where(F.size("fields") > len(names)).select("line"))
+
+
+def rejects(spark: SparkSession, path: str, *, columns: list[str] | None = None, sep: str = "|", encoding: str = "ISO-8859-1") -> DataFrame:
+    """(file, line, column, reason, text) of every row that ``scan`` quarantines: where it stands in its file, from 1, and its first field too many.
+
+    One pass: tasks count the lines of each block of a file as they look for rejects, and a block's first line is
+    the sum of the counts before it. A row a block and a reject is all that is stored; nothing is sorted.
+    """
+    names = columns or header_of(spark, path, sep, encoding)
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("value"))
+    most, mark = len(names), sep.encode(encoding)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, int], int] = {}
+        found: list[tuple] = []
+        for batch in batches:
+            for file, start, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = counts[file, start] = counts.get((file, start), 0) + 1
+                if raw.count(mark) >= most and (start or at > 1):
+                    found.append((file, start, at, raw.decode(encoding)))
+        rows = [*found, *((f, s, n, None) for (f, s), n in counts.items())]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["file", "start", "at", "text"])
+
+    told = stored(lines.mapInArrow(run, "file string, start long, at long, text string"), "rejects")
+    before = F.coalesce(F.sum("at").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = told.where("text IS NULL").select("file", "start", before.alias("before"))
+    return told.where("text IS NOT NULL").join(blocks, ["file", "start"]).select("file", (F.col("before") + F.col("at")).alias("line"), F.lit(most + 1).alias("column"), F.lit("TOO MANY COLUMNS").alias("reason"), "text")
 
 
 def with_provenance(rows: DataFrame, *, tax_year: int, source_file: str, run_id: str) -> DataFrame:

@@ -1,12 +1,11 @@
 """A paged service as a Spark data source: one partition a page, pages read by a given function.
 
-The function stands in for the transport. Failed pages are
-tried again with doubling waits; a checkpoint file remembers which offsets are done.
+The function stands in for the transport. Failed pages are tried again with doubling waits. ``streaming.pages`` reads the
+same service as a stream that can be stopped and goes on where it was.
 """
 
 from __future__ import annotations
 
-import json
 import shutil
 import time
 from collections.abc import Callable, Iterable, Iterator
@@ -106,20 +105,6 @@ def download(open_url: Callable[[str], BinaryIO], url: str, to: str | Path, *, p
     return to
 
 
-def sweep(fetch: Callable[[int, int], list[dict]], total: int, out: str | Path, checkpoint: str | Path, *, page: int = PAGE, wait: float = WAIT_S) -> int:
-    """Pages appended to a JSON-lines file, resumed where the checkpoint says. Driver-side; returns rows written in all."""
-    checkpoint, out = Path(checkpoint), Path(out)
-    state = json.loads(checkpoint.read_text()) if checkpoint.exists() else {"offset": 0, "written": 0, "total": total}
-    with out.open("a") as f:
-        while state["offset"] < total:
-            rows = with_retries(lambda: fetch(state["offset"], min(page, total - state["offset"])), wait=wait)
-            f.writelines(json.dumps(r) + "\n" for r in rows)
-            f.flush()
-            state = {"offset": state["offset"] + page, "written": state["written"] + len(rows), "total": total}
-            checkpoint.write_text(json.dumps(state))
-    return state["written"]
-
-
 Window = tuple[date, date]
 
 
@@ -133,21 +118,6 @@ def bisect(window: Window) -> tuple[Window, Window] | None:
     return (since, middle), (middle + timedelta(days=1), until)
 
 
-def harvest_windows(search: Callable[[Window], tuple[list[dict], bool]], window: Window) -> tuple[dict[str, dict], list[Window]]:
-    """All hits of a capped search, by permit number, later windows winning; and single days that stayed capped."""
-    hits, capped = search(window)
-    halves = bisect(window) if capped else None
-    if halves is None:
-        return {h["permitNumber"]: h for h in hits}, [window] if capped else []
-    found: dict[str, dict] = {}
-    flagged: list[Window] = []
-    for half in halves:
-        more, still = harvest_windows(search, half)
-        found |= more
-        flagged += still
-    return found, flagged
-
-
 def refresh_window(last_run: date | None, run_date: date, *, overlap_days: int = 14, first_days: int = 90) -> Window:
     """From the last run less the overlap, or ``first_days`` back if there was none, to the run's day."""
     since = run_date - timedelta(days=first_days) if last_run is None else last_run - timedelta(days=overlap_days)

@@ -155,31 +155,9 @@ def test_failed_pages_are_rows(spark):
     assert got == {(1, 1, None), (2, None, "broken")}
 
 
-def test_sweep_resumes(tmp_path):
-    calls = []
-
-    def fetch(offset, size, fail=[True]):  # noqa: B006
-        calls.append(offset)
-        if offset == 4 and fail:
-            fail.clear()
-            raise OSError("once")
-        return [{"k": k} for k in range(offset, offset + size)]
-
-    assert paged.sweep(fetch, 10, tmp_path / "o.jsonl", tmp_path / "c.json", page=4, wait=0) == 10
-    assert calls == [0, 4, 4, 8] and len((tmp_path / "o.jsonl").read_text().splitlines()) == 10
-    assert paged.sweep(fetch, 10, tmp_path / "o.jsonl", tmp_path / "c.json", page=4, wait=0) == 10 and len(calls) == 4
-
-
 def test_windows():
     whole = (date(2026, 1, 1), date(2026, 1, 8))
 
-    def search(w):
-        days = [date.fromordinal(d) for d in range(w[0].toordinal(), w[1].toordinal() + 1)]
-        hits = [{"permitNumber": f"{d}-{k}"} for d in days for k in range(60 if d.day != 5 else 200)]
-        return hits[:100], len(hits) > 100
-
-    found, flagged = paged.harvest_windows(search, whole)
-    assert len(found) == 7 * 60 + 100 and flagged == [(date(2026, 1, 5), date(2026, 1, 5))]
     assert paged.bisect((whole[0], whole[0])) is None
     assert paged.refresh_window(None, date(2026, 4, 1))[0] == date(2026, 1, 1)
     assert paged.refresh_window(date(2026, 3, 30), date(2026, 4, 1))[0] == date(2026, 3, 16)
