@@ -123,17 +123,43 @@ def test_limits():
     assert [r["k"] for r in leads.resorted([{"k": 1}, {"k": None}, {"k": 3}], "k")] == [3, 1, None]
 
 
-@pytest.mark.parametrize("sql", ["", "DELETE FROM t", "SELECT 1; SELECT 2", "SELECT ';'", "x" * 20_001, "selective 1"])
+@pytest.mark.parametrize("sql", ["", "DELETE FROM t", "x" * 20_001, "selective 1"])
 def test_statement_guard(sql):
     with pytest.raises(ValueError):
         guard.read_only(sql)
 
 
-def test_statement_runs(spark):
-    assert guard.read_only(" with a as (select 1) select * from a ; ") == "with a as (select 1) select * from a"
-    assert guard.run_select(spark, "SELECT count(*) AS n FROM t", {"t": spark.range(7)}).first()["n"] == 7
+REFUSED = [
+    "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/root`", "SELECT * FROM csv.`/etc/passwd`", "SELECT * FROM other", "SELECT * FROM default.t", "SELECT java_method('java.lang.System', 'getProperty', 'user.dir')", "SELECT reflect('a', 'b')",
+    "SELECT try_reflect('a', 'b')", "SELECT * FROM range(5)", "SELECT input_file_name() FROM t", "SELECT id FROM t WHERE id IN (SELECT x FROM text.`/etc/hosts`)", "SELECT (SELECT max(value) FROM text.`/etc/hosts`) FROM t",
+    "WITH a AS (SELECT reflect('x', 'y') AS r) SELECT * FROM a", "SELECT * FROM identifier('t')", "SELECT transform(id) USING 'cat' FROM t", "WITH a AS (SELECT 1 AS x) INSERT INTO t SELECT x FROM a", "SELECT version()", "SELECT no_such_function(id) FROM t",
+    "SELECT upper(java_method('a', 'b')) FROM t", "SELECT sum(id) OVER (ORDER BY java_method('a', 'b')) FROM t", "SELECT transform(array(1), x -> java_method('a', 'b'))", "SELECT id FROM t LATERAL VIEW explode(array(reflect('a', 'b'))) e",
+    "SELECT * FROM t JOIN LATERAL (SELECT * FROM orc.`/x`)", "SELECT id FROM t UNION SELECT x FROM json.`/x`", "SELECT id FROM t GROUP BY id HAVING max(java_method('a', 'b')) > 1", "SELECT id FROM t ORDER BY reflect('a', 'b')", "SELECT identifier('id') FROM t", "SELECT * FROM a",
+    "SELECT sum(id) OVER w FROM t WINDOW w AS (PARTITION BY reflect('a', 'b'))", "SELECT * FROM (SELECT * FROM t) a, (WITH b AS (SELECT * FROM avro.`/x`) SELECT * FROM b) c",
+]
+
+
+@pytest.mark.parametrize("sql", REFUSED)
+def test_what_a_statement_may_not_do(spark, sql):
     with pytest.raises(ValueError):
-        guard.run_select(spark, "WITH a AS (SELECT 1 AS x) INSERT INTO t SELECT x FROM a", {"t": spark.range(1)})
+        guard.run_select(spark, sql, {"t": spark.range(1)})
+
+
+ALLOWED = {
+    "SELECT count(*) AS n FROM t": 7, "SELECT ';' || id AS n FROM t ORDER BY id LIMIT 1": ";0", "WITH a AS (SELECT id FROM t WHERE id > 2), b AS (SELECT max(id) AS n FROM a) SELECT n FROM b": 6, "SELECT (SELECT max(id) FROM t) AS n": 6,
+    "SELECT sum(x) AS n FROM t LATERAL VIEW explode(array(id, 1)) e AS x": 28, "SELECT count(*) AS n FROM T WHERE EXISTS (SELECT 1 FROM t u WHERE u.id = t.id + 3)": 4, "SELECT n FROM (SELECT row_number() OVER w AS n, id FROM t WINDOW w AS (ORDER BY id DESC)) q WHERE id = 0;": 7,
+    "SELECT id AS n FROM t EXCEPT SELECT id FROM t WHERE id < 6": 6, "SELECT x AS n FROM VALUES (1), (2) AS v(x) WHERE x > 1": 2, "SELECT CASE WHEN id > 5 THEN upper('a') END AS n FROM t ORDER BY 1 DESC LIMIT 1": "A", "SELECT size(filter(array(1, 2, 3), x -> x > 1)) AS n": 2,
+    "SELECT count(*) AS n FROM t a JOIN t b ON a.id = b.id GROUP BY ROLLUP(a.id) HAVING count(*) > 5": 7,
+}
+
+
+def test_what_a_statement_may_do(spark):
+    assert guard.read_only(" with a as (select 1) select * from a ; ") == "with a as (select 1) select * from a"
+    spark.range(3).createOrReplaceTempView("t")
+    for sql, n in ALLOWED.items():
+        assert guard.run_select(spark, sql, {"t": spark.range(7), "gone": spark.range(1)}).first()["n"] == n, sql
+    assert spark.table("t").count() == 3 and not spark.catalog.tableExists("gone")
+    spark.catalog.dropTempView("t")
 
 
 def test_rating_summary(spark):
