@@ -13,22 +13,26 @@ from pyspark.sql import SparkSession
 from .contracts import TABLES, describe
 from .operators import guard, publish
 from .plans import build
-from .sources import delimited, harvests
+from .sources import archive, delimited, harvests
 from .sources.paged import refresh_window
 from .storage import Folder
 
 
 def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = False) -> dict[str, build.Loader]:
-    """Loaders of what a folder holds: roll/*.csv, portal*.jsonl, parcels*.jsonl, profiles*.jsonl, listings*.jsonl, places/*.parquet.
+    """Loaders of what a folder holds: roll/*.csv or roll/*.zip, portal*.jsonl, parcels*.jsonl, profiles*.jsonl, listings*.jsonl, places/*.parquet.
 
     The roll is loaded once a digest of its files. An increment takes the portal's records fetched within its window.
     """
 
     def roll(asked: build.Asked) -> build.Loaded:
-        files = sorted((folder / "roll").glob("*.csv"))
-        whole = hashlib.sha256("".join(f"{p.name}:{delimited.sha256_of(p)}" for p in files).encode()).hexdigest()
+        files, archives = sorted((folder / "roll").glob("*.csv")), sorted((folder / "roll").glob("*.zip"))
+        whole = hashlib.sha256("".join(f"{p.name}:{delimited.sha256_of(p)}" for p in [*files, *archives]).encode()).hexdigest()
         done = {tax_year: asked.last["digest"]} if asked.last else {}
-        got = delimited.load_roll(spark, {p.stem.lower(): str(p) for p in files}, digest=whole, loaded=done, tax_year=tax_year, run_id=asked.run_id, force=force)
+        scans = {p.stem.lower(): lambda p=p: delimited.scan(spark, str(p)) for p in files}
+        for path in archives:
+            uri = path.absolute().as_uri()
+            scans |= {n.removesuffix(".csv"): lambda n=n, uri=uri: archive.scans(spark, uri, [n])[n] for n in archive.members(uri) if n.endswith(".csv")}
+        got = delimited.load_scans(scans, digest=whole, loaded=done, tax_year=tax_year, run_id=asked.run_id, force=force)
         return build.Loaded(None if got.status == "skipped" else dict(got.tables), whole, got.quarantined, got.status == "skipped")
 
     found: dict[str, build.Loader] = {"roll": roll}
@@ -50,6 +54,12 @@ def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = Fals
     return found
 
 
+def chosen(found: dict[str, build.Loader], names: list[str] | None) -> dict[str, build.Loader]:
+    if unknown := set(names or ()) - set(found):
+        raise SystemExit(f"no such source here: {', '.join(sorted(unknown))}")
+    return {n: load for n, load in found.items() if not names or n in names}
+
+
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cadastre")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -63,6 +73,9 @@ def main(args: list[str] | None = None) -> int:
         if dated:
             made.add_argument("--mode", choices=["full", "incremental"], default="incremental")
             made.add_argument("--run-date", type=date.fromisoformat, default=date.today())
+            made.add_argument("--resume", action="store_true", help="take up the last run if it did not succeed")
+        if reads:
+            made.add_argument("--source", action="append", help="load this source alone; may be given again")
         return made
 
     command("run", "load, build, export and record one run", reads=True, dated=True)
@@ -83,14 +96,14 @@ def main(args: list[str] | None = None) -> int:
         print(json.dumps(history.runs(), indent=1))
         return 0
     if given.command in ("run", "build"):
-        sources = loaders(spark, given.input, given.run_date.year, given.force) if given.command == "run" else {}
-        print(build.execute(spark, sources, given.output, mode=given.mode, run_date=given.run_date).status)
+        sources = chosen(loaders(spark, given.input, given.run_date.year, given.force), given.source) if given.command == "run" else {}
+        print(build.execute(spark, sources, given.output, mode=given.mode, run_date=given.run_date, resume=given.resume).status)
         return 0
     last = history.last_published()
     if given.command == "ingest":
         since = date.fromisoformat(last["runDate"]) if last and given.mode == "incremental" else None
         asked = build.Asked(given.mode if since else "full", refresh_window(since, given.run_date), datetime.now(UTC).strftime("%Y-%m-%dT%H-%M-%SZ"))
-        for result in build.ingest(build.RawStore(spark, given.output), loaders(spark, given.input, given.run_date.year, given.force), asked):
+        for result in build.ingest(build.RawStore(spark, given.output), chosen(loaders(spark, given.input, given.run_date.year, given.force), given.source), asked):
             print(json.dumps(vars(result)))
         return 0
     if last is None:

@@ -63,3 +63,27 @@ def clip(points: DataFrame, ring: Ring) -> DataFrame:
 
 def extent_of(points: DataFrame) -> DataFrame:
     return points.agg(*[f(c).alias(f"{n}_{c}") for c in ("latitude", "longitude") for n, f in (("min", F.min), ("max", F.max))])
+
+
+#: Bits a side of the curve's key: cells of about half a metre.
+CURVE_BITS = 26
+#: Shifts and masks that spread the low 32 bits of a long over its even places.
+SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def curve_key(lat: Column | str, lng: Column | str) -> Column:
+    """Place on a space-filling curve over the globe: the bits of latitude and longitude in turn. Null without either.
+
+    Rows sorted by it are near each other where their keys are, so that ranges of rows span small boxes.
+    """
+
+    def cells(at: Column | str, low: float, span: float) -> Column:
+        at = F.col(at) if isinstance(at, str) else at
+        spread = F.least(F.greatest(F.floor((at - low) / span * (1 << CURVE_BITS)), F.lit(0)), F.lit((1 << CURVE_BITS) - 1)).cast("long")
+        for shift, mask in SPREAD:
+            spread = spread.bitwiseOR(F.shiftleft(spread, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return spread
+
+    # The least of a value and a null is the value: without one of both there is no key.
+    known = (F.col(lat) if isinstance(lat, str) else lat).isNotNull() & (F.col(lng) if isinstance(lng, str) else lng).isNotNull()
+    return F.when(known, F.shiftleft(cells(lat, -90.0, 180.0), 1).bitwiseOR(cells(lng, -180.0, 360.0)))

@@ -9,25 +9,39 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Contract, conform
 from ..functions.columns import media_type
+from ..functions.geo import curve_key
 from ..region import COUNTY, Region
-from ..storage import Folder
+from ..storage import Folder, drop_stored, stored
 
-ROW_GROUP = 65_536
-#: Rows of one exported file; a larger table becomes several, each a range of keys.
+#: Rows of a row group: what a reader skips or reads at once.
+ROW_GROUP = 16_384
+#: Rows of one exported file; a larger table becomes several, each a range of the order.
 FILE_ROWS = 2_000_000
 
 
-def export(df: DataFrame, table: Contract, path: str, *, file_rows: int = FILE_ROWS) -> None:
-    """The contract's columns sorted by its key, as ZSTD Parquet: one file, or ranges of keys beyond ``file_rows``."""
-    rows = conform(df, table)
+def export_order(table: Contract) -> list[Column]:
+    """Along the space-filling curve where a table has coordinates, so that a box reads few row groups; then by key."""
+    names = table.schema.names
+    near = [curve_key("latitude", "longitude")] if {"latitude", "longitude"} <= set(names) else []
+    return [*near, F.col(table.key)]
+
+
+def export(df: DataFrame, table: Contract, path: str, *, file_rows: int = FILE_ROWS, group_rows: int = ROW_GROUP) -> None:
+    """The contract's columns in ``export_order``, as ZSTD Parquet: one file, or ranges beyond ``file_rows``.
+
+    Lookups by key, which the curve scatters, are answered by a Bloom filter of each row group.
+    """
+    rows, order = stored(conform(df, table), "export"), export_order(table)
     files = max(1, -(-rows.count() // file_rows))
-    ordered = rows.coalesce(1).sortWithinPartitions(table.key) if files == 1 else rows.repartitionByRange(files, table.key).sortWithinPartitions(table.key)
-    ordered.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", ROW_GROUP).parquet(path)
+    ordered = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    written = ordered.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", group_rows).option(f"parquet.bloom.filter.enabled#{table.key}", True)
+    written.parquet(path)
+    drop_stored(rows)
 
 
 def aged_roof_sample(properties: DataFrame, region: Region = COUNTY, limit: int = 500) -> DataFrame:

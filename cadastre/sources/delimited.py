@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -119,11 +119,16 @@ class Load:
 
 def load_roll(spark: SparkSession, files: Mapping[str, str], *, digest: str, loaded: Mapping[int, str], tax_year: int, run_id: str, force: bool = False) -> Load:
     """Load the roll's files (table name to path) unless this year's digest is loaded already."""
+    return load_scans({n: lambda p=p: scan(spark, p) for n, p in files.items()}, digest=digest, loaded=loaded, tax_year=tax_year, run_id=run_id, force=force, named=files)
+
+
+def load_scans(scans: Mapping[str, Callable[[], Scan]], *, digest: str, loaded: Mapping[int, str], tax_year: int, run_id: str, force: bool = False, named: Mapping[str, str] | None = None) -> Load:
+    """The same for scans that are made when they are needed. ``named``: what to call their source file, if not by their name."""
     if not force and loaded.get(tax_year) == digest:
         return Load("skipped", digest)
     tables, seen, bad = {}, 0, 0
-    for name, path in files.items():
-        found = scan(spark, path)
-        tables[name] = with_provenance(found.rows, tax_year=tax_year, source_file=path, run_id=run_id)
+    for name, make in scans.items():
+        found = make()
+        tables[name] = with_provenance(found.rows, tax_year=tax_year, source_file=(named or {}).get(name, name), run_id=run_id)
         seen, bad = seen + found.rows.count(), bad + found.quarantined.count()
     return Load("loaded", digest, seen, bad, tables)

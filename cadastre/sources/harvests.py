@@ -71,7 +71,7 @@ def profiles(full: DataFrame, listings: DataFrame) -> DataFrame:
     best = latest(with_fallback(full, thin, "bbbId").where("bbbId IS NOT NULL"), ["bbbId"], by_quality())
     return best.select(
         F.col("bbbId").alias("bbb_id"), "name", "rating", "accredited", F.col("reviewCount").alias("review_count"), F.col("complaintCount").alias("complaint_count"), "phone",
-        F.col("licenseNumbers").alias("license_numbers"), F.col("profileUrl").alias("profile_url"),
+        F.col("licenseNumbers").alias("license_numbers"), F.col("profileUrl").alias("profile_url"), F.col("rawHtmlSha256").alias("raw_html_sha256"), F.col("fetchedAt").alias("fetched_at"),
     )
 
 

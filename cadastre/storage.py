@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Folder of a single-machine session that names none, and the tables written by this process.
 _own: list[str] = []
 _written: list[str] = []
+#: What was stored within the innermost ``scratch`` block, None outside of one.
+_block: ContextVar[list[str] | None] = ContextVar("cadastre_scratch", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -42,6 +47,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     _written.append(path)
+    if (own := _block.get()) is not None:
+        own.append(path)
     found = spark.read.schema(df.schema).parquet(path)
     found._scratch = path
     return found
@@ -60,6 +67,20 @@ def drop_stored(*tables: DataFrame) -> None:
         delete(df.sparkSession, df._scratch)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within the block are deleted at its end; those of others stay."""
+    own: list[str] = []
+    before = _block.set(own)
+    try:
+        yield
+    finally:
+        _block.reset(before)
+        for path in own:
+            if path in _written:
+                delete(spark, path)
+
+
 def drop_all(spark: SparkSession) -> None:
     """Delete every table this process has stored; for when the results over them have been read."""
     for path in list(_written):

@@ -1,18 +1,19 @@
 """Continuous ingestion, an extension: the batch engine's overlapping windows as a stream.
 
 Files that land in a folder are read as a stream; late copies of a record within the overlap
-are dropped by watermark, and each micro-batch is merged, latest row first, into a keyed
-table of alternating folders, so that a reader never sees half a merge.
+are dropped by watermark, and each micro-batch is taken into a keyed table, which writes the
+batch alone and merges when it is read. A table belongs to one checkpoint, whose batch numbers it goes by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import upsert
-from ..storage import Folder
+from ..operators.keyed import KeyedTable
 
 OVERLAP = "14 days"
 
@@ -27,44 +28,17 @@ def without_repeats(stream: DataFrame, key: list[str], overlap: str = OVERLAP, a
     return stream.where("event_time IS NOT NULL").withWatermark("event_time", overlap).dropDuplicatesWithinWatermark([*key, at])
 
 
-class KeyedTable:
-    """A Parquet table replaced whole by each merge, in one folder a batch; ``current`` is the latest complete one.
-
-    Which that is, the folders say themselves, so a restarted process goes on where the last one
-    ended. A table belongs to one checkpoint, whose batch numbers name its folders; the one before
-    the current is kept for its readers.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, key: list[str], at: str):
-        self.spark, self.folder, self.key, self.at = spark, Folder(spark, path), key, at
-
-    def versions(self) -> list[int]:
-        return sorted(int(n[2:]) for n in self.folder.names() if n.startswith("v=") and self.folder.exists(n, "_SUCCESS"))
-
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.folder.at(f"v={version}"))
-
-    def current(self) -> DataFrame | None:
-        known = self.versions()
-        return self.read(known[-1]) if known else None
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one micro-batch into the table before it; a batch seen before (after a restart) gives the same table again."""
-        order = [F.col(self.at).desc_nulls_last()]
-        earlier = [v for v in self.versions() if v < batch_id]
-        new = batch.drop("event_time")
-        old = self.read(earlier[-1]) if earlier else new.limit(0)
-        if earlier:
-            # A late row must not replace a newer one.
-            new = old.join(new.select(*self.key).distinct(), self.key, "left_semi").unionByName(new)
-        upsert(old, new, self.key, order).write.mode("overwrite").parquet(self.folder.at(f"v={batch_id}"))
-        for version in earlier[:-1]:
-            self.folder.drop(f"v={version}")
+def latest_fetch(at: str = "fetchedAt") -> Callable[[list[str]], list[Column]]:
+    """Order for a ``KeyedTable`` in which a late row never replaces a newer one."""
+    return lambda columns: [F.col(at).desc_nulls_last()]
 
 
 def start_merge(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
     """All files that are there, in batches, then stop; call again for more."""
-    return stream.writeStream.foreachBatch(table.merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def take(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch.drop("event_time"), batch_id)
+
+    return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_counts(stream: DataFrame, window: str = "1 day", late: str = OVERLAP) -> DataFrame:

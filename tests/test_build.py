@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from cadastre import cli
 from cadastre.operators import publish
+from cadastre.operators.keyed import KeyedTable
 from cadastre.plans import build, roll
+from cadastre.storage import scratch, stored
 from cadastre.streaming import harvest
 
 SF = "/root/testdata/sf0.001"
@@ -75,16 +77,14 @@ def test_the_roll_is_loaded_once_a_digest(spark, tmp_path, capsys):
     assert cli.main(["build", *given[2:]]) == 0 and cli.main(["verify", *given[2:4]]) == 0
     ledger = json.loads((tmp_path / "out" / "load-ledger.json").read_text())
     assert ledger["roll"]["quarantined"] == len(ledger["roll"]["tables"]) and len(ledger["roll"]["digest"]) == 64
+    with pytest.raises(SystemExit):
+        cli.main(["ingest", *given, "--source", "portal"])
     first, second = build.History(spark, f"file://{tmp_path}/out").runs()
     assert first["sources"][0]["quarantined"] == len(ledger["roll"]["tables"]) and second["sources"] == [] and second["tableCounts"] == first["tableCounts"]
 
 
-def harvest_batch(spark, rows):
-    return spark.createDataFrame(rows, "permitNumber string, status string, fetchedAt string").withColumn("event_time", F.col("fetchedAt").cast("timestamp"))
-
-
 def test_stream_merges_latest(spark, tmp_path):
-    drops, table = tmp_path / "drops", harvest.KeyedTable(spark, str(tmp_path / "table"), ["permitNumber"], "fetchedAt")
+    drops, table = tmp_path / "drops", KeyedTable(spark, str(tmp_path / "table"), ["permitNumber"], harvest.latest_fetch())
     drops.mkdir()
     schema = "permitNumber string, status string, fetchedAt string"
 
@@ -98,10 +98,10 @@ def test_stream_merges_latest(spark, tmp_path):
     assert sorted((r["permitNumber"], r["status"]) for r in table.current().collect()) == [("1", "new"), ("2", "x")]
 
     # A process that starts anew finds the table as it was, and a batch given twice changes nothing.
-    table = harvest.KeyedTable(spark, str(tmp_path / "table"), ["permitNumber"], "fetchedAt")
+    table = KeyedTable(spark, str(tmp_path / "table"), ["permitNumber"], harvest.latest_fetch())
     (drops / "c.json").write_text('{"permitNumber":"3","status":"y","fetchedAt":"2026-01-06T00:00:00"}\n')
     run()
-    table.merge(harvest_batch(spark, [("3", "y", "2026-01-06T00:00:00")]), table.versions()[-1])
+    table.merge(spark.createDataFrame([("3", "z", "2026-01-07T00:00:00")], schema), table.version()[1].batch)
     assert sorted((r["permitNumber"], r["status"]) for r in table.current().collect()) == [("1", "new"), ("2", "x"), ("3", "y")] and len(table.versions()) == 2
 
 
@@ -121,3 +121,63 @@ def test_ratings_and_parcels_are_whole_tables(spark):
     assert roll.profiles(spark, sf).count() == size("supplier") > 50
     found = roll.parcels(spark, sf)
     assert found.count() == size("customer") > found.where("latitude IS NOT NULL").count() > 0
+
+
+class Killed(BaseException):
+    """As the end of a process: no handler of the run sees it."""
+
+
+@pytest.mark.parametrize("end", [Killed, ValueError])
+def test_a_run_that_ended_early_is_taken_up(spark, tmp_path, monkeypatch, end):
+    asked, staged, links = [], [], build.contractors.links
+
+    def counted(name):
+        def load(given):
+            asked.append(name)
+            return loaders(spark)[name](given)
+
+        return load
+
+    stage = build.permits.stage
+    monkeypatch.setattr(build.permits, "stage", lambda *a: (staged.append(1), stage(*a))[1])
+    monkeypatch.setattr(build.contractors, "links", lambda rows: (_ for _ in ()).throw(end("down")))
+    given = {n: counted(n) for n in ("roll", "portal", "parcels", "ratings")}
+    out, day = f"file://{tmp_path}", date(2002, 1, 1)
+    with pytest.raises(end):
+        build.execute(spark, given, out, run_date=day, run_id="r1")
+    monkeypatch.setattr(build.contractors, "links", links)
+    assert len(staged) == 1 and sorted(p.name for p in (tmp_path / "steps").glob("*/*")) == ["base", "staged"]
+    done = build.execute(spark, given, out, run_date=date(2003, 1, 1), resume=True)
+    assert (done.runId, done.runDate, done.status, len(staged)) == ("r1", "2002-01-01", "succeeded", 1) and asked == ["roll", "portal", "parcels", "ratings"]
+    assert not list((tmp_path / "steps").glob("*")) and [r["runId"] for r in build.History(spark, out).runs()] == ["r1"]
+    whole = build.execute(spark, loaders(spark), f"{out}/other", run_date=day, run_id="r1")
+    assert done.tableCounts == whole.tableCounts
+    same = ["permit_number", "contractor_id", "row_hash"]
+    assert spark.read.parquet(f"{tmp_path}/r1/permits").select(same).exceptAll(spark.read.parquet(f"{tmp_path}/other/r1/permits").select(same)).isEmpty()
+    assert build.execute(spark, loaders(spark), out, mode="full", run_date=day, run_id="r2", resume=True).runId == "r2"
+
+
+def test_a_listing_does_not_replace_a_profile(spark, tmp_path):
+    schema = "bbb_id string, name string, raw_html_sha256 string, fetched_at string"
+    first = spark.createDataFrame([("1", "full", "h", "2026-01-01"), ("2", "thin", None, None)], schema)
+    second = spark.createDataFrame([("1", "bare", None, None), ("2", "full now", "g", "2026-01-02"), ("3", "new", None, None)], schema)
+    store = build.RawStore(spark, f"file://{tmp_path}")
+    window = (date(2026, 1, 1), date(2026, 1, 2))
+    store.keep("ratings", build.Loaded(first), build.Asked("full", window, "r1"))
+    result = store.keep("ratings", build.Loaded(second), build.Asked("incremental", window, "r2"))
+    assert (result.seen, result.inserted, result.changed) == (3, 1, 2) and store.ledger["ratings"]["tables"] == {"ratings": 3}
+    assert {(r["bbb_id"], r["name"]) for r in build.RawStore(spark, f"file://{tmp_path}").read("ratings").collect()} == {("1", "full"), ("2", "full now"), ("3", "new")}
+
+
+def test_what_others_stored_stays(spark):
+    with scratch(spark):
+        outer = stored(spark.range(3), "outer")
+        with scratch(spark):
+            inner = stored(spark.range(4), "inner")
+        assert outer.count() == 3
+        with pytest.raises(Exception):
+            inner.count()
+    kept = stored(spark.range(5), "kept")
+    with scratch(spark):
+        stored(spark.range(6), "own")
+    assert kept.count() == 5
