@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .contracts import TABLES, describe
-from .operators import guard, publish
+from .operators import digests, guard, verify
 from .plans import build
 from .sources import archive, delimited, harvests
 from .sources.paged import refresh_window
@@ -85,7 +85,9 @@ def main(args: list[str] | None = None) -> int:
     command("history", "all runs")
     command("tables", "the published columns")
     command("query", "one SELECT over the last published tables").add_argument("statement")
-    command("verify", "compare the last run's files with its manifest")
+    checks = command("verify", "compare the last run's files with its manifest, or with what stores give")
+    checks.add_argument("--store", action="append", help="a store to fetch from; may be given again")
+    checks.add_argument("--least", type=int, default=verify.LEAST, help="stores that must agree")
     given = parser.parse_args(args)
     if given.command == "tables":
         print(json.dumps({n: describe(n) for n in TABLES}, indent=1))
@@ -115,11 +117,17 @@ def main(args: list[str] | None = None) -> int:
         guard.run_select(spark, given.statement, tables).show(50, truncate=False)
         return 0
     if given.command == "publish":
-        print(publish.publish_store(spark, folder.root, given.store))
+        print(json.dumps(digests.publish_run(spark, folder.root, given.store)))
         return 0
-    listed = {a["path"]: a for a in json.loads(folder.read("manifest.json"))["artifacts"]}
-    now = {r["path"]: r["sha256"] for r in publish.file_digests(spark, folder.root).collect()}
-    wrong = [a["name"] for n, a in listed.items() if now.get(n) != a["sha256"]]
+    made = json.loads(folder.read("manifest.json"))
+    if given.store:
+        report = verify.verify(spark, made, given.store, verify.from_stores, least=given.least)
+        report.checks.select("artifact", "gateway", "ok", "attempts", "error").orderBy("artifact", "gateway").show(200, truncate=False)
+        print("verified" if report.all_matched else "not verified")
+        return int(not report.all_matched)
+    listed = {a["name"]: a["sha256"] for a in made["artifacts"] if a["codec"] == "file"}
+    now = {r["name"]: r["sha256"] for r in digests.digested(spark, folder.root).collect()}
+    wrong = sorted(n for n in listed.keys() | now.keys() if listed.get(n) != now.get(n))
     print("\n".join(f"differs: {n}" for n in wrong) or "all match")
     return int(bool(wrong))
 

@@ -1,22 +1,15 @@
-"""Exports, manifests and their verification."""
+"""Exports and manifests."""
 
 from __future__ import annotations
 
-import hashlib
-import json
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract, conform
-from ..functions.columns import media_type
 from ..functions.geo import curve_key
 from ..region import COUNTY, Region
-from ..storage import Folder, drop_stored, stored
+from ..storage import drop_stored, stored
+from .digests import Tree
 
 #: Rows of a row group: what a reader skips or reads at once.
 ROW_GROUP = 16_384
@@ -69,48 +62,9 @@ def csv_text(rows: list[dict]) -> str:
     return "\r\n".join([",".join(map(cell, names)), *(",".join(cell(r.get(n)) for n in names) for r in rows)])
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(name, path, size, sha256, media_type) of the files under a folder, hashed piece by piece where they are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("size"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = []
-            for uri in batch.column(0).to_pylist():
-                system, where = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-                digest = hashlib.sha256()
-                with system.open_input_stream(where) as stream:
-                    while piece := stream.read(8 << 20):
-                        digest.update(piece)
-                digests.append(digest.hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=["path", "size", "sha256"])
-
-    name = F.element_at(F.split("path", "/"), -1)
-    hashed = files.where(~name.startswith("_")).mapInArrow(run, "path string, size long, sha256 string")
-    return hashed.select(name.alias("name"), "path", "size", "sha256", media_type(name).alias("media_type"))
-
-
-def publish_store(spark: SparkSession, folder: str, store: str) -> str:
-    """Files of a run into a store by content: each under its digest, once; then the manifest under its root; then the pointer.
-
-    The pointer ``latest.json`` moves last and whole, so that a reader never follows it to a missing file.
-    """
-    run, kept = Folder(spark, folder), Folder(spark, store)
-    made = json.loads(run.read("manifest.json"))
-    for artifact in made["artifacts"]:
-        if not kept.exists(artifact["sha256"]):
-            kept.copy(artifact["path"], artifact["sha256"])
-    kept.write(json.dumps(made, indent=1), f"{made['root']}.json")
-    kept.write(json.dumps({"root": made["root"], "runId": made["runId"]}), "latest.json")
-    return made["root"]
-
-
-def manifest(run_id: str, artifacts: list[dict], table_counts: dict[str, int], previous_root: str | None) -> dict:
-    """A run's manifest: its artifacts by name, counts, and the root it follows. The root is the digest of the listing."""
-    listed = sorted(artifacts, key=lambda a: a["name"])
-    told = [{k: v for k, v in a.items() if k != "path"} for a in listed]
-    root = hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()
-    return {"runId": run_id, "root": root, "previousRoot": previous_root, "artifacts": listed, "tableCounts": table_counts}
+def manifest(run_id: str, found: Tree, table_counts: dict[str, int], previous_root: str | None) -> dict:
+    """A run's manifest: its files and folders by name with codec, size, digest, media type and rows; the root of its tree, and the one it follows."""
+    return {"runId": run_id, "root": found.root, "previousRoot": previous_root, "artifacts": found.artifacts, "tableCounts": table_counts}
 
 
 def verified(checks: DataFrame, least: int = 2) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import TABLES
-from ..operators import contractors, kpi, permits, places, properties, publish, upsert
+from ..operators import contractors, digests, kpi, permits, places, properties, publish, upsert
 from ..operators.keyed import KeyedTable
 from ..region import COUNTY, Region
 from ..sources.paged import Window, refresh_window
@@ -290,8 +290,8 @@ def execute(spark: SparkSession, loaders: dict[str, Loader], out: str, *, mode:
             if before and (run.coverage.get("latitude") or 0.0) < least_coverage * before:
                 raise RuntimeError(f"coverage of latitude fell from {before} to {run.coverage.get('latitude')} %")
             folder.write(json.dumps({"columns": run.coverage, "sources": [asdict(r) for r in run.sources], "ledger": store.ledger}, indent=1), run.runId, "coverage.json")
-            artifacts = [r.asDict() for r in publish.file_digests(spark, folder.at(run.runId)).collect()]  # a row a file
-            made = publish.manifest(run.runId, artifacts, run.tableCounts, run.previousRoot)
+            files = [r.asDict() for r in digests.digested(spark, folder.at(run.runId)).collect()]  # a row a file
+            made = publish.manifest(run.runId, digests.tree(files), run.tableCounts, run.previousRoot)
             folder.write(json.dumps(made, indent=1), run.runId, "manifest.json")
             run.root, run.status = made["root"], "succeeded"
             steps.drop()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import digests, publish, verify
 from ..sources import delimited, harvests, windows
-from ..storage import scratch_path
+from ..storage import Folder, scratch_path
 from ..streaming import pages
 from .analogues import table
 from .registry import query
@@ -116,3 +119,30 @@ def src_ndjson_permits(spark: SparkSession, sf: str) -> DataFrame:
     told.withColumn("value", F.explode(F.array("value", F.lit('{"permitNumber": ')))).write.text(path)
     found = harvests.portal_permits(harvests.read_lines(spark, path, harvests.PERMIT))
     return found.select("permit_number", "description", "job_value", "contractor_name", F.ltrim("fetched_at", F.lit("0")).alias("fetched_at"))
+
+
+@query(
+    """SELECT CAST(c_nationkey AS INTEGER) AS nation, CAST(count(*) AS BIGINT) AS "rows", CAST(1 + any_value(CASE WHEN c_nationkey % 5 <> 0 THEN 1 ELSE 0 END) + any_value(CASE WHEN c_nationkey % 3 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS matched, any_value(c_nationkey % 5 <> 0 OR c_nationkey % 3 <> 0) AS passed
+    FROM customer GROUP BY c_nationkey"""
+)
+def q17_gateways(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers by nation, published and fetched from a store and two gateways before it: one lies, one is down for some nations."""
+    run, store = scratch_path(spark, "run"), scratch_path(spark, "store")
+    table(spark, sf, "customer").repartition("c_nationkey").write.partitionBy("c_nationkey").parquet(run)
+    files = [r.asDict() for r in digests.digested(spark, run).collect()]
+    made = publish.manifest("run", digests.tree(files), {}, None)
+    Folder(spark, run).write(json.dumps(made), "manifest.json")
+    digests.publish_run(spark, run, store)
+    nation = {a["digest"]: int(a["name"].split("=")[1].split("/")[0]) for a in made["artifacts"] if a["codec"] == "file"}
+
+    def open_url(url: str) -> tuple[int, Iterable[bytes]]:
+        kind, rest = url.split(":/", 1)
+        status, pieces = verify.from_stores(f"{store}/{rest}")
+        of = nation.get(rest.split("/")[0])
+        if of is not None and kind == "down" and of % 3 == 0:
+            return 504, []
+        return status, [b"lie", *pieces] if of is not None and kind == "lying" and of % 5 == 0 else pieces
+
+    report = verify.verify(spark, made, ["store:/", "lying:/", "down:/"], open_url, attempts=2, pace=0.0)
+    rows = spark.createDataFrame([(a["name"], int(a["name"].split("=")[1].split("/")[0]), a["rowCount"]) for a in made["artifacts"] if a["codec"] == "file"], "artifact string, nation int, rows long")
+    return report.artifacts.join(rows, "artifact").select("nation", "rows", "matched", "passed")

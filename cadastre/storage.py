@@ -106,6 +106,15 @@ class Folder:
         where = self._path(self.at(*parts))
         return sorted(f.getPath().getName() for f in self._fs.listStatus(where)) if self._fs.exists(where) else []
 
+    def files(self) -> list[tuple[str, str, int]]:
+        """(name below the folder, path, bytes) of every file in it, however deep; empty ones too."""
+        top = self._fs.makeQualified(self._path(self.root)).toString()
+        found, listed = [], self._fs.listFiles(self._path(self.root), True)
+        while listed.hasNext():
+            f = listed.next()
+            found.append((f.getPath().toString()[len(top) + 1 :], f.getPath().toString(), f.getLen()))
+        return sorted(found)
+
     def read(self, *parts: str) -> str | None:
         if not self.exists(*parts):
             return None

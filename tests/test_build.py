@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastre import cli
-from cadastre.operators import publish
+from cadastre.operators import digests
 from cadastre.operators.keyed import KeyedTable
 from cadastre.plans import build, roll
 from cadastre.storage import scratch, stored
@@ -58,9 +58,9 @@ def test_runs_history_and_recovery(spark, tmp_path):
     history = build.History(spark, out)
     assert [r["status"] for r in history.runs()] == ["succeeded", "succeeded", "failed", "failed"] and history.last_published()["runId"] == "r2"
     store = f"file://{tmp_path}/store"
-    assert publish.publish_store(spark, f"{out}/r2", store) == second.root == publish.publish_store(spark, f"{out}/r2", store)
-    kept = {p.name for p in (tmp_path / "store").iterdir() if not p.name.startswith(".")}
-    assert {"latest.json", f"{second.root}.json"} < kept and len(kept) >= 2 + 3
+    told = [digests.publish_run(spark, f"{out}/r2", store) for _ in range(2)]
+    assert [t["root"] for t in told] == [second.root] * 2 and told[0]["bytes"] > 0 < told[0]["nodes"] and (told[1]["bytes"], told[1]["nodes"]) == (0, 0)
+    assert json.loads((tmp_path / "store" / "latest.json").read_text()) == {"root": second.root, "runId": "r2"}
 
 
 def test_the_roll_is_loaded_once_a_digest(spark, tmp_path, capsys):
@@ -75,6 +75,9 @@ def test_the_roll_is_loaded_once_a_digest(spark, tmp_path, capsys):
     told = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert [t["status"] for t in told] == ["skipped"]
     assert cli.main(["build", *given[2:]]) == 0 and cli.main(["verify", *given[2:4]]) == 0
+    stores = [f"file://{tmp_path}/store{k}" for k in range(2)]
+    assert cli.main(["publish", *given[2:4], "--store", stores[0]]) == 0
+    assert cli.main(["verify", *given[2:4], "--store", stores[0]]) == 0 and cli.main(["verify", *given[2:4], "--store", stores[0], "--store", stores[1], "--least", "1"]) == 0
     ledger = json.loads((tmp_path / "out" / "load-ledger.json").read_text())
     assert ledger["roll"]["quarantined"] == len(ledger["roll"]["tables"]) and len(ledger["roll"]["digest"]) == 64
     with pytest.raises(SystemExit):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastre.contracts import PERMITS, PLACES, TABLES, conform, describe, empty
-from cadastre.operators import contractors, guard, kpi, leads, lineage, places, publish, upsert
+from cadastre.operators import contractors, digests, guard, kpi, leads, lineage, places, publish, upsert
 
 
 def rows(df, *columns):
@@ -183,10 +183,10 @@ def test_export_and_digests(spark, tmp_path):
     publish.export(df, PLACES, str(tmp_path / "places"))
     back = spark.read.parquet(str(tmp_path / "places"))
     assert back.columns == PLACES.columns and back.count() == 3
-    found = publish.file_digests(spark, str(tmp_path / "places")).collect()
-    assert len(found) == 1 and len(found[0]["sha256"]) == 64
-    made = publish.manifest("r", [f.asDict() for f in found], {"places": 3}, None)
-    assert len(made["root"]) == 64 and made["previousRoot"] is None
+    found = [f.asDict() for f in digests.digested(spark, str(tmp_path / "places")).collect()]
+    assert len(found) == 1 and len(found[0]["sha256"]) == 64 and found[0]["rows"] == 3
+    made = publish.manifest("r", digests.tree(found), {"places": 3}, None)
+    assert len(made["root"]) == 64 and made["previousRoot"] is None and made["artifacts"][0]["rowCount"] == 3
 
 
 def test_verification(spark):
