@@ -5,14 +5,17 @@ formats are learnt from labelled credentials: what the base patterns find in the
 values of publicly documented formats. The credentials of a format, as symbols, make a prefix tree
 with counts, whose states are merged wherever their continuations are statistically compatible
 (a Hoeffding bound on every frequency). A symbol is a character where the format has few at that place, and
-else stands for any of the format's characters, so that states tell places and lengths apart. The
+else stands for an open place, so that states tell places and lengths apart; what may stand at open places is
+learnt as transitions between classes of characters, and characters within a class. The
 result is a small probabilistic automaton. Ordinary text is learnt too, from long runs of the corpus
-that no base pattern finds. Every other long run of letters and digits is a candidate, and is a find
-if some format explains it by ``BITS`` bits or more better than ordinary text does.
+that no base pattern finds; so that encoded text and identifiers are not taken for keys, it also explains runs
+that decode to text, and universally unique identifiers. Every other long run of letters, digits and the marks of encodings is a candidate, whole
+or what base spans leave of it, and is a find if some format explains it by ``BITS`` bits or more better than ordinary text does.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import random
@@ -34,7 +37,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "format")
 MARKS = ("passw", "secret", "token", "api")
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+SHORTEST = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 END = ""
 BITS = 25.0
@@ -78,6 +82,14 @@ def labelled_formats(samples: int = SAMPLES, seed: int = SEED) -> list[tuple[str
     return [(name, rule()) for name, rule in rules.items() for _ in range(samples)]
 
 
+def class_of(c: str) -> str:
+    return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-" if c else ""
+
+
+#: Classes of characters, "" at the start, and how many characters of the alphabet each has.
+CLASSES = ("", "a", "A", "0", "-")
+WIDE = {k: sum(class_of(c) == k for c in ALPHABET) for k in CLASSES}
+
 #: Distinct characters up to which a place of a format is literal, and the symbol of any other place.
 LITERAL, ANY = 3, "any"
 
@@ -88,18 +100,31 @@ class FormatAutomaton:
     def __init__(self, values: Iterable[str], alpha: float = 0.05):
         values = list(values)
         seen: list[set[str]] = []
-        shares: dict[str, int] = defaultdict(int)
         for value in values:
             seen += [set() for _ in range(len(value) - len(seen))]
             for place, c in enumerate(value):
                 seen[place].add(c)
         self.literal = [s if len(s) <= LITERAL else frozenset() for s in seen]
+        steps: dict[tuple[str, str], int] = defaultdict(int)
+        befores: dict[str, int] = defaultdict(int)
+        inside: dict[str, int] = defaultdict(int)
+        classes: dict[str, int] = defaultdict(int)
         for value in values:
-            for c, symbol in zip(value, self.symbols(value), strict=True):
-                shares[c] += symbol == ANY
-        total = sum(shares.values())
-        # A character at an open place, a little of it for those never seen there.
-        self.open = {c: -math.log2((0.98 * shares.get(c, 0) / total if total else 0.98 / len(ALPHABET)) + 0.02 / len(ALPHABET)) for c in ALPHABET}
+            for before, c, symbol in zip(["", *value], value, self.symbols(value), strict=False):
+                if symbol == ANY:
+                    was, now = class_of(before), class_of(c)
+                    steps[was, now] += 1
+                    befores[was] += 1
+                    inside[c] += 1
+                    classes[now] += 1
+        # A character at an open place after another: its class after the other's, then itself in its class; a little of each for what was never seen.
+        self.open = {}
+        for was in CLASSES:
+            for c in ALPHABET:
+                now = class_of(c)
+                step = (steps[was, now] + 2 * classes[now] / max(1, sum(classes.values())) + 0.02) / (befores[was] + 2 + 0.02 * len(CLASSES))
+                itself = (inside[c] + 0.5 / WIDE[now]) / (classes[now] + 0.5)
+                self.open[was, c] = -math.log2(step) - math.log2(itself)
         self.out: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [defaultdict(int)]
         self.total = [0]
@@ -184,14 +209,15 @@ class FormatAutomaton:
     def bits(self, value: str) -> float:
         """Information of ``value`` and its end under this format."""
         state, total = 0, 0.0
-        for c, symbol in zip(value, self.symbols(value), strict=True):
+        for before, c, symbol in zip(["", *value], value, self.symbols(value), strict=False):
             cost = self.cost[state].get(symbol)
             total += self.lacking[state] if cost is None else cost
             if symbol == ANY:
-                total += self.open[c]
+                total += self.open[class_of(before), c]
             there = self.out[state].get(symbol, self.usual[state])
             state = state if there is None else there
-        return total + self.cost[state].get(END, self.lacking[state])
+        # An end where no example ends counts twice: lengths are part of a format.
+        return total + self.cost[state].get(END, 2 * self.lacking[state])
 
 
 #: What is believed of ordinary text beforehand: bits for a symbol by its class, given the class before; runs of one class are usual.
@@ -201,10 +227,6 @@ WITHIN = {"a": math.log2(16), "A": math.log2(20), "0": math.log2(10), "-": math.
 BELIEF = 200.0
 
 
-def class_of(c: str) -> str:
-    return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "-"
-
-
 def believed_bits(before: str, c: str) -> float:
     now = class_of(c)
     return WITHIN[now] + (2.0 if not before else SAME if now == class_of(before) else OTHER)
@@ -227,7 +249,68 @@ class Ordinary:
                 self.cost[before, c] = -math.log2((pairs[before, c] + BELIEF * share) / (firsts[before] + BELIEF))
 
     def bits(self, value: str) -> float:
-        return 4.0 + sum(map(self.cost.__getitem__, zip(["", *value], value, strict=False)))
+        """Of what explains a run as ordinary, the shortest: characters one after another, an identifier, or text in an encoding."""
+        found = 4.0 + sum(map(self.cost.__getitem__, zip(["", *value], value, strict=False)))
+        if UUID.fullmatch(value):
+            return min(found, 8.0 + 4.0 * 32)
+        return min(found, 6.0 + word_bits(value), *(8.0 + text_bits(raw) for raw in decoded(value)))
+
+
+#: Percent of letters in running text.
+LETTERS = {
+    "a": 8.2, "b": 1.5, "c": 2.8, "d": 4.3, "e": 12.7, "f": 2.2, "g": 2.0, "h": 6.1, "i": 7.0, "j": 0.15, "k": 0.77, "l": 4.0, "m": 2.4,
+    "n": 6.7, "o": 7.5, "p": 1.9, "q": 0.1, "r": 6.0, "s": 6.3, "t": 9.1, "u": 2.8, "v": 0.98, "w": 2.4, "x": 0.15, "y": 2.0, "z": 0.07,
+}
+#: Bits of a letter of a word, languages differing by a fifth; and of words that begin with capitals: small after small, capital after small, and so on.
+LETTER_BITS = {c: -math.log2(0.8 * p / 100 + 0.2 / 26) for c, p in LETTERS.items()}
+CASE_BITS = {("a", "a"): 0.25, ("a", "A"): 2.7, ("A", "a"): 0.15, ("A", "A"): 3.4}
+
+
+def word_bits(value: str) -> float:
+    """Of words set together, each with a capital or none."""
+    total, was = 0.0, ""
+    for c in value:
+        now, letter = class_of(c), LETTER_BITS.get(c.lower())
+        total += WITHIN[now] + (SAME if now == was else OTHER) if letter is None else letter + CASE_BITS.get((was, now), OTHER if was in ("0", "-") else 1.0)
+        was = now
+    return total
+
+
+#: Fixed value: the shape of universally unique identifiers.
+UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
+
+
+def decoded(value: str) -> Iterator[bytes]:
+    """What a run is in hexadecimal digits or in base64, if it is whole in one of them."""
+    if len(value) % 2 == 0 and re.fullmatch("[0-9a-f]+|[0-9A-F]+", value):
+        yield bytes.fromhex(value)
+    bare = value.rstrip("=")
+    if len(value) - len(bare) <= 2 and len(bare) % 4 != 1 and "=" not in bare:
+        yield base64.urlsafe_b64decode(bare.replace("+", "-").replace("/", "_") + "=" * (-len(bare) % 4))
+
+
+#: What is believed of bytes of text: bits for one by its class, less where it goes on as before; a byte of no text costs more than a random one.
+TEXT_BITS = {"a": 4.4, "A": 6.5, "0": 4.8, " ": 2.7, ".": 6.5, "é": 7.0, "?": 20.0}
+
+
+def text_class(b: int) -> str:
+    c = chr(b)
+    return "é" if b >= 0x80 else "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else " " if c in " \n" else "." if 32 < b < 127 or c in "\t\r" else "?"
+
+
+TEXT_CLASSES = [text_class(b) for b in range(256)]
+
+
+def text_bits(raw: bytes) -> float:
+    """Information of bytes read as text; bytes beyond ASCII count as text only where all is UTF-8."""
+    try:
+        raw.decode()
+        wrong = 0.0
+    except UnicodeDecodeError:
+        wrong = 13.0
+    classes = [TEXT_CLASSES[b] for b in raw]
+    same = sum(x == y != "?" for x, y in zip(classes, classes[1:], strict=False))
+    return sum(TEXT_BITS[k] + (wrong if k == "é" else 0.0) for k in classes) - 0.2 * same
 
 
 class Formats:
@@ -244,12 +327,26 @@ class Formats:
         return self.ordinary.bits(value) - best, name
 
     def spans(self, text: str, base: list[Span], bits: float) -> list[Span]:
-        found = []
-        for m in CANDIDATE.finditer(text):
-            value = m[0]
-            if mixed_run(value) and not any(a < m.end() and m.start() < b for a, _, b in base) and self.gain(value)[0] >= bits:
-                found.append((m.start(), 3, m.end()))
-        return found
+        return [(a, 3, b) for a, b in candidates(text, base) if self.gain(text[a:b])[0] >= bits]
+
+
+def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """Runs of at least ``SHORTEST`` characters, and what ``base`` spans leave of others that is so long."""
+    taken = sorted((a, b) for a, _, b in base)
+    k = 0
+    for m in CANDIDATE.finditer(text):
+        low, end = m.span()
+        while k < len(taken) and taken[k][1] <= low:
+            k += 1
+        at = k
+        while at < len(taken) and taken[at][0] < end:
+            a, b = taken[at]
+            if a - low >= SHORTEST:
+                yield low, a
+            low = max(low, b)
+            at += 1
+        if end - low >= SHORTEST:
+            yield low, end
 
 
 @cache
@@ -264,8 +361,8 @@ def span_text(spans: list[Span]) -> str:
 FOUND = {"base": "array<struct<start:long,kind:int,stop:long>>", "added": "array<struct<start:long,kind:int,stop:long>>"}
 
 
-#: Values of each kind, and ordinary runs, that are learnt from at most: those of the smallest hashes. Fewer than ``LEAST`` teach no format.
-LEARNT, LEAST = 400, 20
+#: Values of each kind, and ordinary runs, that are learnt from at most: those of the smallest hashes.
+LEARNT = 400
 ORDINARY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}(?![A-Za-z0-9+/_=-])")
 
 
@@ -290,6 +387,8 @@ def learn(docs: DataFrame, *, most: int = LEARNT) -> tuple[list[tuple[str, str]]
     """Labelled credentials and ordinary runs of ``docs``, ``most`` of each kind: those of the smallest hashes, equal ones once.
 
     Runs that public formats explain far better than what is believed beforehand teach nothing about ordinary text.
+    Any number of values teaches a format; a few are places of few characters, so that little else is like them. An empty
+    table teaches nothing, and public formats stand alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,8 +413,8 @@ def learn(docs: DataFrame, *, most: int = LEARNT) -> tuple[list[tuple[str, str]]
         out[kind] = [r["value"] for r in rows]
     drop_scratch(found)
     known = default_formats()
-    ordinary = [v for v in out.pop("ordinary") if not mixed_run(v) or known.gain(v)[0] < BITS]
-    return [(kind, v) for kind, values in out.items() if len(values) >= LEAST for v in values], ordinary
+    ordinary = [v for v in out.pop("ordinary") if known.gain(v)[0] < BITS]
+    return [(kind, v) for kind, values in out.items() for v in values], ordinary
 
 
 def learnt_formats(docs: DataFrame) -> Formats:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import base64
 import collections
 import hashlib
 import math
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -233,6 +235,85 @@ def test_corpus_teaches_formats(spark):
     assert all(formats.gain(w)[0] < secrets.BITS for w in words)
 
 
+def corpus_formats(spark):
+    """Formats as the query learns them, from a table that has hexadecimal values."""
+    return secrets.learnt_formats(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text"))
+
+
+def found_share(formats, values):
+    return sum(formats.gain(v)[0] >= secrets.BITS for v in values) / len(values)
+
+
+def test_identifiers_and_encoded_text_are_ordinary(spark):
+    draw, formats = random.Random(4), corpus_formats(spark)
+    assert "corpus-hex" in formats.automata
+    words = "the of and to in is you that it he was for on are as with his they at be this have from or one had by word but not what all were we when your can said there use an each which".split()
+    sentences = [" ".join(draw.choice(words) for _ in range(draw.randint(5, 25))).capitalize() + draw.choice(".!?") for _ in range(1000)]
+    uuids = [str(uuid.UUID(int=draw.getrandbits(128))) for _ in range(1000)]
+    assert found_share(formats, uuids) < 0.01 and found_share(formats, [u.upper() for u in uuids]) < 0.01
+    for encode in (base64.b64encode, base64.urlsafe_b64encode, lambda b: base64.b64encode(b).rstrip(b"=")):
+        assert found_share(formats, [encode(x.encode()).decode() for x in sentences]) < 0.01
+    assert found_share(formats, [base64.b64encode(f'{{"user": "é{k}", "ok": true}}'.encode()).decode() for k in range(300)]) < 0.01
+    names = [("".join(w.capitalize() for w in some), "_".join(some), "/".join(some) + "-17") for some in ([draw.choice(words) for _ in range(9)] for _ in range(300))]
+    assert all(found_share(formats, kind) < 0.01 for kind in zip(*names, strict=True))
+
+
+def test_credentials_held_out_are_found(spark):
+    draw, formats = random.Random(5), corpus_formats(spark)
+    assert found_share(formats, [v for _, v in secrets.labelled_formats(100, seed=77)]) > 0.95
+    digits = lambda n, of: "".join(draw.choice(of) for _ in range(n))
+    # Of the lengths that the corpus shows; 40 random letters of both cases are of one class and found mostly.
+    assert found_share(formats, [digits(40, "0123456789abcdef") for _ in range(300)]) > 0.95
+    assert found_share(formats, [digits(60, secrets.ALPHABET[:52]) for _ in range(300)]) > 0.8
+    half = secrets.labelled_formats(120, seed=9)
+    taught = secrets.Formats([*half[::2], ("few", "k9-alpha-7Q2-00001111"), ("few", "k9-alpha-7Q2-00002222")])
+    assert found_share(taught, [v for _, v in half[1::2]]) > 0.95
+    # Two values teach a format too: what shares their places is found, what does not is not.
+    assert taught.gain("k9-alpha-7Q2-00001122")[1] == "few" and taught.gain("k9-alpha-7Q2-00001122")[0] >= secrets.BITS
+
+
+RUNS = st.sampled_from(["a1B2" * 6, "zq" * 12, "f" * 25, "token=", "'", " ", "AKIA" + "Q7" * 9, "x", "ghp_" + "Ab3" * 12, "é", "\n", "/+", "=" * 3, "9" * 22])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(RUNS, max_size=14))
+def test_candidates_and_spans_by_brute_force(parts):
+    """Every character that no base span covers is in exactly the candidate that holds its whole uncovered run, if that is long enough."""
+    text, formats = "".join(parts), secrets.default_formats()
+    base = secrets.base_spans(text)
+    covered = {k for a, _, b in base for k in range(a, b)}
+    want, low = [], None
+    for k, c in enumerate([*text, " "]):
+        if c in secrets.ALPHABET and k not in covered and k < len(text):
+            low = k if low is None else low
+            continue
+        if low is not None and k - low >= 20 and whole_run(text, low, k) >= 20:
+            want.append((low, k))
+        low = None
+    assert sorted(secrets.candidates(text, base)) == want
+    assert formats.spans(text, base, secrets.BITS) == [(a, 3, b) for a, b in want if formats.gain(text[a:b])[0] >= secrets.BITS]
+
+
+def whole_run(text, a, b):
+    while a and text[a - 1] in secrets.ALPHABET:
+        a -= 1
+    while b < len(text) and text[b] in secrets.ALPHABET:
+        b += 1
+    return b - a
+
+
+def test_what_base_spans_leave_of_a_run_is_scored(spark):
+    draw = random.Random(12)
+    block = "".join(draw.choice(secrets.ALPHABET[:62]) for _ in range(76))
+    text = f"see {block}zZ{'0123456789abcdef' * 2}Zz{block[::-1]} end"
+    df = spark.createDataFrame([(1, text), (2, "token = '" + "short" + "'"), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.find(df)).collect()}
+    kinds = [s.split(":")[0] for s in got[1].split(",")]
+    assert kinds == ["format", "hex", "format"] and got[2] == got[3] == ""
+    assert {r["text"] for r in secrets.redact(df).where("doc_id = 1").collect()} == {"see [secret][secret][secret] end"}
+    assert secrets.learn(df.limit(0)) == ([], [])
+
+
 def test_scan_and_redaction(spark):
     key = "ghp_" + "a1B2c3D4e5F6g7H8i9J0" * 2
     rows = [(1, f'é token = "abcdef123" and {key[:40]} end'), (2, None), (3, ""), (1, "AKIA" + "B" * 16), (4, "ordinary " * 5000 + "f" * 40)]
