@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from ..storage import Folder
 from .upsert import latest
 
-BUCKETS, MOST_CHANGES = 32, 8
+BUCKETS, MOST_CHANGES = 16, 8
 BUCKET, BATCH = "key_bucket", "key_batch"
 
 
@@ -72,7 +72,7 @@ class KeyedTable:
         if batch_id <= version.batch:
             return
         rows = latest(batch, self.key, self.order(batch.columns)).withColumn(BATCH, F.lit(batch_id))
-        self.bucketed(rows).write.mode("overwrite").option("compression", "zstd").partitionBy(BUCKET).parquet(self.folder.at(f"changes={batch_id}"))
+        self.bucketed(rows).repartition(BUCKET).write.mode("overwrite").option("compression", "zstd").partitionBy(BUCKET).parquet(self.folder.at(f"changes={batch_id}"))
         known = StructType.fromJson(json.loads(version.schema)) if version.schema else StructType()
         merged = StructType([*known.fields, *(f for f in rows.schema.fields if f.name not in known.names)])
         self.put(number + 1, Version(batch_id, version.base, [*version.changes, batch_id], merged.json()))

@@ -153,11 +153,13 @@ def test_a_run_that_ended_early_is_taken_up(spark, tmp_path, monkeypatch, end):
     done = build.execute(spark, given, out, run_date=date(2003, 1, 1), resume=True)
     assert (done.runId, done.runDate, done.status, len(staged)) == ("r1", "2002-01-01", "succeeded", 1) and asked == ["roll", "portal", "parcels", "ratings"]
     assert not list((tmp_path / "steps").glob("*")) and [r["runId"] for r in build.History(spark, out).runs()] == ["r1"]
+    assert build.History(spark, out).unfinished() is None
+    if end is ValueError:
+        return
     whole = build.execute(spark, loaders(spark), f"{out}/other", run_date=day, run_id="r1")
     assert done.tableCounts == whole.tableCounts
     same = ["permit_number", "contractor_id", "row_hash"]
     assert spark.read.parquet(f"{tmp_path}/r1/permits").select(same).exceptAll(spark.read.parquet(f"{tmp_path}/other/r1/permits").select(same)).isEmpty()
-    assert build.execute(spark, loaders(spark), out, mode="full", run_date=day, run_id="r2", resume=True).runId == "r2"
 
 
 def test_a_listing_does_not_replace_a_profile(spark, tmp_path):
