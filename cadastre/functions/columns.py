@@ -307,3 +307,44 @@ def media_type(name: Col) -> Column:
 def is_cid(c: Col) -> Column:
     """Whether a text has the form of a base32 version-1 content id."""
     return F.coalesce(col(c).rlike("^baf[a-z2-7]{50,}$"), F.lit(False))
+
+
+# Results of other engines, and addresses
+
+
+def coerced_number(c: Col) -> Column:
+    """A finite number, or a text that is a plain decimal one; null for anything else."""
+    c = F.col(c) if isinstance(c, str) else c
+    text = c.cast("string")
+    return F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
+
+
+def coerced_flag(c: Col) -> Column:
+    """True or false from themselves or from their small-letter names; null for anything else."""
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.when(text == "true", True).when(text == "false", False)
+
+
+def coerced_text(c: Col) -> Column:
+    """The text of any value, whole numbers without loss."""
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def json_text(c: Col, path: str) -> Column:
+    """A text or number in JSON as trimmed text; null where the path leads nowhere, to null, or to an object or list."""
+    found = F.get_json_object(c, path)
+    return F.when(~found.rlike(r"^\s*[\[{]"), F.nullif(F.trim(found), F.lit("")))
+
+
+def json_number(c: Col, path: str) -> Column:
+    return coerced_number(json_text(c, path))
+
+
+def url_host(c: Col) -> Column:
+    """The host of an address, null if it has none."""
+    return F.try_parse_url(c, F.lit("HOST"))
+
+
+def url_value(c: Col, name: str) -> Column:
+    """The value of one name in an address's query, null without one."""
+    return F.nullif(F.try_parse_url(c, F.lit("QUERY"), F.lit(name)), F.lit(""))

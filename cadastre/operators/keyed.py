@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..storage import Folder
-from .upsert import latest
+from .upsert import having, lacking, latest, stacked
 
 BUCKETS, MOST_CHANGES = 16, 8
 BUCKET, BATCH = "key_bucket", "key_batch"
@@ -96,7 +96,7 @@ class KeyedTable:
         changed = changes.select(*self.key).distinct()
         own = self.order(changes.columns)
         order = [F.desc(BATCH), *own] if self.newest else [*own, F.desc(BATCH)]
-        return base.join(changed, self.key, "left_anti").unionByName(latest(base.join(changed, self.key, "left_semi").unionByName(changes), self.key, order))
+        return stacked([lacking(base, changed, self.key), latest(stacked([having(base, changed, self.key), changes]), self.key, order)])
 
     def current(self) -> DataFrame | None:
         """The latest row of each key, None if nothing was merged yet."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..contracts import describe
 from ..functions.geo import haversine_miles
 from ..region import COUNTY, Region
 
@@ -134,3 +135,11 @@ def lead_counters(found: DataFrame) -> DataFrame:
         F.max("oldest_open_roof_permit_days").alias("longest_open_days"),
         F.count_if("has_bbb_contractor").alias("with_rated_contractor"),
     )
+
+
+def described(df: DataFrame, table: str) -> DataFrame:
+    """(table, column, type, rows, known) of a published table's columns that ``df`` has: one pass over it."""
+    have = [(n, kind) for n, kind in describe(table) if n in df.columns]
+    counts = df.agg(F.count("*").alias("rows"), *[F.count(n).alias(n) for n, _ in have])
+    told = F.array(*[F.struct(F.lit(n).alias("column"), F.lit(kind).alias("type"), F.col(n).alias("known")) for n, kind in have])
+    return counts.select(F.lit(table).alias("table"), "rows", F.explode(told).alias("of")).select("table", "of.column", "of.type", "rows", "of.known")

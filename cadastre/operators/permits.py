@@ -11,7 +11,7 @@ from ..contracts import PERMIT_HASHED, PERMITS, conform
 from ..functions import columns as c
 from ..region import COUNTY, Region
 from .lineage import carry_lineage
-from .upsert import latest
+from .upsert import latest, stacked
 
 
 def from_roll(raw: DataFrame, region: Region, fetched_at: str | None = None) -> DataFrame:
@@ -90,9 +90,7 @@ def open_flag(status: Column, closed: Column) -> Column:
 
 def stage(feeds: list[DataFrame], run_date: date, region: Region = COUNTY) -> DataFrame:
     """All feeds by column name, with class, open flag, days open, ids and hash."""
-    rows = feeds[0]
-    for more in feeds[1:]:
-        rows = rows.unionByName(more)
+    rows = stacked(feeds)
     run = F.lit(run_date)
     roofing = c.is_roofing("improvement_action", "description")
     is_open = open_flag(F.col("improvement_status"), F.col("permit_close_date"))

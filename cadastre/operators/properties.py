@@ -11,7 +11,7 @@ from ..contracts import PROPERTIES, PROPERTY_HASHED, conform
 from ..functions import columns as c
 from ..region import COUNTY, Region
 from .lineage import carry_lineage
-from .upsert import latest
+from .upsert import latest, marked
 
 SQFT_PER_ACRE = 43560.0
 
@@ -65,12 +65,11 @@ def base(raw: dict[str, DataFrame], run_date: date, parcels: DataFrame | None =
     sale = raw["sales"].where(sold.isNotNull()).groupBy(strap).agg(F.max(sold).alias("__sold"), latest_known(c.num("price"), sold).alias("last_sale_price"))
     dor = raw["lu_dor"].select(c.txt("dor_cd").alias("dor_cd"), c.txt("dscr").alias("property_usage_type"), c.txt("dept").alias("__dept"))
     sub = raw["lu_sub"].select(c.txt("id").alias("sub_id"), c.txt("dscr").alias("subdivision"))
-    zips = site.select(F.col("address_zip").alias("owner_mail_zip")).where("owner_mail_zip IS NOT NULL").distinct().withColumn("__local", F.lit(True))
 
     out = parcel
     for side in (site, owners, mail, building, detail, sale):
         out = out.join(side, "strap", "left")
-    out = out.join(dor, "dor_cd", "left").join(sub, "sub_id", "left").join(zips, "owner_mail_zip", "left")
+    out = marked(out.join(dor, "dor_cd", "left").join(sub, "sub_id", "left"), "owner_mail_zip", site.select("address_zip"), "__local")
     if parcels is not None:
         out = out.join(parcels.select(F.col("parcel_no").alias("strap"), "latitude", "longitude", F.col("year_built").cast("long").alias("gis_year_built")), "strap", "left")
     else:
@@ -90,7 +89,7 @@ def base(raw: dict[str, DataFrame], run_date: date, parcels: DataFrame | None =
             "built_year": F.coalesce("__built", "gis_year_built"),
             "owner_occupied": lives_there,
             "last_sale_date": F.coalesce("__sold", "ownership_date").cast("string"),
-            "owner_out_of_county": F.when(F.col("owner_mail_zip").isNotNull(), F.col("__local").isNull()),
+            "owner_out_of_county": ~F.col("__local"),
             "owner_out_of_state": F.when(F.col("owner_mail_state").isNotNull(), F.upper("owner_mail_state") != region.state),
         }
     ).drop("__built", "__acre", "__sqft", "__sold", "__dept", "__local", "strap", "sub_id", "dor_cd", "mail_addr", "owner_mail_zip", "ownership_date")

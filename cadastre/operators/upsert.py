@@ -13,10 +13,35 @@ def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 
 
+def lacking(df: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` does not have; a key with a null is nowhere."""
+    return df.join(other.select(*key), key, "left_anti")
+
+
+def having(df: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` has, each once."""
+    return df.join(other.select(*key), key, "left_semi")
+
+
+def marked(df: DataFrame, column: str, known: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name``: whether ``known`` has the value of ``column`` (its only column), null for a null."""
+    values = known.select(F.col(known.columns[0]).alias(column)).where(F.col(column).isNotNull()).distinct().withColumn("__known", F.lit(True))
+    found = df.join(values, column, "left")
+    return found.select(*df.columns, F.when(F.col(column).isNotNull(), F.col("__known").isNotNull()).alias(name))
+
+
+def stacked(feeds: list[DataFrame]) -> DataFrame:
+    """All rows of all feeds by column name; what a feed lacks is null."""
+    out = feeds[0]
+    for more in feeds[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
 def upsert(old: DataFrame, new: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """``old`` with its rows replaced by the latest of ``new`` under the same key; new keys are added."""
     fresh = latest(new, key, order)
-    return old.join(fresh.select(*key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
+    return stacked([lacking(old, fresh, key), fresh])
 
 
 def by_quality(hash_column: str = "rawHtmlSha256", at: str = "fetchedAt") -> list[Column]:
@@ -26,8 +51,7 @@ def by_quality(hash_column: str = "rawHtmlSha256", at: str = "fetchedAt") -> lis
 
 def with_fallback(full: DataFrame, thin: DataFrame, key: str) -> DataFrame:
     """Rows of ``full``, and of ``thin`` those whose key ``full`` lacks; null keys of ``thin`` are dropped."""
-    rest = thin.where(F.col(key).isNotNull()).join(full.select(key), key, "left_anti")
-    return full.unionByName(rest, allowMissingColumns=True)
+    return stacked([full, lacking(thin.where(F.col(key).isNotNull()), full, [key])])
 
 
 def change_counts(old: DataFrame, new: DataFrame, key: list[str], hash_column: str) -> DataFrame:

@@ -174,11 +174,15 @@ def q12g_busiest_contractors(spark: SparkSession, sf: str) -> DataFrame:
     return kpi.busiest_contractors(permits(spark, sf))
 
 
-@query("SELECT 'properties' AS \"table\", 55 AS columns UNION ALL SELECT 'permits', 43 UNION ALL SELECT 'contractors', 19 UNION ALL SELECT 'places', 20")
+@query(
+    f"""{WITH_SQL} SELECT 'permits' AS "table", column_name AS "column", CAST(rows AS BIGINT) AS "rows", CAST(known AS BIGINT) AS known FROM (SELECT count(*) AS rows, count(permit_number) AS a, count(permit_close_date) AS b, count(contractor_license) AS c, count(is_open) AS d, count(days_open) AS e FROM permits) p,
+    LATERAL (VALUES ('permit_number', a), ('permit_close_date', b), ('contractor_license', c), ('is_open', d), ('days_open', e)) AS v(column_name, known)"""
+)
 def q13_schema(spark: SparkSession, sf: str) -> DataFrame:
-    from ..contracts import TABLES, describe
-
-    return spark.createDataFrame([(n, len(describe(n))) for n in TABLES], "table string, columns int")
+    """The published columns of the permits that were read, with how many rows have each: what a caller may ask about."""
+    wanted = ["permit_number", "permit_close_date", "contractor_license", "is_open", "days_open"]
+    found = kpi.described(permits(spark, sf), "permits")
+    return found.where(F.col("column").isin(wanted)).select("table", "column", "rows", "known")
 
 
 @query(f"{WITH_SQL} SELECT source_system AS source, count(*) AS \"rows\", min(coalesce(permit_issue_date, opened_date)) AS earliest, max(coalesce(permit_issue_date, opened_date)) AS latest FROM permits GROUP BY 1")
@@ -343,7 +347,7 @@ def q17_verified(spark: SparkSession, sf: str) -> DataFrame:
 def st_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_name").alias("name"), F.col("c_custkey").alias("k"))
     b = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("balance"))
-    return a.unionByName(b, allowMissingColumns=True)
+    return upsert.stacked([a, b])
 
 
 @query("SELECT c_custkey AS k, c_name AS name FROM customer WHERE c_acctbal > 2000 UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 2000)")
@@ -355,20 +359,19 @@ def src_fallback_union(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%')")
 def jn_anti(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").where(F.col("o_orderpriority").startswith("1")).select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey", "c_name")
+    return upsert.lacking(table(spark, sf, "customer"), orders, ["c_custkey"]).select("c_custkey", "c_name")
 
 
 @query("SELECT c_custkey, CASE WHEN c_nationkey IS NULL THEN NULL ELSE c_nationkey NOT IN (SELECT s_nationkey FROM supplier) END AS elsewhere FROM customer")
 def jn_mark(spark: SparkSession, sf: str) -> DataFrame:
-    local = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("c_nationkey")).distinct().withColumn("__local", F.lit(True))
-    out = table(spark, sf, "customer").join(local, "c_nationkey", "left")
-    return out.select("c_custkey", F.when(F.col("c_nationkey").isNotNull(), F.col("__local").isNull()).alias("elsewhere"))
+    found = upsert.marked(table(spark, sf, "customer"), "c_nationkey", table(spark, sf, "supplier").select("s_nationkey"), "local")
+    return found.select("c_custkey", (~F.col("local")).alias("elsewhere"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def jn_semi(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf, "customer").join(orders, "c_custkey", "left_semi").select("c_custkey", "c_name")
+    return upsert.having(table(spark, sf, "customer"), orders, ["c_custkey"]).select("c_custkey", "c_name")
 
 
 @query("SELECT o_orderkey, d.c_name, d.c_acctbal IS NOT NULL AS has_detail, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN 'late' END, o_orderstatus) AS status FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) d ON d.c_custkey = o_custkey")
@@ -456,6 +459,14 @@ fn(
     miles=(lambda: F.round(haversine_miles(*HOME, F.lit(27.55) + ((F.col("c_custkey") * 7919) % 8500).cast("double") / 10000.0, F.lit(-81.70) + ((F.col("c_custkey") * 104729) % 8500).cast("double") / 10000.0), 2),
            "round(" + D.replace("latitude", "(CAST(27.55 AS DOUBLE) + CAST((c_custkey * 7919) % 8500 AS DOUBLE) / CAST(10000 AS DOUBLE))").replace("longitude", "(CAST(-81.70 AS DOUBLE) + CAST((c_custkey * 104729) % 8500 AS DOUBLE) / CAST(10000 AS DOUBLE))") + ", 2)"),
 )
+fn(
+    "fn_coercion", "orders", "o_orderkey",
+    number=(lambda: c.coerced_number(F.when(F.col("o_orderkey") % 4 == 0, F.col("o_totalprice").cast("string")).when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit("-"), F.col("o_custkey").cast("string"))).when(F.col("o_orderkey") % 4 == 2, "1e").otherwise(" 7")), "CASE o_orderkey % 4 WHEN 0 THEN o_totalprice WHEN 1 THEN -CAST(o_custkey AS DOUBLE) END"),
+    flag=(lambda: c.coerced_flag(F.element_at(F.array(*map(F.lit, ["true", "false", "True", "1"])), (F.col("o_orderkey") % 4 + 1).cast("int"))), "CASE o_orderkey % 4 WHEN 0 THEN true WHEN 1 THEN false END"),
+    text=(lambda: c.coerced_text(F.col("o_orderkey") * 1_000_003), "CAST(o_orderkey * 1000003 AS VARCHAR)"),
+    record=(lambda: c.url_value(F.concat(F.lit("https://x.org/d.aspx?capID1=A"), F.col("o_orderkey").cast("string"), F.lit("&capID2=&m=1")), "capID1"), "'A' || o_orderkey"),
+    blank=(lambda: c.url_value(F.concat(F.lit("https://x.org/d.aspx?capID1=A"), F.col("o_orderkey").cast("string"), F.lit("&capID2=&m=1")), "capID2"), "CAST(NULL AS VARCHAR)"),
+)
 ROOF_SQL = f"(regexp_matches(lower(text), '{c.ROOF_WORDS}') AND NOT regexp_matches(lower(text), '{c.NOT_ROOF_WORDS}'))"
 
 
@@ -473,7 +484,7 @@ def prj_roofing_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def fn_json(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+    return table(spark, sf, "events").select("event_id", c.json_number("props", "$.k").cast("bigint").alias("k"))
 
 
 @query()
@@ -484,7 +495,7 @@ def fn_geocode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT page_id, regexp_extract(url, '^https?://([^/:?#]+)', 1) AS host FROM pages")
 def src_url_host(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")).alias("host"))
+    return table(spark, sf, "pages").select("page_id", F.coalesce(c.url_host("url"), F.lit("")).alias("host"))
 
 
 @query()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastre.functions import formats
 from cadastre.operators import api
 from cadastre.plans import analogues
-from cadastre.sources import portal, ratings
+from cadastre.sources import html, portal, ratings
 from tests_data import DETAIL, GRID
 
 SF = "/root/testdata/sf0.001"
@@ -16,7 +16,8 @@ WEEK = (date(2026, 9, 1), date(2026, 9, 7))
 
 
 def delta(page: str) -> str:
-    return f"1|#||4|{len(page)}|updatePanel|p|{page}|2|hiddenField|__VIEWSTATE|v2|"
+    units = len(page.encode("utf-16-le")) // 2
+    return f"1|#||4|{units}|updatePanel|p|{page}|2|hiddenField|__VIEWSTATE|v2|"
 
 
 class Portal:
@@ -55,7 +56,24 @@ def test_window_harvest():
     assert portal.harvest_window(portal.Client(Portal(), wait=0), "Roof", WEEK, "x", archive=kept).summary["detailsSkippedUnchanged"] == 1
 
 
-@pytest.mark.parametrize("body", ["<html>", "1|#||4|5|error|e|wrong|", "1|#||4|6|pageRedirect||%2Ferr|"])
+def test_lengths_of_an_answer_are_in_utf16_units():
+    page = "roof \U0001f3e0 caf\u00e9 | \U0001f44d"
+    found = html.parse_delta(delta(page) + "3|hiddenField|__EVENTVALIDATION|\U0001f44dx|")
+    assert found["panels"] == {"p": page} and found["hidden"] == {"__VIEWSTATE": "v2", "__EVENTVALIDATION": "\U0001f44dx"} and found["broken"] == ""
+    assert html.parse_delta(delta("abc")[:-3])["broken"].startswith("2|hiddenField") and html.parse_delta("")["broken"] == ""
+    assert html.parse_delta("9|updatePanel|p|abc|2|hiddenField|v|xy|")["hidden"] == {}
+
+
+@pytest.mark.parametrize("line,kind", [
+    ("KISSIMMEE, FL 34741", "c"), ("KISSIMMEE, FL, 34741-1234", "c"), ("KISSIMMEE,FL 34741", "c"), ("KISSIMMEE, FL34741", "c"), ("KISSIMMEE FL 34741", "l"), ("KISSIMMEE, Fl 34741", "n"), ("KISSIMMEE, FL 347", "n"), ("34741", "s"), ("P.O. Box 7", "s"),
+    ("ROOFING CCC1330001", "l"), ("CCC 1330001", "l"), ("GENERAL CBC-12345", "l"), ("ABCDEF1234", "n"), ("X123", "n"), ("SUITE 5", "n"), ("x_CB1234", "n"), ("A 12345678901", "n"), ("12 MAIN ST", "s"), ("JANE", "n"),
+])
+def test_kinds_of_lines(line, kind):
+    assert html.kind_of_line(line) == kind
+    assert html.licence_start("ROOFING CCC1330001") == 8 and html.licence_start("") is None and not html.ends_in_city("")
+
+
+@pytest.mark.parametrize("body", ["<html>", "1|#||4|5|error|e|wrong|", "1|#||4|6|pageRedirect||%2Ferr|", delta(GRID)[:-4]])
 def test_protocol_errors(body):
     client = portal.Client(lambda m, u, f: (200, body if m == "POST" else '<input type="hidden" name="__VIEWSTATE" value="1">'))
     with pytest.raises(portal.ProtocolError):
