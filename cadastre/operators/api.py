@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +12,11 @@ from ..contracts import describe
 from ..functions.gazetteer import locate
 from ..region import COUNTY, Box, Region
 from . import guard, kpi, leads
+from . import verify as verification
 
 Body = dict[str, object]
+# What an answer's rows are cited by, and the most rows of one.
+CITED, MOST_ASKED = {"properties": ("request_identifier", "source_urls"), "permits": ("parcel_identifier", "source_url")}, 200
 
 
 class BadRequest(ValueError):
@@ -52,6 +55,11 @@ class Service:
     properties: DataFrame
     permits: DataFrame
     region: Region = COUNTY
+    manifest: dict | None = None
+    #: Gateways by the names that callers may use; nothing else is fetched from.
+    gateways: dict[str, str] = field(default_factory=dict)
+    open_url: verification.Open = verification.from_stores
+    pace: dict[str, float] = field(default_factory=dict)
 
     def rows(self, df: DataFrame) -> list[dict]:
         """Rows of a limited result: every caller has put a limit of at most 1000 on it."""
@@ -96,6 +104,33 @@ class Service:
         rows = self.rows(found)
         return {"columns": found.columns, "rows": rows, "rowCount": len(rows), "truncated": len(rows) >= limit}
 
+    def ask(self, body: Body) -> dict:
+        """A statement over one table as the assistant puts it: at most ``MOST_ASKED`` rows, and which columns are missing to cite them by."""
+        table = body.get("table")
+        if table not in CITED:
+            raise BadRequest(f"table: {' or '.join(CITED)}")
+        limit = int(number(body, "limit", 1, MOST_ASKED, whole=True) or 100)
+        try:
+            found = guard.run_select(self.spark, str(body.get("sql", "")), {table: self.properties if table == "properties" else self.permits}, limit)
+        except ValueError as e:
+            raise BadRequest(str(e)) from None
+        rows = self.rows(found)
+        told = {"view": table, "rowCount": len(rows), "limit": limit, "truncated": len(rows) >= limit, "rows": rows, "missingCitationColumns": [c for c in CITED[table] if rows and c not in found.columns]}
+        if table == "permits" and {"contractor_id", "contractor_name", "bbb_rating", "bbb_match_method"} <= set(found.columns):
+            told["bbbSummary"] = kpi.rating_summary(self.spark.createDataFrame(rows, found.schema)).first()["sentence"]
+        return told
+
+    def verify(self, body: Body) -> dict:
+        """Fetch the run's files from the gateways the service knows, all or those named in ``gateways``, and compare them with its manifest."""
+        wanted = body.get("gateways") or list(self.gateways)
+        if self.manifest is None or not isinstance(wanted, list) or set(wanted) - set(self.gateways) or not wanted:
+            raise BadRequest(f"gateways: some of {', '.join(self.gateways) or 'none'}")
+        only = body.get("only")
+        if only is not None and not isinstance(only, list):
+            raise BadRequest("only: a list of names")
+        report = verification.verify(self.spark, self.manifest, [self.gateways[g] for g in wanted], self.open_url, only=only, **self.pace)
+        return {"allMatched": report.all_matched, "minGateways": report.least, "probe": report.probe, "checks": self.rows(report.checks.drop("want_size", "want_digest"))}
+
     def schema(self, body: Body) -> dict:
         try:
             return {"columns": describe(str(body.get("table", "")))}
@@ -115,7 +150,7 @@ class Service:
 
     def handle(self, endpoint: str, body: Body) -> tuple[int, dict]:
         """(status, answer): 200, 400 for a bad body, 404 for no such endpoint, 500 for what Spark refuses."""
-        calls: dict[str, Callable[[Body], dict]] = {n: getattr(self, n) for n in ("leads", "open_permits", "property", "query", "schema", "geocode", "area")}
+        calls: dict[str, Callable[[Body], dict]] = {n: getattr(self, n) for n in ("leads", "open_permits", "property", "query", "ask", "schema", "geocode", "area", "verify")}
         if endpoint not in calls:
             return 404, {"error": f"no endpoint {endpoint}"}
         began = time.monotonic()

@@ -156,6 +156,11 @@ def radius_permits(permits: DataFrame, circle: Circle, wanted: PermitFilter = Pe
     return rows.where(F.col("distance_miles") <= circle.miles).orderBy(F.desc_nulls_last("days_open"), "distance_miles", "permit_number").limit(limit_of(limit, 200))
 
 
+def open_permits(permits: DataFrame, wanted: PermitFilter = PermitFilter(), limit: int | None = None) -> DataFrame:  # noqa: B008
+    """Anywhere in the region, longest open first."""
+    return pick(permits.where(wanted.condition()), PERMIT_COLUMNS).orderBy(F.desc_nulls_last("days_open"), "permit_number").limit(limit_of(limit, 200))
+
+
 def property_by_parcel(properties: DataFrame, parcel: str) -> DataFrame:
     return properties.where(F.col("parcel_identifier") == safe_id(parcel)).limit(1)
 

@@ -5,15 +5,20 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import digests, publish, verify
-from ..sources import delimited, harvests, windows
+from ..contracts import PERMITS
+from ..functions import formats
+from ..operators import digests, leads, publish, upsert, verify
+from ..operators.keyed import KeyedTable
+from ..sources import artifacts, delimited, harvests, windows
 from ..storage import Folder, scratch_path
 from ..streaming import pages
-from .analogues import table
+from .analogues import WITH_SQL, permits, table
+from .build import Asked, History, Loaded, RawStore, Run
 from .registry import query
 from .services import Dated, Numbered, days_of
 
@@ -27,6 +32,8 @@ def src_paged_stream(spark: SparkSession, sf: str) -> DataFrame:
     return pages.sweep(spark, name, scratch_path(spark, "swept"), scratch_path(spark, "sweep-log"))
 
 
+#: Loads before and from this moment.
+HALF = "TIMESTAMP '2024-01-15 00:00:00'"
 #: A day with more orders than this stays capped.
 CAP = 8
 NUMBERED = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS n FROM orders"
@@ -146,3 +153,82 @@ def q17_gateways(spark: SparkSession, sf: str) -> DataFrame:
     report = verify.verify(spark, made, ["store:/", "lying:/", "down:/"], open_url, attempts=2, pace=0.0)
     rows = spark.createDataFrame([(a["name"], int(a["name"].split("=")[1].split("/")[0]), a["rowCount"]) for a in made["artifacts"] if a["codec"] == "file"], "artifact string, nation int, rows long")
     return report.artifacts.join(rows, "artifact").select("nation", "rows", "matched", "passed")
+
+
+# What is written: exports, keyed tables, run records
+
+
+@query(f"{WITH_SQL} SELECT permit_number, parcel_identifier, contractor_name, days_open, is_open FROM permits")
+def snk_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Permits exported along the curve, with their contract's columns, and read back."""
+    path = scratch_path(spark, "export")
+    publish.export(permits(spark, sf), PERMITS, path, file_rows=20_000)
+    return spark.read.parquet(path).select("permit_number", "parcel_identifier", "contractor_name", F.col("days_open").cast("long").alias("days_open"), "is_open")
+
+
+RECORDED = ["user_id", "event_type"]
+
+
+@query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
+def snk_keyed_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Events taken into a keyed table week by week, latest week first, so that late rows must not win; one week is given twice."""
+    events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value", "ts").withColumn("week", F.weekofyear("ts"))
+    kept = KeyedTable(spark, scratch_path(spark, "keyed"), RECORDED, lambda have: [F.desc("ts"), F.desc("event_id")], buckets=4, most_changes=3)
+    weeks = sorted((r[0] for r in events.select("week").distinct().collect()), reverse=True)
+    for batch, week in enumerate(weeks):
+        for _ in range(1 + (batch == 1)):
+            kept.merge(events.where(F.col("week") == week), batch)
+    return kept.current().select("user_id", "event_type", "event_id", "value")
+
+
+@query(
+    f"""WITH o AS (SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE ts < {HALF} GROUP BY 1, 2), n AS (SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE ts >= {HALF} GROUP BY 1, 2)
+    SELECT 'r1' AS run_id, count(*) AS seen, count(*) AS inserted, CAST(0 AS BIGINT) AS changed, count(*) AS stored FROM o
+    UNION ALL SELECT 'r2', (SELECT count(*) FROM n), (SELECT count(*) FROM n LEFT JOIN o USING (user_id, event_type) WHERE o.event_id IS NULL), (SELECT count(*) FROM n JOIN o USING (user_id, event_type)), (SELECT count(*) FROM (SELECT user_id, event_type FROM o UNION SELECT user_id, event_type FROM n) u)"""
+)
+def snk_load_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads of a keyed source into the raw store: what each saw, added and changed, and what the ledger then says is there."""
+    named = F.concat_ws("/", *[F.col(c).cast("string") for c in RECORDED]).alias("permit_number")
+    events = table(spark, sf, "events").select(named, "event_id", F.col("ts").cast("string").alias("fetched_at"), "ts")
+    newest = lambda when: upsert.latest(events.where(when), ["permit_number"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
+    store, rows = RawStore(spark, scratch_path(spark, "raw")), []
+    for run_id, mode, when in (("r1", "full", f"ts < {HALF}"), ("r2", "incremental", f"ts >= {HALF}")):
+        told = store.keep("portal", Loaded(newest(F.expr(when))), Asked(mode, (date(2024, 1, 1), date(2024, 2, 1)), run_id))
+        rows.append((run_id, told.seen, told.inserted, told.changed, store.ledger["portal"]["tables"]["portal"]))
+    return spark.createDataFrame(rows, "run_id string, seen long, inserted long, changed long, stored long")
+
+
+@query(
+    """WITH d AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, day(min(ts)) AS n, count(*) AS c FROM events GROUP BY CAST(ts AS DATE))
+    SELECT run_id, CASE WHEN n % 5 = 0 THEN 'failed' ELSE 'succeeded' END AS status, CASE WHEN n % 3 <> 0 AND n % 7 <> 0 THEN 'root of ' || run_id END AS manifest_root, CASE WHEN n % 3 <> 0 AND n % 7 = 0 THEN 'is broken or lacks root' END AS problem, CAST(c AS BIGINT) AS "rows" FROM d"""
+)
+def src_run_bundles(spark: SparkSession, sf: str) -> DataFrame:
+    """A run for every day of events, some recorded twice, some without a manifest or with a broken one."""
+    out = scratch_path(spark, "runs")
+    history, folder = History(spark, out), Folder(spark, out)
+    days = table(spark, sf, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n")).collect()  # a row a day
+    for r in days:
+        n = int(r["day"][-2:])
+        for status in ("running", "failed" if n % 5 == 0 else "succeeded"):
+            history.save(Run(r["day"], "full", status, startedAt=r["day"], runDate=r["day"], tableCounts={"events": r["n"]}))
+        if n % 3:
+            folder.write("{broken" if n % 7 == 0 else json.dumps({"runId": r["day"], "root": f"root of {r['day']}"}), r["day"], "manifest.json")
+    found = artifacts.snapshot(spark, out)
+    return found.runs.join(found.warnings.withColumnRenamed("run_id", "runId"), "runId", "left").select(F.col("runId").alias("run_id"), "status", F.col("manifest.root").alias("manifest_root"), "problem", F.col("tableCounts")["events"].alias("rows"))
+
+
+@query(f"{WITH_SQL} SELECT permit_number, days_open, contractor_name FROM permits WHERE is_roofing AND is_open AND days_open >= 500 AND contractor_name IS NOT NULL ORDER BY days_open DESC, permit_number LIMIT 1000")
+def q08_open_permits(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest open roofing permits anywhere, as the list of open permits shows them."""
+    return leads.open_permits(permits(spark, sf), leads.PermitFilter(min_days_open=500, require_contractor=True), 1000).select("permit_number", "days_open", "contractor_name")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '—' ELSE CASE WHEN o_custkey > 700 THEN '+' ELSE '' END || format('{:,}', o_custkey - 700) END AS delta, '$' || format('{:,}', CAST(round(o_totalprice) AS BIGINT)) AS dollars,
+    CASE WHEN o_custkey < 365 THEN o_custkey || ' d' ELSE printf('%.1f', o_custkey / CAST(365.25 AS DOUBLE)) || ' y (' || format('{:,}', o_custkey) || ' d)' END AS open, CASE WHEN length(o_orderpriority) <= 9 THEN o_orderpriority ELSE left(o_orderpriority, 4) || '…' || right(o_orderpriority, 4) END AS short FROM orders"""
+)
+def fn_formats(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("o_custkey")
+    return table(spark, sf, "orders").select(
+        "o_orderkey", formats.delta(F.when(F.col("o_orderkey") % 5 != 0, key - 700)).alias("delta"), formats.dollars("o_totalprice").alias("dollars"), formats.days_open("o_custkey").alias("open"), formats.short_id("o_orderpriority", 4).alias("short"),
+    )

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
+import json
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from cadastre.functions import formats
-from cadastre.operators import api
-from cadastre.plans import analogues
-from cadastre.sources import html, portal, ratings
+from cadastre.operators import api, digests, publish
+from cadastre.plans import analogues, build
+from cadastre.sources import artifacts, html, portal, ratings
 from tests_data import DETAIL, GRID
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +128,44 @@ def test_endpoints(spark):
     bad = [("leads", here | {"radiusMiles": 16}), ("leads", {"lat": 28.29}), ("leads", here | {"limit": 1.5}), ("leads", here | {"propertyTypes": ["castle"]}), ("leads", here | {"openRoofPermits": "yes"}), ("leads", here | {"ownerContains": "x" * 121}), ("property", {"parcelIdentifier": "x'"}), ("query", {"table": "x", "sql": "SELECT 1"}), ("query", {"table": "permits", "sql": "DROP TABLE x"}), ("schema", {"table": "x"})]
     assert [service.handle(e, b)[0] for e, b in bad] == [400] * len(bad)
     assert service.handle("nowhere", {})[0] == 404 and service.handle("query", {"table": "permits", "sql": "SELECT nothing FROM permits"})[0] == 500
+
+
+def test_what_the_assistant_asks(spark):
+    service = api.Service(spark, analogues.properties(spark, SF), analogues.permits(spark, SF))
+    status, told = service.handle("ask", {"table": "permits", "sql": "SELECT permit_number, contractor_id, contractor_name, bbb_rating, bbb_match_method FROM permits ORDER BY permit_number", "limit": 3})
+    assert status == 200 and (told["rowCount"], told["truncated"]) == (3, True) and told["missingCitationColumns"] == ["parcel_identifier", "source_url"] and told["bbbSummary"].startswith("BBB: ")
+    assert service.handle("ask", {"table": "properties", "sql": "SELECT 1 AS request_identifier, 2 AS source_urls"})[1]["missingCitationColumns"] == []
+    assert service.handle("ask", {"table": "properties", "sql": "SELECT 1 AS x FROM properties WHERE false"})[1]["missingCitationColumns"] == []
+    for bad in ({"table": "permits", "sql": "SELECT * FROM properties"}, {"table": "other", "sql": "SELECT 1"}, {"table": "permits", "sql": "SELECT 1", "limit": 201}):
+        assert service.handle("ask", bad)[0] == 400
+
+
+def test_the_service_verifies_a_run(spark, tmp_path):
+    (tmp_path / "run").mkdir()
+    (tmp_path / "run" / "a.csv").write_text("a")
+    files = [r.asDict() for r in digests.digested(spark, f"file://{tmp_path}/run").collect()]
+    made = publish.manifest("run", digests.tree(files), {}, None)
+    (tmp_path / "run" / "manifest.json").write_text(json.dumps(made))
+    stores = {n: f"file://{tmp_path}/{n}" for n in ("one", "two")}
+    digests.publish_run(spark, f"file://{tmp_path}/run", stores["one"])
+    service = api.Service(spark, analogues.properties(spark, SF), analogues.permits(spark, SF), manifest=made, gateways=stores, pace={"pace": 0.0, "attempts": 2})
+    status, told = service.handle("verify", {})
+    assert status == 200 and not told["allMatched"] and told["minGateways"] == 2 and {(c["gateway"].rsplit("/", 1)[1], c["ok"]) for c in told["checks"]} == {("one", True), ("two", False)}
+    assert service.handle("verify", {"gateways": ["one"]})[1]["allMatched"] and service.handle("verify", {"gateways": ["http://elsewhere"]})[0] == 400
+
+
+def test_bundles_of_runs(spark, tmp_path):
+    found = artifacts.snapshot(spark, f"file://{tmp_path}")
+    assert found.runs.count() == 0 and [tuple(r) for r in found.warnings.collect()] == [(None, "run-history.json", "is missing")]
+    history = build.History(spark, f"file://{tmp_path}")
+    for k, (status, root) in enumerate([("succeeded", "x"), ("succeeded", None), ("failed", None)]):
+        history.save(build.Run(f"r{k}", "full", status, startedAt=f"2026-01-0{k + 1}", root=root))
+        (tmp_path / f"r{k}").mkdir()
+    (tmp_path / "r0" / "manifest.json").write_text('{"runId": "r0", "root": "x"}')
+    (tmp_path / "r1" / "manifest.json").write_text("{")
+    (tmp_path / "r0" / "coverage.json").write_text('{"columns": {"latitude": 99.5}}')
+    (tmp_path / "r2" / "verification.json").write_text('{"runId": "r2"}')
+    found = artifacts.snapshot(spark, f"file://{tmp_path}")
+    assert found.latest().first()["runId"] == "r2" and found.latest(published=True).first()["runId"] == "r0"
+    assert {(r["run_id"], r["document"]) for r in found.warnings.collect()} == {("r1", "manifest.json"), ("r2", "verification.json")}
+    assert {r["runId"]: (r["manifest"] is not None, r["coverage"]["columns"] if r["coverage"] else None) for r in found.runs.collect()} == {"r0": (True, {"latitude": 99.5}), "r1": (False, None), "r2": (False, None)}
