@@ -62,12 +62,12 @@ def key_bounds(df: DataFrame, key: str, parts: int) -> list[int]:
     return sorted(set(found or []))
 
 
-def range_of(key: Column, bounds: list[int]) -> Column:
-    """How many of ``bounds`` are at most ``key``, by binary search; 0 for a null key."""
+def range_of(key: Column, bounds: list[int] | list[Column]) -> Column:
+    """How many of ``bounds`` (ascending longs, or literals of the key's type) are at most ``key``, by binary search; 0 for a null key."""
     if not bounds:
         return F.lit(0)
     steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
-    known = F.array(*[F.lit(b).cast("long") for b in bounds])
+    known = F.array(*[b if isinstance(b, Column) else F.lit(b).cast("long") for b in bounds])
 
     def step(low: Column, width: Column) -> Column:
         return F.when(F.coalesce(F.get(known, low + width - 1) <= key, F.lit(False)), low + width).otherwise(low)

@@ -16,10 +16,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_bounds, range_of, shuffle_width, table
+from .common import range_of, shuffle_width, table
 
 BINS, SHINGLE, BITS = 128, 5, 8
 #: Tries in the first pass over an empty bin's sequence; the whole sequence follows if all fail.
@@ -96,41 +96,74 @@ def likeness(a: Column, b: Column, *, bins: int = BINS) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(corrected)
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text) in ranges of ascending doc_id, each range ended by the row that follows it.
+#: Leading characters of a text that order rows of one id, before a hash of the whole; and rows sampled for each range.
+PREFIX, SAMPLED = 64, 20
 
-    Adds ``range`` and ``guest`` (true for the repeated first row of a later range). Ordered by
-    (guest, doc_id, text) within a range, the next row is the next document; the last range
-    ends with the very first row. Nulls come first; rows of one doc_id are ordered by text.
+
+def placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, at) of ``docs``: ``at`` orders rows by id (nulls first), then the text's first characters, its hash, and where the row was stored.
+
+    Only rows alike in id and text are told apart by the last, so whatever they are, ranges of ``at`` can be as small as wanted.
+    """
+    given = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    parts = {"known": F.col("doc_id").isNotNull(), "id": F.col("doc_id"), "prefix": F.substring("text", 1, PREFIX), "hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
+    return given.withColumn("at", F.struct(*[c.alias(n) for n, c in parts.items()]))
+
+
+def cut_points(rows: DataFrame, ranges: int) -> list[Row]:
+    """Fewer than ``ranges`` places that cut ``rows`` (at) into about equal ranges: those of the rows with the smallest hashes, ``SAMPLED`` a range."""
+    sample = [r["at"] for r in rows.select("at").orderBy(F.xxhash64("at.hash", "at.row"), "at").limit(SAMPLED * ranges).collect()]
+    as_sorted = lambda x: x.encode() if isinstance(x, str) else x
+    order = sorted(sample, key=lambda r: (r["known"], as_sorted(r["id"]) if r["known"] else 0, r["prefix"].encode(), r["hash"], r["row"]))
+    return [order[k * len(order) // ranges] for k in range(1, ranges)] if order else []
+
+
+def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (doc_id, text, at) in ranges of ascending ``at``, each range ended by the row that follows it; and how many ranges there may be.
+
+    Adds ``range`` and ``guest`` (true for the repeated first row of a later range). Ordered by (guest, at) within a range,
+    the next row is the next document; the last range ends with the very first row.
     """
-    spark = docs.sparkSession
-    given = docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    # More ranges than tasks, so that a range stays small; their first keys are as few.
-    bounds = key_bounds(given, "key", 2 * shuffle_width(spark))
-    placed = given.withColumn("range", range_of(F.col("key"), bounds))
-    heads = {r["range"]: r["key"] for r in placed.groupBy("range").agg(F.min("key").alias("key")).collect()}
+    rows = placed(docs)
+    # More ranges than tasks at once, so that a range stays small; what the driver sees of each is a row.
+    ranges = 2 * shuffle_width(docs.sparkSession)
+    kind = rows.schema["at"].dataType
+    cuts = cut_points(rows, ranges)
+    literal = lambda r, fields: F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+    rows = rows.withColumn("range", range_of(F.col("at"), [literal(r, kind.fields) for r in cuts]))
+    heads = {r["range"]: r["at"] for r in rows.groupBy("range").agg(F.min("at").alias("at")).collect()}
     used = sorted(heads)
-    pairs = [(heads[used[(k + 1) % len(used)]], r) for k, r in enumerate(used)]
-    if not pairs:
-        return placed.withColumn("guest", F.lit(False))
-    follows = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-    guests = placed.where(F.col("key").isin([k for k, _ in pairs])).withColumn("range", F.element_at(follows, F.col("key")))
-    return placed.withColumn("guest", F.lit(False)).union(guests.withColumn("guest", F.lit(True)))
+    if not used:
+        return rows.withColumn("guest", F.lit(False)), 1
+    # A head is found again by its id and text; rows alike in both are one guest.
+    same = kind.fields[:-1]
+    shown = F.array(*[literal(heads[k], same) if k in heads else F.lit(None) for k in range(used[-1] + 1)])
+    before = F.array(*[F.lit(used[used.index(k) - 1] if k in heads else None).cast("int") for k in range(used[-1] + 1)])
+    own = F.struct(*[F.col(f"at.{f.name}").alias(f.name) for f in same])
+    found = rows.where(F.coalesce(F.get(shown, F.col("range")) == own, F.lit(False)))
+    guests = found.groupBy("range").agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "at")]).withColumn("range", F.get(before, F.col("range")))
+    return rows.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))), used[-1] + 1
 
 
 def edited_pairs(docs: DataFrame, *, length: int = SHINGLE) -> DataFrame:
-    """The contract's rows: each document against its edited text and against the next document."""
-    rows = with_next(docs).repartition(shuffle_width(docs.sparkSession), "range")
-    order = Window.partitionBy("range").orderBy("guest", "key", "text")
+    """The contract's rows: each document against its edited text and against the next document.
+
+    ``docs``: (doc_id of any type that has an order, text); other columns are ignored. The next document is that of the next id,
+    nulls first, and of rows of one id the next by the text's first 64 characters, then by a hash of the whole. Repeated
+    rows follow one another. A null text is empty, and so is its fingerprint; an empty table has no rows.
+    """
+    rows, ranges = with_next(docs)
+    rows = rows.repartitionById(ranges, F.col("range"))
+    order = Window.partitionBy("range").orderBy("guest", "at")
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
     next_text = F.coalesce(F.lead("text").over(order), F.lit(""))
-    texts = rows.select("range", "guest", "doc_id", "key", "text", next_text.alias("next_text"))
+    texts = rows.select("range", "guest", "doc_id", "at", "text", next_text.alias("next_text"))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
-    edited = texts.select("range", "guest", "doc_id", "key", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    edited = texts.select("range", "guest", "doc_id", "at", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
     prints = edited.select(
-        "range", "guest", "doc_id", "key", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), length=length).alias("fingerprint"), fingerprint(F.col("edited"), length=length).alias("edited_fingerprint"), F.col("text").alias("text"),
+        "range", "guest", "doc_id", "at", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint(F.col("text"), length=length).alias("fingerprint"), fingerprint(F.col("edited"), length=length).alias("edited_fingerprint"),
     )
     ahead = prints.withColumn("next", F.coalesce(F.lead("fingerprint").over(order), F.lit("")))
     return ahead.where(~F.col("guest")).select(

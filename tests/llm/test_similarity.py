@@ -187,6 +187,30 @@ def test_repeated_ids_are_ordered_by_text(spark):
     assert got == {(d, len(t), hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest()) for d, t, n in want}
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "same rows", "strings"])
+def test_many_rows_of_one_id(spark, ids):
+    """Half of all rows have one id, or none, or are one row: no range holds many more than others, and each row meets the next one."""
+    draw = random.Random(len(ids))
+    text = lambda k: f"{draw.choice('abc')} text {k} " * draw.choice([1, 3])
+    many = [(None if ids == "null" else 7, "same text for all" if ids == "same rows" else text(k)) for k in range(300)]
+    rows = many + [(k + 10, text(k)) for k in range(300)] + [(3, ""), (4, None)]
+    kind = "long"
+    if ids == "strings":
+        rows, kind = [(None if k is None else f"é{k % 13}" if k == 7 else f"doc-{k}", t) for k, t in rows], "string"
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(6)
+    placed, ranges = fingerprints.with_next(df)
+    sizes = [r["count"] for r in placed.groupBy("range").count().collect()]
+    assert ranges == 8 and len(sizes) == 8 and max(sizes) < 2.5 * len(rows) / 8 and placed.where("guest").count() == 8
+    order = [r for r in fingerprints.placed(df).orderBy("at").collect()]
+    want = []
+    for k, r in enumerate(order):
+        t, n = r["text"], order[(k + 1) % len(order)]["text"]
+        want.append((str(r["doc_id"]), len(t), hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest()))
+    got = [(str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in fingerprints.edited_pairs(df).collect()]
+    assert sorted(got) == sorted(want)
+    assert [r["doc_id"] for r in order if r["doc_id"] is not None] == sorted([r[0] for r in rows if r[0] is not None], key=lambda x: x.encode() if kind == "string" else x)
+
+
 def test_bins_are_minima_and_empties_are_filled(spark):
     hashes = [k * 0x9E3779B97F4A7C15 % 2**63 for k in range(1, 60)]
     row = spark.createDataFrame([(hashes,), ([],)], "h array<long>").select(fingerprints.bin_minima(F.col("h")).alias("m"), fingerprints.densified(fingerprints.bin_minima(F.col("h"))).alias("d")).collect()
