@@ -108,11 +108,23 @@ def test_blocks_hold_texts_of_any_length():
     assert block.rows["k"].to_pylist() == list(range(5))
 
 
-def test_blobs_grow_with_blocks():
-    """Past ``MOST_BUCKETS`` a block asks as many buckets as before, whatever else there is."""
-    sizes = [n * blocks.BLOCK_BYTES for n in (10**3, 10**5, 10**7)]
-    buckets = [min(blocks.MOST_BUCKETS, max(200, -(-s // blocks.BUCKET_BYTES))) for s in sizes]
-    assert buckets == [200, 4096, 4096]
+@pytest.mark.parametrize("most", [8, 1000])
+def test_blobs_grow_with_blocks(spark, monkeypatch, most):
+    """Past ``MOST_BUCKETS`` a block asks as many buckets as before: blobs of two real sizes, counted as they are shuffled."""
+    monkeypatch.setattr(blocks, "MOST_BUCKETS", most)
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", 2000)
+    ask = lambda block, _: [np.unique(block.keys, return_counts=True)]
+    rows = []
+    for n in (400, 1600):
+        docs = spark.range(n).selectExpr("id AS doc_id", "CAST(repeat(concat('word', id % 50, ' '), 20) AS BINARY) AS text").repartition(4)
+        given = blocks.in_blocks(docs, f"grow-{n}")
+        size, count = given.agg(F.sum("size").alias("s"), F.count("*").alias("n")).first()
+        found, (told,) = blocks.exchange(given, ask, 1, f"grow-answers-{n}")
+        answers = found.select(F.explode(F.flatten("answers")).alias("a")).count()
+        assert told.keys == 50 and told.total == 20 * n and answers == count * min(most, max(4, -(-size // 2000)))
+        rows.append(answers // count)
+    # Beyond the bound as many a block; below it in proportion to the input.
+    assert rows[1] == rows[0] if most == 8 else rows[1] > 3 * rows[0]
 
 
 def test_weights_of_a_state_sum_to_one():
@@ -407,6 +419,25 @@ def test_shards(spark, monkeypatch):
     assert sharding.shard(df.limit(0)).count() == 0 and sharding.shard(df.limit(3), 16).count() == 3
 
 
+@pytest.mark.parametrize("rows_a_bucket", [3, 4096])
+def test_shards_are_a_plain_sort_by_fractional_rank(spark, monkeypatch, rows_a_bucket):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", rows_a_bucket)
+    rows = [(k, f"text {k % 40}", "hot" if k % 3 else f"s{k % 7}") for k in range(300)] + [(5, None, None), (6, "x", None), (7, "é", "hot")]
+    given = [("null" if s is None else f"={s}", k, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for k, t, s in rows]
+    place = lambda k, crc: int(hashlib.md5(f"42:{k}:{crc}".encode()).hexdigest()[:13], 16)
+    strata, ranked = collections.defaultdict(list), []
+    for r in given:
+        strata[r[0]].append(r)
+    for own in strata.values():
+        own.sort(key=lambda r: (place(r[1], r[3]), *r[1:]))
+        ranked += [((2 * k + 1) / (2 * len(own)), *r) for k, r in enumerate(own)]
+    ranked.sort()
+    n = len(ranked)
+    want = sorted((doc, size, crc, k * 16 // n, k - -(-(k * 16 // n) * n // 16)) for k, (_, _, doc, size, crc) in enumerate(ranked))
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), 16).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in got) == want
+
+
 def test_shards_of_more_than_2048_buckets(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 1)
     rows = [(k, f"text {k}", f"s{k % 3}") for k in range(3000)]
