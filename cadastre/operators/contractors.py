@@ -15,11 +15,17 @@ from ..contracts import CONTRACTORS, conform
 from ..functions import columns as c
 
 
+#: What the roll-up needs of a permit: links carry it, so that whole permits are not shuffled once more to find it.
+ROLLED = ["contractor_license", "contractor_phone", "contractor_name", "is_roofing", "is_open", "source_system"]
+
+
 def identities(staged: DataFrame) -> DataFrame:
-    """(property_improvement_id, identity_basis, identity_key) of permits that name a contractor at all."""
+    """(property_improvement_id, identity_basis, identity_key, and what of ``ROLLED`` and ``day`` there is) of permits that name a contractor at all."""
+    have = [n for n in ROLLED if n in staged.columns]
+    day = [F.coalesce("permit_issue_date", "opened_date").alias("day")] if {"permit_issue_date", "opened_date"} <= set(staged.columns) else []
     basis = F.when(F.col("contractor_license").isNotNull(), "license").when(F.col("contractor_phone").isNotNull(), "phone").when(F.col("contractor_name_norm").isNotNull(), "name")
     key = F.coalesce(F.concat(F.lit("lic:"), "contractor_license"), F.concat(F.lit("tel:"), "contractor_phone"), F.concat(F.lit("name:"), "contractor_name_norm"))
-    return staged.select("property_improvement_id", basis.alias("identity_basis"), key.alias("identity_key")).where("identity_key IS NOT NULL")
+    return staged.select("property_improvement_id", basis.alias("identity_basis"), key.alias("identity_key"), *have, *day).where("identity_key IS NOT NULL")
 
 
 def unambiguous(pairs: DataFrame) -> DataFrame:
@@ -38,11 +44,15 @@ def aliases(staged: DataFrame) -> DataFrame:
     return by_phone.union(by_name).union(to_phone.join(by_name, "alias_key", "left_anti"))
 
 
+LINK = ["property_improvement_id", "identity_basis", "identity_key", "canonical_key", "contractor_id"]
+
+
 def links(staged: DataFrame) -> DataFrame:
-    """(property_improvement_id, identity_basis, identity_key, canonical_key, contractor_id)."""
+    """The columns of ``LINK``, and what the roll-up needs of the permit."""
     alias = aliases(staged).withColumnRenamed("alias_key", "identity_key")
     folded = identities(staged).join(alias, "identity_key", "left").withColumn("canonical_key", F.coalesce("canonical_key", "identity_key"))
-    return folded.withColumn("contractor_id", F.substring(F.sha2("canonical_key", 256), 1, 32)).select("property_improvement_id", "identity_basis", "identity_key", "canonical_key", "contractor_id")
+    linked = folded.withColumn("contractor_id", F.substring(F.sha2("canonical_key", 256), 1, 32))
+    return linked.select(*LINK, *[n for n in linked.columns if n not in LINK])
 
 
 def most_frequent(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -52,10 +62,8 @@ def most_frequent(rows: DataFrame, key: str, value: str) -> DataFrame:
     return counts.withColumn("__rank", first).where("__rank = 1").select(key, value)
 
 
-def roll_up(staged: DataFrame, linked: DataFrame) -> DataFrame:
-    """One row an entity, before ratings."""
-    rows = linked.select("property_improvement_id", "canonical_key", "contractor_id").join(staged, "property_improvement_id")
-    day = F.coalesce("permit_issue_date", "opened_date")
+def roll_up(rows: DataFrame) -> DataFrame:
+    """One row an entity of ``rows`` (what ``links`` gives), before ratings."""
     basis = F.when(F.col("canonical_key").startswith("lic:"), "license").when(F.col("canonical_key").startswith("tel:"), "phone").otherwise("name")
     stats = rows.groupBy("contractor_id", "canonical_key").agg(
         F.max("contractor_license").alias("license_number"),
@@ -63,8 +71,8 @@ def roll_up(staged: DataFrame, linked: DataFrame) -> DataFrame:
         F.count("*").cast("int").alias("permit_count"),
         F.count_if("is_roofing").cast("int").alias("roofing_permit_count"),
         F.count_if(F.col("is_roofing") & F.col("is_open")).cast("int").alias("open_roofing_permit_count"),
-        F.min(day).cast("string").alias("first_permit_date"),
-        F.max(day).cast("string").alias("last_permit_date"),
+        F.min("day").cast("string").alias("first_permit_date"),
+        F.max("day").cast("string").alias("last_permit_date"),
         F.array_join(F.array_sort(F.collect_set("source_system")), " | ").alias("source_systems"),
     )
     names = most_frequent(rows, "contractor_id", "contractor_name").withColumnRenamed("contractor_name", "display_name")

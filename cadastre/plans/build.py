@@ -68,7 +68,7 @@ class Steps:
 def build(inputs: Inputs, run_id: str, run_date: date, *, previous: dict[str, DataFrame] | None = None, match_unlicensed: bool = False, region: Region = COUNTY, fetched_at: str | None = None, keep: Keep = lambda name, make: stored(make(), name)) -> Tables:
     """All published tables from one run's inputs. ``fetched_at``: when the roll was loaded.
 
-    What several tables are made of is kept as a step: the staged permits, which four steps read, the
+    What several tables are made of is kept as a step: the staged permits, which three steps read, the
     base properties, and the published permits, which the properties are summed up from.
     """
     previous = previous or {}
@@ -78,7 +78,7 @@ def build(inputs: Inputs, run_id: str, run_date: date, *, previous: dict[str, Da
     base = keep("base", lambda: properties.base(inputs.roll, run_date, inputs.parcels, region))
     staged = keep("staged", lambda: permits.stage(feeds, run_date, region))
     links = keep("links", lambda: contractors.links(staged))
-    entities = keep("entities", lambda: contractors.roll_up(staged, links))
+    entities = keep("entities", lambda: contractors.roll_up(links))
     ratings = None if inputs.profiles is None else contractors.match_ratings(entities, inputs.profiles, match_unlicensed=match_unlicensed)
     published = contractors.publish(entities, ratings)
     done = keep("permits", lambda: permits.publish(staged, base, links, ratings, inputs.parcels, previous.get("permits"), run_id, region))

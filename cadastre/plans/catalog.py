@@ -547,7 +547,7 @@ def er_alias(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(expected.sql("links", ["property_improvement_id", "identity_basis", "identity_key", "canonical_key", "contractor_id"]))
 def er_links(spark: SparkSession, sf: str) -> DataFrame:
-    return contractors.links(stored(roll.staged(spark, sf), "staged"))
+    return contractors.links(stored(roll.staged(spark, sf), "staged")).select(*contractors.LINK)
 
 
 @query(expected.sql("entities", ENTITY))

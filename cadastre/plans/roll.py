@@ -137,9 +137,8 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    # Five steps read the staged permits: written once, as the build does.
-    rows = stored(staged(spark, sf), "staged")
-    return contractors.roll_up(rows, contractors.links(rows))
+    # Several steps read the staged permits, and two the links: written once, as the build does.
+    return contractors.roll_up(stored(contractors.links(stored(staged(spark, sf), "staged")), "links"))
 
 
 def base(spark: SparkSession, sf: str) -> DataFrame:
