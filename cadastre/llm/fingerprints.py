@@ -96,8 +96,8 @@ def likeness(a: Column, b: Column, *, bins: int = BINS) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(corrected)
 
 
-#: Leading characters of a text that order rows of one id, before a hash of the whole; and rows sampled for each range.
-PREFIX, SAMPLED = 64, 20
+#: Leading characters of a text that order rows of one id, before a hash of the whole; rows sampled for each range, and for all.
+PREFIX, SAMPLED, MOST_SAMPLED = 64, 20, 200_000
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -111,8 +111,10 @@ def placed(docs: DataFrame) -> DataFrame:
 
 
 def cut_points(rows: DataFrame, ranges: int) -> list[Row]:
-    """Fewer than ``ranges`` places that cut ``rows`` (at) into about equal ranges: those of the rows with the smallest hashes, ``SAMPLED`` a range."""
-    sample = [r["at"] for r in rows.select("at").orderBy(F.xxhash64("at.hash", "at.row"), "at").limit(SAMPLED * ranges).collect()]
+    """Fewer than ``ranges`` places that cut ``rows`` (at) into about equal ranges: those of rows chosen by a hash, about ``SAMPLED`` a range."""
+    share = min(SAMPLED * ranges, MOST_SAMPLED) / max(1, rows.count())
+    chosen = F.pmod(F.xxhash64("at.hash", "at.row"), F.lit(1 << 40)) < int(share * (1 << 40))
+    sample = [r["at"] for r in rows.select("at").where(chosen).collect()]
     as_sorted = lambda x: x.encode() if isinstance(x, str) else x
     order = sorted(sample, key=lambda r: (r["known"], as_sorted(r["id"]) if r["known"] else 0, r["prefix"].encode(), r["hash"], r["row"]))
     return [order[k * len(order) // ranges] for k in range(1, ranges)] if order else []
