@@ -11,17 +11,21 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from .contracts import TABLES, describe
-from .operators import digests, guard, verify
+from .operators import digests, guard, places, verify
 from .plans import build
-from .sources import archive, delimited, harvests
+from .region import COUNTY
+from .sources import archive, delimited, features, harvests, shapefile
 from .sources.paged import refresh_window
 from .storage import Folder
 
 
-def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = False) -> dict[str, build.Loader]:
+def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = False, *, out: str | None = None, parcels_url: str | None = None) -> dict[str, build.Loader]:
     """Loaders of what a folder holds: roll/*.csv or roll/*.zip, portal*.jsonl, parcels*.jsonl, profiles*.jsonl, listings*.jsonl, places/*.parquet.
 
-    The roll is loaded once a digest of its files. An increment takes the portal's records fetched within its window.
+    Also release/release=R of places with boundary.zip, the county's outline: the newest release is clipped once and kept under ``out``.
+    ``parcels_url``: a feature service to sweep instead of reading parcel files; a run that is taken up again goes on where its sweep stopped.
+    The roll is loaded once a digest of its files. An increment takes the portal's records fetched within its window, and
+    of the service what changed since.
     """
 
     def roll(asked: build.Asked) -> build.Loaded:
@@ -36,7 +40,14 @@ def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = Fals
         return build.Loaded(None if got.status == "skipped" else dict(got.tables), whole, got.quarantined, got.status == "skipped")
 
     found: dict[str, build.Loader] = {"roll": roll}
-    if paths := harvests.files_of(folder, "parcels"):
+    if parcels_url:
+
+        def parcels(asked: build.Asked):
+            since = asked.window[0].isoformat() if asked.mode == "incremental" else None
+            return features.sweep(spark, parcels_url, out, run_id=asked.run_id, run_year=tax_year, fetched_at=datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S"), since=since)
+
+        found["parcels"] = parcels
+    elif paths := harvests.files_of(folder, "parcels"):
         found["parcels"] = lambda asked, paths=paths: harvests.parcels(harvests.read_lines(spark, paths, harvests.PARCEL))
     if paths := harvests.files_of(folder, "portal"):
 
@@ -51,6 +62,14 @@ def loaders(spark: SparkSession, folder: Path, tax_year: int, force: bool = Fals
         found["ratings"] = lambda asked: harvests.profiles(harvests.read_lines(spark, full, harvests.PROFILE) if full else empty(harvests.PROFILE), harvests.read_lines(spark, thin, harvests.LISTING) if thin else empty(harvests.LISTING))
     if (folder / "places").is_dir():
         found["places"] = lambda asked: spark.read.parquet(str(folder / "places"))
+    releases = sorted(p.name.removeprefix("release=") for p in (folder / "release").glob("release=*"))
+    if releases and (folder / "boundary.zip").exists():
+
+        def clipped(asked: build.Asked):
+            ring = shapefile.boundary(folder / "boundary.zip", "GEOID", COUNTY.fips)
+            return places.cached_extract(spark, (folder / "release").absolute().as_uri(), releases[-1], ring, COUNTY.fips, f"{out or folder.absolute().as_uri()}/extracts")
+
+        found["places"] = clipped
     return found
 
 
@@ -75,6 +94,7 @@ def main(args: list[str] | None = None) -> int:
             made.add_argument("--run-date", type=date.fromisoformat, default=date.today())
             made.add_argument("--resume", action="store_true", help="take up the last run if it did not succeed")
         if reads:
+            made.add_argument("--parcels-url", help="a feature service to sweep for parcels")
             made.add_argument("--source", action="append", help="load this source alone; may be given again")
         return made
 
@@ -98,14 +118,14 @@ def main(args: list[str] | None = None) -> int:
         print(json.dumps(history.runs(), indent=1))
         return 0
     if given.command in ("run", "build"):
-        sources = chosen(loaders(spark, given.input, given.run_date.year, given.force), given.source) if given.command == "run" else {}
+        sources = chosen(loaders(spark, given.input, given.run_date.year, given.force, out=given.output, parcels_url=given.parcels_url), given.source) if given.command == "run" else {}
         print(build.execute(spark, sources, given.output, mode=given.mode, run_date=given.run_date, resume=given.resume).status)
         return 0
     last = history.last_published()
     if given.command == "ingest":
         since = date.fromisoformat(last["runDate"]) if last and given.mode == "incremental" else None
         asked = build.Asked(given.mode if since else "full", refresh_window(since, given.run_date), datetime.now(UTC).strftime("%Y-%m-%dT%H-%M-%SZ"))
-        for result in build.ingest(build.RawStore(spark, given.output), chosen(loaders(spark, given.input, given.run_date.year, given.force), given.source), asked):
+        for result in build.ingest(build.RawStore(spark, given.output), chosen(loaders(spark, given.input, given.run_date.year, given.force, out=given.output, parcels_url=given.parcels_url), given.source), asked):
             print(json.dumps(vars(result)))
         return 0
     if last is None:

@@ -76,11 +76,13 @@ def profiles(full: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def features(raw: DataFrame, run_year: int) -> DataFrame:
-    """Feature-service attributes to parcel records; without centroid, id or parcel they are dropped."""
+    """Feature-service attributes to parcel records; without centroid, id or parcel they are dropped. What ``raw`` lacks of the rest is null."""
     year = F.col("YearBuilt").cast("int")
+    told = lambda name, kind: (F.nullif(F.trim(name), F.lit("")) if kind == "string" else F.col(name).cast(kind)) if name in raw.columns else F.lit(None).cast(kind)
     when = F.date_format(F.timestamp_millis("LastUpdate"), "yyyy-MM-dd")
     out = raw.select(
         F.col("OBJECTID").cast("long").alias("objectId"), F.trim("ParcelNo").alias("parcelNo"), F.col("y").cast("double").alias("latitude"), F.col("x").cast("double").alias("longitude"),
-        F.when((year > 1700) & (year <= run_year + 1), year).alias("yearBuilt"), when.alias("lastUpdate"),
+        F.when((year > 1700) & (year <= run_year + 1), year).alias("yearBuilt"), when.alias("lastUpdate"), told("DisplayStrap", "string").alias("displayStrap"), told("DORCode", "string").alias("dorCode"),
+        told("LocCity", "string").alias("locCity"), told("LocZip", "string").alias("locZip"), told("TotalAcres", "double").alias("acres"),
     )
     return out.where("objectId IS NOT NULL AND parcelNo <> '' AND latitude IS NOT NULL AND longitude IS NOT NULL")

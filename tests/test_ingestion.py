@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import random
+import threading
 import zipfile
 from collections import Counter
 from datetime import date
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from pathlib import Path
+from urllib.parse import parse_qs, urlsplit
 
 import pytest
 
-from cadastre.sources import archive, delimited, windows
+from cadastre import cli
+from cadastre.sources import archive, delimited, features, windows
 from cadastre.sources.paged import bisect
 from cadastre.streaming import pages
 
@@ -156,3 +161,64 @@ def test_ranges_have_each_line_once(size):
         stream.seek(max(0, low - 1))
         got += [x for b in archive.line_batches(stream, low, min(low + size, len(raw))) for x in b]
     assert got == whole
+
+
+class Layer(BaseHTTPRequestHandler):
+    """A feature service of 57 parcels; every fifth request fails, and offsets beyond ``limit`` while it is set."""
+
+    asked: list[dict] = []
+    limit = None
+
+    def do_GET(self):
+        query = {k: v[0] for k, v in parse_qs(urlsplit(self.path).query).items()}
+        Layer.asked.append(query)
+        since = int(query["where"].split("'")[1][-2:]) if "DATE" in query["where"] else 0
+        rows = [k for k in range(57) if k >= since]
+        low = int(query.get("resultOffset", 0))
+        if len(Layer.asked) % 5 == 0 or (Layer.limit is not None and low > Layer.limit):
+            body = {"error": {"code": 500, "message": "busy"}}
+        elif "returnCountOnly" in query:
+            body = {"count": len(rows)}
+        else:
+            some = rows[low : low + int(query["resultRecordCount"])]
+            body = {"features": [{"attributes": {"OBJECTID_1": k, "PARCELNO": f" P{k // 2} " if k != 9 else " ", "YearBuilt": 1990 if k % 2 else "x", "LastUpdate": 86_400_000 * k, "TotalAcres": k / 2}} | ({"centroid": {"x": -81.0, "y": 28.0}} if k != 11 else {}) for k in some]}
+        raw = json.dumps(body).encode()
+        self.send_response(200)
+        self.send_header("Content-Length", str(len(raw)))
+        self.end_headers()
+        self.wfile.write(raw)
+
+    def log_message(self, *_):
+        pass
+
+
+def test_a_feature_service_is_swept_over_http(spark, tmp_path):
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Layer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url, out = f"http://127.0.0.1:{server.server_port}/layer/0", f"file://{tmp_path}"
+    try:
+        how = {"run_id": "r1", "run_year": 2026, "fetched_at": "2026-01-01T00:00:00", "page": 5, "batch_pages": 3, "wait": 0}
+        Layer.limit = 30
+        with pytest.raises(Exception, match="busy"):
+            features.sweep(spark, url, out, **how)
+        Layer.limit, before = None, len(Layer.asked)
+        got = {r["parcel_no"]: (r["object_id"], r["year_built"], str(r["last_update"]), r["acres"]) for r in features.sweep(spark, url, out, **how).collect()}
+        again = {int(q["resultOffset"]) for q in Layer.asked[before:] if "resultOffset" in q}
+        # The first thirty rows were committed; of two features of a parcel the later one counts, those without a parcel or a centroid are left out.
+        assert min(again) == 30 and set(got) == {f"P{k}" for k in range(29)} and got["P4"] == (8, None, "1970-01-09", 4.0) and got["P5"][0] == 10 and got["P1"] == (3, 1990, "1970-01-04", 1.5)
+        late = features.sweep(spark, url, out, **how | {"run_id": "r2", "since": "2026-01-20"})
+        assert {r["object_id"] for r in late.collect()} == {k for k in range(20, 57) if k % 2 or k == 56}
+    finally:
+        server.shutdown()
+
+
+def test_places_are_clipped_from_the_newest_release(spark, tmp_path, monkeypatch):
+    called = []
+    (tmp_path / "release" / "release=2026-07").mkdir(parents=True)
+    (tmp_path / "release" / "release=2026-08").mkdir()
+    assert "places" not in cli.loaders(spark, tmp_path, 2026)
+    (tmp_path / "boundary.zip").touch()
+    monkeypatch.setattr(cli.shapefile, "boundary", lambda *a: called.append(a) or "ring")
+    monkeypatch.setattr(cli.places, "cached_extract", lambda *a: called.append(a) or "extract")
+    assert cli.loaders(spark, tmp_path, 2026, out="file:/out")["places"](None) == "extract"
+    assert called[0][1:] == ("GEOID", "12097") and called[1][1:] == (f"file://{tmp_path}/release", "2026-08", "ring", "12097", "file:/out/extracts")
