@@ -217,6 +217,14 @@ def radius_leads(properties: DataFrame, permits: DataFrame, circle: Circle, want
     return Leads(found, counted, limit_of(limit, 500))
 
 
+def reordered(rows: DataFrame, column: str, *, descending: bool = True) -> DataFrame:
+    """Rows of a result by another of its columns, nulls last either way; equal ones by all columns, so that pages agree."""
+    if column not in rows.columns:
+        raise ValueError(f"no column {column}")
+    first = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
+    return rows.orderBy(first, *[F.asc_nulls_last(c) for c in rows.columns if c != column])
+
+
 def resorted(rows: list[dict], column: str, *, descending: bool = True) -> list[dict]:
     """Rows a client has already, by another column: nulls last either way, equals as they were."""
     known = [r for r in rows if r.get(column) is not None]

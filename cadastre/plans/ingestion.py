@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import PERMITS
@@ -232,3 +232,12 @@ def fn_formats(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         "o_orderkey", formats.delta(F.when(F.col("o_orderkey") % 5 != 0, key - 700)).alias("delta"), formats.dollars("o_totalprice").alias("dollars"), formats.days_open("o_custkey").alias("open"), formats.short_id("o_orderpriority", 4).alias("short"),
     )
+
+
+@query(f"{WITH_SQL} SELECT permit_number, contractor_name, days_open, row_number() OVER (ORDER BY contractor_name NULLS LAST, permit_number, days_open) AS place FROM (SELECT * FROM permits WHERE is_roofing AND is_open ORDER BY days_open DESC NULLS LAST, permit_number LIMIT 500) q")
+def tk_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest open permits, as they are listed by contractor."""
+    found = leads.open_permits(permits(spark, sf), limit=500).select("permit_number", "contractor_name", "days_open")
+    ordered = leads.reordered(found, "contractor_name", descending=False)
+    # At most 500 rows: one task numbers them in the order they came in.
+    return ordered.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("contractor_name"), "permit_number", "days_open")).cast("long"))
