@@ -503,7 +503,17 @@ def src_url_host(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.coalesce(c.url_host("url"), F.lit("")).alias("host"))
 
 
-@query()
+def plain_sql(text: str) -> str:
+    """Text of markup without tags: entities read, white space closed up."""
+    for name, c in (("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{c}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+@query(
+    rf"""SELECT url, nullif({plain_sql("regexp_extract(h, '<title>([^<]*)</title>', 1)")}, '') AS title, CAST(len(regexp_extract_all(h, '<h[1-6][ >]')) AS INTEGER) AS headings, CAST(len(regexp_extract_all(h, '<a [^>]*href="[^"]+"')) AS INTEGER) AS links, CAST(length({plain_sql("regexp_replace(h, '<[^>]*>', '', 'g')")}) AS INTEGER) AS characters
+    FROM (SELECT url, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)[ >].*?</(script|style)>', '', 'gs') AS h FROM pages) p"""
+)
 def src_page_outline(spark: SparkSession, sf: str) -> DataFrame:
     return html.parse_pages(table(spark, sf, "pages"), html.page_outline, "url string, title string, headings int, links int, characters int").drop("parse_error")
 
