@@ -463,7 +463,8 @@ def test_ranges(spark):
 
 
 def test_queries_are_registered():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{k}" for k in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES if not n.startswith("llm_")] == [*(f"op{k}" for k in range(1, 14)), "pipeline"]
+    assert set(queries.ORACLES) <= set(queries.QUERIES) and {n for n in queries.QUERIES if n.startswith("llm_")} == set(queries.COLUMN_ORACLES)
 
 
 def test_pipeline_against_brute_force(spark):
