@@ -208,6 +208,13 @@ def test_pages_in_spark(spark):
     assert got == {"u1": ("T", 1), "u2": (None, 0)}
 
 
+def test_references_without_their_semicolon_are_text():
+    read = lambda page: html.page_outline(page, "u")[0]
+    assert read("<title>a &amp; b&amp</title>")["title"] == "a & b&amp" and read("<title>a&am</title>")["title"] == "a&am"
+    assert read("&lt;p&gt; &#65;&#x42; &copy &nosuch; &")["characters"] == len("<p> AB &copy &nosuch; &")
+    assert read('<a href="/x?a=1&copy=2">l</a>')["links"] == 1
+
+
 def test_documents_on_disk(tmp_path):
     (tmp_path / "2026").mkdir()
     (tmp_path / "2026" / "manifest.json").write_text("{")
