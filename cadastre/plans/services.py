@@ -6,8 +6,10 @@ They stand in for a transport: what a source asks is answered from Parquet files
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from datetime import date
 
+import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
@@ -18,6 +20,14 @@ from ..sources.paged import Window
 from ..storage import stored
 
 
+#: Rows that a lookup decodes at once.
+BATCH = 1 << 16
+
+
+def as_rows(batch: pa.RecordBatch) -> list[tuple]:
+    return list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+
 class Served:
     """``df`` stored in order of ``key``, for lookups of ranges of it."""
 
@@ -25,12 +35,16 @@ class Served:
         self.key, self.columns = key, df.columns
         self.path = stored(df.repartitionByRange(key).sortWithinPartitions(key), name)._scratch
 
-    def between(self, low: object, high: object) -> list[tuple]:
-        """Rows with low <= key <= high."""
+    def batches(self, low: object, high: object) -> Iterator[pa.RecordBatch]:
+        """Rows with low <= key <= high, a batch in memory at a time."""
         system, where = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", self.path))
         field = pc.field(self.key)
-        found = ds.dataset(where, filesystem=system, format="parquet").to_table(columns=self.columns, filter=(field >= low) & (field <= high))
-        return sorted(zip(*(found.column(c).to_pylist() for c in self.columns), strict=True))
+        found = ds.dataset(where, filesystem=system, format="parquet")
+        yield from found.to_batches(columns=self.columns, filter=(field >= low) & (field <= high), batch_size=BATCH, batch_readahead=1, fragment_readahead=1, use_threads=False)
+
+    def between(self, low: object, high: object) -> list[tuple]:
+        """Rows with low <= key <= high, in order."""
+        return sorted(row for batch in self.batches(low, high) for row in as_rows(batch))
 
 
 class Numbered(Served):
@@ -55,8 +69,17 @@ class Dated(Served):
         self.cap = cap
 
     def search(self, window: Window) -> tuple[list[tuple], bool]:
-        found = self.between(*window)
-        return found[: self.cap], len(found) > self.cap
+        """Holds a batch and one row more than ``cap``, however many rows the window has."""
+        first: list[tuple] = []
+        for batch in self.batches(*window):
+            if len(first) > self.cap:
+                batch = batch.filter(pc.less_equal(batch.column(0), pa.scalar(first[-1][0], batch.schema.field(0).type)))
+            elif batch.num_rows > self.cap:
+                # Equals of the last one that counts stay, so that the other columns decide between them.
+                least = pc.array_sort_indices(batch.column(0))[: self.cap + 1]
+                batch = batch.filter(pc.less_equal(batch.column(0), batch.column(0)[least[-1].as_py()]))
+            first = sorted(first + as_rows(batch))[: self.cap + 1]
+        return first[: self.cap], len(first) > self.cap
 
 
 def days_of(df: DataFrame, column: str) -> Window:

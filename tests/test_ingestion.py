@@ -222,3 +222,18 @@ def test_places_are_clipped_from_the_newest_release(spark, tmp_path, monkeypatch
     monkeypatch.setattr(cli.places, "cached_extract", lambda *a: called.append(a) or "extract")
     assert cli.loaders(spark, tmp_path, 2026, out="file:/out")["places"](None) == "extract"
     assert called[0][1:] == ("GEOID", "12097") and called[1][1:] == (f"file://{tmp_path}/release", "2026-08", "ring", "12097", "file:/out/extracts")
+
+
+def test_a_capped_search_holds_a_batch(spark, monkeypatch):
+    from cadastre.plans import services
+
+    monkeypatch.setattr(services, "BATCH", 7)
+    day = date(2026, 1, 1)
+    rows = [((k * 37) % 50, day, str(k % 3)) for k in range(100)]
+    served = services.Dated(spark.createDataFrame(rows, "k long, day date, x string"), "day", "served", 5)
+    held = []
+    plain = services.as_rows
+    monkeypatch.setattr(services, "as_rows", lambda batch: held.append(batch.num_rows) or plain(batch))
+    assert served.search((day, day)) == (sorted(rows)[:5], True) and max(held) <= 7 < 100
+    served.cap = 100
+    assert served.search((day, day)) == (sorted(rows), False)
