@@ -13,19 +13,24 @@ from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTORS, conform
 from ..functions import columns as c
+from ..storage import stored
 
+#: What of a permit names its contractor, and what else the roll-up tells apart.
+NAMED = ["contractor_license", "contractor_phone", "contractor_name_norm"]
+TOLD = [*NAMED, "contractor_name", "source_system"]
 
-#: What the roll-up needs of a permit: links carry it, so that whole permits are not shuffled once more to find it.
-ROLLED = ["contractor_license", "contractor_phone", "contractor_name", "is_roofing", "is_open", "source_system"]
 
+def ways(staged: DataFrame) -> DataFrame:
+    """Stored: each distinct way in which permits name a contractor (``TOLD``), and what its permits add up to.
 
-def identities(staged: DataFrame) -> DataFrame:
-    """(property_improvement_id, identity_basis, identity_key, and what of ``ROLLED`` and ``day`` there is) of permits that name a contractor at all."""
-    have = [n for n in ROLLED if n in staged.columns]
-    day = [F.coalesce("permit_issue_date", "opened_date").alias("day")] if {"permit_issue_date", "opened_date"} <= set(staged.columns) else []
-    basis = F.when(F.col("contractor_license").isNotNull(), "license").when(F.col("contractor_phone").isNotNull(), "phone").when(F.col("contractor_name_norm").isNotNull(), "name")
-    key = F.coalesce(F.concat(F.lit("lic:"), "contractor_license"), F.concat(F.lit("tel:"), "contractor_phone"), F.concat(F.lit("name:"), "contractor_name_norm"))
-    return staged.select("property_improvement_id", basis.alias("identity_basis"), key.alias("identity_key"), *have, *day).where("identity_key IS NOT NULL")
+    Ways are few beside permits, and counts, days and keys alone are hashed where they lie, so no permit is
+    sorted or shuffled for its contractor.
+    """
+    roof, day = F.col("is_roofing"), F.coalesce("permit_issue_date", "opened_date")
+    found = staged.where(F.coalesce(*NAMED).isNotNull()).groupBy(*TOLD).agg(
+        F.count("*").alias("n"), F.count_if(roof).alias("roofing"), F.count_if(roof & F.col("is_open")).alias("open_roofing"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
+    )
+    return stored(found, "ways")
 
 
 def unambiguous(pairs: DataFrame) -> DataFrame:
@@ -34,7 +39,9 @@ def unambiguous(pairs: DataFrame) -> DataFrame:
     return grouped.agg(F.min("canonical_key").alias("canonical_key"), F.max("canonical_key").alias("__max")).where("canonical_key = __max").drop("__max")
 
 
-def aliases(staged: DataFrame) -> DataFrame:
+def aliases(rows: DataFrame) -> DataFrame:
+    """(alias_key, canonical_key) that ``rows`` (permits or their ways) show. Distinct names decide, so these are stored once and read four times."""
+    staged = stored(rows.select(*NAMED).distinct(), "named")
     license_key, phone_key, name_key = F.concat(F.lit("lic:"), "contractor_license"), F.concat(F.lit("tel:"), "contractor_phone"), F.concat(F.lit("name:"), "contractor_name_norm")
     licensed = staged.where("contractor_license IS NOT NULL")
     by_phone = unambiguous(licensed.select(phone_key.alias("alias_key"), license_key.alias("canonical_key")))
@@ -47,12 +54,22 @@ def aliases(staged: DataFrame) -> DataFrame:
 LINK = ["property_improvement_id", "identity_basis", "identity_key", "canonical_key", "contractor_id"]
 
 
-def links(staged: DataFrame) -> DataFrame:
-    """The columns of ``LINK``, and what the roll-up needs of the permit."""
-    alias = aliases(staged).withColumnRenamed("alias_key", "identity_key")
-    folded = identities(staged).join(alias, "identity_key", "left").withColumn("canonical_key", F.coalesce("canonical_key", "identity_key"))
-    linked = folded.withColumn("contractor_id", F.substring(F.sha2("canonical_key", 256), 1, 32))
-    return linked.select(*LINK, *[n for n in linked.columns if n not in LINK])
+def linked(rows: DataFrame, alias: DataFrame) -> DataFrame:
+    """``rows`` with identity_basis, identity_key, canonical_key and contractor_id, null where no contractor is named.
+
+    A stored ``alias`` has a known size, so that a small one is broadcast and rows stay where they are.
+    """
+    basis = F.when(F.col("contractor_license").isNotNull(), "license").when(F.col("contractor_phone").isNotNull(), "phone").when(F.col("contractor_name_norm").isNotNull(), "name")
+    key = F.coalesce(F.concat(F.lit("lic:"), "contractor_license"), F.concat(F.lit("tel:"), "contractor_phone"), F.concat(F.lit("name:"), "contractor_name_norm"))
+    folded = rows.withColumns({"identity_basis": basis, "identity_key": key}).join(alias.withColumnRenamed("alias_key", "identity_key"), "identity_key", "left")
+    own = F.coalesce("canonical_key", "identity_key")
+    return folded.withColumns({"canonical_key": own, "contractor_id": F.substring(F.sha2(own, 256), 1, 32)})
+
+
+def links(rows: DataFrame) -> DataFrame:
+    """``rows`` (permits or their ways) that name a contractor at all, the columns of ``LINK`` first."""
+    found = linked(rows, stored(aliases(rows), "aliases")).where("identity_key IS NOT NULL")
+    return found.select(*[n for n in LINK if n in found.columns], *[n for n in found.columns if n not in LINK])
 
 
 def most_frequent(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -63,20 +80,31 @@ def most_frequent(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def roll_up(rows: DataFrame) -> DataFrame:
-    """One row an entity of ``rows`` (what ``links`` gives), before ratings."""
+    """One row an entity of ``rows`` (links of ``ways``), before ratings. Its name is the one of most permits, the smallest among equals."""
     basis = F.when(F.col("canonical_key").startswith("lic:"), "license").when(F.col("canonical_key").startswith("tel:"), "phone").otherwise("name")
-    stats = rows.groupBy("contractor_id", "canonical_key").agg(
+    key = ["contractor_id", "canonical_key"]
+    by_name = rows.groupBy(*key, "contractor_name").agg(
         F.max("contractor_license").alias("license_number"),
         F.max("contractor_phone").alias("phone"),
-        F.count("*").cast("int").alias("permit_count"),
-        F.count_if("is_roofing").cast("int").alias("roofing_permit_count"),
-        F.count_if(F.col("is_roofing") & F.col("is_open")).cast("int").alias("open_roofing_permit_count"),
-        F.min("day").cast("string").alias("first_permit_date"),
-        F.max("day").cast("string").alias("last_permit_date"),
-        F.array_join(F.array_sort(F.collect_set("source_system")), " | ").alias("source_systems"),
+        F.sum("n").alias("n"),
+        F.sum("roofing").alias("roofing"),
+        F.sum("open_roofing").alias("open_roofing"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
+        F.collect_set("source_system").alias("sources"),
+    )
+    out = by_name.groupBy(*key).agg(
+        F.max("license_number").alias("license_number"),
+        F.max("phone").alias("phone"),
+        F.sum("n").cast("int").alias("permit_count"),
+        F.sum("roofing").cast("int").alias("roofing_permit_count"),
+        F.sum("open_roofing").cast("int").alias("open_roofing_permit_count"),
+        F.min("first_day").cast("string").alias("first_permit_date"),
+        F.max("last_day").cast("string").alias("last_permit_date"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))), " | ").alias("source_systems"),
+        F.min(F.when(F.col("contractor_name").isNotNull(), F.struct((-F.col("n")).alias("less"), F.col("contractor_name").alias("name"))))["name"].alias("display_name"),
     )
-    names = most_frequent(rows, "contractor_id", "contractor_name").withColumnRenamed("contractor_name", "display_name")
-    return stats.join(names, "contractor_id", "left").withColumns({"normalized_name": c.normalized_name("display_name"), "identity_basis": basis}).drop("canonical_key")
+    return out.withColumns({"normalized_name": c.normalized_name("display_name"), "identity_basis": basis}).drop("canonical_key")
 
 
 def match_ratings(entities: DataFrame, profiles: DataFrame, *, match_unlicensed: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..contracts import PERMIT_HASHED, PERMITS, conform
 from ..functions import columns as c
 from ..region import COUNTY, Region
+from .contractors import linked
 from .lineage import carry_lineage
 from .upsert import latest, stacked
 
@@ -100,23 +101,39 @@ def stage(feeds: list[DataFrame], run_date: date, region: Region = COUNTY) -> Da
     return typed.withColumns(
         {
             "days_open": F.datediff(until, F.coalesce("permit_issue_date", "opened_date")),
+            "contractor_name_norm": c.normalized_name("contractor_name"),
+        }
+    ).transform(lambda df: with_ids(df, region))
+
+
+#: Hashes of a permit's other columns: nothing compresses them, so that they are left out of what is stored or shuffled and made anew.
+IDS = ["property_improvement_id", "property_id", "row_hash"]
+
+
+def with_ids(rows: DataFrame, region: Region = COUNTY) -> DataFrame:
+    """``rows`` with the columns of ``IDS``."""
+    return rows.withColumns(
+        {
             "property_improvement_id": c.surrogate_key("source_system", "permit_number", "parcel_identifier"),
             "property_id": c.surrogate_key(F.lit(region.key), "parcel_identifier"),
-            "contractor_name_norm": c.normalized_name("contractor_name"),
             "row_hash": c.row_hash(PERMIT_HASHED, {"estimated_job_value"}),
         }
     )
 
 
-def publish(staged: DataFrame, base: DataFrame, links: DataFrame, ratings: DataFrame | None, parcels: DataFrame | None, previous: DataFrame | None, run_id: str, region: Region = COUNTY) -> DataFrame:
-    """The published permits. ``base``: properties before permits; all other sides have one row a key."""
+def publish(staged: DataFrame, base: DataFrame, alias: DataFrame, ratings: DataFrame | None, parcels: DataFrame | None, previous: DataFrame | None, run_id: str, region: Region = COUNTY) -> DataFrame:
+    """The published permits of ``staged`` (without ``IDS``). ``base``: properties before permits; all other sides have one row a key.
+
+    Both sides by parcel come first and share one shuffle of the permits; aliases and ratings are small and find them where they lie.
+    """
     site = base.select(F.col("request_identifier").alias("parcel_identifier"), F.col("address_street").alias("__street"), F.col("address_city").alias("__city"), F.col("address_zip").alias("__zip"), F.lit(True).alias("__known"))
-    out = staged.join(site, "parcel_identifier", "left").join(links.select("property_improvement_id", "contractor_id"), "property_improvement_id", "left")
-    if ratings is not None:
-        out = out.join(ratings.select("contractor_id", "bbb_rating", "bbb_accredited", "bbb_profile_url", "bbb_match_method"), "contractor_id", "left")
+    out = staged.join(site, "parcel_identifier", "left")
     if parcels is not None:
         out = out.join(parcels.select(F.col("parcel_no").alias("parcel_identifier"), "latitude", "longitude"), "parcel_identifier", "left")
-    out = out.withColumns(
+    out = linked(out, alias)
+    if ratings is not None:
+        out = out.join(ratings.select("contractor_id", "bbb_rating", "bbb_accredited", "bbb_profile_url", "bbb_match_method"), "contractor_id", "left")
+    out = with_ids(out, region).withColumns(
         {
             "property_id": F.when(F.col("__known"), F.col("property_id")),
             "project_description": F.col("description"),

@@ -96,7 +96,11 @@ def base(raw: dict[str, DataFrame], run_date: date, parcels: DataFrame | None =
 
 
 def permit_summary(permits: DataFrame) -> DataFrame:
-    """What the permits of a parcel add up to. Dates are ISO texts and compare as such."""
+    """What the permits of a parcel add up to. Dates are ISO texts and compare as such.
+
+    Rows are dealt by parcel once, so that distinct numbers and all else are summed up where they lie.
+    """
+    permits = permits.select("parcel_identifier", "permit_number", "is_roofing", "is_open", "improvement_status", "permit_close_date", "permit_issue_date", "opened_date", "days_open", "bbb_rating", "source_url").repartition("parcel_identifier")
     roof, is_open = F.col("is_roofing"), F.col("is_open")
     done = roof & (F.col("improvement_status") == "finaled")
     closed = F.coalesce("permit_close_date", "permit_issue_date", "opened_date")

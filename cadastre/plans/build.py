@@ -68,20 +68,22 @@ class Steps:
 def build(inputs: Inputs, run_id: str, run_date: date, *, previous: dict[str, DataFrame] | None = None, match_unlicensed: bool = False, region: Region = COUNTY, fetched_at: str | None = None, keep: Keep = lambda name, make: stored(make(), name)) -> Tables:
     """All published tables from one run's inputs. ``fetched_at``: when the roll was loaded.
 
-    What several tables are made of is kept as a step: the staged permits, which three steps read, the
-    base properties, and the published permits, which the properties are summed up from.
+    What several tables are made of is kept as a step: the staged permits without their hashes, the base
+    properties, and the published permits, which the properties are summed up from. Contractors are resolved
+    over the distinct ways in which permits name them; aliases and ratings are kept so that their size is known.
     """
     previous = previous or {}
     feeds = [permits.from_roll(inputs.roll["permit"], region, fetched_at)]
     if inputs.portal is not None:
         feeds.append(permits.from_portal(inputs.portal, region))
     base = keep("base", lambda: properties.base(inputs.roll, run_date, inputs.parcels, region))
-    staged = keep("staged", lambda: permits.stage(feeds, run_date, region))
-    links = keep("links", lambda: contractors.links(staged))
-    entities = keep("entities", lambda: contractors.roll_up(links))
-    ratings = None if inputs.profiles is None else contractors.match_ratings(entities, inputs.profiles, match_unlicensed=match_unlicensed)
+    staged = keep("staged", lambda: permits.stage(feeds, run_date, region).drop(*permits.IDS))
+    ways = contractors.ways(staged)
+    entities = keep("entities", lambda: contractors.roll_up(contractors.links(ways)))
+    ratings = None if inputs.profiles is None else keep("ratings", lambda: contractors.match_ratings(entities, inputs.profiles, match_unlicensed=match_unlicensed))
     published = contractors.publish(entities, ratings)
-    done = keep("permits", lambda: permits.publish(staged, base, links, ratings, inputs.parcels, previous.get("permits"), run_id, region))
+    alias = keep("aliases", lambda: contractors.aliases(ways))
+    done = keep("permits", lambda: permits.publish(staged, base, alias, ratings, inputs.parcels, previous.get("permits"), run_id, region))
     found = properties.publish(base, done, previous.get("properties"), run_id, run_date, region)
     return Tables(found, done, published, None if inputs.places is None else places.publish(inputs.places, published))
 

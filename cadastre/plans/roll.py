@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..operators import contractors, permits, properties
 from ..region import COUNTY
-from ..storage import stored
 from .analogues import RUN_DATE, table
 from .build import Inputs, Tables, build
 
@@ -137,8 +136,7 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    # Several steps read the staged permits, and two the links: written once, as the build does.
-    return contractors.roll_up(stored(contractors.links(stored(staged(spark, sf), "staged")), "links"))
+    return contractors.roll_up(contractors.links(contractors.ways(staged(spark, sf))))
 
 
 def base(spark: SparkSession, sf: str) -> DataFrame:

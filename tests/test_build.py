@@ -185,3 +185,18 @@ def test_what_others_stored_stays(spark):
     with scratch(spark):
         stored(spark.range(6), "own")
     assert kept.count() == 5
+
+
+def test_no_permit_is_kept_with_its_hashes_or_for_its_contractor(spark):
+    kept = {}
+
+    def keep(name, make):
+        kept[name] = stored(make(), name)
+        return kept[name]
+
+    inputs = build.Inputs(roll.raw_roll(spark, SF), roll.raw_portal(spark, SF), roll.parcels(spark, SF), roll.profiles(spark, SF))
+    done = build.build(inputs, "r1", date(2002, 1, 1), keep=keep).permits
+    assert not set(kept["staged"].columns) & {"row_hash", "property_id", "property_improvement_id"} and {"aliases", "ratings"} <= set(kept) and "links" not in kept
+    assert kept["staged"].count() == done.count() == done.where("row_hash IS NOT NULL").count()
+    ways = build.contractors.ways(kept["staged"])
+    assert ways.agg({"n": "sum"}).first()[0] == done.where("contractor_id IS NOT NULL").count()
