@@ -10,6 +10,9 @@
 3. What is spelled out is joined by its text to the vocabulary. A candidate that is there is one edit away, by
    construction, and no distance is computed. A word has no more neighbours than candidates, so no group is large.
 4. Forms are followed by pointer doubling: each round joins every word to where its form has come.
+
+Every join here is of tables that grow with the texts, so each is asked to be a merge: of what a function in
+Python gives Spark guesses the size by what the function reads, and would send all candidates to the driver.
 """
 
 from __future__ import annotations
@@ -188,7 +191,7 @@ def rooted(forms: DataFrame) -> DataFrame:
     """
     now = materialise(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
-        ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
+        ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next")).hint("merge")
         after = materialise(now.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         drop_scratch(now)
         if after.where("moved").isEmpty():
@@ -210,13 +213,13 @@ def variants(docs: DataFrame, *, ratio: int = FORM_RATIO, **how) -> DataFrame:
     # A row a letter: the runs are of at most 90 different ones.
     alphabet = sorted(r[0] for r in words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).where("c <> ''").distinct().collect())
     found = candidates(words, alphabet, vocabulary_bitmap(words, bits))
-    near = found.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = found.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge"), "near")
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    placed = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(-F.col("best.less") >= ratio * F.col("n"), F.col("best")).alias("best"))
+    placed = words.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(-F.col("best.less") >= ratio * F.col("n"), F.col("best")).alias("best"))
     placed = materialise(placed.select("word", "n", "n_near", F.col("best.near").alias("form"), (-F.col("best.less")).alias("form_n")), "spelling-forms")
     roots = rooted(placed.where("form IS NOT NULL"))
     drop_scratch(words)
-    return placed.join(roots.select("word", "root"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return placed.join(roots.select("word", "root").hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

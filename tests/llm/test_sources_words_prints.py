@@ -151,6 +151,19 @@ def test_variants_where_the_bitmap_is_full(spark, monkeypatch):
     assert got == variants_brute(rows)
 
 
+def test_joins_of_variants_send_nothing_to_the_driver(spark, monkeypatch):
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(spelling, "materialise", lambda df, name, keep=spelling.materialise: keep(planned(df), name))
+    assert planned(spelling.variants(spark.createDataFrame(written(2), "doc_id long, text string"))).count()
+    # So small a table is broadcast wherever that is left to Spark.
+    assert not [p for p in plans if "Broadcast" in p] and sum("SortMergeJoin" in p for p in plans) >= 3
+
+
 def test_variants_of_nothing_and_registered(spark):
     df = spark.createDataFrame([(1, None), (2, "abc 123")], "doc_id long, text string")
     assert spelling.variants(df).collect() == [] and spelling.variants(df.limit(0)).collect() == []
