@@ -32,8 +32,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What op2 counts and its base score, to four decimals since sums of doubles depend on their order."""
-    return op2_lm_scoring(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+    """What op2 counts and its base score, to four decimals since sums of doubles depend on their order.
+
+    None of these depends on longer histories, so op2 runs with its automaton's root alone.
+    """
+    return op2_lm_scoring(spark, sf_dir, history=0).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
 def llm_base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +60,8 @@ crc AS (SELECT list(v ORDER BY b) AS steps FROM bytes WHERE k = 8)"""
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 COLUMN_ORACLES = {
     "llm_base_scores": rf"""WITH RECURSIVE {CRC_SQL},
-    d AS (SELECT doc_id, hex(encode(doc_id::VARCHAR)) AS h, list_append(regexp_extract_all({LOWER_SQL}, '[^ 	-]+'), chr(0) || 'end') AS tokens FROM documents),
+    d AS (SELECT doc_id, hex(encode(doc_id::VARCHAR)) AS h, list_append(regexp_extract_all({LOWER_SQL}, '[^ 	-
+]+'), chr(0) || 'end') AS tokens FROM documents),
     r AS (SELECT doc_id, tokens, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 1 AS held_out FROM d, crc),
     t AS (SELECT doc_id, held_out, unnest(tokens) AS token FROM r),
     c AS (SELECT token, count(*) AS c FROM t WHERE NOT held_out GROUP BY token), n AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n, count(*) AS v FROM c)

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,11 @@ class Tokens:
     """A block's tokens in reading order: keys of the word, of the pair and of the triple that it ends.
 
     The first token of a text ends no triple, and its pair begins with the start of the text.
+    ``keys`` are the distinct keys of words, and of the start, ascending; ``number`` is each token's place among them.
     """
 
+    keys: np.ndarray
+    number: np.ndarray
     word: np.ndarray
     pair: np.ndarray
     triple: np.ndarray
@@ -53,31 +57,42 @@ class Tokens:
     ends: np.ndarray
     learn: np.ndarray
 
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs, ascending, and each token's place among them."""
+        return np.unique(self.pair, return_inverse=True)
+
 
 def tokens_of(block: Block) -> Tokens:
     sizes = np.diff(block.ends, prepend=0) + 1
     ends = np.cumsum(sizes)
     first = ends - sizes
-    word = np.empty(int(ends[-1]), np.uint64)
-    inner = np.ones(len(word), bool)
+    keys, place = np.unique(np.concatenate((block.words, np.array([END, START]))), return_inverse=True)
+    number = np.full(int(ends[-1]), place[-2])
+    inner = np.ones(len(number), bool)
     inner[ends - 1] = False
-    word[inner], word[ends - 1] = block.keys, END
+    number[inner] = place[block.index]
+    word = keys[number]
     before = np.empty_like(word)
     before[1:], before[first] = word[:-1], START
     pair = mixed(before, word)
     before[1:], before[first] = pair[:-1], 0
-    return Tokens(word, pair, mixed(before, word), first, ends, np.repeat(np.array(block.rows["learn"].to_pylist(), bool), sizes))
+    return Tokens(keys, number, word, pair, mixed(before, word), first, ends, np.repeat(np.array(block.rows["learn"].to_pylist(), bool), sizes))
 
 
-def counted(keys: np.ndarray, learn: np.ndarray) -> Counted:
-    distinct, number = np.unique(keys, return_inverse=True)
+def counted(distinct: np.ndarray, number: np.ndarray, learn: np.ndarray) -> Counted:
     return distinct, np.bincount(number, weights=learn, minlength=len(distinct)).astype(np.int64)
 
 
 def word_keys(t: Tokens) -> Counted:
     """Words, and the start of the text as a history that every text continues once."""
-    starts = t.learn[t.first]
-    return counted(np.concatenate((t.word, np.full(len(starts), START))), np.concatenate((t.learn, starts)))
+    keys, counts = counted(t.keys, t.number, t.learn)
+    counts[np.searchsorted(keys, START)] += int(t.learn[t.first].sum())
+    return keys, counts
+
+
+def ask_words(block: Block, _: list[np.ndarray] | None) -> list[Counted]:
+    return [word_keys(tokens_of(block))]
 
 
 #: A pair's count in training lies below this bit, and the number of blocks that hold it at all above.
@@ -86,13 +101,13 @@ HOLDERS = 40
 
 def ask_pairs(block: Block, _: list[np.ndarray] | None) -> list[Counted]:
     t = tokens_of(block)
-    pairs, counts = counted(t.pair, t.learn)
+    pairs, counts = counted(*t.pairs, t.learn)
     return [word_keys(t), (pairs, counts + (1 << HOLDERS))]
 
 
 def open_triples(t: Tokens, pairs: np.ndarray) -> np.ndarray:
     """Tokens whose triple other blocks may hold; ``pairs``: the answers for the block's pairs."""
-    shared = (pairs >> HOLDERS > 1)[np.unique(t.pair, return_inverse=True)[1]]
+    shared = (pairs >> HOLDERS > 1)[t.pairs[1]]
     history = np.empty_like(shared)
     history[1:], history[t.first] = shared[:-1], False
     return shared & history
@@ -101,7 +116,18 @@ def open_triples(t: Tokens, pairs: np.ndarray) -> np.ndarray:
 def ask_triples(block: Block, had: list[np.ndarray]) -> list[Counted]:
     t = tokens_of(block)
     wanted = open_triples(t, had[1])
-    return [counted(t.triple[wanted], t.learn[wanted])]
+    return [counted(*np.unique(t.triple[wanted], return_inverse=True), t.learn[wanted])]
+
+
+def root_weights(counts: np.ndarray, sums: Asked) -> np.ndarray:
+    return (counts + 0.5) / (sums.total + 0.5 * (sums.keys + 1))
+
+
+def root_walk(t: Tokens, words: np.ndarray, sums: Asked) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By text, where the root is the only state: base score, score, known tokens, failure arcs followed."""
+    counts = words[t.number]
+    base = np.add.reduceat(np.log10(root_weights(counts, sums)), t.first)
+    return base, base, np.add.reduceat((counts > 0).astype(np.int64), t.first), np.zeros(len(t.first), np.int64)
 
 
 class Automaton:
@@ -110,19 +136,19 @@ class Automaton:
     def __init__(self, t: Tokens, words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, sums: Asked, strength: float):
         """``words``, ``pairs`` and ``triples``: answers for the block's words, its pairs and its open triples, by ascending key."""
         self.tokens, self.strength = t, strength
-        keys = np.unique(np.concatenate((t.word, np.array([START]))))
-        self.word = words[np.searchsorted(keys, t.word)]
-        self.pair = (pairs & ((1 << HOLDERS) - 1))[np.unique(t.pair, return_inverse=True)[1]]
+        self.word = words[t.number]
+        self.pair = (pairs & ((1 << HOLDERS) - 1))[t.pairs[1]]
         distinct, number = np.unique(t.triple, return_inverse=True)
-        total = np.bincount(number, weights=t.learn, minlength=len(distinct)).astype(np.int64)
-        wanted = t.triple[open_triples(t, pairs)]
-        total[np.searchsorted(distinct, np.unique(wanted))] = triples
+        total = counted(distinct, number, t.learn)[1]
+        wanted = np.zeros(len(distinct), bool)
+        wanted[number[open_triples(t, pairs)]] = True
+        total[wanted] = triples
         self.triple = total[number]
         # How often the histories before a token are continued: the word before, and the pair before.
         self.after_word, self.after_pair = np.empty_like(self.word), np.zeros_like(self.pair)
-        self.after_word[1:], self.after_word[t.first] = self.word[:-1], words[np.searchsorted(keys, START)]
+        self.after_word[1:], self.after_word[t.first] = self.word[:-1], words[np.searchsorted(t.keys, START)]
         self.after_pair[1:], self.after_pair[t.first] = self.pair[:-1], 0
-        self.root = (self.word + 0.5) / (sums.total + 0.5 * (sums.keys + 1))
+        self.root = root_weights(self.word, sums)
 
     def arcs(self) -> tuple[np.ndarray, ...]:
         """By token: log10 weights of the root's arc, of the word state's arc and failure, of the pair state's arc and failure.
@@ -183,23 +209,33 @@ class Automaton:
 SCORED = "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_failures long"
 
 
-def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, name: str = "lm") -> DataFrame:
+def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, history: int = 2, name: str = "lm") -> DataFrame:
     """Score every row of ``docs`` (doc_id of any integer type, text) by the automaton learnt from rows where ``learn`` holds.
 
     Words are split at ASCII white space after lowering A-Z; every text, a null one too, ends in
     an end token. A null in ``learn`` counts as false. Repeated rows count as often as they stand
     there; an empty table gives no rows. If nothing is learnt, every token has the unknown word's share.
+
+    ``history`` is the most words that a state holds, 2 or 0. With 0 the root is the only state, so ``score`` is
+    ``base_score``, no failure arc is followed, and pairs and triples are neither counted nor exchanged.
     """
+    if history not in (0, 2):
+        raise ValueError("history must be 0 or 2")
     given = docs.select(long_id(), F.coalesce(learn, F.lit(False)).alias("learn"), text_bytes().alias("text"))
-    found, sums = exchange(in_blocks(given, f"{name}-blocks"), ask_pairs, 2, f"{name}-pairs", uncounted=(int(START),))
-    found, _ = exchange(found, ask_triples, 1, f"{name}-triples")
+    blocks = in_blocks(given, f"{name}-blocks")
+    if history:
+        found, sums = exchange(blocks, ask_pairs, 2, f"{name}-pairs", uncounted=(int(START),))
+        found, _ = exchange(found, ask_triples, 1, f"{name}-triples")
+    else:
+        found, sums = exchange(blocks, ask_words, 1, f"{name}-words", uncounted=(int(START),))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 block = Block.unpack(batch.column(0)[k].as_py())
                 t = tokens_of(block)
-                base, scores, known, failures = Automaton(t, *read_answers(batch.column(1)[k].as_py()), sums[0], strength).walk()
+                had = read_answers(batch.column(1)[k].as_py())
+                base, scores, known, failures = Automaton(t, *had, sums[0], strength).walk() if history else root_walk(t, *had, sums[0])
                 n = block.rows.num_rows
                 columns = [block.rows["doc_id"].combine_chunks(), block.rows["learn"].combine_chunks(), np.diff(t.ends, prepend=0), known, np.full(n, sums[0].total), base, scores, failures]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[f.split()[0] for f in SCORED.split(", ")])
@@ -208,7 +244,7 @@ def score(docs: DataFrame, learn: Column, *, strength: float = 8.0, name: str =
     return found.select("payload", "answers").mapInArrow(run, SCORED)
 
 
-def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op2_lm_scoring(spark: SparkSession, sf_dir: str, *, history: int = 2) -> DataFrame:
     learn = id_crc("doc_id", 5) != 1
-    scored = score(table(spark, sf_dir, "documents"), learn)
+    scored = score(table(spark, sf_dir, "documents"), learn, history=history)
     return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_failures")

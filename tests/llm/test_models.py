@@ -79,6 +79,24 @@ def test_scores(spark, monkeypatch):
     assert {r["n_known"] for r in scoring.score(df, F.lit(None).cast("boolean")).collect()} == {0}
 
 
+def test_base_scores_exchange_words_alone(spark, monkeypatch):
+    sf, columns = "/root/testdata/sf0.001", ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens"]
+    rounded = [*columns, F.round("base_score", 4).alias("base_score")]
+    whole = scoring.op2_lm_scoring(spark, sf).select(*rounded).collect()
+    asked, exchange = [], scoring.exchange
+
+    def watched(blocks_, ask, families, name, **how):
+        asked.append((name, families))
+        return exchange(blocks_, ask, families, name, **how)
+
+    monkeypatch.setattr(scoring, "exchange", watched)
+    assert sorted(queries.llm_base_scores(spark, sf).collect()) == sorted(whole) and asked == [("lm-words", 1)]
+    df = spark.createDataFrame([(1, "a b a", True), (1, None, True), (None, "b c", False)], "doc_id long, text string, l boolean")
+    bare = scoring.score(df, F.col("l"), history=0).collect()
+    assert len(bare) == 3 and all(r["score"] == r["base_score"] and r["n_failures"] == 0 for r in bare)
+    assert scoring.score(df.limit(0), F.col("l"), history=0).count() == 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 3)), max_size=30), max_size=8), st.sampled_from([1, 7, 1000]))
 def test_buckets_beyond_memory(tmp_path_factory, given_, run_keys):
